@@ -56,7 +56,7 @@ def win_sql(src: str, size_s: int, slide_s: int | None = None, offset_s: int = 0
 
 def bloom_sql(col: str) -> str:
     s = f"CAST({col} AS VARCHAR)"
-    return (f"CAST(list_sum(list_transform(range(length({s})), i -> "
+    return (f"CAST(list_sum(list_transform(range(length({s})), lambda i: "
             f"CAST(ascii(substr({s}, i + 1, 1)) AS HUGEINT) * CAST(pow(61, length({s}) - 1 - i) AS HUGEINT))) "
             f"% 536870912 AS BIGINT)")
 

@@ -19,9 +19,14 @@ def _bucketed(df: DataFrame, ts: str, fmt: str) -> DataFrame:
 
 
 def write_rolling(df: DataFrame, path: str, ts: str, *, fmt: str = "yyyy-MM-dd--HH",
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", num_files: int | None = None) -> None:
     """S8 (batch): rows rolled into one folder per time bucket of ``ts``."""
-    _bucketed(df, ts, fmt).write.mode(mode).partitionBy(BUCKET).option("header", "false").csv(path)
+    # Range-partition on (bucket, ts): tasks are balanced even when one hour
+    # holds a third of the rows, and each task writes to few bucket folders.
+    b = _bucketed(df, ts, fmt)
+    b = b.repartitionByRange(F.col(BUCKET), F.col(ts)) if num_files is None else \
+        b.repartitionByRange(num_files, F.col(BUCKET), F.col(ts))
+    b.write.mode(mode).partitionBy(BUCKET).option("header", "false").csv(path)
 
 
 def stream_rolling_files(df: DataFrame, path: str, checkpoint: str, ts: str, *,
