@@ -19,7 +19,8 @@ def jvm_split(c, sep: str = " ") -> Column:
     empties, so strip trailing separators first."""
     c = _col(c)
     q = re.escape(sep)
-    stripped = F.regexp_replace(c, f"({q})+$", "")
+    # rtrim removes trailing blanks only, without a regex per row
+    stripped = F.rtrim(c) if sep == " " else F.regexp_replace(c, f"({q})+$", "")
     return (F.when(c == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, q)))

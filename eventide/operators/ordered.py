@@ -5,16 +5,12 @@ single task; if one user, sensor or word holds a third of all rows, that task
 is the whole job.  Every primitive here cuts each key into *slices* by a column
 that is monotone in the order (a time bucket, a range of sequence numbers).
 Work inside a slice is a window partitioned by ``(key, slice)``.  What has to
-cross a slice boundary is carried by a summary table with one row per
-``(key, slice)`` -- it grows with the number of slices, never with the rows of
-a key -- and is joined back on ``(key, slice)``.  The join is an equi-join on
-the same columns the in-slice window partitions by, so the big side is
-shuffled exactly once; AQE may broadcast the carry table from its measured
-runtime size.
-
-Keys are packed into one struct column.  A struct is never null and compares
-null fields as equal, so null keys form their own group exactly as in
-``GROUP BY`` while the join stays a plain equi-join.
+cross a slice boundary is summarised in a *carry* table with one row per
+``(key, slice)`` -- it grows with the number of slices, never with the rows
+of a key.  Carry rows are unioned into the data as marker rows that sort
+first in their ``(key, slice)`` partition, so the big side is shuffled exactly
+once (by ``(key, slice)``), there is no join, and null keys form their own
+group exactly as in ``GROUP BY``.
 
 Choose the slice width so that one slice of the hottest key fits one task; it
 is the only tuning knob.
@@ -29,20 +25,14 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import epoch_micros
 
-KEY = "_okey"
 SLICE = "_oslice"
+MARK = "_omark"  # 0 = carry marker row, 1 = data row
 RN = "_orn"
-N = "_on"
 
 _AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], slice_col: Column) -> DataFrame:
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(True)
-    return df.withColumn(KEY, key).withColumn(SLICE, slice_col)
-
-
 def _order(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(o).desc() if descending else F.col(o).asc() for o in order]
 
@@ -57,28 +47,30 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
     """Running aggregates per key in ``order`` (ties must be broken by ``order``).
 
     ``aggs`` = ``[(out_name, kind, value_column)]`` with kind in
-    count/sum/min/max (min/max accept structs, giving min_by/max_by).  The frame
-    is every earlier row of the key plus the row itself (``exclusive`` drops the
-    row itself).  ``descending`` runs the scan from the end (a "next" lookup);
-    ``slice_col`` must then still be monotone in the ascending order.
+    count/sum/min/max (count counts non-null values; min/max accept structs,
+    giving min_by/max_by).  The frame is every earlier row of the key plus the
+    row itself (``exclusive`` drops the row itself).  ``descending`` scans from
+    the end (a "next" lookup); ``slice_col`` is monotone in the ascending order.
     """
-    d = _keyed(df, keys, slice_col)
+    keys = list(keys)
+    d = df.withColumn(SLICE, slice_col)
     for name, _, c in aggs:
         d = d.withColumn(f"_v_{name}", c)
-    summary = d.groupBy(KEY, SLICE).agg(
+    summary = d.groupBy(*keys, SLICE).agg(
         *[_AGG[kind](f"_v_{name}").alias(f"_t_{name}") for name, kind, _ in aggs])
-    ws = Window.partitionBy(KEY).orderBy(_slice_order(descending)).rowsBetween(
+    ws = Window.partitionBy(*keys).orderBy(_slice_order(descending)).rowsBetween(
         Window.unboundedPreceding, -1)
     carry = summary.select(
-        KEY, SLICE,
+        *keys, SLICE, F.lit(0).alias(MARK),
         *[_MERGE[kind](f"_t_{name}").over(ws).alias(f"_c_{name}") for name, kind, _ in aggs])
-    j = d.join(carry, [KEY, SLICE], "inner")
-    wi = Window.partitionBy(KEY, SLICE).orderBy(*_order(order, descending)).rowsBetween(
-        Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
+    u = d.withColumn(MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, SLICE).orderBy(F.col(MARK), *_order(order, descending))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    frame = w.rowsBetween(Window.unboundedPreceding, -1) if exclusive else upto
     outs = []
     for name, kind, _ in aggs:
-        inner = _AGG[kind](f"_v_{name}").over(wi)
-        carried = F.col(f"_c_{name}")
+        inner = _AGG[kind](f"_v_{name}").over(frame)
+        carried = F.first(f"_c_{name}", ignorenulls=True).over(upto)
         if kind == "count":
             val = inner + F.coalesce(carried, F.lit(0).cast("bigint"))
         elif kind == "sum":
@@ -90,7 +82,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
             val = F.greatest(inner, carried)
         outs.append(val.alias(name))
     tmp = [f"_v_{n}" for n, _, _ in aggs] + [f"_c_{n}" for n, _, _ in aggs]
-    return j.select("*", *outs).drop(KEY, SLICE, *tmp)
+    return u.select("*", *outs).filter(F.col(MARK) == 1).drop(SLICE, MARK, *tmp)
 
 
 def lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Column,
@@ -99,33 +91,40 @@ def lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Col
 
     Inside a slice ``lag`` is a plain window function.  The first ``k`` rows of
     a slice take the missing predecessors from a carry row holding the last
-    ``k`` rows before the slice, computed from the last ``k`` rows ("tails") of
-    every slice only.  ``descending`` gives ``lead``.
+    ``k`` rows before the slice.  The carry is built from the last ``k`` rows
+    ("tails") of every slice -- a ``row_number() <= k`` that Catalyst turns
+    into a partial, map-side group limit -- so only ``k`` rows per slice move
+    before the single shuffle of the data.  ``descending`` gives ``lead``.
     """
+    keys = list(keys)
     k = max(j for _, j in lags.values())
     src = sorted({c for c, _ in lags.values()})
-    d = _keyed(df, keys, slice_col)
-    w = Window.partitionBy(KEY, SLICE).orderBy(*_order(order, descending))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.select("*", F.row_number().over(w).alias(RN), F.count(F.lit(1)).over(whole).alias(N),
-                 *[F.lag(c, j).over(w).alias(f"_in_{out}") for out, (c, j) in lags.items()])
+    d = df.withColumn(SLICE, slice_col)
     keep = list(dict.fromkeys([*order, *src]))
-    tails = d.filter(F.col(RN) > F.col(N) - k).select(KEY, SLICE, RN, N, *keep)
-    wt = Window.partitionBy(KEY).orderBy(_slice_order(descending), *_order(order, descending))
+    wd = Window.partitionBy(*keys, SLICE).orderBy(*_order(order, not descending))
+    tails = (d.select(*keys, SLICE, *keep).withColumn(RN, F.row_number().over(wd))
+             .filter(F.col(RN) <= k))
+    # over the tails of all slices of a key, the rows just before the first
+    # tail of slice s are the last rows of the slices before s
+    wt = Window.partitionBy(*keys).orderBy(_slice_order(descending), *_order(order, descending))
+    wfirst = Window.partitionBy(*keys, SLICE)
+    cy = [f"_cy{m}_{c}" for c in src for m in range(1, k + 1)]
     carry = (tails
-             .select(KEY, SLICE, RN, N,
+             .select(*keys, SLICE, RN, F.max(RN).over(wfirst).alias("_last"),
                      *[F.lag(c, m).over(wt).alias(f"_cy{m}_{c}") for c in src for m in range(1, k + 1)])
-             .filter(F.col(RN) == F.greatest(F.col(N) - k + 1, F.lit(1)))
-             .drop(RN, N))
-    j = d.join(carry, [KEY, SLICE], "inner")
+             .filter(F.col(RN) == F.col("_last"))
+             .select(*keys, SLICE, F.lit(0).alias(MARK), *cy))
+    u = d.withColumn(MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, SLICE).orderBy(F.col(MARK), *_order(order, descending))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.row_number().over(w) - 1  # the marker is row 1 of every partition
     outs = []
     for out, (c, off) in lags.items():
-        expr = F.when(F.col(RN) > off, F.col(f"_in_{out}"))
+        expr = F.when(pos > off, F.lag(c, off).over(w))
         for p in range(1, off + 1):
-            expr = expr.when(F.col(RN) == p, F.col(f"_cy{off - p + 1}_{c}"))
+            expr = expr.when(pos == p, F.first(f"_cy{off - p + 1}_{c}", ignorenulls=True).over(upto))
         outs.append(expr.alias(out))
-    tmp = [f"_in_{o}" for o in lags] + [f"_cy{m}_{c}" for c in src for m in range(1, k + 1)]
-    return j.select("*", *outs).drop(KEY, SLICE, RN, N, *tmp)
+    return u.select("*", *outs).filter(F.col(MARK) == 1).drop(SLICE, MARK, *cy)
 
 
 def count_upto(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int,
@@ -136,30 +135,34 @@ def count_upto(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int,
     Rows of later slices that a row can still see (``ts - ahead`` falls in an
     earlier slice) are copied into those slices as *halo* rows, so the bounded
     look-ahead is a range frame inside ``(key, slice)``; everything before the
-    slice comes from the carry table.  Fan-out is 1 + ceil(ahead / width).
+    slice comes from the carry marker row.  Fan-out is 1 + ceil(ahead / width).
     """
+    keys = list(keys)
     width = int(slice_seconds) * 1_000_000
     ahead = int(round(ahead_seconds * 1_000_000))
-    us = "_ous"
+    us, own_col = "_ous", "_own_slice"
     d = df.withColumn(us, epoch_micros(ts))
-    d = d.withColumn(KEY, F.struct(*[F.col(k) for k in keys]) if keys else F.lit(True))
-    own = F.floor(F.col(us) / F.lit(width)).cast("bigint")
-    first = F.floor((F.col(us) - F.lit(ahead)) / F.lit(width)).cast("bigint")
     for name, cond in counts.items():
         d = d.withColumn(f"_f_{name}", F.when(cond, F.lit(1)).otherwise(F.lit(0)))
-    d = d.withColumn("_own_slice", own)
-    summary = d.groupBy(KEY, F.col("_own_slice").alias(SLICE)).agg(
+    d = d.withColumn(own_col, F.floor(F.col(us) / F.lit(width)).cast("bigint"))
+    summary = d.groupBy(*keys, F.col(own_col).alias(SLICE)).agg(
         *[F.sum(f"_f_{n}").alias(f"_t_{n}") for n in counts])
-    ws = Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(KEY, SLICE, *[F.sum(f"_t_{n}").over(ws).alias(f"_c_{n}") for n in counts])
-    halo = d.withColumn(SLICE, F.explode(F.sequence(first, own)))
-    j = halo.join(carry, [KEY, SLICE], "left")
-    wr = Window.partitionBy(KEY, SLICE).orderBy(us).rangeBetween(Window.unboundedPreceding, ahead)
-    outs = [(F.sum(f"_f_{n}").over(wr) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))).cast("bigint").alias(n)
+    ws = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, SLICE, F.lit(0).alias(MARK),
+                           *[F.sum(f"_t_{n}").over(ws).alias(f"_c_{n}") for n in counts])
+    first = F.floor((F.col(us) - F.lit(ahead)) / F.lit(width)).cast("bigint")
+    halo = d.withColumn(SLICE, F.explode(F.sequence(first, F.col(own_col)))).withColumn(MARK, F.lit(1))
+    u = halo.unionByName(carry, allowMissingColumns=True)
+    # the marker has a null timestamp and sorts first; its flags are null
+    w = Window.partitionBy(*keys, SLICE).orderBy(F.col(us).asc_nulls_first())
+    wr = w.rangeBetween(Window.unboundedPreceding, ahead)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outs = [(F.coalesce(F.sum(f"_f_{n}").over(wr), F.lit(0))
+             + F.coalesce(F.first(f"_c_{n}", ignorenulls=True).over(upto), F.lit(0))).cast("bigint").alias(n)
             for n in counts]
-    res = j.select("*", *outs).filter(F.col(SLICE) == F.col("_own_slice"))
+    res = u.select("*", *outs).filter((F.col(MARK) == 1) & (F.col(SLICE) == F.col(own_col)))
     tmp = [f"_f_{n}" for n in counts] + [f"_c_{n}" for n in counts]
-    return res.drop(KEY, SLICE, us, "_own_slice", *tmp)
+    return res.drop(SLICE, MARK, us, own_col, *tmp)
 
 
 def seq_slice(c, rows_per_slice: int) -> Column:

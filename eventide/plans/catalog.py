@@ -271,7 +271,7 @@ def a1_word_count(spark, sf):
 def a2_running_word_count(spark, sf):
     toks = agg.tokens(document_lines(dm.load_table(spark, sf, "documents")), keep=["doc_id", "line_no"],
                       drop_empty=True)
-    return agg.running_word_count(toks, ["doc_id", "line_no", "pos"], ordered.seq_slice("doc_id", 64))
+    return agg.running_word_count(toks, ["doc_id", "line_no", "pos"], ordered.seq_slice("doc_id", 1024))
 
 
 @query("a3_rolling_min_by", dm.with_ctes("""SELECT seq, id, m.v AS min_temperature, m.t AS min_ts, m.s AS min_seq FROM (
