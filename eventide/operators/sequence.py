@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import time_slice
 from eventide.operators import ordered
+from eventide.session import materialize
 
 
 def _iv(seconds: float) -> Column:
@@ -32,16 +33,18 @@ def repeated_failures(df: DataFrame, key: str, ts: str, seq: str, is_fail: Colum
     order = [ts, seq]
     sl = time_slice(ts, slice_seconds)
     d = df.withColumn("_fail", is_fail)
-    d = ordered.lag(d, [key], order, sl, {"_prev_fail": ("_fail", 1)})
-    d = d.withColumn("_first", F.col("_fail") & F.coalesce(~F.col("_prev_fail"), F.lit(True)))
-    d = ordered.running(d, [key], order, sl, [
+    d = materialize(ordered.running(d, [key], order, sl, [
         ("_f_incl", "count", F.when(F.col("_fail"), F.lit(1))),
         ("_s_incl", "count", F.when(~F.col("_fail"), F.lit(1))),
-    ])
-    d = ordered.running(d, [key], order, sl, [
+    ]))
+    # max over (successes so far, -ts of a failure): the latest run wins, and
+    # inside it the earliest failure -- the first failure of the current run
+    run_first = F.struct(F.col("_s_incl"), F.when(F.col("_fail"), -F.unix_micros(F.col(ts).cast("timestamp"))))
+    d = materialize(ordered.running(d, [key], order, sl, [
         ("_f_before_run", "max", F.when(~F.col("_fail"), F.col("_f_incl"))),
-        ("first_fail_ts", "max", F.when(F.col("_first"), F.col(ts))),
-    ])
+        ("_run_first", "max", run_first),
+    ]))
+    d = d.withColumn("first_fail_ts", F.timestamp_micros(-F.col("_run_first.col2")).cast(df.schema[ts].dataType))
     d = ordered.count_upto(d, [key], ts, slice_seconds, check_after, {
         "_g": F.col("_fail"), "_s_upto": ~F.col("_fail")})
     cnt = F.col("_g") - F.coalesce(F.col("_f_before_run"), F.lit(0))
@@ -123,7 +126,7 @@ def rising_alerts(df: DataFrame, key: str, ts: str, seq: str, value: str, interv
     (or never).  Output ``key, rise_start_ts, alert_ts``."""
     order = [ts, seq]
     sl = time_slice(ts, slice_seconds)
-    d = ordered.lag(df, [key], order, sl, {"_p1": (value, 1), "_p2": (value, 2)})
+    d = materialize(ordered.lag(df, [key], order, sl, {"_p1": (value, 1), "_p2": (value, 2)}))
     rising = F.col("_p1").isNotNull() & (F.col(value) > F.col("_p1"))
     prev_rising = F.col("_p2").isNotNull() & (F.col("_p1") > F.col("_p2"))
     d = d.withColumn("_rise", rising).withColumn("_start", rising & ~prev_rising)

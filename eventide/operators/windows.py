@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import time_slice
 from eventide.operators import ordered
+from eventide.session import materialize
 
 _AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -86,7 +87,7 @@ def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap, order: S
     aggs = aggs or [("cnt", "count", F.lit(1))]
     gap_s = duration_seconds(gap)
     sl = time_slice(ts, slice_seconds)
-    d = ordered.lag(df, keys, order, sl, {"_prev_ts": (ts, 1)})
+    d = materialize(ordered.lag(df, keys, order, sl, {"_prev_ts": (ts, 1)}))
     start = F.col("_prev_ts").isNull() | (
         F.col(ts) > F.col("_prev_ts") + F.expr(f"INTERVAL {gap_s} SECONDS"))
     d = d.withColumn("_start", F.when(start, F.lit(1)).otherwise(F.lit(0)))

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # Sliding windows and carry tables are small; let AQE turn shuffle joins
     # into broadcast joins only from measured runtime sizes.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # checkpoint files of chained passes are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,3 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, "eventide", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage between chained passes: write the intermediate result as a
+    Parquet table in the shared checkpoint folder (never a machine-local
+    cache) and read it back.  Later passes read the written files instead of
+    recomputing every upstream branch (each ordered pass reads its input
+    twice), and a lost executor costs only the pass it was running."""
+    path = scratch_path(df.sparkSession, "pass")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

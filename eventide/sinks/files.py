@@ -23,9 +23,11 @@ def write_rolling(df: DataFrame, path: str, ts: str, *, fmt: str = "yyyy-MM-dd--
     """S8 (batch): rows rolled into one folder per time bucket of ``ts``."""
     # Range-partition on (bucket, ts): tasks are balanced even when one hour
     # holds a third of the rows, and each task writes to few bucket folders.
-    b = _bucketed(df, ts, fmt)
-    b = b.repartitionByRange(F.col(BUCKET), F.col(ts)) if num_files is None else \
-        b.repartitionByRange(num_files, F.col(BUCKET), F.col(ts))
+    # One writer per input split keeps output files about as large as the
+    # input splits (spark.sql.files.maxPartitionBytes) at any scale; never
+    # fewer writers than cores, file creation is per-task serial work.
+    n = num_files or max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+    b = _bucketed(df, ts, fmt).repartitionByRange(n, F.col(BUCKET), F.col(ts))
     b.write.mode(mode).partitionBy(BUCKET).option("header", "false").csv(path)
 
 
