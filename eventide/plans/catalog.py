@@ -175,7 +175,7 @@ def p1_project(spark, sf):
 
 @query("p2_constant_key", dm.with_ctes("SELECT 'dummyKey' AS key, user_id FROM ub WHERE behavior = 'pv'", "ub"))
 def p2_constant_key(spark, sf):
-    ub = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    ub = dm.pageviews(spark, sf)
     return transform.constant_key(ub, "user_id")
 
 
@@ -195,7 +195,7 @@ def p4_pair_with_literal(spark, sf):
 
 @query("f1_equal_filter", dm.with_ctes("SELECT user_id, item_id, ts FROM ub WHERE behavior = 'pv'", "ub"))
 def f1_equal_filter(spark, sf):
-    return transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv").select("user_id", "item_id", "ts")
+    return dm.pageviews(spark, sf).select("user_id", "item_id", "ts")
 
 
 @query("f2_not_equal_filter", dm.with_ctes("SELECT channel, behavior, ts FROM mkt WHERE behavior <> 'signup'", "mkt"))
@@ -296,7 +296,7 @@ PV_SQL = "SELECT * FROM ub WHERE behavior = 'pv'"
 @query("a5_window_count_sliding", dm.with_ctes(
     f"SELECT item_id, window_start, window_end, count(*) AS cnt FROM ({win_sql(PV_SQL, HOUR, 300)}) GROUP BY ALL", "ub"))
 def a5_window_count_sliding(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     return window_aggregate(pv, ["item_id"], "ts", "1 hour", "5 minutes")
 
 
@@ -332,14 +332,14 @@ def a8_full_window_count(spark, sf):
 @query("a9_uv_exact", dm.with_ctes(
     f"SELECT window_start, window_end, count(DISTINCT user_id) AS uv FROM ({win_sql(PV_SQL, HOUR)}) GROUP BY ALL", "ub"))
 def a9_uv_exact(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     return agg.distinct_per_window(pv, "ts", "1 hour", "user_id")
 
 
 @query("a10_uv_bloom", dm.with_ctes(f"""SELECT window_start, window_end, count(DISTINCT {bloom_sql('user_id')}) AS uv
   FROM ({win_sql(PV_SQL, HOUR)}) GROUP BY ALL""", "ub"))
 def a10_uv_bloom(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     return agg.bloom_distinct_per_window(pv, "ts", "1 hour", "user_id")
 
 
@@ -348,7 +348,7 @@ def a10_uv_bloom(spark, sf):
   SELECT window_start, window_end, {bloom_sql('user_id')} AS "offset", min(seq) AS first_seq
   FROM ({win_sql(PV_SQL, HOUR)}) GROUP BY ALL)""", "ub"))
 def a10b_uv_bloom_changelog(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     return agg.bloom_changelog(pv, "ts", "1 hour", "user_id", "seq")
 
 
@@ -358,7 +358,7 @@ PV_COUNT_SQL = dm.with_ctes(
 
 @query("a11_pv_salted", PV_COUNT_SQL)
 def a11_pv_salted(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     return agg.salted_window_count(pv, "ts", "1 hour", "seq")
 
 
@@ -372,7 +372,7 @@ def a12_sql_window_count(spark, sf):
 
 @query("a13_sum_count_shortcut", PV_COUNT_SQL)
 def a13_sum_count_shortcut(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     salted = pv.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(16)))
     phase1 = (salted.groupBy(F.window("ts", "1 hour").alias("w"), "_salt").count()
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "count"))
@@ -467,7 +467,7 @@ TOPN_SQL = dm.with_ctes(TOPN_BODY, "ub")
 
 
 def _item_counts(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     return window_aggregate(pv, ["item_id"], "ts", "1 hour", "5 minutes")
 
 
@@ -495,7 +495,7 @@ K3_SQL = dm.with_ctes(f"""SELECT window_end, url, cnt, rank FROM (
 
 @query("k3_topn_pages_late", K3_SQL)
 def k3_topn_pages_late(spark, sf):
-    get = transform.equal_filter(dm.weblog(spark, sf), "method", "GET")
+    get = transform.equal_filter(dm.weblog(spark, sf, get_only=True), "method", "GET")
     rows = late.accepted_window_rows(get, "ts", ["arrival", "seq"], "3 seconds", "1 hour", "5 minutes", lateness=60)
     counts = rows.groupBy("url", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
     ranked = topk.top_n(counts, ["window_end"], [F.col("cnt").desc(), F.col("url")], 5)

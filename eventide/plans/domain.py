@@ -56,6 +56,15 @@ def user_behavior(spark, sf) -> DataFrame:
                     "ts", F.col("event_id").alias("seq"))
 
 
+def pageviews(spark, sf) -> DataFrame:
+    """User behaviour restricted to ``pv``, filtered on the raw column first so
+    the predicate reaches the Parquet scan (a filter on the derived behaviour
+    column could not be pushed down)."""
+    e = events(spark, sf).filter(F.col("event_type") == "view")
+    return e.select("user_id", (_k() % 10).alias("item_id"), (_k() / 10).cast("int").alias("category_id"),
+                    F.lit("pv").alias("behavior"), "ts", F.col("event_id").alias("seq"))
+
+
 UB_SQL = f"""SELECT user_id, {K_SQL} % 10 AS item_id, CAST({K_SQL} // 10 AS INTEGER) AS category_id,
   CASE WHEN event_type = 'view' THEN 'pv' ELSE event_type END AS behavior, ts, event_id AS seq FROM events"""
 
@@ -94,8 +103,12 @@ MKT_SQL = """SELECT user_id, 'c' || CAST(user_id % 2 AS VARCHAR) AS channel, eve
   event_id AS seq FROM events"""
 
 
-def weblog(spark, sf) -> DataFrame:
+def weblog(spark, sf, get_only: bool = False) -> DataFrame:
+    """Access-log rows; ``get_only`` filters on the raw column (GET is exactly
+    ``view``) so the predicate reaches the Parquet scan."""
     e = events(spark, sf)
+    if get_only:
+        e = e.filter(F.col("event_type") == "view")
     ip = F.concat(F.lit("10.0."), F.floor(F.col("user_id") / 256).cast("string"), F.lit("."),
                   (F.col("user_id") % 256).cast("string"))
     return e.select(ip.alias("ip"), F.when(F.col("event_type") == "view", F.lit("GET")).otherwise(F.lit("POST")).alias("method"),

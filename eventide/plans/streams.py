@@ -57,21 +57,21 @@ def s1_text_lines_stream(spark, sf):
 
 
 def a5_window_count_sliding_stream(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     s = _replayed(spark, pv, "seq", item_id=F.lit(-1).cast("bigint"), ts=_far())
     counts = forms.window_count_stream(forms.event_time(s, "ts", 0), ["item_id"], "1 hour", "5 minutes")
     return run_to_parquet(counts).filter(F.col("item_id") != -1)
 
 
 def k1_topn_items_sliding_stream(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     s = _replayed(spark, pv, "seq", item_id=F.lit(-1).cast("bigint"), ts=_far())
     top = forms.topn_stream(forms.event_time(s, "ts", 0), "item_id", "1 hour", "5 minutes", 5)
     return run_to_parquet(top).filter(F.col("window_end") < _far())
 
 
 def a9_uv_exact_stream(spark, sf):
-    pv = transform.equal_filter(dm.user_behavior(spark, sf), "behavior", "pv")
+    pv = dm.pageviews(spark, sf)
     s = _replayed(spark, pv, "seq", ts=_far())
     uv = forms.distinct_count_stream(forms.event_time(s, "ts", 0), "user_id", "1 hour")
     return run_to_parquet(uv).filter(F.col("window_end") < _far())
