@@ -129,3 +129,179 @@ for _name, _fn in [("s1_text_lines", s1_text_lines_stream), ("a5_window_count_sl
                    ("q1_login_fail_check", q1_login_fail_check_stream),
                    ("b1_capped_clicks", b1_capped_clicks_stream), ("f5_expr_select_filter", f5_expr_select_filter_stream)]:
     _register(_name, _fn)
+
+
+# ------------------------------------------------------------------ more forms
+from pyspark.sql import types as T  # noqa: E402
+
+from eventide.functions.hashing import bloom_offset  # noqa: E402
+from eventide.operators import aggregate as agg  # noqa: E402
+from eventide.session import scratch_path  # noqa: E402
+from eventide.sinks import files as sink_files  # noqa: E402
+from eventide.sinks import records as sink_records  # noqa: E402
+from eventide.streaming import generic  # noqa: E402
+
+
+def _us(c):
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def _ts(c):
+    return F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+
+
+def a3_rolling_min_by_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf).select("id", "seq", "temperature", _us("ts").alias("ts_us")), "seq")
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("id", T.StringType()),
+                           T.StructField("m_temperature", T.DoubleType()), T.StructField("m_ts_us", T.LongType()),
+                           T.StructField("m_seq", T.LongType())])
+    out = generic.running_stream(s, ["id"], ["ts_us", "seq"], [("m", "min_by", "temperature", ["ts_us", "seq"])], schema)
+    return run_to_parquet(out).select("seq", "id", F.col("m_temperature").alias("min_temperature"),
+                                      _ts("m_ts_us").alias("min_ts"), F.col("m_seq").alias("min_seq"))
+
+
+def a4_rolling_reduce_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf).select("id", "seq", "ts_sec", "temperature", _us("ts").alias("ts_us")), "seq")
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("id", T.StringType()),
+                           T.StructField("ts_sec", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("red_value", T.DoubleType())])
+    out = generic.running_stream(s, ["id"], ["ts_us", "seq"], [("n", "count", "seq"), ("red_value", "min", "temperature")],
+                                 schema)
+    res = run_to_parquet(out)
+    return res.select("seq", "id", (F.col("ts_sec") + F.when(F.col("n") > 1, 1).otherwise(0)).alias("red_ts"), "red_value")
+
+
+def q2_login_fail_pair_stream(spark, sf):
+    lg = dm.login(spark, sf).select("user_id", "seq", (F.col("event_type") == "fail").alias("fail"), "ts",
+                                    _us("ts").alias("ts_us"))
+    s = _replayed(spark, lg, "seq")
+    out = generic.lag_stream(s, ["user_id"], ["seq"], {"pf": ("fail", 1), "pts_us": ("ts_us", 1)},
+                             {"pf": T.BooleanType(), "pts_us": T.LongType()})
+    res = run_to_parquet(out)
+    return (res.filter(F.col("fail") & F.coalesce(F.col("pf"), F.lit(False))
+                       & (F.col("ts_us") <= F.col("pts_us") + 6 * 3600 * 1_000_000))
+            .select("user_id", _ts("pts_us").alias("first_fail_ts"), F.col("ts").alias("fail_ts")))
+
+
+def q3_login_fail_cep_stream(spark, sf):
+    lg = dm.login(spark, sf).select("user_id", "seq", (F.col("event_type") == "fail").alias("fail"), "ts",
+                                    _us("ts").alias("ts_us"))
+    s = _replayed(spark, lg, "seq")
+    lags = {"f1": ("fail", 1), "f2": ("fail", 2), "t1": ("ts_us", 1), "t2": ("ts_us", 2)}
+    out = generic.lag_stream(s, ["user_id"], ["ts_us", "seq"], lags,
+                             {"f1": T.BooleanType(), "f2": T.BooleanType(), "t1": T.LongType(), "t2": T.LongType()})
+    res = run_to_parquet(out)
+    ok = (F.col("fail") & F.coalesce(F.col("f1"), F.lit(False)) & F.coalesce(F.col("f2"), F.lit(False))
+          & (F.col("ts_us") < F.col("t2") + 86400 * 1_000_000))
+    return res.filter(ok).select("user_id", _ts("t2").alias("first_ts"), _ts("t1").alias("second_ts"),
+                                 F.col("ts").alias("third_ts"))
+
+
+def w8_session_window_stream(spark, sf):
+    e = dm.events(spark, sf).select("user_id", "ts", "event_id")
+    s = _replayed(spark, e, "event_id", user_id=F.lit(-1).cast("bigint"), ts=_far())
+    g = forms.event_time(s, "ts", 0).groupBy("user_id", F.session_window("ets", "1 hour").alias("w"))
+    out = g.agg(F.count(F.lit(1)).alias("cnt")).select(
+        "user_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "cnt")
+    return run_to_parquet(out).filter(F.col("user_id") != -1)
+
+
+def a11_pv_salted_stream(spark, sf):
+    s = _replayed(spark, dm.pageviews(spark, sf), "seq", ts=_far())
+    x = forms.event_time(s, "ts", 0).withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(16)))
+    phase1 = (x.groupBy(F.window("ets", "1 hour").alias("w"), "_salt").agg(F.count(F.lit(1)).alias("count"))
+              .select(F.window_time("w").alias("wt"), F.col("w.start").alias("ws"), F.col("w.end").alias("we"), "count"))
+    out = phase1.groupBy("wt", "ws", "we").agg(F.sum("count").alias("pv")).select(
+        F.col("ws").cast("timestamp_ntz").alias("window_start"), F.col("we").cast("timestamp_ntz").alias("window_end"), "pv")
+    return run_to_parquet(out).filter(F.col("window_end") < _far())
+
+
+def a10_uv_bloom_stream(spark, sf):
+    pv = dm.pageviews(spark, sf).withColumn("offset", bloom_offset("user_id"))
+    s = _replayed(spark, pv, "seq", ts=_far())
+    uv = forms.distinct_count_stream(forms.event_time(s, "ts", 0), "offset", "1 hour")
+    return run_to_parquet(uv).filter(F.col("window_end") < _far())
+
+
+def w1_tumbling_keyed_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf), "seq", id=F.lit("~sentinel"), ts=_far())
+    g = forms.event_time(s, "ts", 0).groupBy("id", F.window("ets", "1 hour").alias("w"))
+    out = g.agg(F.count(F.lit(1)).alias("cnt"), F.min("temperature").alias("min_temp")).select(
+        "id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "cnt", "min_temp")
+    return run_to_parquet(out).filter(F.col("id") != "~sentinel")
+
+
+def j2_order_outcome_stream(spark, sf):
+    o = dm.order_events(spark, sf).withColumn("is_create", F.col("event_type") == "create")
+    s = _replayed(spark, o, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far(), week_start=_far())
+    out = stateful.order_outcomes_stream(forms.event_time(s, "ts", 0), 86400)
+    return run_to_parquet(out).filter(F.col("user_id") != -1)
+
+
+def s8_rolling_file_sink_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf).select("id", "ts_sec", "temperature", "ts", "seq"), "seq")
+    path, ckpt = scratch_path(spark, "s8-stream"), scratch_path(spark, "s8-stream-ckpt")
+    q = sink_files.stream_rolling_files(s.select("id", "ts_sec", "temperature", "ts"), path, ckpt, "ts")
+    q.awaitTermination()
+    back = spark.read.schema("id string, ts_sec bigint, temperature double, ts timestamp_ntz, bucket string").csv(path)
+    return back.select("id", "ts_sec", "temperature", "bucket")
+
+
+def s10_latest_by_key_stream(spark, sf):
+    """S10 on a stream: every micro-batch is merged into the keyed table
+    (UPDATE when the key exists, INSERT otherwise) by ``foreachBatch``; each
+    version is written under its batch id, so a replayed batch rewrites the
+    same version (idempotent)."""
+    s = _replayed(spark, dm.sensor(spark, sf), "seq")
+    root, ckpt = scratch_path(spark, "s10-table"), scratch_path(spark, "s10-ckpt")
+    current = {"path": None}
+
+    def merge(batch, batch_id):
+        cur = spark.read.parquet(current["path"]) if current["path"] else None
+        merged = sink_records.upsert_latest_batch(cur, batch, ["id"], ["temperature", "ts_sec"], ["ts", "seq"])
+        path = f"{root}/v{batch_id:08d}"
+        merged.write.mode("overwrite").parquet(path)
+        current["path"] = path
+
+    q = s.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(current["path"]).select("id", "temperature", "ts_sec")
+
+
+def a2_word_count_update_stream(spark, sf):
+    """A2 on a stream: running word totals in update mode, each micro-batch's
+    changed totals upserted into a keyed table; the table ends as the word
+    count without empty tokens."""
+    toks = agg.tokens(document_lines(dm.load_table(spark, sf, "documents")), keep=["doc_id", "line_no"],
+                      drop_empty=True)
+    s = _replayed(spark, toks, "doc_id")
+    counts = s.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    root, ckpt = scratch_path(spark, "a2-table"), scratch_path(spark, "a2-ckpt")
+    current = {"path": None}
+
+    def merge(batch, batch_id):
+        b = batch.withColumn("_v", F.lit(batch_id))
+        cur = spark.read.parquet(current["path"]) if current["path"] else None
+        merged = sink_records.upsert_latest_batch(cur, b, ["word"], ["cnt"], ["_v"])
+        path = f"{root}/v{batch_id:08d}"
+        merged.write.mode("overwrite").parquet(path)
+        current["path"] = path
+
+    q = (counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(current["path"]).select("word", "cnt")
+
+
+for _name, _fn in [("a3_rolling_min_by", a3_rolling_min_by_stream), ("a4_rolling_reduce", a4_rolling_reduce_stream),
+                   ("q2_login_fail_pair", q2_login_fail_pair_stream), ("q3_login_fail_cep", q3_login_fail_cep_stream),
+                   ("w8_session_window", w8_session_window_stream), ("a11_pv_salted", a11_pv_salted_stream),
+                   ("a10_uv_bloom", a10_uv_bloom_stream), ("w1_tumbling_keyed", w1_tumbling_keyed_stream),
+                   ("j2_order_outcome", j2_order_outcome_stream), ("s8_rolling_file_sink", s8_rolling_file_sink_stream),
+                   ("s10_latest_by_key", s10_latest_by_key_stream)]:
+    _register(_name, _fn)
+
+C.QUERIES["a2_word_count_update_stream"] = a2_word_count_update_stream
+C.ORACLES["a2_word_count_update_stream"] = f"SELECT word, count(*) AS cnt FROM ({C.TOKENS_SQL}) WHERE length(word) > 0 GROUP BY word"
