@@ -305,3 +305,82 @@ for _name, _fn in [("a3_rolling_min_by", a3_rolling_min_by_stream), ("a4_rolling
 
 C.QUERIES["a2_word_count_update_stream"] = a2_word_count_update_stream
 C.ORACLES["a2_word_count_update_stream"] = f"SELECT word, count(*) AS cnt FROM ({C.TOKENS_SQL}) WHERE length(word) > 0 GROUP BY word"
+
+
+# ------------------------------------------------------ count windows, R5, Q4, B2
+def w5_count_window_sliding_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf).select("id", "seq", "temperature", _us("ts").alias("ts_us")), "seq")
+    out = generic.count_window_stream(s, "id", ["ts_us", "seq"], "temperature", 100, 10)
+    return run_to_parquet(out).select("id", "end_pos", "cnt", F.col("max_value").alias("max_temp"),
+                                      F.col("min_value").alias("min_temp"))
+
+
+def w6_count_window_tumbling_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf).select("id", "seq", "temperature", _us("ts").alias("ts_us")), "seq")
+    out = generic.count_window_stream(s, "id", ["ts_us", "seq"], "temperature", 100)
+    return run_to_parquet(out).select("id", "end_pos", "cnt", F.col("max_value").alias("max_temp"))
+
+
+def q4_order_pay_followed_by_stream(spark, sf):
+    res = q5_order_pay_timeout_stream(spark, sf)
+    return res.filter(F.col("outcome") == "paid").drop("timeout_at")
+
+
+def b2_black_list_stream(spark, sf):
+    ad = dm.ad_click(spark, sf)
+    s = _replayed(spark, ad, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far())
+    out = run_to_parquet(stateful.daily_cap_stream(forms.event_time(s, "ts", 0), 2))
+    return (out.filter((F.col("user_id") != -1) & (F.col("click_no") == 3))
+            .select("user_id", "ad_id", "day", F.lit("black user: 2 times today").alias("warning")))
+
+
+def r5_retract_topn_stream(spark, sf):
+    """The top-N table as a retract stream.  Window counts arrive in update
+    mode; ``foreachBatch`` re-ranks only the windows touched by the batch and
+    appends ``(false, old row)`` / ``(true, new row)`` for every change of the
+    top-N table.  Returned: the net of the changelog, i.e. the final table."""
+    from eventide.operators import topk
+
+    pv = dm.pageviews(spark, sf)
+    s = _replayed(spark, pv, "seq", item_id=F.lit(-1).cast("bigint"), ts=_far())
+    counts = forms.window_count_stream(forms.event_time(s, "ts", 0), ["item_id"], "1 hour", "5 minutes") \
+        .select("window_end", "item_id", "cnt")
+    root, ckpt, log = scratch_path(spark, "r5-state"), scratch_path(spark, "r5-ckpt"), scratch_path(spark, "r5-log")
+    cur = {"counts": None, "top": None}
+
+    def step(batch, batch_id):
+        b = batch.filter(F.col("item_id") != -1).withColumn("_v", F.lit(batch_id))
+        old_counts = spark.read.parquet(cur["counts"]) if cur["counts"] else None
+        counts_now = sink_records.upsert_latest_batch(old_counts, b, ["window_end", "item_id"], ["cnt"], ["_v"])
+        cpath = f"{root}/counts-v{batch_id:08d}"
+        counts_now.write.mode("overwrite").parquet(cpath)
+        counts_now = spark.read.parquet(cpath)
+        touched = b.select("window_end").distinct()
+        new_top = topk.top_n(counts_now.join(touched, "window_end", "left_semi"), ["window_end"],
+                             [F.col("cnt").desc(), F.col("item_id")], 5).select("window_end", "item_id", "cnt", "rank")
+        old_all = spark.read.parquet(cur["top"]) if cur["top"] else new_top.limit(0)
+        old_top = old_all.join(touched, "window_end", "left_semi")
+        changes = (old_top.exceptAll(new_top).withColumn("flag", F.lit(False))
+                   .unionByName(new_top.exceptAll(old_top).withColumn("flag", F.lit(True))))
+        changes.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(log)
+        tpath = f"{root}/top-v{batch_id:08d}"
+        old_all.join(touched, "window_end", "left_anti").unionByName(new_top).write.mode("overwrite").parquet(tpath)
+        cur["counts"], cur["top"] = cpath, tpath
+
+    q = (counts.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    changelog = spark.read.parquet(log)
+    net = changelog.groupBy("window_end", "item_id", "cnt", "rank").agg(
+        F.sum(F.when(F.col("flag"), 1).otherwise(-1)).alias("_net"))
+    return net.filter(F.col("_net") == 1).drop("_net")
+
+
+for _name, _fn in [("w5_count_window_sliding", w5_count_window_sliding_stream),
+                   ("w6_count_window_tumbling", w6_count_window_tumbling_stream),
+                   ("q4_order_pay_followed_by", q4_order_pay_followed_by_stream),
+                   ("b2_black_list", b2_black_list_stream)]:
+    _register(_name, _fn)
+
+C.QUERIES["r5_retract_topn_stream"] = r5_retract_topn_stream
+C.ORACLES["r5_retract_topn_stream"] = C.TOPN_SQL

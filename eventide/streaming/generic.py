@@ -131,3 +131,48 @@ def lag_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], lags: d
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=LagProcessor(order, lags, keep, [f.name for f in schema.fields]),
         outputStructType=schema, outputMode="Append", timeMode="None")
+
+
+class CountWindowProcessor(StatefulProcessor):
+    """Count windows per key.  State keeps the key's row count and its
+    last ``size - 1`` values; a window fires at every ``slide``-th row over the
+    last ``<= size`` values (tumbling: ``slide = size``, full windows only)."""
+
+    def __init__(self, order: Sequence[str], value: str, size: int, slide: int, full_only: bool):
+        self.order, self.value, self.size, self.slide, self.full_only = list(order), value, size, slide, full_only
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("tail", "doc string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _frame(rows, self.order)
+        got = self.state.get()
+        n0, tail = json.loads(got[0]) if got is not None else (0, [])
+        vals = pd.Series(tail + df[self.value].astype("float64").tolist())
+        pos = np.arange(n0 - len(tail) + 1, n0 + len(df) + 1)  # 1-based positions of vals
+        roll = vals.rolling(self.size, min_periods=1)
+        res = pd.DataFrame({"end_pos": pos, "cnt": roll.count().astype("int64"), "max_value": roll.max(),
+                            "min_value": roll.min()})
+        fire = (res["end_pos"] > n0) & (res["end_pos"] % self.slide == 0)
+        if self.full_only:
+            fire &= res["cnt"] == self.size
+        out = res[fire].copy()
+        out.insert(0, "key", key[0])
+        n1 = n0 + len(df)
+        self.state.update((json.dumps([n1, vals.iloc[-(self.size - 1):].tolist() if self.size > 1 else []]),))
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def count_window_stream(df: DataFrame, key: str, order: Sequence[str], value: str, size: int,
+                        slide: int | None = None) -> DataFrame:
+    """Output: ``key, end_pos, cnt, max_value, min_value`` per fired window."""
+    use_rocksdb(df.sparkSession)
+    proc = CountWindowProcessor(order, value, size, slide or size, full_only=slide is None)
+    key_type = df.schema[key].dataType.simpleString()
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=proc,
+        outputStructType=f"key {key_type}, end_pos long, cnt long, max_value double, min_value double",
+        outputMode="Append", timeMode="None").withColumnRenamed("key", key)
