@@ -384,3 +384,53 @@ for _name, _fn in [("w5_count_window_sliding", w5_count_window_sliding_stream),
 
 C.QUERIES["r5_retract_topn_stream"] = r5_retract_topn_stream
 C.ORACLES["r5_retract_topn_stream"] = C.TOPN_SQL
+
+
+# ------------------------------------------------ Q7 and generic window streams
+def q7_temp_rising_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf).select("id", "ts", "seq", F.col("temperature").alias("value")), "seq",
+                  id=F.lit("~sentinel"), ts=_far())
+    out = stateful.rising_alerts_stream(forms.event_time(s, "ts", 0), 3600)
+    return run_to_parquet(out).filter(F.col("id") != "~sentinel")
+
+
+def _sensor_stream(spark, sf):
+    s = _replayed(spark, dm.sensor(spark, sf), "seq", id=F.lit("~sentinel"), ts=_far())
+    return forms.event_time(s, "ts", 0)
+
+
+def w2_sliding_keyed_stream(spark, sf):
+    out = forms.window_agg_stream(_sensor_stream(spark, sf), ["id"], "1 hour", "5 minutes",
+                                  aggs=[F.count(F.lit(1)).alias("cnt"), F.max("temperature").alias("max_temp")])
+    return run_to_parquet(out).filter(F.col("id") != "~sentinel")
+
+
+def a7_window_max_reduce_stream(spark, sf):
+    out = forms.window_agg_stream(_sensor_stream(spark, sf), ["id"], "1 hour", aggs=[
+        F.max("temperature").alias("max_value"), F.count(F.lit(1)).alias("n"),
+        F.max_by(F.col("ts_sec"), F.col("seq")).alias("_last")])
+    res = run_to_parquet(out).filter(F.col("id") != "~sentinel")
+    return res.select("id", "window_start", "window_end", "max_value", "n",
+                      (F.col("_last") + F.when(F.col("n") > 1, 1).otherwise(0)).alias("red_ts"))
+
+
+def w9_tumbling_offset_stream(spark, sf):
+    e = dm.events(spark, sf).select("event_id", "ts")
+    s = _replayed(spark, e, "event_id", ts=_far())
+    out = forms.window_agg_stream(forms.event_time(s, "ts", 0), [], "1 hour", "1 hour", "10 minutes",
+                                  aggs=[F.count(F.lit(1)).alias("cnt")])
+    return run_to_parquet(out).filter(F.col("window_end") < _far())
+
+
+def a8_full_window_count_stream(spark, sf):
+    m = transform.not_equal_filter(dm.marketing(spark, sf), "behavior", "signup")
+    s = _replayed(spark, m, "seq", channel=F.lit("~sentinel"), ts=_far())
+    out = forms.window_agg_stream(forms.event_time(s, "ts", 0), ["channel", "behavior"], "1 hour", "5 minutes",
+                                  aggs=[F.count(F.lit(1)).alias("cnt")])
+    return run_to_parquet(out).filter(F.col("channel") != "~sentinel")
+
+
+for _name, _fn in [("q7_temp_rising", q7_temp_rising_stream), ("w2_sliding_keyed", w2_sliding_keyed_stream),
+                   ("a7_window_max_reduce", a7_window_max_reduce_stream), ("w9_tumbling_offset", w9_tumbling_offset_stream),
+                   ("a8_full_window_count", a8_full_window_count_stream)]:
+    _register(_name, _fn)

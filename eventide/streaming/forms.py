@@ -27,11 +27,21 @@ def window_count_stream(df: DataFrame, keys: Sequence[str], size, slide=None, *,
                         name: str = "cnt") -> DataFrame:
     """A5/W1/W2 (stream): keyed window counts, emitted once per window when the
     watermark passes its end."""
+    return window_agg_stream(df, keys, size, slide, aggs=[F.count(F.lit(1)).alias(name)], ets=ets)
+
+
+def window_agg_stream(df: DataFrame, keys: Sequence[str], size, slide=None, offset=None, *,
+                      aggs: Sequence[Column], ets: str = "ets") -> DataFrame:
+    """A6-A8, W1-W4, W9 (stream): any aggregates per (keys, window) in append
+    mode; output ``keys, window_start, window_end, aggs``."""
     size_s = duration_seconds(size)
     slide_s = duration_seconds(slide) if slide is not None else size_s
-    g = df.groupBy(*keys, F.window(ets, f"{size_s} seconds", f"{slide_s} seconds").alias("w"))
-    return g.agg(F.count(F.lit(1)).alias(name)).select(
-        *keys, _ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"), name)
+    off_s = duration_seconds(offset) if offset is not None else 0
+    g = df.groupBy(*keys, F.window(ets, f"{size_s} seconds", f"{slide_s} seconds", f"{off_s} seconds").alias("w"))
+    out = g.agg(*aggs)
+    names = [c for c in out.columns if c not in (*keys, "w")]
+    return out.select(*keys, _ntz(F.col("w.start")).alias("window_start"), _ntz(F.col("w.end")).alias("window_end"),
+                      *names)
 
 
 def topn_stream(df: DataFrame, key: str, size, slide, n: int, *, ets: str = "ets") -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -318,3 +319,71 @@ def order_outcomes_stream(df: DataFrame, limit_seconds: float, lifetime_seconds:
     ts = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
     return out.select("user_id", ts("week_us").alias("week_start"), "outcome", ts("create_us").alias("create_ts"),
                       ts("pay_us").alias("pay_ts"))
+
+
+# ------------------------------------------------------------ Q7 rising alert
+class RisingAlertProcessor(StatefulProcessor):
+    """Q7: a rise (value above the previous one) starts a timer of
+    ``interval``; the first non-rising row cancels it if it comes no later than
+    start + interval.  State: last value, whether the last row rose, and the
+    start of the open rise (at most one per key)."""
+
+    def __init__(self, interval_us: int):
+        self.interval = interval_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("s", "last double, rising boolean, open_us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows, ["ts_us", "seq"])
+        got = self.state.get()
+        last, was_rising, open_us = got if got is not None else (None, False, None)
+        v = df["value"].to_numpy(dtype="float64")
+        ts = df["ts_us"].to_numpy(dtype="int64")
+        prev = np.concatenate([[np.nan if last is None else last], v[:-1]])
+        rising = v > prev  # NaN compares false: the first row of a key never rises
+        prev_rising = np.concatenate([[bool(was_rising)], rising[:-1]])
+        starts = np.flatnonzero(rising & ~prev_rising)
+        breaks = np.flatnonzero(~rising)
+        out = []
+        if open_us is not None:  # a rise left open by an earlier batch
+            if len(breaks) == 0:
+                pass
+            else:
+                if ts[breaks[0]] > open_us + self.interval:
+                    out.append((key[0], open_us, open_us + self.interval))
+                open_us = None
+        nxt = np.searchsorted(breaks, starts)  # first break after each start
+        for s, b in zip(starts.tolist(), nxt.tolist()):
+            if b < len(breaks):
+                if ts[breaks[b]] > ts[s] + self.interval:
+                    out.append((key[0], int(ts[s]), int(ts[s]) + self.interval))
+            else:  # still rising at the end of the batch: wait for a break or the timer
+                open_us = int(ts[s])
+                self.handle.registerTimer(-(-(open_us + self.interval) // 1000))
+        if len(v):
+            self.state.update((float(v[-1]), bool(rising[-1]), open_us))
+        yield pd.DataFrame(out, columns=["id", "start_us", "alert_us"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        got = self.state.get()
+        out = []
+        if got is not None and got[2] is not None and got[2] + self.interval <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+            out.append((key[0], got[2], got[2] + self.interval))
+            self.state.update((got[0], got[1], None))
+        yield pd.DataFrame(out, columns=["id", "start_us", "alert_us"])
+
+    def close(self) -> None:
+        pass
+
+
+def rising_alerts_stream(df: DataFrame, interval_seconds: float) -> DataFrame:
+    """``df``: id, ts, seq, value + watermark on ``ets``."""
+    use_rocksdb(df.sparkSession)
+    x = df.select("id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "value", "ets")
+    out = x.groupBy("id").transformWithStateInPandas(
+        statefulProcessor=RisingAlertProcessor(int(interval_seconds * 1_000_000)),
+        outputStructType="id string, start_us long, alert_us long", outputMode="Append", timeMode="EventTime")
+    ts = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+    return out.select("id", ts("start_us").alias("rise_start_ts"), ts("alert_us").alias("alert_ts"))
