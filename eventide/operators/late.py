@@ -37,12 +37,16 @@ def route_late(df: DataFrame, ts: str, arrival: Sequence[str], delay, size, slid
     (watermark >= window end + allowed lateness) when they arrive, otherwise
     ``'on_time'``.  Spark's own streaming operators drop such rows silently;
     this routes them instead."""
+    return route_by_watermark(with_watermark(df, ts, arrival, delay, **kw), ts, size, slide, lateness)
+
+
+def route_by_watermark(d: DataFrame, ts: str, size, slide=None, lateness=0, wm: str = "wm") -> DataFrame:
+    """L4 routing for rows that already carry the watermark they met."""
     size_s = duration_seconds(size)
     slide_s = duration_seconds(slide) if slide is not None else size_s
-    d = with_watermark(df, ts, arrival, delay, **kw)
     # latest window containing ts ends at the first slide boundary after ts, + size - slide
     last_end = F.window(F.col(ts), f"{slide_s} seconds").end + _iv(size_s - slide_s)
-    late = F.col("wm").isNotNull() & (F.col("wm") >= last_end + _iv(duration_seconds(lateness)))
+    late = F.col(wm).isNotNull() & (F.col(wm) >= last_end + _iv(duration_seconds(lateness)))
     return d.withColumn("channel", F.when(late, F.lit("late")).otherwise(F.lit("on_time")))
 
 

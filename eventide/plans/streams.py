@@ -434,3 +434,86 @@ for _name, _fn in [("q7_temp_rising", q7_temp_rising_stream), ("w2_sliding_keyed
                    ("a7_window_max_reduce", a7_window_max_reduce_stream), ("w9_tumbling_offset", w9_tumbling_offset_stream),
                    ("a8_full_window_count", a8_full_window_count_stream)]:
     _register(_name, _fn)
+
+
+# ------------------------------------------- late data with micro-batch watermarks
+from eventide.operators import late as late_ops  # noqa: E402
+
+
+def chunk_watermark_sql(src: str, delay_s: int, chunks: int = 4, lag_batches: int = 1) -> str:
+    """The watermark each replayed row meets in a stream: max event time of
+    the micro-batches (= replay chunks of the arrival order) at least
+    ``lag_batches`` before it, minus the delay.  A driver-held watermark
+    (foreachBatch) lags one batch; Spark's stateful operators filter late rows
+    with the previous batch's eviction watermark, i.e. two batches back."""
+    return f"""WITH s AS ({src}), b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM s),
+  c AS (SELECT s.*, (arrival - lo) // ((hi - lo) // {chunks} + 1) AS chunk FROM s, b),
+  cm AS (SELECT chunk, max(ts) AS mx FROM c GROUP BY chunk)
+SELECT c.*, (SELECT max(mx) FROM cm WHERE cm.chunk <= c.chunk - {lag_batches}) - INTERVAL {delay_s} SECOND AS wm FROM c"""
+
+
+EVENTS_ARRIVAL_SQL = f"SELECT event_id, ts, {dm.ARRIVAL_SQL} AS arrival FROM events"
+
+
+def l4_late_routing_stream(spark, sf):
+    """L4 on a stream: every micro-batch is routed against the watermark held
+    on the driver (one number: max event time so far - delay), then the
+    watermark advances by the batch's max event time."""
+    e = dm.events(spark, sf).select("event_id", "ts", dm._arrival())
+    s = _replayed(spark, e, "arrival")
+    out, ckpt = scratch_path(spark, "l4-out"), scratch_path(spark, "l4-ckpt")
+    held = {"max_ts": None}
+
+    def route(batch, batch_id):
+        wm = F.lit(held["max_ts"]).cast("timestamp_ntz") - F.expr("INTERVAL 3600 SECONDS")
+        routed = late_ops.route_by_watermark(batch.withColumn("wm", wm), "ts", "1 hour")
+        routed.select("event_id", "ts", "wm", "channel").write.mode("append").parquet(out)
+        mx = batch.agg(F.max("ts")).first()[0]
+        if mx is not None and (held["max_ts"] is None or mx > held["max_ts"]):
+            held["max_ts"] = mx
+
+    q = s.writeStream.foreachBatch(route).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def k3_topn_pages_late_stream(spark, sf):
+    """K3 on a stream: update-mode window counts with watermark delay =
+    disorder (3 s) + allowed lateness (60 s), so late rows still correct their
+    windows until the watermark passes end + lateness; corrected counts are
+    upserted per micro-batch, the final table is ranked."""
+    from eventide.operators import topk
+
+    get = transform.equal_filter(dm.weblog(spark, sf, get_only=True), "method", "GET").select("url", "ts", "seq", "arrival")
+    s = _replayed(spark, get, "arrival", url=F.lit("~sentinel"), ts=_far())
+    counts = forms.window_count_stream(forms.event_time(s, "ts", 63), ["url"], "1 hour", "5 minutes") \
+        .select("url", "window_end", "cnt")
+    root, ckpt = scratch_path(spark, "k3-table"), scratch_path(spark, "k3-ckpt")
+    current = {"path": None}
+
+    def merge(batch, batch_id):
+        b = batch.withColumn("_v", F.lit(batch_id))
+        cur = spark.read.parquet(current["path"]) if current["path"] else None
+        merged = sink_records.upsert_latest_batch(cur, b, ["url", "window_end"], ["cnt"], ["_v"])
+        path = f"{root}/v{batch_id:08d}"
+        merged.write.mode("overwrite").parquet(path)
+        current["path"] = path
+
+    q = (counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    final = spark.read.parquet(current["path"]).filter(F.col("url") != "~sentinel")
+    ranked = topk.top_n(final, ["window_end"], [F.col("cnt").desc(), F.col("url")], 5)
+    return ranked.select("window_end", "url", "cnt", "rank")
+
+
+C.QUERIES["l4_late_routing_stream"] = l4_late_routing_stream
+C.ORACLES["l4_late_routing_stream"] = f"""SELECT event_id, ts, wm, CASE WHEN wm IS NOT NULL AND wm >= window_end
+  THEN 'late' ELSE 'on_time' END AS channel FROM ({C.win_sql(chunk_watermark_sql(EVENTS_ARRIVAL_SQL, 3600), 3600)})"""
+
+C.QUERIES["k3_topn_pages_late_stream"] = k3_topn_pages_late_stream
+C.ORACLES["k3_topn_pages_late_stream"] = dm.with_ctes(f"""SELECT window_end, url, cnt, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rank FROM (
+    SELECT url, window_end, count(*) AS cnt FROM ({C.win_sql(chunk_watermark_sql(
+        "SELECT url, ts, seq, arrival FROM web WHERE method = 'GET'", 63, lag_batches=2), 3600, 300)})
+    WHERE wm IS NULL OR wm < window_end GROUP BY ALL)) WHERE rank <= 5""", "web")
