@@ -25,9 +25,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str],
     wins).  ``max_by`` is a partial aggregate: a hot key is pre-reduced on every
     mapper before the shuffle."""
     ordering = F.struct(*[F.col(o) for o in order])
-    return df.groupBy(*keys).agg(
-        *[F.max_by(F.col(c), ordering).alias(c) for c in value_cols],
-        F.max(ordering).alias("_last")).drop("_last")
+    return df.groupBy(*keys).agg(*[F.max_by(F.col(c), ordering).alias(c) for c in value_cols])
 
 
 def upsert_latest_batch(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
