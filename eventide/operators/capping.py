@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from eventide.functions.time import local_day
 from eventide.operators import ordered
 
+# Fixed values (must equal the reference's output): the black-list message is
+# "black user: <cap> times today"; the day boundary is local midnight at UTC+8.
+BLACK_LIST_PREFIX = "black user: "
+BLACK_LIST_SUFFIX = " times today"
+DAY_OFFSET_HOURS = 8
 
-def click_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, *, day_offset_hours: int = 8,
+
+def click_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, *,
+                    day_offset_hours: int = DAY_OFFSET_HOURS,
                     slice_col: Column) -> DataFrame:
     """Position of every click within its (keys, local day) group, in event
     time then arrival order; adds ``day`` and ``click_no``.  A group holding a
@@ -28,5 +35,5 @@ def cap_clicks(positioned: DataFrame, cap: int) -> DataFrame:
 def black_list(positioned: DataFrame, keys: Sequence[str], cap: int) -> DataFrame:
     """B2: one black-list row per (keys, day), on click ``cap + 1``."""
     return (positioned.filter(F.col("click_no") == cap + 1)
-            .select(*keys, "day", F.concat(F.lit("black user: "), F.lit(str(cap)),
-                                           F.lit(" times today")).alias("warning")))
+            .select(*keys, "day", F.concat(F.lit(BLACK_LIST_PREFIX), F.lit(str(cap)),
+                                           F.lit(BLACK_LIST_SUFFIX)).alias("warning")))

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import epoch_micros
 
+# Fixed values (must equal the reference's outcome tags): order outcomes are
+# "paid", "paid-but-timeout", "time-out" and "data-not-found"; a reconciled
+# pair is a "match".
+PAID, PAID_LATE, TIME_OUT, NOT_FOUND, MATCH = "paid", "paid-but-timeout", "time-out", "data-not-found", "match"
+
 
 def _bucketed(df: DataFrame, ts: str, width_us: int, replicate: bool) -> DataFrame:
     b = F.floor(epoch_micros(ts) / F.lit(width_us)).cast("bigint")
@@ -37,7 +42,7 @@ def interval_reconcile(left: DataFrame, right: DataFrame, key: str, *, bound_sec
     pairs = L1.join(R3, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._b") == F.col("r._b"))
                     & cond_t(L1, R3), "inner")
     matched = pairs.select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in left_cols],
-                           *[F.col(f"r.{c}") for c in right_cols], F.lit("match").alias("outcome"))
+                           *[F.col(f"r.{c}") for c in right_cols], F.lit(MATCH).alias("outcome"))
     L3 = _bucketed(left.select(key, *left_cols), lts, width, True).alias("l3")
     R1 = _bucketed(right.select(key, *right_cols), rts, width, False).alias("r1")
     single_l = L1.join(R3, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._b") == F.col("r._b"))
@@ -60,8 +65,8 @@ def order_outcomes(df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_cre
     g = g.filter(F.col("_c").isNotNull() | F.col("_p").isNotNull())
     c, p = F.col("_c.t"), F.col("_p.t")
     limit = F.expr(f"INTERVAL {int(round(limit_seconds * 1_000_000))} MICROSECONDS")
-    outcome = (F.when(F.col("_c").isNull(), F.lit("data-not-found"))
-               .when(F.col("_p").isNull(), F.lit("time-out"))
-               .when(p < c + limit, F.lit("paid"))
-               .otherwise(F.lit("paid-but-timeout")))
+    outcome = (F.when(F.col("_c").isNull(), F.lit(NOT_FOUND))
+               .when(F.col("_p").isNull(), F.lit(TIME_OUT))
+               .when(p < c + limit, F.lit(PAID))
+               .otherwise(F.lit(PAID_LATE)))
     return g.select(*keys, outcome.alias("outcome"), c.alias("create_ts"), p.alias("pay_ts"))

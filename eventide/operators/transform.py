@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed values (must equal the reference's output): split tags, the co-map
+# messages, and the constant key of the unique-visitor mapping.
+HIGH, LOW = "high", "low"
+HIGH_MESSAGE, LOW_MESSAGE = "high temp warning", "low temp"
+DUMMY_KEY = "dummyKey"
 
-def constant_key(df: DataFrame, value_col: str, key: str = "dummyKey", name: str = "key") -> DataFrame:
+
+def constant_key(df: DataFrame, value_col: str, key: str = DUMMY_KEY, name: str = "key") -> DataFrame:
     """Map every row to (constant key, value)."""
     return df.select(F.lit(key).alias(name), F.col(value_col))
 
@@ -45,7 +51,7 @@ def expr_select_filter(df: DataFrame, select: Sequence[str], where: str) -> Data
 
 def tag_threshold(df: DataFrame, col: str, threshold: float = 30.0, name: str = "tag") -> DataFrame:
     """``high`` when strictly above the threshold, else ``low``."""
-    return df.withColumn(name, F.when(F.col(col) > threshold, F.lit("high")).otherwise(F.lit("low")))
+    return df.withColumn(name, F.when(F.col(col) > threshold, F.lit(HIGH)).otherwise(F.lit(LOW)))
 
 
 def select_tags(tagged: DataFrame, tags: Sequence[str], name: str = "tag") -> DataFrame:
@@ -75,6 +81,6 @@ def co_map(high: DataFrame, low: DataFrame, id_col: str, col: str) -> DataFrame:
     """M2: connect two differently typed streams and map each with its own
     function into one mixed output."""
     a = high.select(F.col(id_col).alias("id"), F.col(col).alias("temperature"),
-                    F.lit("high temp warning").alias("message"))
-    b = low.select(F.col(id_col).alias("id"), F.lit("low temp").alias("message"))
+                    F.lit(HIGH_MESSAGE).alias("message"))
+    b = low.select(F.col(id_col).alias("id"), F.lit(LOW_MESSAGE).alias("message"))
     return a.unionByName(b, allowMissingColumns=True)

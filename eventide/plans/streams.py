@@ -366,7 +366,7 @@ def r5_retract_topn_stream(spark, sf):
         old_top = old_all.join(touched, "window_end", "left_semi")
         changes = (old_top.exceptAll(new_top).withColumn("flag", F.lit(False))
                    .unionByName(new_top.exceptAll(old_top).withColumn("flag", F.lit(True))))
-        changes.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(log)
+        changes.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")  # idempotent per batch
         tpath = f"{root}/top-v{batch_id:08d}"
         old_all.join(touched, "window_end", "left_anti").unionByName(new_top).write.mode("overwrite").parquet(tpath)
         cur["counts"], cur["top"] = cpath, tpath
@@ -374,7 +374,7 @@ def r5_retract_topn_stream(spark, sf):
     q = (counts.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    changelog = spark.read.parquet(log)
+    changelog = spark.read.schema("window_end timestamp_ntz, item_id long, cnt long, rank long, flag boolean").parquet(log)
     net = changelog.groupBy("window_end", "item_id", "cnt", "rank").agg(
         F.sum(F.when(F.col("flag"), 1).otherwise(-1)).alias("_net"))
     return net.filter(F.col("_net") == 1).drop("_net")
@@ -471,14 +471,16 @@ def l4_late_routing_stream(spark, sf):
     def route(batch, batch_id):
         wm = F.lit(held["max_ts"]).cast("timestamp_ntz") - F.expr("INTERVAL 3600 SECONDS")
         routed = late_ops.route_by_watermark(batch.withColumn("wm", wm), "ts", "1 hour")
-        routed.select("event_id", "ts", "wm", "channel").write.mode("append").parquet(out)
+        # one folder per batch id, overwritten: a retried batch rewrites its own output
+        routed.select("event_id", "ts", "wm", "channel").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         mx = batch.agg(F.max("ts")).first()[0]
         if mx is not None and (held["max_ts"] is None or mx > held["max_ts"]):
             held["max_ts"] = mx
 
     q = s.writeStream.foreachBatch(route).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out)
+    back = spark.read.schema("event_id long, ts timestamp_ntz, wm timestamp_ntz, channel string").parquet(out)
+    return back.select("event_id", "ts", "wm", "channel")
 
 
 def k3_topn_pages_late_stream(spark, sf):
