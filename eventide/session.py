@@ -43,6 +43,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +79,31 @@ def materialize(df):
     path = scratch_path(df.sparkSession, "pass")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED_KEY = "spark.eventide.shippedPyFile"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventide`` importable on every Python worker (the streaming
+    processors are pickled by reference), wherever the driver runs: zip the
+    package once per session and ``addPyFile`` it.  Batch operators are pure
+    JVM expressions and do not need this."""
+    if spark.conf.get(_SHIPPED_KEY, "") == "true":
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    local = root[len("file:"):] if root.startswith("file:") else None
+    folder = os.path.join(local, "eventide-pyfiles") if local else tempfile.mkdtemp(prefix="eventide-pyfiles-")
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"eventide-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(target)
+    spark.conf.set(_SHIPPED_KEY, "true")

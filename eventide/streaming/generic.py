@@ -176,3 +176,17 @@ def count_window_stream(df: DataFrame, key: str, order: Sequence[str], value: st
         statefulProcessor=proc,
         outputStructType=f"key {key_type}, end_pos long, cnt long, max_value double, min_value double",
         outputMode="Append", timeMode="None").withColumnRenamed("key", key)
+
+
+# Processors are pickled by value: their code travels with the query, so the
+# Python runners (including the driver-side transformWithState runner, which
+# unpickles before any shipped py-file is on its path) never import eventide.
+def _pickle_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_pickle_by_value()

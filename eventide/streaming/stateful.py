@@ -387,3 +387,17 @@ def rising_alerts_stream(df: DataFrame, interval_seconds: float) -> DataFrame:
         outputStructType="id string, start_us long, alert_us long", outputMode="Append", timeMode="EventTime")
     ts = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
     return out.select("id", ts("start_us").alias("rise_start_ts"), ts("alert_us").alias("alert_ts"))
+
+
+# Processors are pickled by value: their code travels with the query, so the
+# Python runners (including the driver-side transformWithState runner, which
+# unpickles before any shipped py-file is on its path) never import eventide.
+def _pickle_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_pickle_by_value()
