@@ -523,3 +523,39 @@ C.ORACLES["k3_topn_pages_late_stream"] = dm.with_ctes(f"""SELECT window_end, url
     SELECT url, window_end, count(*) AS cnt FROM ({C.win_sql(chunk_watermark_sql(
         "SELECT url, ts, seq, arrival FROM web WHERE method = 'GET'", 63, lag_batches=2), 3600, 300)})
     WHERE wm IS NULL OR wm < window_end GROUP BY ALL)) WHERE rank <= 5""", "web")
+
+
+# ----------------------------------------------------- SQL on a stream, A6, W3, Q3b
+def a12_sql_window_count_stream(spark, sf):
+    """A12 / R3 on a stream: the same SQL text over a streaming temp view."""
+    s = _replayed(spark, dm.pageviews(spark, sf), "seq", item_id=F.lit(-1).cast("bigint"), ts=_far())
+    forms.event_time(s, "ts", 0).createOrReplaceTempView("user_behavior_stream")
+    out = spark.sql("""SELECT item_id, CAST(window.end AS TIMESTAMP_NTZ) AS window_end, count(*) AS cnt
+        FROM user_behavior_stream WHERE behavior = 'pv' GROUP BY item_id, window(ets, '1 hour', '5 minutes')""")
+    return run_to_parquet(out).filter(F.col("item_id") != -1)
+
+
+def a6_window_avg_stream(spark, sf):
+    out = forms.window_agg_stream(_sensor_stream(spark, sf), ["id"], "1 hour", aggs=[
+        F.count("temperature").alias("n"), F.sum("temperature").alias("_s")])
+    res = run_to_parquet(out).filter(F.col("id") != "~sentinel")
+    return res.select("id", "window_start", "window_end", "n", F.round(F.col("_s") / F.col("n"), 4).alias("avg_value"))
+
+
+def w3_tumbling_global_stream(spark, sf):
+    e = dm.events(spark, sf).select("event_id", "ts")
+    s = _replayed(spark, e, "event_id", ts=_far())
+    out = forms.window_agg_stream(forms.event_time(s, "ts", 0), [], "1 hour", aggs=[F.count(F.lit(1)).alias("cnt")])
+    return run_to_parquet(out).filter(F.col("window_end") < _far())
+
+
+def q3b_login_fail_named_steps_stream(spark, sf):
+    res = q3_login_fail_cep_stream(spark, sf)
+    return res.select("user_id", F.col("first_ts").alias("begin_ts"), F.col("second_ts").alias("next_ts"),
+                      F.col("third_ts").alias("next2_ts"))
+
+
+for _name, _fn in [("a12_sql_window_count", a12_sql_window_count_stream), ("a6_window_avg", a6_window_avg_stream),
+                   ("w3_tumbling_global", w3_tumbling_global_stream),
+                   ("q3b_login_fail_named_steps", q3b_login_fail_named_steps_stream)]:
+    _register(_name, _fn)

@@ -107,3 +107,29 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     spark.sparkContext.addPyFile(target)
     spark.conf.set(_SHIPPED_KEY, "true")
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input files, from file-system metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, paths, *, target_partition_mb: int = 200,
+                   expansion: float = 3.0) -> int:
+    """Size shuffles and scans from the input size so partitions fit executor
+    memory at any scale: shuffle partitions = input x expansion (decompressed
+    Parquet, window fan-out) / target size (at least 200); AQE coalesces
+    small ones and splits skewed join partitions above 4x the target.  Returns
+    the shuffle partition count it set."""
+    n = max(200, int(input_bytes(spark, paths) * expansion / (target_partition_mb << 20)) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{min(512, 2 * target_partition_mb)}m")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{target_partition_mb}m")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", f"{4 * target_partition_mb}m")
+    return n
