@@ -84,3 +84,42 @@ def co_map(high: DataFrame, low: DataFrame, id_col: str, col: str) -> DataFrame:
                     F.lit(HIGH_MESSAGE).alias("message"))
     b = low.select(F.col(id_col).alias("id"), F.lit(LOW_MESSAGE).alias("message"))
     return a.unionByName(b, allowMissingColumns=True)
+
+
+def rich_flat_map(df: DataFrame, fn, schema: str, *, open_fn=None, close_fn=None) -> DataFrame:
+    """P4 lifecycle / UDF surface: a flat-map over Arrow batches with a
+    per-partition ``open`` (its result is passed to every call) and ``close``.
+    ``fn(batch: pandas.DataFrame, ctx) -> pandas.DataFrame`` must be vectorised;
+    batches stream through the task, nothing is collected per key."""
+
+    def run(batches):
+        ctx = open_fn() if open_fn else None
+        try:
+            for b in batches:
+                yield fn(b, ctx)
+        finally:
+            if close_fn:
+                close_fn(ctx)
+
+    return df.mapInPandas(run, schema)
+
+
+def pair_rows_batch(batch, ctx):
+    """P4 as a vectorised batch function: every row -> (its id, then the literal)."""
+    import pandas as pd
+
+    literal = (ctx or {}).get("literal", "value")
+    first = pd.DataFrame({"seq": batch["seq"], "pos": 0, "out": batch["id"].astype(str)})
+    second = pd.DataFrame({"seq": batch["seq"], "pos": 1, "out": literal})
+    return pd.concat([first, second], ignore_index=True).astype({"pos": "int32"})
+
+
+def _pickle_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_pickle_by_value()

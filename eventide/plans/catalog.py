@@ -193,6 +193,13 @@ def p4_pair_with_literal(spark, sf):
     return transform.pair_with_literal(dm.sensor(spark, sf), "id", keep=["seq"]).withColumn("pos", F.col("pos").cast("int"))
 
 
+@query("p4_rich_flat_map", ORACLES["p4_pair_with_literal"])
+def p4_rich_flat_map(spark, sf):
+    """P4 through the per-partition lifecycle (open / flat-map / close) on Arrow batches."""
+    return transform.rich_flat_map(dm.sensor(spark, sf).select("seq", "id"), transform.pair_rows_batch,
+                                   "seq long, pos int, out string", open_fn=lambda: {"literal": "value"})
+
+
 @query("f1_equal_filter", dm.with_ctes("SELECT user_id, item_id, ts FROM ub WHERE behavior = 'pv'", "ub"))
 def f1_equal_filter(spark, sf):
     return dm.pageviews(spark, sf).select("user_id", "item_id", "ts")
