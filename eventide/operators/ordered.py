@@ -31,6 +31,9 @@ RN = "_orn"
 
 _AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+_MERGE_KIND = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
+# keyless runs order their slice summaries in groups of this many slices
+SUPER_SLICE = 4096
 
 
 def _order(order: Sequence[str], descending: bool) -> list[Column]:
@@ -43,7 +46,7 @@ def _slice_order(descending: bool) -> Column:
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Column,
             aggs: Sequence[tuple[str, str, Column]], *, exclusive: bool = False,
-            descending: bool = False) -> DataFrame:
+            descending: bool = False, _depth: int = 0) -> DataFrame:
     """Running aggregates per key in ``order`` (ties must be broken by ``order``).
 
     ``aggs`` = ``[(out_name, kind, value_column)]`` with kind in
@@ -51,6 +54,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
     giving min_by/max_by).  The frame is every earlier row of the key plus the
     row itself (``exclusive`` drops the row itself).  ``descending`` scans from
     the end (a "next" lookup); ``slice_col`` is monotone in the ascending order.
+
+    Without keys (a global sequence) the carry over all slices would be one
+    ordered partition; instead the slice summary is itself run through this
+    function in groups of ``SUPER_SLICE`` slices (two levels), so the only
+    single-partition step orders about ``#slices / SUPER_SLICE**2`` rows.
     """
     keys = list(keys)
     d = df.withColumn(SLICE, slice_col)
@@ -58,11 +66,19 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
         d = d.withColumn(f"_v_{name}", c)
     summary = d.groupBy(*keys, SLICE).agg(
         *[_AGG[kind](f"_v_{name}").alias(f"_t_{name}") for name, kind, _ in aggs])
-    ws = Window.partitionBy(*keys).orderBy(_slice_order(descending)).rowsBetween(
-        Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys, SLICE, F.lit(0).alias(MARK),
-        *[_MERGE[kind](f"_t_{name}").over(ws).alias(f"_c_{name}") for name, kind, _ in aggs])
+    if not keys and _depth < 2:
+        lvl = f"_olvl{_depth}"
+        rec = running(summary.withColumnRenamed(SLICE, lvl), [], [lvl],
+                      F.floor(F.col(lvl) / F.lit(SUPER_SLICE)).cast("bigint"),
+                      [(f"_c_{name}", _MERGE_KIND[kind], F.col(f"_t_{name}")) for name, kind, _ in aggs],
+                      exclusive=True, descending=descending, _depth=_depth + 1)
+        carry = rec.select(F.col(lvl).alias(SLICE), F.lit(0).alias(MARK), *[f"_c_{n}" for n, _, _ in aggs])
+    else:
+        ws = Window.partitionBy(*keys).orderBy(_slice_order(descending)).rowsBetween(
+            Window.unboundedPreceding, -1)
+        carry = summary.select(
+            *keys, SLICE, F.lit(0).alias(MARK),
+            *[_MERGE[kind](f"_t_{name}").over(ws).alias(f"_c_{name}") for name, kind, _ in aggs])
     u = d.withColumn(MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(*keys, SLICE).orderBy(F.col(MARK), *_order(order, descending))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

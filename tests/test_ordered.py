@@ -75,3 +75,16 @@ def test_running_without_keys_is_global(frame):
     sl = F.floor(F.col("seq") / 16).cast("bigint")
     got = ordered.running(frame, [], ["seq"], sl, [("c", "count", F.lit(1))])
     assert sorted(r.c for r in got.collect()) == list(range(1, frame.count() + 1))
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_keyless_running_uses_two_level_carry(spark, frame, descending, monkeypatch):
+    """Tiny super-slices force both carry levels; results equal a global window."""
+    monkeypatch.setattr(ordered, "SUPER_SLICE", 2)
+    sl = F.col("seq").cast("bigint")  # one row per slice
+    got = ordered.running(frame, [], ["seq"], sl, [("c", "count", F.col("v")), ("mx", "max", F.col("v"))],
+                          exclusive=True, descending=descending)
+    order = F.col("seq").desc() if descending else F.col("seq")
+    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    exp = frame.select("seq", F.count("v").over(w).alias("c"), F.max("v").over(w).alias("mx"))
+    assert sorted(got.select("seq", "c", "mx").collect()) == sorted(exp.collect())
