@@ -67,6 +67,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
     summary = d.groupBy(*keys, SLICE).agg(
         *[_AGG[kind](f"_v_{name}").alias(f"_t_{name}") for name, kind, _ in aggs])
     if not keys and _depth < 2:
+        if _depth == 0:
+            # one row per slice: write it once so the levels below never rescan the data
+            from eventide.session import materialize
+
+            summary = materialize(summary)
         lvl = f"_olvl{_depth}"
         rec = running(summary.withColumnRenamed(SLICE, lvl), [], [lvl],
                       F.floor(F.col(lvl) / F.lit(SUPER_SLICE)).cast("bigint"),
