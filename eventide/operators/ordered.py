@@ -46,7 +46,7 @@ def _slice_order(descending: bool) -> Column:
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Column,
             aggs: Sequence[tuple[str, str, Column]], *, exclusive: bool = False,
-            descending: bool = False, _depth: int = 0) -> DataFrame:
+            descending: bool = False, _depth: int = 0, _n_slices: int | None = None) -> DataFrame:
     """Running aggregates per key in ``order`` (ties must be broken by ``order``).
 
     ``aggs`` = ``[(out_name, kind, value_column)]`` with kind in
@@ -56,9 +56,10 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
     the end (a "next" lookup); ``slice_col`` is monotone in the ascending order.
 
     Without keys (a global sequence) the carry over all slices would be one
-    ordered partition; instead the slice summary is itself run through this
-    function in groups of ``SUPER_SLICE`` slices (two levels), so the only
-    single-partition step orders about ``#slices / SUPER_SLICE**2`` rows.
+    ordered partition; when there are more than ``SUPER_SLICE`` slices the
+    slice summary is itself run through this function in groups of
+    ``SUPER_SLICE`` slices (up to two levels), so the only single-partition
+    step orders at most ``SUPER_SLICE`` rows for up to ``SUPER_SLICE**3`` slices.
     """
     keys = list(keys)
     d = df.withColumn(SLICE, slice_col)
@@ -66,17 +67,19 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
         d = d.withColumn(f"_v_{name}", c)
     summary = d.groupBy(*keys, SLICE).agg(
         *[_AGG[kind](f"_v_{name}").alias(f"_t_{name}") for name, kind, _ in aggs])
-    if not keys and _depth < 2:
-        if _depth == 0:
-            # one row per slice: write it once so the levels below never rescan the data
-            from eventide.session import materialize
-
-            summary = materialize(summary)
+    if not keys and _depth == 0:
+        # one row per slice: write it once so the levels below never rescan the
+        # data, and count it (cheap on the written table) to pick the depth
+        from eventide.session import materialize
+
+        summary = materialize(summary)
+        _n_slices = summary.count()
+    if not keys and _depth < 2 and _n_slices is not None and _n_slices > SUPER_SLICE ** (_depth + 1):
         lvl = f"_olvl{_depth}"
         rec = running(summary.withColumnRenamed(SLICE, lvl), [], [lvl],
                       F.floor(F.col(lvl) / F.lit(SUPER_SLICE)).cast("bigint"),
                       [(f"_c_{name}", _MERGE_KIND[kind], F.col(f"_t_{name}")) for name, kind, _ in aggs],
-                      exclusive=True, descending=descending, _depth=_depth + 1)
+                      exclusive=True, descending=descending, _depth=_depth + 1, _n_slices=_n_slices)
         carry = rec.select(F.col(lvl).alias(SLICE), F.lit(0).alias(MARK), *[f"_c_{n}" for n, _, _ in aggs])
     else:
         ws = Window.partitionBy(*keys).orderBy(_slice_order(descending)).rowsBetween(
