@@ -25,7 +25,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
                                     InputPartition, LessThan, LessThanOrEqual)
 
 from eventide.llm.base import by_value
-from eventide.session import scratch_path
+from eventide.session import materialize, scratch_path
 
 CRLF = "\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -53,14 +53,14 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
     Who is first for a payload is found on (digest, length, id) alone: map tasks
     keep one minimum per digest, and only payloads that really repeat are joined
-    back to ids.  The pages themselves are shuffled only if that list is too
-    large for Spark to send to every task."""
+    back.  That list is written first, so Spark knows its size: it is sent to every
+    task if it is under the broadcast threshold, else the pages are shuffled."""
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("_payload"))
     rows = rows.withColumn("_bytes", F.octet_length("_payload").cast("long")).withColumn("_digest", sha1_base32(F.col("_payload")))
     keys = rows.filter(F.col("_bytes") >= min_bytes).select("_digest", "_bytes", "_id")
-    firsts = (keys.groupBy("_digest", "_bytes").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-              .filter((F.col("_n") > 1) & F.col("_first").isNotNull()).select("_digest", "_bytes", "_first"))
+    firsts = materialize(keys.groupBy("_digest", "_bytes").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+                         .filter((F.col("_n") > 1) & F.col("_first").isNotNull()).select("_digest", "_bytes", "_first"))
     marked = (rows.join(firsts, ["_digest", "_bytes"], "left")
               .withColumn("_refers", F.when(~F.col("_first").eqNullSafe(F.col("_id")), F.col("_first"))))
     revisit = F.col("_refers").isNotNull()
