@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import quality, secret_scan, url_filter, warc
+from eventide.llm import packing, quality, secret_scan, simhash, toxicity, url_filter, warc
 from eventide.llm.base import ORACLES, QUERIES, load_table, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of an installed public tokenizer file; packing takes it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op1_url_filters")
 def op1(spark, sf_dir):
     """Host, path, rule and verdict of every page's URL; the model judges what no rule fits."""
@@ -17,6 +24,27 @@ def op1(spark, sf_dir):
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def fold(id_col: str = "doc_id"):
+    """crc32 of the id as text, modulo 3; 1 is held out."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    """Toxicity score of every document, learnt from the labels of two thirds of the ids."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load_table(spark, sf_dir, "labels").filter(fold() != 1)
+    model = toxicity.fit(docs, labels)
+    scored = docs.select("doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), toxicity.score_column(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op3_best_fit_packing")
+def op3(spark, sf_dir):
+    """Every document tokenised, cut at 4096 tokens and packed."""
+    return packing.pack_documents(load_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizer())
+
+
 @query("op4_warc", """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 f AS (SELECT html, min(page_id) AS first FROM p GROUP BY html),
@@ -39,6 +67,13 @@ def op6(spark, sf_dir):
     return secret_scan.scan(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op7_simhash_near_dedup")
+def op7(spark, sf_dir):
+    """Fingerprint and component of every document: 4-word shingles, 4 bits."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=4, distance=4)
+
+
 @query("op9_quality_rules")
 def op9(spark, sf_dir):
     """Statistics and verdict of every document."""
