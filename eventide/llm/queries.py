@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import packing, quality, secret_scan, simhash, toxicity, url_filter, warc
+from eventide.llm import decontaminate, packing, quality, secret_scan, simhash, substring, toxicity, url_filter, warc
 from eventide.llm.base import ORACLES, QUERIES, load_table, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -61,6 +61,13 @@ def op4(spark, sf_dir):
     return warc.archive_round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op5_benchmark_decontamination")
+def op5(spark, sf_dir):
+    """Documents that overlap a benchmark item, one row for each document and item: 13 words or the whole item, 80 % equal."""
+    docs, benchmark = (load_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.find_overlaps(docs.select("doc_id", "text"), benchmark.select("item_id", "text"), min_words=13, similarity=0.8)
+
+
 @query("op6_secret_scans", secret_scan.oracle())
 def op6(spark, sf_dir):
     """Single finds and linked parts of every whole text."""
@@ -74,6 +81,12 @@ def op7(spark, sf_dir):
     return simhash.near_duplicates(docs, shingle=4, distance=4)
 
 
+@query("op8_substring_dedup")
+def op8(spark, sf_dir):
+    """Every document without the 20-word strings that start earlier."""
+    return substring.dedup(load_table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
+
+
 @query("op9_quality_rules")
 def op9(spark, sf_dir):
     """Statistics and verdict of every document."""
