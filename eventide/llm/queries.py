@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import decontaminate, packing, quality, secret_scan, simhash, substring, toxicity, url_filter, warc
+from eventide.llm import decontaminate, packing, quality, secret_scan, simhash, substring, suffix_array, toxicity, url_filter, warc
 from eventide.llm.base import ORACLES, QUERIES, load_table, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -92,3 +92,9 @@ def op9(spark, sf_dir):
     """Statistics and verdict of every document."""
     judged = quality.judge(load_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("d2"))
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, sf_dir):
+    """Every document without the bytes of 400-byte strings that start anywhere else too."""
+    return suffix_array.dedup(load_table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.base import texts
+from eventide.llm.base import materialize, texts
 
 # Patterns of the single finds.  Runs are maximal, so a minimum length in the pattern drops
 # exactly the matches that are too short; an assignment's value is measured after matching.
@@ -103,10 +103,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one); all columns kept, null texts stay null.
 
-    Texts are joined to the spans of the documents that have any; documents of equal
-    id share their spans, so ids must be unique for more than one row to be masked rightly."""
-    hits = (find_spans(docs, id_col, text_col, scope).filter(F.size("spans") > 0)
-            .groupBy("_id").agg(F.flatten(F.collect_list("spans")).alias("_spans")))
+    Texts are joined to the spans of the documents that have any; that list is written first, so Spark
+    knows whether it is small enough to be sent to every task.  Rows of equal id are masked by the spans of
+    all of them."""
+    hits = materialize(find_spans(docs, id_col, text_col, scope).filter(F.size("spans") > 0)
+                       .groupBy("_id").agg(F.flatten(F.collect_list("spans")).alias("_spans")))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def step(acc, s):

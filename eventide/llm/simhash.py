@@ -198,11 +198,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **args) -> DataFrame:
-    """The documents of the smallest id of each component, one row for each id, all columns; rows without id stay."""
-    found = near_duplicates(docs, id_col, text_col, **args)
-    firsts = found.filter(F.col(id_col) == F.col("component_id")).select(F.col("component_id").alias("_kept")).distinct()
-    kept = docs.join(firsts, docs[id_col] == firsts["_kept"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    """The document of the smallest id of each component, one row for each id, all columns; rows without id stay.
+
+    What goes is joined to the documents, not what stays: that list is written first, so that
+    Spark sends it to every task if it is small and shuffles only if it is not."""
+    found = materialize(near_duplicates(docs, id_col, text_col, **args).filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+                        .agg(F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_first")).filter("_rows > 1 OR _id <> _first"))
+    single = docs.join(found, docs[id_col] == found["_id"], "left_anti")
+    again = found.filter("_id = _first").select(F.col("_id").alias("_again"))
+    return single.unionByName(docs.join(again, docs[id_col] == again["_again"], "left_semi").dropDuplicates([id_col]))
 
 
 by_value(__name__)
