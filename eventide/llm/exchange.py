@@ -5,7 +5,8 @@ of the key space one row with the distinct keys in order (as byte planes of thei
 differences, 48 bits deep, which the shuffle compresses to about four bytes each), which of
 them occurred twice, and the located entries that point at them.  A key occurs once in
 a task's slice however often the task met it, so the frequent ones cost no
-reducer more than others.  48 bits decide only what is looked at again.
+reducer more than others.  48 bits decide only what is looked at again.  What a
+reducer finds goes back packed in the same way, by groups of document ids.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from eventide.llm.base import by_value
 
 KEY_BITS = 48
-SLICE = "r int, keys binary, twice binary, at binary, doc binary, pos binary, ids array<{kind}>"
+SLICE = "r int, keys binary, twice binary, at binary, doc binary, pos binary, n binary, text binary, ids array<{kind}>"
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -43,13 +45,17 @@ def concat_lists(arrays: list[pa.Array], kind: pa.DataType) -> pa.Array:
     return pa.concat_arrays([a.cast(kind) for a in arrays]) if arrays else pa.array([], kind)
 
 
-def slices(keys: np.ndarray, loc_key: np.ndarray, loc_doc: np.ndarray, loc_pos: np.ndarray, ids: pa.Array, width: int) -> Iterator[pa.RecordBatch]:
-    """One row for each key range that has keys.  ``keys`` are all keys of the chunk, the located ones among them."""
+def slices(keys: np.ndarray, loc_key: np.ndarray, loc_doc: np.ndarray, loc_pos: np.ndarray, ids: pa.Array, width: int,
+           loc_n: np.ndarray | None = None, loc_text: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """One row for each key range that has keys.  ``keys`` are all keys of the chunk, the located ones among them; a
+    located entry may carry a count and a 64-bit hash of the text around it."""
     low = np.uint64(64 - KEY_BITS)
     uniq, counts = np.unique(keys >> low, return_counts=True)
     where = np.searchsorted(uniq, loc_key >> low)
     order = np.argsort(where, kind="stable")
     where, loc_doc, loc_pos = where[order], loc_doc[order], loc_pos[order]
+    loc_n = np.zeros(0, np.uint64) if loc_n is None else loc_n[order]
+    loc_text = np.zeros(0, np.uint64) if loc_text is None else loc_text[order]
     edges = [(i << KEY_BITS) // width for i in range(1, width)]
     cut = np.concatenate([[0], np.searchsorted(uniq, np.array(edges, np.uint64)), [len(uniq)]]).astype(np.int64)
     loc_cut = np.searchsorted(where, cut)
@@ -64,52 +70,113 @@ def slices(keys: np.ndarray, loc_key: np.ndarray, loc_doc: np.ndarray, loc_pos:
             [pa.array([r], pa.int32()), pa.array([planes(np.diff(own, prepend=np.uint64(0)), 6)], pa.binary()),
              pa.array([np.packbits(counts[lo:hi] > 1).tobytes()], pa.binary()),
              pa.array([planes((where[a:b] - lo).astype(np.uint64), 4)], pa.binary()), pa.array([planes(doc.astype(np.uint64), 4)], pa.binary()),
-             pa.array([planes(loc_pos[a:b].astype(np.uint64), 5)], pa.binary()), id_list(ids, docs)],
-            names=["r", "keys", "twice", "at", "doc", "pos", "ids"])
+             pa.array([planes(loc_pos[a:b].astype(np.uint64), 5)], pa.binary()), pa.array([planes(loc_n[a:b].astype(np.uint64), 4)], pa.binary()),
+             pa.array([planes(loc_text[a:b], 8)], pa.binary()), id_list(ids, docs)],
+            names=["r", "keys", "twice", "at", "doc", "pos", "n", "text", "ids"])
 
 
-def by_document(ids: pa.Array, doc: np.ndarray, columns: list[tuple[str, np.ndarray]]) -> pa.Table:
-    """Rows (doc_id, lists...) from entries that point at ``ids``."""
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    offsets = pa.array(np.append(starts, len(doc)).astype(np.int32))
-    return pa.table([ids.take(pa.array(doc[starts], pa.int64()))] + [pa.ListArray.from_arrays(offsets, pa.array(c[order])) for _, c in columns],
-                    names=["doc_id"] + [n for n, _ in columns])
+class Slices:
+    """The slices of one key range: distinct keys of each task and the located entries."""
 
-
-def repeated(parts: DataFrame, kind: str, hot: int) -> DataFrame:
-    """(doc_id, pos array, hot array): the located entries whose key occurs elsewhere too, gathered by document.
-
-    ``hot`` entries share their key with more than ``hot`` located ones."""
-
-    def reduce(table: pa.Table) -> pa.Table:
-        tables, keys, twice, loc, doc, pos, ids = [], [], [], [], [], [], []
-        id_kind, base = table.schema.field("ids").type.value_type, 0
+    def __init__(self, table: pa.Table):
+        keys, twice, loc, ids, base = [], [], [], [], 0
+        parts: dict[str, list] = {"doc": [], "pos": [], "n": [], "text": []}
         for row in table.to_batches():
             for i in range(row.num_rows):
-                own = np.cumsum(unplanes(row.column("keys")[i].as_py(), 6), dtype=np.uint64)
+                get = lambda c: row.column(c)[i].as_py()  # noqa: B023, E731
+                own = np.cumsum(unplanes(get("keys"), 6), dtype=np.uint64)
                 keys.append(own)
-                twice.append(np.unpackbits(np.frombuffer(row.column("twice")[i].as_py(), np.uint8), count=len(own)))
-                loc.append(own[unplanes(row.column("at")[i].as_py(), 4).astype(np.int64)])
-                doc.append(unplanes(row.column("doc")[i].as_py(), 4).astype(np.int64) + base)
-                pos.append(unplanes(row.column("pos")[i].as_py(), 5).astype(np.int64))
+                twice.append(np.unpackbits(np.frombuffer(get("twice"), np.uint8), count=len(own)))
+                loc.append(own[unplanes(get("at"), 4).astype(np.int64)])
+                for name, width in (("doc", 4), ("pos", 5), ("n", 4), ("text", 8)):
+                    parts[name].append(unplanes(get(name), width))
+                parts["doc"][-1] = parts["doc"][-1].astype(np.int64) + base
                 ids.append(row.column("ids")[i].values)
                 base += len(ids[-1])
+        self.ids = concat_lists(ids, table.schema.field("ids").type.value_type)
+        self.located = np.concatenate(loc)
+        self.doc, self.pos, self.n, self.text = (np.concatenate(parts[c]) for c in ("doc", "pos", "n", "text"))
         every = np.concatenate(keys)
         order = np.argsort(every, kind="stable")
         every, many = every[order], np.concatenate(twice)[order].astype(bool)
         many[1:] |= every[1:] == every[:-1]
         again = np.unique(every[many])
-        located = np.concatenate(loc)
-        place = np.searchsorted(again, located)
-        keep = (place < len(again)) & (again[np.minimum(place, max(len(again) - 1, 0))] == located) if len(again) else np.zeros(len(located), bool)
-        busy = np.bincount(place[keep], minlength=len(again) + 1)[place[keep]] > hot
-        tables.append(by_document(concat_lists(ids, id_kind), np.concatenate(doc)[keep], [("pos", np.concatenate(pos)[keep]), ("hot", busy)]))
-        return pa.concat_tables(tables)
+        place = np.minimum(np.searchsorted(again, self.located), max(len(again) - 1, 0))
+        self.again = again[place] == self.located if len(again) else np.zeros(len(self.located), bool)
+
+
+REPLY = "q int, ids array<{kind}>, doc binary, pos binary, n binary, flag binary"
+
+
+def id_ranks(ids: pa.Array) -> np.ndarray:
+    """Order of ids, equal ids equal, null first."""
+    encoded = pc.dictionary_encode(ids)
+    uniq = encoded.dictionary
+    rank = np.empty(len(uniq), np.int64)
+    rank[pc.sort_indices(uniq).to_numpy()] = np.arange(1, len(uniq) + 1)
+    index = encoded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    return np.where(index < 0, 0, np.append(rank, 0)[index])
+
+
+def id_ranges(ids: pa.Array, width: int) -> np.ndarray:
+    """The one of ``width`` groups that an id belongs to, the same in every task."""
+    return np.fromiter((xxhash.xxh64_intdigest(str(x).encode("utf-8", "surrogatepass")) % width for x in ids.to_pylist()), np.int64, len(ids))
+
+
+def replies(ids: pa.Array, doc: np.ndarray, pos: np.ndarray, width: int, n: np.ndarray | None = None, flag: np.ndarray | None = None) -> pa.Table:
+    """Marks for documents, packed: one row for each group of ids, however many documents and places it names."""
+    used, doc = np.unique(doc, return_inverse=True)
+    group = id_ranges(ids.take(pa.array(used, pa.int64())), width)[doc] if len(used) else doc
+    order = np.lexsort((doc, group))
+    none = np.zeros(len(doc), np.uint64)
+    columns = {"pos": (pos, 5), "n": (none if n is None else n, 4), "flag": (none if flag is None else flag, 1)}
+    group, doc = group[order], doc[order]
+    cut = np.append(np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), len(group)) if len(group) else np.zeros(1, np.int64)
+    rows: dict[str, list] = {"q": [], "ids": [], "doc": [], "pos": [], "n": [], "flag": []}
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        docs, inv = np.unique(doc[lo:hi], return_inverse=True)
+        rows["q"].append(int(group[lo]))
+        rows["ids"].append(ids.take(pa.array(used[docs], pa.int64())))
+        rows["doc"].append(planes(inv.astype(np.uint64), 4))
+        for name, (values, size) in columns.items():
+            rows[name].append(planes(values[order[lo:hi]].astype(np.uint64), size))
+    offsets = pa.array(np.cumsum([0] + [len(x) for x in rows["ids"]]), pa.int32())
+    return pa.table([pa.array(rows["q"], pa.int32()), pa.ListArray.from_arrays(offsets, concat_lists(rows["ids"], ids.type)),
+                     *[pa.array(rows[c], pa.binary()) for c in ("doc", "pos", "n", "flag")]], names=["q", "ids", "doc", "pos", "n", "flag"])
+
+
+def by_document(parts: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, pos array, n array, flag array): the replies to each document in one row."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        doc, columns, ids, base = [], {"pos": [], "n": [], "flag": []}, [], 0
+        for row in table.to_batches():
+            for i in range(row.num_rows):
+                doc.append(unplanes(row.column("doc")[i].as_py(), 4).astype(np.int64) + base)
+                for name, size in (("pos", 5), ("n", 4), ("flag", 1)):
+                    columns[name].append(unplanes(row.column(name)[i].as_py(), size))
+                ids.append(row.column("ids")[i].values)
+                base += len(ids[-1])
+        every = concat_lists(ids, table.schema.field("ids").type.value_type)
+        ranks = id_ranks(every)
+        rank, first = np.unique(ranks, return_index=True)
+        own = np.searchsorted(rank, ranks)[np.concatenate(doc)]
+        order = np.argsort(own, kind="stable")
+        offsets = pa.array(np.searchsorted(own[order], np.arange(len(rank) + 1)), pa.int32())
+        return pa.table([every.take(pa.array(first, pa.int64()))] + [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c)[order].astype(np.int64)))
+                                                                     for c in columns.values()], names=["doc_id", *columns])
+
+    return parts.groupBy("q").applyInArrow(gather, f"doc_id {kind}, pos array<long>, n array<long>, flag array<long>")
 
-    found = parts.groupBy("r").applyInArrow(reduce, f"doc_id {kind}, pos array<long>, hot array<boolean>")
-    return found.groupBy("doc_id").agg(F.flatten(F.collect_list("pos")).alias("pos"), F.flatten(F.collect_list("hot")).alias("hot"))
+
+def repeated(parts: DataFrame, kind: str, width: int) -> DataFrame:
+    """(doc_id, pos array): the located entries whose key occurs elsewhere too, gathered by document."""
+
+    def reduce(table: pa.Table) -> pa.Table:
+        s = Slices(table)
+        return replies(s.ids, s.doc[s.again], s.pos[s.again], width)
+
+    return by_document(parts.groupBy("r").applyInArrow(reduce, REPLY.format(kind=kind)), kind).select("doc_id", "pos")
 
 
 WINDOW_SLICE = "r int, key binary, extra binary, doc binary, pos binary, ids array<{kind}>"
@@ -132,19 +199,7 @@ def window_slices(key: np.ndarray, extra: np.ndarray, doc: np.ndarray, pos: np.n
                 names=["r", "key", "extra", "doc", "pos", "ids"])
 
 
-def id_ranks(ids: pa.Array) -> np.ndarray:
-    """Order of ids, equal ids equal, null first."""
-    import pyarrow.compute as pc
-
-    encoded = pc.dictionary_encode(ids)
-    uniq = encoded.dictionary
-    rank = np.empty(len(uniq), np.int64)
-    rank[pc.sort_indices(uniq).to_numpy()] = np.arange(1, len(uniq) + 1)
-    index = encoded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-    return np.where(index < 0, 0, np.append(rank, 0)[index])
-
-
-def marked_windows(parts: DataFrame, kind: str, keep_first: bool) -> DataFrame:
+def marked_windows(parts: DataFrame, kind: str, keep_first: bool, width: int) -> DataFrame:
     """(doc_id, pos array) of the windows that start elsewhere too: all of them, or with ``keep_first`` all but those of
     the smallest (document, start)."""
 
@@ -170,10 +225,9 @@ def marked_windows(parts: DataFrame, kind: str, keep_first: bool) -> DataFrame:
             mark = (rank != rank[first][group]) | (pos != pos[first][group])
         else:
             mark = np.diff(np.append(first, len(key)))[group] > 1
-        return by_document(every, doc[mark], [("pos", pos[mark])])
+        return replies(every, doc[mark], pos[mark], width)
 
-    found = parts.groupBy("r").applyInArrow(reduce, f"doc_id {kind}, pos array<long>")
-    return found.groupBy("doc_id").agg(F.flatten(F.collect_list("pos")).alias("pos"))
+    return by_document(parts.groupBy("r").applyInArrow(reduce, REPLY.format(kind=kind)), kind).select("doc_id", "pos")
 
 
 by_value(__name__)

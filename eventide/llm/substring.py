@@ -140,10 +140,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
         raise ValueError("window must be an even number of words")
     d = texts(docs, id_col, text_col)
     kind, width = d.schema["_id"].dataType.simpleString(), shuffle_width(docs)
-    hits = repeated(block_slices(d, window // 2, width, kind), kind, 1 << 62).select(F.col("doc_id").alias("_hit"), "pos")
+    hits = repeated(block_slices(d, window // 2, width, kind), kind, width).select(F.col("doc_id").alias("_hit"), "pos")
     small = shrunk(d, kind)
     hit_docs = small.join(hits, small["doc_id"].eqNullSafe(F.col("_hit")))
-    marks = materialize(marked_windows(candidate_windows(hit_docs, window, width, kind), kind, keep_first=True))
+    marks = materialize(marked_windows(candidate_windows(hit_docs, window, width, kind), kind, keep_first=True, width=width))
     marks = marks.select(F.col("doc_id").alias("_hit"), "pos")
     joined = small.join(marks, small["doc_id"].eqNullSafe(F.col("_hit")), "left").select("doc_id", "z", "pos")
 
