@@ -64,7 +64,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     upto = Window.partitionBy("_row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     placed = (parts.select("_row", "_id", "p.*").repartition("_row")
               .withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto))
-              .withColumn("start", F.col("end") - F.col("len")).filter(F.col("ok") | F.col("kind").isNull()))
+              .withColumn("start", F.col("end") - F.col("len"))
+              .withColumn("kind", F.when(F.col("ok"), F.col("kind"))))  # a match that failed stays as its document's row
     by_start = Window.partitionBy("_row").orderBy("start", "kind")
     left, right = by_start.rowsBetween(Window.unboundedPreceding, -1), by_start.rowsBetween(1, Window.unboundedFollowing)
 
