@@ -119,6 +119,8 @@ class WarcReader(DataSourceReader):
         return all(row[c] is not None and check[op](row[c], v) for c, op, v in self.tests)
 
     def read(self, partition) -> Iterator[tuple]:
+        if partition is None:  # no archive file at all
+            return
         from pyarrow import fs
 
         store = fs.FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{self.path}")[0]
