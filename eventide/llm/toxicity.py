@@ -16,13 +16,15 @@ and scoring is one pass over the text with no shuffle.
 Training reads at most ``per_class`` labelled documents of each class (smallest hash
 of the id first) of at most ``train_chars`` characters; scoring reads every whole text.
 
-Edge cases: null and empty texts get the score of an empty bag; with no example of
+Edge cases: null and empty texts, and texts without a word, score as the median harmless text; with no example of
 one class every score is 0; rows with equal ids are scored each for itself.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,9 +58,10 @@ class ToxicModel:
     scale: float = 1.0
     offset: float = 0.0
     trained: bool = True
+    empty: float = 0.0  # margin of a text without words
 
     def margin(self, texts: list[str], known: dict[str, float]) -> np.ndarray:
-        out = np.full(len(texts), self.bias)
+        out = np.full(len(texts), self.empty)
         weight = self.weight
         for k, t in enumerate(texts):
             ws = words_of(t)
@@ -73,7 +76,7 @@ class ToxicModel:
                 cuts = np.arange(0, len(ws), PASSAGE)
                 each = np.add.reduceat(vals, cuts) / np.diff(np.append(cuts, len(ws)))
                 top = each.max()
-                out[k] += top + np.log(np.exp(each - top).mean())
+                out[k] = self.bias + top + np.log(np.exp(each - top).mean())
         return out
 
     def score(self, texts: list[str], known: dict[str, float]) -> np.ndarray:
@@ -82,24 +85,25 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(self.scale * (self.margin(texts, known) - self.offset), -30, 30)))
 
 
-def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first passage of each document, first entry of each passage, buckets, weights) of the passages' mean-of-means bags."""
-    known: dict[str, np.ndarray] = {}
-    docs, starts, ids, vals = [0], [0], [], []
-    for t in texts:
-        ws = words_of(t)
-        for w in ws:
-            if w not in known:
-                known[w] = np.array(subwords(w), dtype=np.int32)
-        for at in range(0, len(ws), PASSAGE):
-            each = [known[w] for w in ws[at:at + PASSAGE]]
-            lens = np.array([len(e) for e in each])
-            ids.append(np.concatenate(each))
-            vals.append(np.repeat((1.0 / (lens * len(each))).astype(np.float32), lens))
-            starts.append(starts[-1] + len(ids[-1]))
-        docs.append(len(starts) - 1)
-    return (np.array(docs), np.array(starts), np.concatenate(ids) if ids else np.zeros(0, np.int32),
-            np.concatenate(vals) if vals else np.zeros(0, np.float32))
+class Sample:
+    """Texts as word numbers: passages of documents, words of passages, buckets of words, each as run starts."""
+
+    def __init__(self, texts: list[str]):
+        number: dict[str, int] = {}
+        docs, passages, words = [0], [0], []
+        for t in texts:
+            own = [number.setdefault(w, len(number)) for w in words_of(t)]
+            words.append(np.array(own, dtype=np.int32))
+            base = passages[-1]
+            passages += [base + min(at + PASSAGE, len(own)) for at in range(0, len(own), PASSAGE)]
+            docs.append(len(passages) - 1)
+        self.docs, self.passages = np.array(docs), np.array(passages)
+        self.words = np.concatenate(words) if words else np.zeros(0, np.int32)
+        flat, starts = array("i"), array("q", [0])
+        for w in number:
+            flat.extend(subwords(w))
+            starts.append(len(flat))
+        self.starts, self.buckets = np.array(starts, dtype=np.int64), np.array(flat, dtype=np.int32)
 
 
 def spread(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,14 +113,14 @@ def spread(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, np.repeat(np.arange(len(rows)), n)
 
 
-def train(texts: list[str], toxic: np.ndarray, *, dim: int = 8, visits: int = 45_000, batch: int = 128, rate: float = 0.02,
+def train(texts: list[str], toxic: np.ndarray, *, prevalence: float | None = None, dim: int = 8, visits: int = 40_000, batch: int = 128, rate: float = 0.02,
           decay: float = 1e-5, seed: int = 7) -> ToxicModel:
     """Adam on softmax cross-entropy, vectors and classifier together, over about ``visits`` documents (30 rounds at
-    most); a fifth of the sample is kept for validation."""
+    most, 40 steps a round at least where there are texts for them); a fifth of the sample is kept for validation."""
     if not len(texts) or not toxic.any() or toxic.all():
         return ToxicModel(np.zeros(BUCKETS), trained=False)
     rng = np.random.default_rng(seed)
-    docs_at, starts, ids, vals = bags(texts)
+    data = Sample(texts)
     order = rng.permutation(len(texts))
     valid, fit = order[:len(order) // 5], order[len(order) // 5:]
     emb = rng.normal(0, 0.1, (BUCKETS, dim))
@@ -125,27 +129,32 @@ def train(texts: list[str], toxic: np.ndarray, *, dim: int = 8, visits: int = 45
     y = toxic.astype(np.float64)
     balance = np.where(toxic, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
     tick = 0
-    fit = fit[docs_at[fit + 1] > docs_at[fit]]
+    fit = fit[data.docs[fit + 1] > data.docs[fit]]
+    batch = max(16, min(batch, len(fit) // 40))
     for _ in range(min(30, max(1, round(visits / max(1, len(fit)))))):
         for docs in np.array_split(rng.permutation(fit), max(1, len(fit) // batch)):
-            passages, doc_of = spread(docs_at, docs)
-            at, row = spread(starts, passages)
-            u, inv = np.unique(ids[at], return_inverse=True)
-            grid, w = emb[u], vals[at]
-            x = np.stack([np.bincount(row, w * grid[inv, j], len(passages)) for j in range(dim)], 1)
+            passages, doc_of = spread(data.docs, docs)
+            at, row = spread(data.passages, passages)
+            size = np.bincount(row, minlength=len(passages))
+            words, word_of = np.unique(data.words[at], return_inverse=True)
+            at, sub_of = spread(data.starts, words)
+            grams = (data.starts[words + 1] - data.starts[words]).astype(np.float64)
+            u, inv = np.unique(data.buckets[at], return_inverse=True)
+            grid = emb[u]
+            vectors = np.stack([np.bincount(sub_of, grid[inv, j], len(words)) for j in range(dim)], 1) / grams[:, None]
+            x = np.stack([np.bincount(row, vectors[word_of, j], len(passages)) for j in range(dim)], 1) / size[:, None]
             z = x @ top + bias
             m = z[:, 1] - z[:, 0]
             peak = np.full(len(docs), -np.inf)
             np.maximum.at(peak, doc_of, m)
             e = np.exp(m - peak[doc_of])
             total = np.bincount(doc_of, e, len(docs))
-            size = np.bincount(doc_of, minlength=len(docs))
-            p = 1 / (1 + np.exp(-np.clip(peak + np.log(total / size), -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(peak + np.log(total / np.bincount(doc_of, minlength=len(docs))), -30, 30)))
             gm = ((p - y[docs]) * balance[docs] / len(docs))[doc_of] * e / total[doc_of]
             g = np.stack([-gm, gm], 1)
-            live = np.abs(gm[row]) > 1e-7  # passages that take no part in the document's margin carry no gradient
-            gx = g @ top.T
-            gu = np.stack([np.bincount(inv[live], w[live] * gx[row[live], j], len(u)) for j in range(dim)], 1)
+            gx = (g @ top.T) / size[:, None]
+            gw = np.stack([np.bincount(word_of, gx[row, j], len(words)) for j in range(dim)], 1) / grams[:, None]
+            gu = np.stack([np.bincount(inv, gw[sub_of, j], len(u)) for j in range(dim)], 1)
             tick += 1
             for p_, (m1, m2), grad, part in ((emb, state[0], gu + decay * grid, u), (top, state[1], x.T @ g, slice(None)),
                                              (bias, state[2], g.sum(0), slice(None))):
@@ -155,19 +164,23 @@ def train(texts: list[str], toxic: np.ndarray, *, dim: int = 8, visits: int = 45
     side = top[:, 1] - top[:, 0]
     model = ToxicModel(emb @ side, float(bias[1] - bias[0]))
     known: dict[str, float] = {}
-    return calibrate(model, model.margin([texts[i] for i in valid], known), toxic[valid].astype(np.int64))
+    return calibrate(model, model.margin([texts[i] for i in valid], known), toxic[valid], prevalence)
 
 
-def calibrate(model: ToxicModel, margins: np.ndarray, y: np.ndarray) -> ToxicModel:
-    """Put score 0.7 at the margin with the best F1 on the validation part (midway to the next lower one)."""
-    if not y.any() or y.all():
+def calibrate(model: ToxicModel, margins: np.ndarray, toxic: np.ndarray, prevalence: float | None) -> ToxicModel:
+    """Put score 0.7 at the margin with the best F1 on the validation part (midway to the next lower one), each class
+    weighted to its share of all labels: the sample holds more toxic texts than the corpus."""
+    if not toxic.any() or toxic.all():
         return model
+    share = toxic.mean() if prevalence is None else prevalence
+    weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     order = np.argsort(-margins)
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
+    hit = np.cumsum((weight * toxic)[order])
+    f1 = 2 * hit / (np.cumsum(weight[order]) + (weight * toxic).sum())
     best = int(f1.argmax())
     ranked = margins[order]
     cut = (ranked[best] + ranked[min(best + 1, len(ranked) - 1)]) / 2
+    model.empty = float(np.median(margins[~toxic]))
     model.scale = 4.0 / max(float(np.std(margins)), 1e-6)
     model.offset = float(cut) - np.log(0.7 / 0.3) / model.scale
     return model
@@ -178,7 +191,7 @@ def score_column(model: ToxicModel, text: Column) -> Column:
     shared = SparkSession.active().sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(batches: "__import__('typing').Iterator[pd.Series]") -> "__import__('typing').Iterator[pd.Series]":
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, float] = {}
         for s in batches:
             yield pd.Series(shared.value.score(s.fillna("").tolist(), known))
@@ -187,15 +200,17 @@ def score_column(model: ToxicModel, text: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        per_class: int = 4000, train_chars: int = 20_000, **train_args) -> ToxicModel:
+        per_class: int = 3000, train_chars: int = 20_000, **train_args) -> ToxicModel:
     """Train on a bounded sample of ``labels`` (id, 0/1).  The ids are picked first (two top-k lists of ``per_class``),
     so the corpus is scanned once and never shuffled; the driver holds that sample and nothing else."""
     eligible = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("_y")).filter("_lid IS NOT NULL")
+    total = {r[0]: r[1] for r in eligible.filter("_y IN (0, 1)").groupBy("_y").count().collect()}
     picked = [eligible.filter(F.col("_y") == y).dropDuplicates(["_lid"]).orderBy(F.xxhash64("_lid"), "_lid").limit(per_class) for y in (0, 1)]
     sample = (docs.filter(F.length(text_col) <= train_chars)
               .join(F.broadcast(picked[0].unionByName(picked[1])), F.col(id_col) == F.col("_lid")).select("_lid", text_col, "_y"))
     rows = sorted(sample.collect())
-    return train([r[1] for r in rows], np.array([r[2] for r in rows], dtype=bool), **train_args)
+    prevalence = total.get(1, 0) / max(1, sum(total.values()))
+    return train([r[1] for r in rows], np.array([r[2] for r in rows], dtype=bool), prevalence=prevalence, **train_args)
 
 
 by_value(__name__)
