@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.time import local_day
-from eventide.operators import ordered
 
 # Fixed values (must equal the reference's output): the black-list message is
 # "black user: <cap> times today"; the day boundary is local midnight at UTC+8.
@@ -17,23 +16,27 @@ BLACK_LIST_SUFFIX = " times today"
 DAY_OFFSET_HOURS = 8
 
 
-def click_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, *,
-                    day_offset_hours: int = DAY_OFFSET_HOURS,
-                    slice_col: Column) -> DataFrame:
-    """Position of every click within its (keys, local day) group, in event
-    time then arrival order; adds ``day`` and ``click_no``.  A group holding a
-    third of all clicks is still cut into slices (``slice_col``)."""
+def first_clicks(df: DataFrame, keys: Sequence[str], ts: str, seq: str, limit: int, *,
+                 day_offset_hours: int = DAY_OFFSET_HOURS) -> DataFrame:
+    """The first ``limit`` clicks of every (keys, local day) group, in event time
+    then arrival order, with ``day`` and their number ``click_no``.
+
+    ``row_number() <= limit`` is a group limit that Spark applies before the
+    shuffle too, so a task sends at most ``limit`` rows of a group, however
+    many clicks the group holds."""
     d = df.withColumn("day", local_day(ts, day_offset_hours))
-    return ordered.running(d, [*keys, "day"], [ts, seq], slice_col, [("click_no", "count", F.lit(1))])
+    w = Window.partitionBy(*keys, "day").orderBy(ts, seq)
+    d = d.withColumn("click_no", F.row_number().over(w)).filter(F.col("click_no") <= limit)
+    return d.withColumn("click_no", F.col("click_no").cast("bigint"))
 
 
-def cap_clicks(positioned: DataFrame, cap: int) -> DataFrame:
+def cap_clicks(df: DataFrame, keys: Sequence[str], ts: str, seq: str, cap: int) -> DataFrame:
     """B1: pass at most ``cap`` clicks per (keys, day); the rest are dropped."""
-    return positioned.filter(F.col("click_no") <= cap)
+    return first_clicks(df, keys, ts, seq, cap)
 
 
-def black_list(positioned: DataFrame, keys: Sequence[str], cap: int) -> DataFrame:
+def black_list(df: DataFrame, keys: Sequence[str], ts: str, seq: str, cap: int) -> DataFrame:
     """B2: one black-list row per (keys, day), on click ``cap + 1``."""
-    return (positioned.filter(F.col("click_no") == cap + 1)
+    return (first_clicks(df, keys, ts, seq, cap + 1).filter(F.col("click_no") == cap + 1)
             .select(*keys, "day", F.concat(F.lit(BLACK_LIST_PREFIX), F.lit(str(cap)),
                                            F.lit(BLACK_LIST_SUFFIX)).alias("warning")))

@@ -6,11 +6,19 @@ is the whole job.  Every primitive here cuts each key into *slices* by a column
 that is monotone in the order (a time bucket, a range of sequence numbers).
 Work inside a slice is a window partitioned by ``(key, slice)``.  What has to
 cross a slice boundary is summarised in a *carry* table with one row per
-``(key, slice)`` -- it grows with the number of slices, never with the rows
-of a key.  Carry rows are unioned into the data as marker rows that sort
-first in their ``(key, slice)`` partition, so the big side is shuffled exactly
-once (by ``(key, slice)``), there is no join, and null keys form their own
-group exactly as in ``GROUP BY``.
+``(key, slice)``.
+
+The carry is ordered by a fixed hierarchy, the same at every size and with or
+without keys: slices are grouped by ``FAN_IN``, those groups by ``FAN_IN``
+again, and only then by key.  Whatever the slice numbers are -- dense, sparse,
+negative -- a window at any level sees at most ``FAN_IN`` rows below the top,
+and at the top at most the 64-bit range of slice numbers divided by
+``FAN_IN ** 2``.  No plan depends on a count of the data.
+
+Carry rows are unioned into the data as marker rows that sort first in their
+``(key, slice)`` partition, so the big side is shuffled exactly once (by
+``(key, slice)``), there is no join, and null keys form their own group exactly
+as in ``GROUP BY``.
 
 Choose the slice width so that one slice of the hottest key fits one task; it
 is the only tuning knob.
@@ -30,10 +38,10 @@ MARK = "_omark"  # 0 = carry marker row, 1 = data row
 RN = "_orn"
 
 _AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
-_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 _MERGE_KIND = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
-# keyless runs order their slice summaries in groups of this many slices
-SUPER_SLICE = 4096
+# slices of one group, and groups of one group of groups
+FAN_IN = 1 << 16
+LEVELS = 2
 
 
 def _order(order: Sequence[str], descending: bool) -> list[Column]:
@@ -44,9 +52,27 @@ def _slice_order(descending: bool) -> Column:
     return F.col(SLICE).desc() if descending else F.col(SLICE).asc()
 
 
+def _group_of_slices(col: str) -> Column:
+    """The next coarser slice number: an arithmetic shift, exact for the whole 64-bit range."""
+    return F.shiftright(F.col(col).cast("bigint"), FAN_IN.bit_length() - 1)
+
+
+def _carry(summary: DataFrame, keys: Sequence[str], aggs: Sequence[tuple[str, str]], descending: bool, level: int) -> DataFrame:
+    """``summary`` (keys, SLICE, _t_<name>...) -> marker rows (keys, SLICE, _c_<name>) of all slices before each one."""
+    if level < LEVELS:
+        own = f"_olvl{level}"
+        out = running(summary.withColumnRenamed(SLICE, own), keys, [own], _group_of_slices(own),
+                      [(f"_c_{name}", _MERGE_KIND[kind], F.col(f"_t_{name}")) for name, kind in aggs],
+                      exclusive=True, descending=descending, _level=level + 1)
+        return out.select(*keys, F.col(own).alias(SLICE), F.lit(0).alias(MARK), *[f"_c_{n}" for n, _ in aggs])
+    ws = Window.partitionBy(*keys).orderBy(_slice_order(descending)).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*keys, SLICE, F.lit(0).alias(MARK),
+                          *[_AGG[_MERGE_KIND[kind]](f"_t_{name}").over(ws).alias(f"_c_{name}") for name, kind in aggs])
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Column,
             aggs: Sequence[tuple[str, str, Column]], *, exclusive: bool = False,
-            descending: bool = False, _depth: int = 0, _n_slices: int | None = None) -> DataFrame:
+            descending: bool = False, _level: int = 0) -> DataFrame:
     """Running aggregates per key in ``order`` (ties must be broken by ``order``).
 
     ``aggs`` = ``[(out_name, kind, value_column)]`` with kind in
@@ -54,12 +80,6 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
     giving min_by/max_by).  The frame is every earlier row of the key plus the
     row itself (``exclusive`` drops the row itself).  ``descending`` scans from
     the end (a "next" lookup); ``slice_col`` is monotone in the ascending order.
-
-    Without keys (a global sequence) the carry over all slices would be one
-    ordered partition; when there are more than ``SUPER_SLICE`` slices the
-    slice summary is itself run through this function in groups of
-    ``SUPER_SLICE`` slices (up to two levels), so the only single-partition
-    step orders at most ``SUPER_SLICE`` rows for up to ``SUPER_SLICE**3`` slices.
     """
     keys = list(keys)
     d = df.withColumn(SLICE, slice_col)
@@ -67,26 +87,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
         d = d.withColumn(f"_v_{name}", c)
     summary = d.groupBy(*keys, SLICE).agg(
         *[_AGG[kind](f"_v_{name}").alias(f"_t_{name}") for name, kind, _ in aggs])
-    if not keys and _depth == 0:
-        # one row per slice: write it once so the levels below never rescan the
-        # data, and count it (cheap on the written table) to pick the depth
-        from eventide.session import materialize
-
-        summary = materialize(summary)
-        _n_slices = summary.count()
-    if not keys and _depth < 2 and _n_slices is not None and _n_slices > SUPER_SLICE ** (_depth + 1):
-        lvl = f"_olvl{_depth}"
-        rec = running(summary.withColumnRenamed(SLICE, lvl), [], [lvl],
-                      F.floor(F.col(lvl) / F.lit(SUPER_SLICE)).cast("bigint"),
-                      [(f"_c_{name}", _MERGE_KIND[kind], F.col(f"_t_{name}")) for name, kind, _ in aggs],
-                      exclusive=True, descending=descending, _depth=_depth + 1, _n_slices=_n_slices)
-        carry = rec.select(F.col(lvl).alias(SLICE), F.lit(0).alias(MARK), *[f"_c_{n}" for n, _, _ in aggs])
-    else:
-        ws = Window.partitionBy(*keys).orderBy(_slice_order(descending)).rowsBetween(
-            Window.unboundedPreceding, -1)
-        carry = summary.select(
-            *keys, SLICE, F.lit(0).alias(MARK),
-            *[_MERGE[kind](f"_t_{name}").over(ws).alias(f"_c_{name}") for name, kind, _ in aggs])
+    carry = _carry(summary, keys, [(name, kind) for name, kind, _ in aggs], descending, _level)
     u = d.withColumn(MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(*keys, SLICE).orderBy(F.col(MARK), *_order(order, descending))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -110,15 +111,15 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col:
 
 
 def lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Column,
-        lags: dict[str, tuple[str, int]], *, descending: bool = False) -> DataFrame:
+        lags: dict[str, tuple[str, int]], *, descending: bool = False, _level: int = 0) -> DataFrame:
     """Values of earlier rows of the same key: ``lags = {out: (column, offset)}``.
 
     Inside a slice ``lag`` is a plain window function.  The first ``k`` rows of
     a slice take the missing predecessors from a carry row holding the last
     ``k`` rows before the slice.  The carry is built from the last ``k`` rows
     ("tails") of every slice -- a ``row_number() <= k`` that Catalyst turns
-    into a partial, map-side group limit -- so only ``k`` rows per slice move
-    before the single shuffle of the data.  ``descending`` gives ``lead``.
+    into a partial, map-side group limit -- by the same function over the
+    tails, one level up.  ``descending`` gives ``lead``.
     """
     keys = list(keys)
     k = max(j for _, j in lags.values())
@@ -130,14 +131,19 @@ def lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Col
              .filter(F.col(RN) <= k))
     # over the tails of all slices of a key, the rows just before the first
     # tail of slice s are the last rows of the slices before s
-    wt = Window.partitionBy(*keys).orderBy(_slice_order(descending), *_order(order, descending))
+    before = {f"_cy{_level}_{m}_{c}": (c, m) for c in src for m in range(1, k + 1)}
+    cy = list(before)
     wfirst = Window.partitionBy(*keys, SLICE)
-    cy = [f"_cy{m}_{c}" for c in src for m in range(1, k + 1)]
-    carry = (tails
-             .select(*keys, SLICE, RN, F.max(RN).over(wfirst).alias("_last"),
-                     *[F.lag(c, m).over(wt).alias(f"_cy{m}_{c}") for c in src for m in range(1, k + 1)])
-             .filter(F.col(RN) == F.col("_last"))
-             .select(*keys, SLICE, F.lit(0).alias(MARK), *cy))
+    firsts = tails.withColumn("_last", F.max(RN).over(wfirst))
+    if _level < LEVELS:
+        own, rn, last = f"_olvl{_level}", f"_orn{_level}", f"_olast{_level}"
+        up = lag(firsts.withColumnsRenamed({SLICE: own, RN: rn, "_last": last}), keys, [own, *order], _group_of_slices(own),
+                 before, descending=descending, _level=_level + 1)
+        seen = up.withColumnsRenamed({own: SLICE, rn: RN, last: "_last"})
+    else:
+        wt = Window.partitionBy(*keys).orderBy(_slice_order(descending), *_order(order, descending))
+        seen = firsts.select("*", *[F.lag(c, m).over(wt).alias(out) for out, (c, m) in before.items()])
+    carry = seen.filter(F.col(RN) == F.col("_last")).select(*keys, SLICE, F.lit(0).alias(MARK), *cy)
     u = d.withColumn(MARK, F.lit(1)).unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(*keys, SLICE).orderBy(F.col(MARK), *_order(order, descending))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -146,7 +152,7 @@ def lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_col: Col
     for out, (c, off) in lags.items():
         expr = F.when(pos > off, F.lag(c, off).over(w))
         for p in range(1, off + 1):
-            expr = expr.when(pos == p, F.first(f"_cy{off - p + 1}_{c}", ignorenulls=True).over(upto))
+            expr = expr.when(pos == p, F.first(f"_cy{_level}_{off - p + 1}_{c}", ignorenulls=True).over(upto))
         outs.append(expr.alias(out))
     return u.select("*", *outs).filter(F.col(MARK) == 1).drop(SLICE, MARK, *cy)
 
@@ -169,22 +175,22 @@ def count_upto(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int,
     for name, cond in counts.items():
         d = d.withColumn(f"_f_{name}", F.when(cond, F.lit(1)).otherwise(F.lit(0)))
     d = d.withColumn(own_col, F.floor(F.col(us) / F.lit(width)).cast("bigint"))
-    summary = d.groupBy(*keys, F.col(own_col).alias(SLICE)).agg(
+    summary = d.filter(F.col(us).isNotNull()).groupBy(*keys, F.col(own_col).alias(SLICE)).agg(
         *[F.sum(f"_f_{n}").alias(f"_t_{n}") for n in counts])
-    ws = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, SLICE, F.lit(0).alias(MARK),
-                           *[F.sum(f"_t_{n}").over(ws).alias(f"_c_{n}") for n in counts])
+    carry = _carry(summary, keys, [(n, "sum") for n in counts], False, 0)
     first = F.floor((F.col(us) - F.lit(ahead)) / F.lit(width)).cast("bigint")
-    halo = d.withColumn(SLICE, F.explode(F.sequence(first, F.col(own_col)))).withColumn(MARK, F.lit(1))
+    # a row without a timestamp is in no slice and sees nothing, but it stays a row
+    halo = d.withColumn(SLICE, F.explode_outer(F.sequence(first, F.col(own_col)))).withColumn(MARK, F.lit(1))
     u = halo.unionByName(carry, allowMissingColumns=True)
     # the marker has a null timestamp and sorts first; its flags are null
     w = Window.partitionBy(*keys, SLICE).orderBy(F.col(us).asc_nulls_first())
     wr = w.rangeBetween(Window.unboundedPreceding, ahead)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    outs = [(F.coalesce(F.sum(f"_f_{n}").over(wr), F.lit(0))
-             + F.coalesce(F.first(f"_c_{n}", ignorenulls=True).over(upto), F.lit(0))).cast("bigint").alias(n)
+    outs = [F.when(F.col(us).isNull(), F.lit(0)).otherwise(
+                F.coalesce(F.sum(f"_f_{n}").over(wr), F.lit(0))
+                + F.coalesce(F.first(f"_c_{n}", ignorenulls=True).over(upto), F.lit(0))).cast("bigint").alias(n)
             for n in counts]
-    res = u.select("*", *outs).filter((F.col(MARK) == 1) & (F.col(SLICE) == F.col(own_col)))
+    res = u.select("*", *outs).filter((F.col(MARK) == 1) & F.col(SLICE).eqNullSafe(F.col(own_col)))
     tmp = [f"_f_{n}" for n in counts] + [f"_c_{n}" for n in counts]
     return res.drop(SLICE, MARK, us, own_col, *tmp)
 

@@ -7,51 +7,57 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.time import epoch_micros
+from eventide.functions.time import epoch_micros, time_slice
+from eventide.operators import ordered
+from eventide.session import materialize
 
 # Fixed values (must equal the reference's outcome tags): order outcomes are
 # "paid", "paid-but-timeout", "time-out" and "data-not-found"; a reconciled
-# pair is a "match".
+# pair is a "match", what finds no partner is "single-order" or "single-receipt".
 PAID, PAID_LATE, TIME_OUT, NOT_FOUND, MATCH = "paid", "paid-but-timeout", "time-out", "data-not-found", "match"
-
-
-def _bucketed(df: DataFrame, ts: str, width_us: int, replicate: bool) -> DataFrame:
-    b = F.floor(epoch_micros(ts) / F.lit(width_us)).cast("bigint")
-    if replicate:
-        return df.withColumn("_b", F.explode(F.array(b - 1, b, b + 1)))
-    return df.withColumn("_b", b)
+SINGLE_ORDER, SINGLE_RECEIPT = "single-order", "single-receipt"
 
 
 def interval_reconcile(left: DataFrame, right: DataFrame, key: str, *, bound_seconds: float,
-                       left_cols: Sequence[str], right_cols: Sequence[str],
-                       lts: str = "l_ts", rts: str = "r_ts") -> DataFrame:
-    """Full outer *interval* join on ``key`` with ``|l.ts - r.ts| <= bound``.
+                       left_cols: Sequence[str], right_cols: Sequence[str], lts: str, rts: str, lseq: str, rseq: str,
+                       tags: tuple[str, str, str] = (MATCH, SINGLE_ORDER, SINGLE_RECEIPT),
+                       slice_seconds: int = 10) -> DataFrame:
+    """One-to-one pairing of two streams per ``key``, as with one waiting slot.
+
+    The rows of a key are taken in event time (left before right, then by
+    ``lseq`` / ``rseq``, where times are equal).  A row pairs with the row just
+    before it if that is of the other side, at most ``bound`` older and not
+    paired yet; otherwise it waits in its turn.  So of a chain of rows that
+    each could pair with the one before, the first and second pair, the third
+    and fourth, and so on -- every row is in one output row, which makes at
+    most left + right rows, whatever one key holds.
 
-    Outcomes: ``match`` (one row per matching pair), ``single-left`` (left row
-    with no partner) and ``single-right``.  Band join: rows are bucketed by
-    time in buckets of the bound and the right side is copied into the
-    neighbouring buckets, so the equi-join key is (key, bucket) -- a hot key
-    is spread over its buckets instead of landing in one task, and each pair
-    is found exactly once.  Unmatched rows come from anti joins with the same
-    band condition.  ``left_cols`` / ``right_cols`` must include the ts columns.
+    One union, cut into slices of the key's time like every ordered primitive:
+    a hot key is never in one task.  ``left_cols`` / ``right_cols`` must include
+    the time and sequence columns.
     """
-    width = max(1, int(round(bound_seconds * 1_000_000)))
-    cond_t = lambda l, r: F.abs(epoch_micros(l[lts]) - epoch_micros(r[rts])) <= F.lit(width)
-    L1 = _bucketed(left.select(key, *left_cols), lts, width, False).alias("l")
-    R3 = _bucketed(right.select(key, *right_cols), rts, width, True).alias("r")
-    pairs = L1.join(R3, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._b") == F.col("r._b"))
-                    & cond_t(L1, R3), "inner")
-    matched = pairs.select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in left_cols],
-                           *[F.col(f"r.{c}") for c in right_cols], F.lit(MATCH).alias("outcome"))
-    L3 = _bucketed(left.select(key, *left_cols), lts, width, True).alias("l3")
-    R1 = _bucketed(right.select(key, *right_cols), rts, width, False).alias("r1")
-    single_l = L1.join(R3, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._b") == F.col("r._b"))
-                       & cond_t(L1, R3), "left_anti").select(
-        key, *left_cols, *[F.lit(None).alias(c) for c in right_cols], F.lit("single-left").alias("outcome"))
-    single_r = R1.join(L3, (F.col(f"r1.{key}") == F.col(f"l3.{key}")) & (F.col("r1._b") == F.col("l3._b"))
-                       & cond_t(L3, R1), "left_anti").select(
-        key, *[F.lit(None).alias(c) for c in left_cols], *right_cols, F.lit("single-right").alias("outcome"))
-    return matched.unionByName(single_l).unionByName(single_r)
+    side = lambda d, no, ts, seq, cols: d.select(
+        key, F.col(ts).alias("_ts"), F.lit(no).alias("_side"), F.col(seq).alias("_seq"),
+        *[(F.col(c) if no == 0 else F.lit(None).cast(left.schema[c].dataType)).alias(f"_l_{c}") for c in left_cols],
+        *[(F.col(c) if no == 1 else F.lit(None).cast(right.schema[c].dataType)).alias(f"_r_{c}") for c in right_cols])
+    rows = side(left, 0, lts, lseq, left_cols).unionByName(side(right, 1, rts, rseq, right_cols))
+    order, sl = ["_ts", "_side", "_seq"], time_slice("_ts", slice_seconds)
+    width = F.lit(int(round(bound_seconds * 1_000_000)))
+    within = lambda a, b: F.coalesce(epoch_micros(a) - epoch_micros(b) <= width, F.lit(False))
+    own = [f"_l_{c}" for c in left_cols] + [f"_r_{c}" for c in right_cols]
+    d = ordered.lag(rows, [key], order, sl, {"_pside": ("_side", 1), "_pts": ("_ts", 1), **{f"_p{c}": (c, 1) for c in own}})
+    d = materialize(d.withColumn("_link", F.coalesce(F.col("_pside") != F.col("_side"), F.lit(False)) & within("_ts", "_pts")))
+    d = materialize(ordered.running(d, [key], order, sl, [("_n", "count", F.lit(1))]))
+    d = ordered.running(d, [key], order, sl, [("_head", "max", F.when(~F.col("_link"), F.col("_n")))])
+    second = (F.col("_n") - F.col("_head")) % 2 == 1
+    d = ordered.lag(d.withColumn("_second", second), [key], order, sl, {"_paired": ("_second", 1)}, descending=True)
+    pair = d.filter("_second").select(
+        key, *[F.coalesce(f"_l_{c}", f"_p_l_{c}").alias(c) for c in left_cols],
+        *[F.coalesce(f"_r_{c}", f"_p_r_{c}").alias(c) for c in right_cols], F.lit(tags[0]).alias("outcome"))
+    single = d.filter(~F.col("_second") & ~F.coalesce(F.col("_paired"), F.lit(False))).select(
+        key, *[F.col(f"_l_{c}").alias(c) for c in left_cols], *[F.col(f"_r_{c}").alias(c) for c in right_cols],
+        F.when(F.col("_side") == 0, F.lit(tags[1])).otherwise(F.lit(tags[2])).alias("outcome"))
+    return pair.unionByName(single)
 
 
 def order_outcomes(df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_create: Column, is_pay: Column,

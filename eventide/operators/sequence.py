@@ -21,7 +21,7 @@ def _iv(seconds: float) -> Column:
 
 
 def repeated_failures(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, *,
-                      n: int = 2, check_after: float = 2.0, slice_seconds: int = 86400) -> DataFrame:
+                      n: int = 2, check_after: float = 2.0, slice_seconds: int = 10) -> DataFrame:
     """Q1: every failure ``f`` schedules a check at ``f.ts + check_after``.  It
     warns iff no success of the key comes after ``f`` (in (ts, seq) order) with
     ``ts <= f.ts + check_after``, and the failures of its run (failures since
@@ -32,7 +32,7 @@ def repeated_failures(df: DataFrame, key: str, ts: str, seq: str, is_fail: Colum
     """
     order = [ts, seq]
     sl = time_slice(ts, slice_seconds)
-    d = df.withColumn("_fail", is_fail)
+    d = df.select(key, ts, seq, is_fail.alias("_fail"))  # only what the passes read is written between them
     d = materialize(ordered.running(d, [key], order, sl, [
         ("_f_incl", "count", F.when(F.col("_fail"), F.lit(1))),
         ("_s_incl", "count", F.when(~F.col("_fail"), F.lit(1))),
@@ -66,7 +66,7 @@ def consecutive_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column
 
 
 def strict_sequence(df: DataFrame, key: str, ts: str, seq: str, steps: Sequence[tuple[str, Column]], *,
-                    within: float, slice_seconds: int = 86400) -> DataFrame:
+                    within: float, slice_seconds: int = 10) -> DataFrame:
     """Strictly consecutive rows (event-time order) matching ``steps``
     one after another, last minus first ``< within``; every overlapping match
     is reported.  Output ``key`` and ``<step>_ts`` per step."""
@@ -91,7 +91,7 @@ def strict_sequence(df: DataFrame, key: str, ts: str, seq: str, steps: Sequence[
 
 
 def followed_by(df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_start: Column, is_end: Column, *,
-                within: float, timeouts: bool = False, slice_seconds: int = 86400) -> DataFrame:
+                within: float, timeouts: bool = False, slice_seconds: int = 10) -> DataFrame:
     """Q4 / Q5: ``start followedBy end within``: every start row is matched to
     the first later end row of its key (relaxed contiguity); it matches iff
     ``end.ts < start.ts + within``.  With ``timeouts`` the unmatched starts are
@@ -119,14 +119,15 @@ def jumps(df: DataFrame, key: str, order: Sequence[str], value: str, threshold:
 
 
 def rising_alerts(df: DataFrame, key: str, ts: str, seq: str, value: str, interval: float, *,
-                  slice_seconds: int = 86400) -> DataFrame:
+                  slice_seconds: int = 10) -> DataFrame:
     """Q7: a rise (value > previous value of the key) starts a timer of
     ``interval``; any non-rising row cancels it.  Alert iff the first
     non-rising row after the rise's start comes later than start + interval
     (or never).  Output ``key, rise_start_ts, alert_ts``."""
     order = [ts, seq]
     sl = time_slice(ts, slice_seconds)
-    d = materialize(ordered.lag(df, [key], order, sl, {"_p1": (value, 1), "_p2": (value, 2)}))
+    narrow = df.select(*dict.fromkeys([key, ts, seq, value]))
+    d = materialize(ordered.lag(narrow, [key], order, sl, {"_p1": (value, 1), "_p2": (value, 2)}))
     rising = F.col("_p1").isNotNull() & (F.col(value) > F.col("_p1"))
     prev_rising = F.col("_p2").isNotNull() & (F.col("_p1") > F.col("_p2"))
     d = d.withColumn("_rise", rising).withColumn("_start", rising & ~prev_rising)

@@ -76,7 +76,7 @@ def window_aggregate(df: DataFrame, keys: Sequence[str], ts: str, size, slide=No
 
 def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap, order: Sequence[str],
                       aggs: Sequence[tuple[str, str, Column]] | None = None,
-                      *, slice_seconds: int = 86400) -> DataFrame:
+                      *, slice_seconds: int = 10) -> DataFrame:
     """W8 (batch): session windows, rows at most ``gap`` apart merge (equal
     counts as merged); session end = last row + gap, as ``session_window``.
 
@@ -87,7 +87,9 @@ def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap, order: S
     aggs = aggs or [("cnt", "count", F.lit(1))]
     gap_s = duration_seconds(gap)
     sl = time_slice(ts, slice_seconds)
-    d = materialize(ordered.lag(df, keys, order, sl, {"_prev_ts": (ts, 1)}))
+    # only what later steps read is written between the passes
+    narrow = df.select(*dict.fromkeys([*keys, *order, ts]), *[c.alias(f"_in_{n}") for n, _, c in aggs])
+    d = materialize(ordered.lag(narrow, keys, order, sl, {"_prev_ts": (ts, 1)}))
     start = F.col("_prev_ts").isNull() | (
         F.col(ts) > F.col("_prev_ts") + F.expr(f"INTERVAL {gap_s} SECONDS"))
     d = d.withColumn("_start", F.when(start, F.lit(1)).otherwise(F.lit(0)))
@@ -95,7 +97,7 @@ def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap, order: S
     return (d.groupBy(*keys, "_sid")
             .agg(F.min(ts).alias("window_start"),
                  (F.max(ts) + F.expr(f"INTERVAL {gap_s} SECONDS")).alias("window_end"),
-                 *[_AGG[k](c).alias(n) for n, k, c in aggs])
+                 *[_AGG[k](f"_in_{n}").alias(n) for n, k, _ in aggs])
             .drop("_sid"))
 
 

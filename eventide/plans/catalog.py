@@ -22,16 +22,17 @@ from eventide.operators.windows import count_window, session_aggregate, window_a
 from eventide.plans import domain as dm
 from eventide.sinks import files as sink_files
 from eventide.sinks import records as sink_records
-from eventide.session import scratch_path
+from eventide.session import scratch_path, sql_view
 from eventide.sources.bus import bus_records_to_rows, lines_to_bus_records
 from eventide.sources.parse import parse_access_log, parse_positional
-from eventide.sources.text import document_lines
+from eventide.sources.text import document_lines, read_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 HOUR = 3600
 DAY = 86400
+LEAF = 10  # seconds of a key's rows that one window of an ordered primitive holds
 
 
 def query(name: str, sql: str | None = None):
@@ -71,10 +72,25 @@ SENSOR_FIELDS = [("id", "string"), ("timestamp", "bigint"), ("temperature", "dou
 SENSOR_ROWS_SQL = dm.with_ctes("SELECT id, ts_sec AS timestamp, temperature FROM sensor", "sensor")
 
 
+def encoded_lines(spark, sf):
+    """Lines of the documents as text that carries its place: ``doc_id <tab> line_no <tab> line``."""
+    lines = document_lines(dm.load_table(spark, sf, "documents"))
+    return lines.select("doc_id", F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("line_no").cast("string"), "line").alias("value"))
+
+
+def decoded_lines(lines):
+    parts = F.split(F.col("value"), "\t", 3)
+    return lines.select(parts.getItem(0).cast("bigint").alias("doc_id"), parts.getItem(1).cast("int").alias("line_no"),
+                        parts.getItem(2).alias("line"))
+
+
 # ======================================================== S: sources / sinks
 @query("s1_text_lines", dm.doc_lines_sql())
 def s1_text_lines(spark, sf):
-    return document_lines(dm.load_table(spark, sf, "documents"))
+    """The lines as text files, written by Spark and read by the text reader."""
+    path = scratch_path(spark, "s1-lines")
+    encoded_lines(spark, sf).select("value").write.text(path)
+    return decoded_lines(read_lines(spark, path))
 
 
 @query("s3_parse_positional_trim", SENSOR_ROWS_SQL)
@@ -245,8 +261,8 @@ def r2_side_output(spark, sf):
 @query("r3_temp_view_sql", dm.with_ctes(
     "SELECT id, count(*) AS cnt, max(temperature) AS max_temp FROM sensor GROUP BY id", "sensor"))
 def r3_temp_view_sql(spark, sf):
-    dm.sensor(spark, sf).createOrReplaceTempView("sensor_view")
-    return spark.sql("SELECT id, count(*) AS cnt, max(temperature) AS max_temp FROM sensor_view GROUP BY id")
+    with sql_view(dm.sensor(spark, sf), "sensor_view") as view:
+        return spark.sql(f"SELECT id, count(*) AS cnt, max(temperature) AS max_temp FROM {view} GROUP BY id")
 
 
 @query("m1_union_all", dm.with_ctes(f"""SELECT seq, id, temperature, {TAG_SQL} AS tag FROM sensor WHERE temperature > 30
@@ -285,7 +301,7 @@ def a2_running_word_count(spark, sf):
   SELECT seq, id, min(struct_pack(v := temperature, t := ts, s := seq))
     OVER (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS m FROM sensor)""", "sensor"))
 def a3_rolling_min_by(spark, sf):
-    out = agg.rolling_min_by(dm.sensor(spark, sf), "id", ["ts", "seq"], "temperature", time_slice("ts", DAY))
+    out = agg.rolling_min_by(dm.sensor(spark, sf), "id", ["ts", "seq"], "temperature", time_slice("ts", LEAF))
     return out.select("seq", "id", "min_temperature", "min_ts", "min_seq")
 
 
@@ -293,7 +309,7 @@ def a3_rolling_min_by(spark, sf):
   ts_sec + CASE WHEN row_number() OVER w > 1 THEN 1 ELSE 0 END AS red_ts, min(temperature) OVER w AS red_value
   FROM sensor WINDOW w AS (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)""", "sensor"))
 def a4_rolling_reduce(spark, sf):
-    out = agg.rolling_reduce(dm.sensor(spark, sf), "id", ["ts", "seq"], "ts_sec", "temperature", time_slice("ts", DAY))
+    out = agg.rolling_reduce(dm.sensor(spark, sf), "id", ["ts", "seq"], "ts_sec", "temperature", time_slice("ts", LEAF))
     return out.select("seq", "id", "red_ts", "red_value")
 
 
@@ -372,9 +388,11 @@ def a11_pv_salted(spark, sf):
 @query("a12_sql_window_count", dm.with_ctes(
     f"SELECT item_id, window_end, count(*) AS cnt FROM ({win_sql(PV_SQL, HOUR, 300)}) GROUP BY ALL", "ub"))
 def a12_sql_window_count(spark, sf):
-    dm.user_behavior(spark, sf).createOrReplaceTempView("user_behavior")
-    return spark.sql("""SELECT item_id, window.end AS window_end, count(*) AS cnt FROM user_behavior
-        WHERE behavior = 'pv' GROUP BY item_id, window(ts, '1 hour', '5 minutes')""")
+    """Two-level SQL: counts per five-minute pane first, then each pane into its windows."""
+    with sql_view(dm.pageviews(spark, sf), "pageviews") as view:
+        return spark.sql(f"""SELECT item_id, window.end AS window_end, CAST(sum(cnt) AS BIGINT) AS cnt FROM (
+            SELECT item_id, window(ts, '5 minutes').start AS pane, count(*) AS cnt FROM {view} GROUP BY item_id, window(ts, '5 minutes'))
+            GROUP BY item_id, window(pane, '1 hour', '5 minutes')""")
 
 
 @query("a13_sum_count_shortcut", PV_COUNT_SQL)
@@ -424,7 +442,7 @@ def w5_count_window_sliding(spark, sf):
     return count_window(dm.sensor(spark, sf), ["id"], ["ts", "seq"], 100, 10,
                         aggs=[("cnt", "count", F.lit(1)), ("max_temp", "max", F.col("temperature")),
                               ("min_temp", "min", F.col("temperature"))],
-                        slice_col=time_slice("ts", DAY))
+                        slice_col=time_slice("ts", LEAF))
 
 
 @query("w6_count_window_tumbling", dm.with_ctes("""SELECT id, ((pos - 1) // 100 + 1) * 100 AS end_pos, count(*) AS cnt,
@@ -432,7 +450,7 @@ def w5_count_window_sliding(spark, sf):
 def w6_count_window_tumbling(spark, sf):
     return count_window(dm.sensor(spark, sf), ["id"], ["ts", "seq"], 100,
                         aggs=[("cnt", "count", F.lit(1)), ("max_temp", "max", F.col("temperature"))],
-                        slice_col=time_slice("ts", DAY))
+                        slice_col=time_slice("ts", LEAF))
 
 
 @query("w7_count_window_global", dm.with_ctes("""SELECT e.pos AS end_pos, count(*) AS cnt, max(x.temperature) AS max_temp
@@ -441,7 +459,7 @@ def w6_count_window_tumbling(spark, sf):
 def w7_count_window_global(spark, sf):
     return count_window(dm.sensor(spark, sf), [], ["ts", "seq"], 100, 10,
                         aggs=[("cnt", "count", F.lit(1)), ("max_temp", "max", F.col("temperature"))],
-                        slice_col=time_slice("ts", HOUR))
+                        slice_col=time_slice("ts", 1))
 
 
 @query("w8_session_window", """WITH s AS (SELECT user_id, ts, event_id,
@@ -486,10 +504,10 @@ def k1_topn_items_sliding(spark, sf):
 
 @query("k2_topn_items_sql", TOPN_SQL)
 def k2_topn_items_sql(spark, sf):
-    _item_counts(spark, sf).createOrReplaceTempView("agg")
-    return spark.sql("""SELECT window_end, item_id, cnt, rank FROM (
-        SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS BIGINT) AS rank
-        FROM agg) WHERE rank <= 5""")
+    with sql_view(_item_counts(spark, sf), "agg") as view:
+        return spark.sql(f"""SELECT window_end, item_id, cnt, rank FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS BIGINT) AS rank
+            FROM {view}) WHERE rank <= 5""")
 
 
 K3_SQL = dm.with_ctes(f"""SELECT window_end, url, cnt, rank FROM (
@@ -618,45 +636,47 @@ CLICK_POS_SQL = """SELECT *, CAST(ts + INTERVAL 8 HOUR AS DATE) AS day, row_numb
   PARTITION BY user_id, ad_id, CAST(ts + INTERVAL 8 HOUR AS DATE) ORDER BY ts, seq) AS click_no FROM ad"""
 
 
-def _click_positions(spark, sf):
-    return capping.click_positions(dm.ad_click(spark, sf), ["user_id", "ad_id"], "ts", "seq",
-                                   slice_col=time_slice("ts", HOUR))
-
-
 @query("b1_capped_clicks", dm.with_ctes(
     "SELECT user_id, ad_id, province, day, seq, ts, click_no FROM cp WHERE click_no <= 2", "ad", extra={"cp": CLICK_POS_SQL}))
 def b1_capped_clicks(spark, sf):
-    return capping.cap_clicks(_click_positions(spark, sf), 2).select(
-        "user_id", "ad_id", "province", "day", "seq", "ts", "click_no")
+    passed = capping.cap_clicks(dm.raw_clicks(spark, sf), ["user_id", "ad_id"], "ts", "seq", 2)
+    return dm.with_province(spark, sf, passed).select("user_id", "ad_id", "province", "day", "seq", "ts", "click_no")
 
 
 @query("b2_black_list", dm.with_ctes(
     "SELECT user_id, ad_id, day, 'black user: 2 times today' AS warning FROM cp WHERE click_no = 3", "ad",
     extra={"cp": CLICK_POS_SQL}))
 def b2_black_list(spark, sf):
-    return capping.black_list(_click_positions(spark, sf), ["user_id", "ad_id"], 2)
+    return capping.black_list(dm.raw_clicks(spark, sf), ["user_id", "ad_id"], "ts", "seq", 2)
 
 
 @query("b3_province_counts", dm.with_ctes(f"""SELECT province, window_start, window_end, count(*) AS cnt
   FROM ({win_sql('SELECT * FROM cp WHERE click_no <= 2', HOUR, 300)}) GROUP BY ALL""", "ad", extra={"cp": CLICK_POS_SQL}))
 def b3_province_counts(spark, sf):
-    passed = capping.cap_clicks(_click_positions(spark, sf), 2)
-    return window_aggregate(passed, ["province"], "ts", "1 hour", "5 minutes")
+    passed = capping.cap_clicks(dm.raw_clicks(spark, sf), ["user_id", "ad_id"], "ts", "seq", 2)
+    return window_aggregate(dm.with_province(spark, sf, passed), ["province"], "ts", "1 hour", "5 minutes")
 
 
 # =========================================================== J: reconcile
-@query("j1_tx_reconcile", dm.with_ctes("""SELECT p.tx_id, p.pay_seq, p.pay_ts, r.receipt_seq, r.receipt_ts, 'match' AS outcome
-  FROM pays p JOIN rcpts r ON p.tx_id = r.tx_id AND abs(epoch_us(p.pay_ts) - epoch_us(r.receipt_ts)) <= 21600000000
-UNION ALL SELECT p.tx_id, p.pay_seq, p.pay_ts, NULL, NULL, 'single-left' FROM pays p WHERE NOT EXISTS (
-  SELECT 1 FROM rcpts r WHERE p.tx_id = r.tx_id AND abs(epoch_us(p.pay_ts) - epoch_us(r.receipt_ts)) <= 21600000000)
-UNION ALL SELECT r.tx_id, NULL, NULL, r.receipt_seq, r.receipt_ts, 'single-right' FROM rcpts r WHERE NOT EXISTS (
-  SELECT 1 FROM pays p WHERE p.tx_id = r.tx_id AND abs(epoch_us(p.pay_ts) - epoch_us(r.receipt_ts)) <= 21600000000)""",
-    "pays", "rcpts"))
+J1_SQL = dm.with_ctes("""SELECT tx_id, coalesce(pay_seq, p_pay_seq) AS pay_seq, coalesce(pay_ts, p_pay_ts) AS pay_ts,
+  coalesce(receipt_seq, p_receipt_seq) AS receipt_seq, coalesce(receipt_ts, p_receipt_ts) AS receipt_ts, 'match' AS outcome FROM placed WHERE n % 2 = 0
+UNION ALL SELECT tx_id, pay_seq, pay_ts, receipt_seq, receipt_ts, CASE WHEN side = 0 THEN 'single-order' ELSE 'single-receipt' END
+  FROM placed WHERE n % 2 = 1 AND n = last_n""", "pays", "rcpts", extra={
+    "rows_": """SELECT tx_id, 0 AS side, pay_ts AS t, pay_seq AS s, pay_seq, pay_ts, CAST(NULL AS BIGINT) AS receipt_seq, CAST(NULL AS TIMESTAMP) AS receipt_ts FROM pays
+  UNION ALL SELECT tx_id, 1, receipt_ts, receipt_seq, NULL, NULL, receipt_seq, receipt_ts FROM rcpts""",
+    "linked": """SELECT *, lag(pay_seq) OVER w AS p_pay_seq, lag(pay_ts) OVER w AS p_pay_ts, lag(receipt_seq) OVER w AS p_receipt_seq, lag(receipt_ts) OVER w AS p_receipt_ts,
+  CASE WHEN lag(side) OVER w <> side AND epoch_us(t) - epoch_us(lag(t) OVER w) <= 21600000000 THEN 0 ELSE 1 END AS head FROM rows_
+  WINDOW w AS (PARTITION BY tx_id ORDER BY t, side, s)""",
+    "chained": "SELECT *, sum(head) OVER (PARTITION BY tx_id ORDER BY t, side, s ROWS UNBOUNDED PRECEDING) AS chain FROM linked",
+    "placed": """SELECT *, row_number() OVER (PARTITION BY tx_id, chain ORDER BY t, side, s) AS n, count(*) OVER (PARTITION BY tx_id, chain) AS last_n FROM chained"""})
+
+
+@query("j1_tx_reconcile", J1_SQL)
 def j1_tx_reconcile(spark, sf):
     pays, receipts = dm.pays_and_receipts(spark, sf)
     return reconcile.interval_reconcile(pays, receipts, "tx_id", bound_seconds=6 * HOUR,
                                         left_cols=["pay_seq", "pay_ts"], right_cols=["receipt_seq", "receipt_ts"],
-                                        lts="pay_ts", rts="receipt_ts")
+                                        lts="pay_ts", rts="receipt_ts", lseq="pay_seq", rseq="receipt_seq")
 
 
 @query("j2_order_outcome", dm.with_ctes("""SELECT user_id, week_start,

@@ -80,15 +80,22 @@ SENSOR_SQL = """SELECT 'sensor_' || CAST(user_id % 10 AS VARCHAR) AS id, ts,
   CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS ts_sec, value AS temperature, event_id AS seq FROM events"""
 
 
-def ad_click(spark, sf) -> DataFrame:
-    e = events(spark, sf)
-    nation = load_table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("province"))
+def raw_clicks(spark, sf) -> DataFrame:
+    """Ad clicks before their province is looked up."""
+    return events(spark, sf).select("user_id", (_k() % 2).alias("ad_id"), "ts", F.col("event_id").alias("seq"))
+
+
+def with_province(spark, sf, clicks: DataFrame) -> DataFrame:
     # nation is a fixed 25-row dimension: Catalyst broadcasts it from its file size
-    c = e.select("user_id", (_k() % 2).alias("ad_id"), (F.col("user_id") % 25).cast("int").alias("_nk"),
-                 "ts", F.col("event_id").alias("seq"))
+    nation = load_table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("province"))
+    c = clicks.withColumn("_nk", (F.col("user_id") % 25).cast("int"))
     return c.join(nation, c["_nk"] == nation["n_nationkey"], "inner").drop("_nk", "n_nationkey")
 
 
+def ad_click(spark, sf) -> DataFrame:
+    return with_province(spark, sf, raw_clicks(spark, sf))
+
+
 AD_SQL = f"""SELECT user_id, {K_SQL} % 2 AS ad_id, ts, event_id AS seq, n_name AS province
   FROM events JOIN nation ON n_nationkey = user_id % 25"""
 

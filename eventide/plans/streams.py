@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.operators import transform
+from eventide.operators import capping, reconcile, transform
 from eventide.plans import catalog as C
 from eventide.plans import domain as dm
 from eventide.sources.text import document_lines, stream_lines
-from eventide.streaming import forms, stateful
+from eventide.streaming import forms, stateful, tables
 from eventide.streaming.replay import read_replay, run_to_parquet, write_replay
 
 FAR = "2100-01-01 00:00:00"
@@ -35,9 +35,9 @@ def _far():
 
 
 def _replayed(spark, df, order_col, **sentinel):
-    folder = write_replay(df, order_col, chunks=REPLAY_CHUNKS,
+    replay = write_replay(df, order_col, chunks=REPLAY_CHUNKS,
                           sentinel=_sentinel(df, **sentinel) if sentinel else None)
-    return read_replay(spark, folder, df.schema)
+    return read_replay(spark, replay, df.schema)
 
 
 def _register(name, fn):
@@ -48,16 +48,8 @@ def _register(name, fn):
 
 def s1_text_lines_stream(spark, sf):
     """Line stream over text files arriving in a folder."""
-    lines = document_lines(dm.load_table(spark, sf, "documents"))
-    # one text file per chunk of documents; line identity travels in the text
-    enc = lines.select("doc_id", F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("line_no").cast("string"),
-                                             "line").alias("value"))
-    folder = write_replay(enc, "doc_id", fmt="text", write_cols=["value"])
-    stream = stream_lines(spark, folder, max_files_per_trigger=1)
-    parts = F.split(F.col("value"), "\t", 3)
-    parsed = stream.select(parts.getItem(0).cast("bigint").alias("doc_id"),
-                           parts.getItem(1).cast("int").alias("line_no"), parts.getItem(2).alias("line"))
-    return run_to_parquet(parsed)
+    replay = write_replay(C.encoded_lines(spark, sf), "doc_id", fmt="text", write_cols=["value"])
+    return run_to_parquet(C.decoded_lines(stream_lines(spark, replay.folder, max_files_per_trigger=replay.files)))
 
 
 def a5_window_count_sliding_stream(spark, sf):
@@ -85,11 +77,11 @@ def j1_tx_reconcile_stream(spark, sf):
     pays, receipts = dm.pays_and_receipts(spark, sf)
     p = _replayed(spark, pays, "pay_seq", tx_id=F.lit(-1).cast("bigint"), pay_ts=_far())
     r = _replayed(spark, receipts, "receipt_seq", tx_id=F.lit(-1).cast("bigint"), receipt_ts=_far())
-    p = p.withColumn("pay_ts_e", F.col("pay_ts").cast("timestamp")).withWatermark("pay_ts_e", "0 seconds")
-    r = r.withColumn("receipt_ts_e", F.col("receipt_ts").cast("timestamp")).withWatermark("receipt_ts_e", "0 seconds")
-    j = forms.interval_join_stream(p, r, "tx_id", 6 * 3600, lts="pay_ts", rts="receipt_ts",
-                                   left_cols=["pay_seq", "pay_ts"], right_cols=["receipt_seq", "receipt_ts"])
-    return run_to_parquet(j).filter(F.col("tx_id") != -1)
+    out = stateful.reconcile_stream(
+        forms.event_time(p, "pay_ts", 0), forms.event_time(r, "receipt_ts", 0), "tx_id", within_seconds=6 * 3600,
+        lts="pay_ts", rts="receipt_ts", lseq="pay_seq", rseq="receipt_seq",
+        tags=(reconcile.MATCH, reconcile.SINGLE_ORDER, reconcile.SINGLE_RECEIPT))
+    return run_to_parquet(out).filter(F.col("tx_id") != -1)
 
 
 def q6_temp_jump_stream(spark, sf):
@@ -122,8 +114,9 @@ def b1_capped_clicks_stream(spark, sf):
 def f5_expr_select_filter_stream(spark, sf):
     """A SQL view over a stream, emitted as an append stream."""
     s = _replayed(spark, dm.sensor(spark, sf), "seq")
-    s.createOrReplaceTempView("sensor_stream")
-    return run_to_parquet(spark.sql("SELECT id, ts_sec AS timestamp FROM sensor_stream WHERE id = 'sensor_1'"))
+    with sql_view(s, "sensor_stream") as view:
+        selected = spark.sql(f"SELECT id, ts_sec AS timestamp FROM {view} WHERE id = 'sensor_1'")
+    return run_to_parquet(selected)
 
 
 for _name, _fn in [("s1_text_lines", s1_text_lines_stream), ("a5_window_count_sliding", a5_window_count_sliding_stream),
@@ -140,9 +133,8 @@ from pyspark.sql import types as T  # noqa: E402
 
 from eventide.functions.hashing import bloom_offset  # noqa: E402
 from eventide.operators import aggregate as agg  # noqa: E402
-from eventide.session import scratch_path  # noqa: E402
+from eventide.session import scratch_path, sql_view  # noqa: E402
 from eventide.sinks import files as sink_files  # noqa: E402
-from eventide.sinks import records as sink_records  # noqa: E402
 from eventide.streaming import generic  # noqa: E402
 
 
@@ -254,24 +246,11 @@ def s8_rolling_file_sink_stream(spark, sf):
 
 
 def s10_latest_by_key_stream(spark, sf):
-    """S10 on a stream: every micro-batch is merged into the keyed table
-    (UPDATE when the key exists, INSERT otherwise) by ``foreachBatch``; each
-    version is written under its batch id, so a replayed batch rewrites the
-    same version (idempotent)."""
+    """S10 on a stream: every micro-batch merged into a keyed table."""
     s = _replayed(spark, dm.sensor(spark, sf), "seq")
-    root, ckpt = scratch_path(spark, "s10-table"), scratch_path(spark, "s10-ckpt")
-    current = {"path": None}
-
-    def merge(batch, batch_id):
-        cur = spark.read.parquet(current["path"]) if current["path"] else None
-        merged = sink_records.upsert_latest_batch(cur, batch, ["id"], ["temperature", "ts_sec"], ["ts", "seq"])
-        path = f"{root}/v{batch_id:08d}"
-        merged.write.mode("overwrite").parquet(path)
-        current["path"] = path
-
-    q = s.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(current["path"]).select("id", "temperature", "ts_sec")
+    table = tables.upsert_stream(s, scratch_path(spark, "s10-table"), scratch_path(spark, "s10-ckpt"), ["id"],
+                                 ["temperature", "ts_sec"], ["ts", "seq"])
+    return table.read().select("id", "temperature", "ts_sec")
 
 
 def a2_word_count_update_stream(spark, sf):
@@ -282,21 +261,9 @@ def a2_word_count_update_stream(spark, sf):
                       drop_empty=True)
     s = _replayed(spark, toks, "doc_id")
     counts = s.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    root, ckpt = scratch_path(spark, "a2-table"), scratch_path(spark, "a2-ckpt")
-    current = {"path": None}
-
-    def merge(batch, batch_id):
-        b = batch.withColumn("_v", F.lit(batch_id))
-        cur = spark.read.parquet(current["path"]) if current["path"] else None
-        merged = sink_records.upsert_latest_batch(cur, b, ["word"], ["cnt"], ["_v"])
-        path = f"{root}/v{batch_id:08d}"
-        merged.write.mode("overwrite").parquet(path)
-        current["path"] = path
-
-    q = (counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(current["path"]).select("word", "cnt")
+    table = tables.upsert_stream(counts, scratch_path(spark, "a2-table"), scratch_path(spark, "a2-ckpt"), ["word"], ["cnt"],
+                                 output_mode="update")
+    return table.read().select("word", "cnt")
 
 
 for _name, _fn in [("a3_rolling_min_by", a3_rolling_min_by_stream), ("a4_rolling_reduce", a4_rolling_reduce_stream),
@@ -335,46 +302,17 @@ def b2_black_list_stream(spark, sf):
     s = _replayed(spark, ad, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far())
     out = run_to_parquet(stateful.daily_cap_stream(forms.event_time(s, "ts", 0), 2))
     return (out.filter((F.col("user_id") != -1) & (F.col("click_no") == 3))
-            .select("user_id", "ad_id", "day", F.lit("black user: 2 times today").alias("warning")))
+            .select("user_id", "ad_id", "day", F.lit(f"{capping.BLACK_LIST_PREFIX}2{capping.BLACK_LIST_SUFFIX}").alias("warning")))
 
 
 def r5_retract_topn_stream(spark, sf):
-    """The top-N table as a retract stream.  Window counts arrive in update
-    mode; ``foreachBatch`` re-ranks only the windows touched by the batch and
-    appends ``(false, old row)`` / ``(true, new row)`` for every change of the
-    top-N table.  Returned: the net of the changelog, i.e. the final table."""
-    from eventide.operators import topk
-
+    """The top-N table as a retract stream; returned is the net of its change log, the final table (the log
+    itself is held against every batch's table in the tests)."""
     pv = dm.pageviews(spark, sf)
     s = _replayed(spark, pv, "seq", item_id=F.lit(-1).cast("bigint"), ts=_far())
     counts = forms.window_count_stream(forms.event_time(s, "ts", 0), ["item_id"], "1 hour", "5 minutes") \
-        .select("window_end", "item_id", "cnt")
-    root, ckpt, log = scratch_path(spark, "r5-state"), scratch_path(spark, "r5-ckpt"), scratch_path(spark, "r5-log")
-    cur = {"counts": None, "top": None}
-
-    def step(batch, batch_id):
-        b = batch.filter(F.col("item_id") != -1).withColumn("_v", F.lit(batch_id))
-        old_counts = spark.read.parquet(cur["counts"]) if cur["counts"] else None
-        counts_now = sink_records.upsert_latest_batch(old_counts, b, ["window_end", "item_id"], ["cnt"], ["_v"])
-        cpath = f"{root}/counts-v{batch_id:08d}"
-        counts_now.write.mode("overwrite").parquet(cpath)
-        counts_now = spark.read.parquet(cpath)
-        touched = b.select("window_end").distinct()
-        new_top = topk.top_n(counts_now.join(touched, "window_end", "left_semi"), ["window_end"],
-                             [F.col("cnt").desc(), F.col("item_id")], 5).select("window_end", "item_id", "cnt", "rank")
-        old_all = spark.read.parquet(cur["top"]) if cur["top"] else new_top.limit(0)
-        old_top = old_all.join(touched, "window_end", "left_semi")
-        changes = (old_top.exceptAll(new_top).withColumn("flag", F.lit(False))
-                   .unionByName(new_top.exceptAll(old_top).withColumn("flag", F.lit(True))))
-        changes.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")  # idempotent per batch
-        tpath = f"{root}/top-v{batch_id:08d}"
-        old_all.join(touched, "window_end", "left_anti").unionByName(new_top).write.mode("overwrite").parquet(tpath)
-        cur["counts"], cur["top"] = cpath, tpath
-
-    q = (counts.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    changelog = spark.read.schema("window_end timestamp_ntz, item_id long, cnt long, rank long, flag boolean").parquet(log)
+        .select("window_end", "item_id", "cnt").filter(F.col("item_id") != -1)
+    changelog = tables.retract_topn_stream(counts, scratch_path(spark, "r5"), scratch_path(spark, "r5-ckpt"), "window_end", "item_id", 5)
     net = changelog.groupBy("window_end", "item_id", "cnt", "rank").agg(
         F.sum(F.when(F.col("flag"), 1).otherwise(-1)).alias("_net"))
     return net.filter(F.col("_net") == 1).drop("_net")
@@ -460,27 +398,12 @@ EVENTS_ARRIVAL_SQL = f"SELECT event_id, ts, {dm.ARRIVAL_SQL} AS arrival FROM eve
 
 
 def l4_late_routing_stream(spark, sf):
-    """L4 on a stream: every micro-batch is routed against the watermark held
-    on the driver (one number: max event time so far - delay), then the
-    watermark advances by the batch's max event time."""
+    """L4 on a stream: every micro-batch is routed against the watermark that the
+    batches before it left, then the watermark advances."""
     e = dm.events(spark, sf).select("event_id", "ts", dm._arrival())
     s = _replayed(spark, e, "arrival")
-    out, ckpt = scratch_path(spark, "l4-out"), scratch_path(spark, "l4-ckpt")
-    held = {"max_ts": None}
-
-    def route(batch, batch_id):
-        wm = F.lit(held["max_ts"]).cast("timestamp_ntz") - F.expr("INTERVAL 3600 SECONDS")
-        routed = late_ops.route_by_watermark(batch.withColumn("wm", wm), "ts", "1 hour")
-        # one folder per batch id, overwritten: a retried batch rewrites its own output
-        routed.select("event_id", "ts", "wm", "channel").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        mx = batch.agg(F.max("ts")).first()[0]
-        if mx is not None and (held["max_ts"] is None or mx > held["max_ts"]):
-            held["max_ts"] = mx
-
-    q = s.writeStream.foreachBatch(route).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
-    back = spark.read.schema("event_id long, ts timestamp_ntz, wm timestamp_ntz, channel string").parquet(out)
-    return back.select("event_id", "ts", "wm", "channel")
+    routed = tables.route_late_stream(s, scratch_path(spark, "l4"), scratch_path(spark, "l4-ckpt"), "ts", "1 hour", delay_seconds=3600)
+    return routed.select("event_id", "ts", "wm", "channel")
 
 
 def k3_topn_pages_late_stream(spark, sf):
@@ -494,21 +417,9 @@ def k3_topn_pages_late_stream(spark, sf):
     s = _replayed(spark, get, "arrival", url=F.lit("~sentinel"), ts=_far())
     counts = forms.window_count_stream(forms.event_time(s, "ts", 63), ["url"], "1 hour", "5 minutes") \
         .select("url", "window_end", "cnt")
-    root, ckpt = scratch_path(spark, "k3-table"), scratch_path(spark, "k3-ckpt")
-    current = {"path": None}
-
-    def merge(batch, batch_id):
-        b = batch.withColumn("_v", F.lit(batch_id))
-        cur = spark.read.parquet(current["path"]) if current["path"] else None
-        merged = sink_records.upsert_latest_batch(cur, b, ["url", "window_end"], ["cnt"], ["_v"])
-        path = f"{root}/v{batch_id:08d}"
-        merged.write.mode("overwrite").parquet(path)
-        current["path"] = path
-
-    q = (counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    final = spark.read.parquet(current["path"]).filter(F.col("url") != "~sentinel")
+    table = tables.upsert_stream(counts, scratch_path(spark, "k3-table"), scratch_path(spark, "k3-ckpt"), ["url", "window_end"], ["cnt"],
+                                 output_mode="update")
+    final = table.read().filter(F.col("url") != "~sentinel")
     ranked = topk.top_n(final, ["window_end"], [F.col("cnt").desc(), F.col("url")], 5)
     return ranked.select("window_end", "url", "cnt", "rank")
 
@@ -529,9 +440,9 @@ C.ORACLES["k3_topn_pages_late_stream"] = dm.with_ctes(f"""SELECT window_end, url
 def a12_sql_window_count_stream(spark, sf):
     """A12 / R3 on a stream: the same SQL text over a streaming temp view."""
     s = _replayed(spark, dm.pageviews(spark, sf), "seq", item_id=F.lit(-1).cast("bigint"), ts=_far())
-    forms.event_time(s, "ts", 0).createOrReplaceTempView("user_behavior_stream")
-    out = spark.sql("""SELECT item_id, CAST(window.end AS TIMESTAMP_NTZ) AS window_end, count(*) AS cnt
-        FROM user_behavior_stream WHERE behavior = 'pv' GROUP BY item_id, window(ets, '1 hour', '5 minutes')""")
+    with sql_view(forms.event_time(s, "ts", 0), "user_behavior_stream") as view:
+        out = spark.sql(f"""SELECT item_id, CAST(window.end AS TIMESTAMP_NTZ) AS window_end, count(*) AS cnt
+            FROM {view} WHERE behavior = 'pv' GROUP BY item_id, window(ets, '1 hour', '5 minutes')""")
     return run_to_parquet(out).filter(F.col("item_id") != -1)
 
 

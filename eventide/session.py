@@ -1,15 +1,20 @@
 """Session construction and the shared scratch/checkpoint location.
 
 On a cluster the shared folder comes from ``spark.checkpoint.dir`` (set by the
-cluster).  Only when nothing is configured -- tests on one machine -- do we
-create a private folder under the system temp directory.
+cluster).  Only on a ``local`` master, where every task shares the machine, is a
+private folder under the system temp directory made when nothing is configured;
+any other master without a shared folder is an error.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -24,8 +29,6 @@ DEFAULT_CONF = {
     # Sliding windows and carry tables are small; let AQE turn shuffle joins
     # into broadcast joins only from measured runtime sizes.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    # checkpoint files of chained passes are removed once unreferenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -51,7 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``SparkContext.getCheckpointDir`` or
-    ``spark.checkpoint.dir``); set a private one only when neither is set.
+    ``spark.checkpoint.dir``); a private one is made only where neither is set
+    and the master is local.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,15 +63,42 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="eventide-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, "eventide", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path under this application's folder in the shared
+    checkpoint folder; the folder goes when the Python process ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = os.path.join(checkpoint_root(spark), "eventide", uuid.uuid4().hex[:12])
+        atexit.register(_drop_folder, spark.sparkContext._jvm, _SCRATCH[app])
+    return os.path.join(_SCRATCH[app], f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _drop_folder(jvm, folder: str) -> None:
+    """Delete a scratch folder at exit, through whatever file system it is in; with the JVM gone it stays."""
+    with contextlib.suppress(Exception):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def sql_view(df, name: str) -> Iterator[str]:
+    """A temporary view of a name that no other query in the session has; dropped after the plan is built."""
+    view = f"{name}_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    try:
+        yield view
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def materialize(df):
@@ -118,18 +149,3 @@ def input_bytes(spark: SparkSession, paths) -> int:
         path = jvm.org.apache.hadoop.fs.Path(p)
         total += path.getFileSystem(conf).getContentSummary(path).getLength()
     return int(total)
-
-
-def size_for_input(spark: SparkSession, paths, *, target_partition_mb: int = 200,
-                   expansion: float = 3.0) -> int:
-    """Size shuffles and scans from the input size so partitions fit executor
-    memory at any scale: shuffle partitions = input x expansion (decompressed
-    Parquet, window fan-out) / target size (at least 200); AQE coalesces
-    small ones and splits skewed join partitions above 4x the target.  Returns
-    the shuffle partition count it set."""
-    n = max(200, int(input_bytes(spark, paths) * expansion / (target_partition_mb << 20)) + 1)
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{min(512, 2 * target_partition_mb)}m")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{target_partition_mb}m")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", f"{4 * target_partition_mb}m")
-    return n

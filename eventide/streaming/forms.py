@@ -14,8 +14,8 @@ from eventide.operators.windows import duration_seconds
 
 def event_time(df: DataFrame, ts: str = "ts", delay="0 seconds", name: str = "ets") -> DataFrame:
     """L1/L2: TIMESTAMP event-time column with a bounded-disorder watermark
-    (``0 seconds`` = ascending timestamps)."""
-    d = duration_seconds(delay) if not isinstance(delay, str) or delay[0].isdigit() else 0
+    (``0 seconds`` = ascending timestamps); an unreadable delay is an error."""
+    d = duration_seconds(delay)
     return df.withColumn(name, F.col(ts).cast("timestamp")).withWatermark(name, f"{d} seconds")
 
 
@@ -70,21 +70,3 @@ def distinct_count_stream(df: DataFrame, value: str, size, *, ets: str = "ets")
              .select(F.window_time("w").alias("wt"), F.col("w.start").alias("ws"), F.col("w.end").alias("we")))
     return pairs.groupBy("wt", "ws", "we").agg(F.count(F.lit(1)).alias("uv")).select(
         _ntz(F.col("ws")).alias("window_start"), _ntz(F.col("we")).alias("window_end"), "uv")
-
-
-def interval_join_stream(left: DataFrame, right: DataFrame, key: str, bound_seconds: float, *,
-                         lts: str, rts: str, left_cols: Sequence[str], right_cols: Sequence[str]) -> DataFrame:
-    """J1 (stream): full outer stream-stream join on ``key`` with
-    ``|l.ts - r.ts| <= bound``; the state of both sides is evicted by the
-    watermarks, and unmatched rows come out once they can no longer match."""
-    us = int(round(bound_seconds * 1_000_000))
-    L, R = left.alias("l"), right.alias("r")
-    cond = ((F.col(f"l.{key}") == F.col(f"r.{key}"))
-            & (F.col(f"r.{rts}_e") >= F.col(f"l.{lts}_e") - F.expr(f"INTERVAL {us} MICROSECONDS"))
-            & (F.col(f"r.{rts}_e") <= F.col(f"l.{lts}_e") + F.expr(f"INTERVAL {us} MICROSECONDS")))
-    j = L.join(R, cond, "full_outer")
-    outcome = (F.when(F.col(f"l.{key}").isNotNull() & F.col(f"r.{key}").isNotNull(), F.lit("match"))
-               .when(F.col(f"l.{key}").isNotNull(), F.lit("single-left")).otherwise(F.lit("single-right")))
-    return j.select(F.coalesce(F.col(f"l.{key}"), F.col(f"r.{key}")).alias(key),
-                    *[F.col(f"l.{c}") for c in left_cols], *[F.col(f"r.{c}") for c in right_cols],
-                    outcome.alias("outcome"))

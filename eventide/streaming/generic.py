@@ -53,15 +53,18 @@ class RunningProcessor(StatefulProcessor):
                 c = v.notna().astype("int64").cumsum() + int(carry.get(out, 0))
                 df[out], new[out] = c, int(c.iloc[-1])
             elif kind == "sum":
-                c = v.fillna(0).cumsum() + float(carry.get(out, 0.0))
-                df[out], new[out] = c, float(c.iloc[-1])
+                v = v if v.dtype.kind in "iu" else v.astype("Int64") if _whole(v) else v.astype("float64")
+                c = v.fillna(0).cumsum() + carry.get(out, 0)
+                df[out], new[out] = c, _py(c.iloc[-1])
             elif kind in ("min", "max"):
-                prev = carry.get(out)
-                series = pd.concat([pd.Series([np.nan if prev is None else prev]), v], ignore_index=True)
-                acc = series.cummin() if kind == "min" else series.cummax()
-                df[out] = acc.iloc[1:].to_numpy()
+                prev = carry.get(out)  # whole numbers stay whole: a long beyond 2**53 would not survive a float
+                kind_ = "Int64" if _whole(v) and (prev is None or isinstance(prev, int)) else "float64"
+                series = pd.concat([pd.Series([pd.NA if kind_ == "Int64" and prev is None else np.nan if prev is None else prev], dtype=kind_),
+                                    v.astype(kind_)], ignore_index=True)
+                acc = (series.cummin() if kind == "min" else series.cummax()).ffill()
+                df[out] = acc.iloc[1:].to_numpy(dtype=object, na_value=None)
                 last = acc.iloc[-1]
-                new[out] = None if pd.isna(last) else float(last)
+                new[out] = None if pd.isna(last) else _py(last)
             elif kind == "min_by":  # whole row of the smallest value; the earliest wins ties
                 payload = spec[3]
                 prev = carry.get(out)  # [value, payload...]
@@ -84,6 +87,10 @@ class RunningProcessor(StatefulProcessor):
         pass
 
 
+def _whole(v: pd.Series) -> bool:
+    return v.dtype.kind in "iu" or str(v.dtype) in ("Int64", "Int32")
+
+
 def _py(x):
     return x.item() if hasattr(x, "item") else x
 
@@ -151,7 +158,8 @@ class CountWindowProcessor(StatefulProcessor):
         vals = pd.Series(tail + df[self.value].astype("float64").tolist())
         pos = np.arange(n0 - len(tail) + 1, n0 + len(df) + 1)  # 1-based positions of vals
         roll = vals.rolling(self.size, min_periods=1)
-        res = pd.DataFrame({"end_pos": pos, "cnt": roll.count().astype("int64"), "max_value": roll.max(),
+        # a window counts rows; a null value is a row too
+        res = pd.DataFrame({"end_pos": pos, "cnt": np.minimum(pos, self.size), "max_value": roll.max(),
                             "min_value": roll.min()})
         fire = (res["end_pos"] > n0) & (res["end_pos"] % self.slide == 0)
         if self.full_only:

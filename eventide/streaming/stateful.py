@@ -389,6 +389,83 @@ def rising_alerts_stream(df: DataFrame, interval_seconds: float) -> DataFrame:
     return out.select("id", ts("start_us").alias("rise_start_ts"), ts("alert_us").alias("alert_ts"))
 
 
+# ------------------------------------------------- J1 one-to-one reconciliation
+COLS_J1 = ["tx_id", "l_seq", "l_us", "r_seq", "r_us", "outcome"]
+
+
+class ReconcileProcessor(StatefulProcessor):
+    """Rows wait in a buffer until the watermark has passed their time, so
+    they are paired in event time whatever order they came in; then one slot
+    holds the row that waits for a partner.  A row pairs with the waiting one if
+    that is of the other side and at most ``within`` older, else it takes the slot
+    and the one before goes out single -- at the latest when its time is up."""
+
+    def __init__(self, within_us: int, tags: tuple[str, str, str]):
+        self.within, self.tags = within_us, tags
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", "ts_us long, side int, seq long")
+        self.slot = handle.getValueState("slot", "ts_us long, side int, seq long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            self.buffer.appendList(list(frame[["ts_us", "side", "seq"]].itertuples(index=False, name=None)))
+            self.handle.registerTimer(_ms_ceil(int(frame["ts_us"].max())) + 1)
+        yield pd.DataFrame([], columns=COLS_J1)
+
+    def _single(self, key, row) -> tuple:
+        ts, side, seq = row
+        return (key[0], None, None, seq, ts, self.tags[2]) if side else (key[0], seq, ts, None, None, self.tags[1])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        held = [tuple(r) for r in self.buffer.get()]
+        got = self.slot.get()
+        wait, out = None if got is None else tuple(got), []
+        for row in sorted(r for r in held if r[0] < now):
+            if wait is not None and wait[1] != row[1] and row[0] - wait[0] <= self.within:
+                left, right = (wait, row) if row[1] else (row, wait)
+                out.append((key[0], left[2], left[0], right[2], right[0], self.tags[0]))
+                wait = None
+            else:
+                if wait is not None:
+                    out.append(self._single(key, wait))
+                wait = row
+        if wait is not None and wait[0] + self.within < now:
+            out.append(self._single(key, wait))
+            wait = None
+        rest = [r for r in held if r[0] >= now]
+        self.buffer.clear()
+        if rest:
+            self.buffer.put(rest)
+        if wait is None:
+            self.slot.clear()
+        else:
+            self.slot.update(wait)
+            self.handle.registerTimer(_ms_ceil(wait[0] + self.within) + 1)
+        yield pd.DataFrame(out, columns=COLS_J1)
+
+    def close(self) -> None:
+        pass
+
+
+def reconcile_stream(left: DataFrame, right: DataFrame, key: str, *, within_seconds: float, lts: str, rts: str, lseq: str, rseq: str,
+                     tags: tuple[str, str, str]) -> DataFrame:
+    """J1 on two streams with watermarks on ``ets``; output as ``operators.reconcile.interval_reconcile``."""
+    use_rocksdb(left.sparkSession)
+    side = lambda d, no, ts, seq: d.select(
+        F.col(key).alias("tx_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"), F.lit(no).alias("side"),
+        F.col(seq).alias("seq"), "ets")
+    out = side(left, 0, lts, lseq).unionByName(side(right, 1, rts, rseq)).groupBy("tx_id").transformWithStateInPandas(
+        statefulProcessor=ReconcileProcessor(int(round(within_seconds * 1_000_000)), tags),
+        outputStructType=f"tx_id {left.schema[key].dataType.simpleString()}, l_seq long, l_us long, r_seq long, r_us long, outcome string",
+        outputMode="Append", timeMode="EventTime")
+    when = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+    return out.select(F.col("tx_id").alias(key), F.col("l_seq").alias(lseq), when("l_us").alias(lts), F.col("r_seq").alias(rseq),
+                      when("r_us").alias(rts), "outcome")
+
+
 # Processors are pickled by value: their code travels with the query, so the
 # Python runners (including the driver-side transformWithState runner, which
 # unpickles before any shipped py-file is on its path) never import eventide.

@@ -22,7 +22,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.catalog.ORACLES) == set(E.catalog.QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -44,9 +45,4 @@ def check(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if not n.endswith("_stream")))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF001)
-    rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    assert sorted(df.columns) == sorted(ocols)
-    assert canon(df.columns, rows) == canon(ocols, res.fetchall())
+    check(spark, duck, name)

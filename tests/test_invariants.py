@@ -27,9 +27,10 @@ def test_cap_passes_plus_drops_is_input(spark):
 
     total = dm.ad_click(spark, SF001).count()
     passed = q(spark, "b1_capped_clicks").count()
-    from eventide.plans.catalog import _click_positions
+    from eventide.operators import capping
 
-    dropped = _click_positions(spark, SF001).filter(F.col("click_no") > 2).count()
+    every = capping.first_clicks(dm.raw_clicks(spark, SF001), ["user_id", "ad_id"], "ts", "seq", 1 << 30)
+    dropped = every.filter(F.col("click_no") > 2).count()
     assert passed + dropped == total
     assert q(spark, "b2_black_list").count() <= dropped
 
@@ -42,7 +43,7 @@ def test_reconcile_outcomes_partition_rows(spark):
     left_seen = out.filter(F.col("pay_seq").isNotNull()).select("pay_seq").distinct().count()
     right_seen = out.filter(F.col("receipt_seq").isNotNull()).select("receipt_seq").distinct().count()
     assert left_seen == pays.count() and right_seen == receipts.count()
-    singles = out.filter(F.col("outcome") == "single-left").select("pay_seq")
+    singles = out.filter(F.col("outcome") == "single-order").select("pay_seq")
     matched = out.filter(F.col("outcome") == "match").select("pay_seq")
     assert singles.intersect(matched).count() == 0
 

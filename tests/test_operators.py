@@ -159,9 +159,9 @@ def test_interval_reconcile_outcomes(spark):
                                   "tx string, rseq long, rts timestamp_ntz")
     got = sorted((r.tx, r.outcome) for r in reconcile.interval_reconcile(
         pays, rcpts, "tx", bound_seconds=5, left_cols=["pseq", "pts"], right_cols=["rseq", "rts"],
-        lts="pts", rts="rts").collect())
-    assert got == [("t1", "match"), ("t2", "single-left"), ("t2", "single-right"), ("t3", "single-left"),
-                   ("t4", "single-right")]
+        lts="pts", rts="rts", lseq="pseq", rseq="rseq").collect())
+    assert got == [("t1", "match"), ("t2", "single-order"), ("t2", "single-receipt"), ("t3", "single-order"),
+                   ("t4", "single-receipt")]
 
 
 def test_cap_around_local_midnight(spark):
@@ -169,11 +169,12 @@ def test_cap_around_local_midnight(spark):
     base = dt.datetime(2024, 3, 1, 15, 59, 58)
     rows = [(1, 7, base + dt.timedelta(seconds=i), i, "p") for i in range(4)]
     df = spark.createDataFrame(rows, "user_id long, ad_id long, ts timestamp_ntz, seq long, province string")
-    pos = capping.click_positions(df, ["user_id", "ad_id"], "ts", "seq", slice_col=time_slice("ts", 1))
+    by = (["user_id", "ad_id"], "ts", "seq")
+    pos = capping.first_clicks(df, *by, 9)
     got = sorted((r.seq, str(r.day), r.click_no) for r in pos.collect())
     assert got == [(0, "2024-03-01", 1), (1, "2024-03-01", 2), (2, "2024-03-02", 1), (3, "2024-03-02", 2)]
-    assert capping.cap_clicks(pos, 1).count() == 2
-    assert capping.black_list(pos, ["user_id", "ad_id"], 1).count() == 2
+    assert capping.cap_clicks(df, *by, 1).count() == 2
+    assert capping.black_list(df, *by, 1).count() == 2
 
 
 def test_late_routing_and_lateness(spark):

@@ -77,14 +77,41 @@ def test_running_without_keys_is_global(frame):
     assert sorted(r.c for r in got.collect()) == list(range(1, frame.count() + 1))
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
 @pytest.mark.parametrize("descending", [False, True])
-def test_keyless_running_uses_two_level_carry(spark, frame, descending, monkeypatch):
-    """Tiny super-slices force both carry levels; results equal a global window."""
-    monkeypatch.setattr(ordered, "SUPER_SLICE", 2)
-    sl = F.col("seq").cast("bigint")  # one row per slice
-    got = ordered.running(frame, [], ["seq"], sl, [("c", "count", F.col("v")), ("mx", "max", F.col("v"))],
+@pytest.mark.parametrize("spread", [1, 37, -(10 ** 12)])
+def test_hierarchy_holds_for_dense_sparse_and_negative_slices(spark, frame, keys, descending, spread, monkeypatch):
+    """Groups of two slices force every level of the carry; results equal a plain window whatever the slice numbers."""
+    monkeypatch.setattr(ordered, "FAN_IN", 2)
+    frame = frame.withColumn("at", (F.col("seq") * abs(spread) + min(spread, 0) * 100).cast("bigint"))
+    sl = F.col("at")  # one row per slice
+    order = F.col("at").desc() if descending else F.col("at")
+    w = Window.partitionBy(*keys).orderBy(order)
+    upto = w.rowsBetween(Window.unboundedPreceding, -1)
+    got = ordered.running(frame, keys, ["at"], sl, [("c", "count", F.col("v")), ("mx", "max", F.col("v"))],
                           exclusive=True, descending=descending)
-    order = F.col("seq").desc() if descending else F.col("seq")
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    exp = frame.select("seq", F.count("v").over(w).alias("c"), F.max("v").over(w).alias("mx"))
+    exp = frame.select("seq", F.count("v").over(upto).alias("c"), F.max("v").over(upto).alias("mx"))
     assert sorted(got.select("seq", "c", "mx").collect()) == sorted(exp.collect())
+    got = ordered.lag(frame, keys, ["at"], sl, {"p1": ("v", 1), "p2": ("seq", 2)}, descending=descending)
+    exp = frame.select("seq", F.lag("v", 1).over(w).alias("p1"), F.lag("seq", 2).over(w).alias("p2"))
+    assert sorted(got.select("seq", "p1", "p2").collect(), key=str) == sorted(exp.collect(), key=str)
+
+
+def test_no_window_of_the_carry_sees_more_than_the_fan_in(spark, monkeypatch):
+    """One key holds every row, slices are sparse: count what each window group below the top really gets."""
+    monkeypatch.setattr(ordered, "FAN_IN", 8)
+    rows = spark.range(512).select(F.lit("hot").alias("k"), (F.col("id") * 1000).alias("at"))
+    level = rows.select("at")
+    for _ in range(ordered.LEVELS):
+        level = level.withColumn("up", ordered._group_of_slices("at"))
+        assert level.groupBy("up").count().agg(F.max("count")).first()[0] <= 8
+        level = level.select(F.col("up").alias("at")).distinct()
+    got = ordered.running(rows, ["k"], ["at"], F.col("at"), [("c", "count", F.lit(1))])
+    assert sorted(r.c for r in got.collect()) == list(range(1, 513))
+
+
+def test_count_upto_keeps_rows_without_a_time(spark):
+    rows = spark.createDataFrame([("a", 1, True), ("a", None, True), ("a", 2, False)], "k string, t long, flag boolean")
+    rows = rows.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    got = ordered.count_upto(rows, ["k"], "ts", 5, 10, {"n": F.col("flag")})
+    assert sorted((r.t or 0, r.n) for r in got.collect()) == [(0, 0), (1, 1), (2, 1)]
