@@ -31,8 +31,8 @@ from eventide.llm.base import by_value, materialize, shuffle_width, texts
 from eventide.llm.graph import components
 
 CHUNK = 1 << 16  # shingles whose bits are counted at once
-HELD_LINKS = 1 << 20  # links that a task holds before it reduces them to a forest
-HELD_ROWS = 1 << 18
+HELD_LINKS = 1 << 18  # links that a task holds before it reduces them to a forest
+HELD_ROWS = 1 << 17
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -96,17 +96,26 @@ def _links_in_buckets(distance: int, most: int | None):
     is given, the rows of larger buckets handed back as (key, fp, true)."""
 
     def compare(bucket: np.ndarray, fp: np.ndarray, held: list) -> None:
-        """All pairs at growing lag within equal buckets; ``at`` shrinks to the rows whose bucket still reaches."""
+        """All pairs at growing lag within equal buckets; ``at`` shrinks to the rows whose bucket still reaches.  Rows that are
+        connected already add no link, so a chunk yields fewer links than it has rows."""
+        label = np.arange(len(fp))
         at, lag = np.arange(len(fp) - 1), 1
         while len(at):
             at = at[at + lag < len(fp)]
             at = at[bucket[at + lag] == bucket[at]]
             near = at[np.bitwise_count((fp[at] ^ fp[at + lag]).view(np.uint64)) <= distance]
-            if len(near):
-                held.append((fp[near], fp[near + lag]))
-                if sum(len(x) for x, _ in held) > HELD_LINKS:
-                    held[:] = [forest(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]))]
+            a, b = label[near], label[near + lag]
+            if (new := a != b).any():
+                node, root = forest(a[new], b[new])
+                joined = np.arange(len(fp))
+                joined[node] = root
+                label = joined[label]
             lag += 1
+        linked = np.flatnonzero(label != np.arange(len(fp)))
+        if len(linked):
+            held.append((fp[linked], fp[label[linked]]))
+        if sum(len(x) for x, _ in held) > HELD_LINKS and len(held) > 1:
+            held[:] = [forest(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]))]
 
     def out(a, b, hot) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), hot))], names=["a", "b", "hot"])
