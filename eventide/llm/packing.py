@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm.base import by_value, materialize, texts
 
-KNOWN_WORDS = 1_000_000  # words whose ids a worker remembers before it starts afresh
+ROWS = 128  # documents whose new chunks are tokenised together
 RANK_GROUP = 4096
 
 
@@ -38,39 +38,28 @@ def tokenize(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_
     """(doc_id, piece, start, length, ids_crc32) of every document's ids, cut at ``capacity``.
 
     The tokenizer cuts at white space, so a chunk between spaces or line ends always
-    has the same ids; each worker tokenises a chunk once and joins the id bytes."""
+    has the same ids; a worker process tokenises a chunk once (see ``word_cache``) and joins the id bytes."""
     d = texts(docs, id_col, text_col)
     kind = d.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
+        from eventide.llm.word_cache import learn
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        known: dict[str, bytes] = {"": b""}
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for b in batches:
-            out: dict[str, list] = {"at": [], "piece": [], "start": [], "length": [], "crc": []}
-            for k, t in enumerate(b.column(1)):
-                words = t.as_py().replace("\n", " ").split(" ")
-                new = list(set(words).difference(known))
-                if new:
-                    if len(known) + len(new) > KNOWN_WORDS:
-                        known.clear()
-                        known[""] = b""
-                        new = [w for w in set(words) if w]
-                    for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-                        known[w] = np.array(e.ids, "<u4").tobytes()
-                ids = b"".join(map(known.__getitem__, words)) + end
-                for p, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    for name, v in zip(out, (k, p, at // 4, len(part) // 4, zlib.crc32(part))):
-                        out[name].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(out["at"], pa.int64())), pa.array(out["piece"], pa.int32()), pa.array(out["start"], pa.int64()),
-                 pa.array(out["length"], pa.int64()), pa.array(out["crc"], pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        for whole in batches:
+            for b in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
+                out: dict[str, list] = {"at": [], "piece": [], "start": [], "length": [], "crc": []}
+                words = [t.as_py().replace("\n", " ").split(" ") for t in b.column(1)]
+                known = learn(tokenizer_path, set().union(*words))
+                for k, ws in enumerate(words):
+                    ids = b"".join(map(known.__getitem__, ws)) + end
+                    for p, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at:at + step]
+                        for name, v in zip(out, (k, p, at // 4, len(part) // 4, zlib.crc32(part))):
+                            out[name].append(v)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(out["at"], pa.int64())), pa.array(out["piece"], pa.int32()), pa.array(out["start"], pa.int64()),
+                     pa.array(out["length"], pa.int64()), pa.array(out["crc"], pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return d.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
