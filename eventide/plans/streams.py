@@ -470,3 +470,71 @@ for _name, _fn in [("a12_sql_window_count", a12_sql_window_count_stream), ("a6_w
                    ("w3_tumbling_global", w3_tumbling_global_stream),
                    ("q3b_login_fail_named_steps", q3b_login_fail_named_steps_stream)]:
     _register(_name, _fn)
+
+
+# ------------------------------------- arrival disorder (L2), B3, W4, L3
+# the replays' arrival order strays up to DISORDER_SPAN ids from event order; the delay covers that at every scale factor
+DISORDER_DELAY = 4 * 86400
+
+
+def _disordered(spark, sf, entity, **sentinel):
+    """An entity replayed in ``arrival`` order, its watermark that far behind."""
+    e = dm.events(spark, sf).select(F.col("event_id").alias("_eid"), dm._arrival())
+    df = entity.join(e, F.col("seq") == F.col("_eid")).drop("_eid")
+    s = _replayed(spark, df, "arrival", ts=_far(), **sentinel)
+    s = forms.event_time(s, "ts", DISORDER_DELAY)
+    return s.select(*[c for c in entity.columns if c != "ts"], _us("ts").alias("ts_us"), "ets")
+
+
+def a3_rolling_min_by_disorder_stream(spark, sf):
+    """A3 on rows that arrive out of order: held until the watermark has passed them, then taken in event time."""
+    s = _disordered(spark, sf, dm.sensor(spark, sf).select("id", "seq", "temperature", "ts"), id=F.lit("~sentinel"))
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("id", T.StringType()),
+                           T.StructField("m_temperature", T.DoubleType()), T.StructField("m_ts_us", T.LongType()),
+                           T.StructField("m_seq", T.LongType())])
+    out = generic.running_stream(s, ["id"], ["ts_us", "seq"], [("m", "min_by", "temperature", ["ts_us", "seq"])], schema,
+                                 in_order="ts_us")
+    return run_to_parquet(out).filter(F.col("id") != "~sentinel").select(
+        "seq", "id", F.col("m_temperature").alias("min_temperature"), _ts("m_ts_us").alias("min_ts"), F.col("m_seq").alias("min_seq"))
+
+
+def q3_login_fail_cep_disorder_stream(spark, sf):
+    """Q3 on rows that arrive out of order."""
+    lg = dm.login(spark, sf).select("user_id", "seq", (F.col("event_type") == "fail").alias("fail"), "ts")
+    s = _disordered(spark, sf, lg, user_id=F.lit(-1).cast("bigint"))
+    lags = {"f1": ("fail", 1), "f2": ("fail", 2), "t1": ("ts_us", 1), "t2": ("ts_us", 2)}
+    out = generic.lag_stream(s, ["user_id"], ["ts_us", "seq"], lags,
+                             {"f1": T.BooleanType(), "f2": T.BooleanType(), "t1": T.LongType(), "t2": T.LongType()}, in_order="ts_us")
+    res = run_to_parquet(out).filter(F.col("user_id") != -1)
+    ok = (F.col("fail") & F.coalesce(F.col("f1"), F.lit(False)) & F.coalesce(F.col("f2"), F.lit(False))
+          & (F.col("ts_us") < F.col("t2") + 86400 * 1_000_000))
+    return res.filter(ok).select("user_id", _ts("t2").alias("first_ts"), _ts("t1").alias("second_ts"), _ts("ts_us").alias("third_ts"))
+
+
+def w5_count_window_sliding_disorder_stream(spark, sf):
+    """W5 on rows that arrive out of order: windows count rows in event time."""
+    s = _disordered(spark, sf, dm.sensor(spark, sf).select("id", "seq", "temperature", "ts"), id=F.lit("~sentinel"))
+    out = generic.count_window_stream(s, "id", ["ts_us", "seq"], "temperature", 100, 10, in_order="ts_us")
+    return run_to_parquet(out).filter(F.col("id") != "~sentinel").select(
+        "id", "end_pos", "cnt", F.col("max_value").alias("max_temp"), F.col("min_value").alias("min_temp"))
+
+
+def b3_province_counts_stream(spark, sf):
+    """B3 as the whole streaming job: clicks are capped per day by one query, whose sink is the source of a second
+    that counts them by province and sliding window."""
+    ad = dm.ad_click(spark, sf)
+    s = _replayed(spark, ad, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far(), province=F.lit("~sentinel"))
+    folder = scratch_path(spark, "b3-passed")
+    passed = stateful.daily_cap_stream(forms.event_time(s, "ts", 0), 2)
+    run_to_parquet(passed.filter(F.col("click_no") <= 2).select("province", "ts"), folder=folder)
+    s2 = spark.readStream.schema("province string, ts timestamp_ntz").parquet(folder)
+    counts = forms.window_count_stream(forms.event_time(s2, "ts", 0), ["province"], "1 hour", "5 minutes")
+    return run_to_parquet(counts).filter(F.col("province") != "~sentinel")
+
+
+for _base, _name, _fn in [("a3_rolling_min_by", "a3_rolling_min_by_disorder_stream", a3_rolling_min_by_disorder_stream),
+                          ("q3_login_fail_cep", "q3_login_fail_cep_disorder_stream", q3_login_fail_cep_disorder_stream),
+                          ("w5_count_window_sliding", "w5_count_window_sliding_disorder_stream", w5_count_window_sliding_disorder_stream),
+                          ("b3_province_counts", "b3_province_counts_stream", b3_province_counts_stream)]:
+    C.QUERIES[_name] = _fn
+    C.ORACLES[_name] = C.ORACLES[_base]

@@ -44,18 +44,21 @@ def window_agg_stream(df: DataFrame, keys: Sequence[str], size, slide=None, offs
                       *names)
 
 
-def topn_stream(df: DataFrame, key: str, size, slide, n: int, *, ets: str = "ets") -> DataFrame:
-    """K1 (stream): window counts per key, then a second, chained aggregate per
-    window that keeps the top ``n``.  ``row_number`` is not allowed on streams;
-    the second aggregate sorts the window's (count, key) pairs, i.e. one entry
-    per distinct key of the window (bounded by the key domain, not by rows)."""
+def topn_stream(df: DataFrame, key: str, size, slide, n: int, *, ets: str = "ets", buckets: int = 64) -> DataFrame:
+    """K1 (stream): window counts per key, then the top ``n`` of each hash
+    bucket of a window's keys, then the top ``n`` of the buckets' tops.
+    ``row_number`` is not allowed on streams; sorting the (count, key) pairs of
+    one bucket is, and the last step holds ``n * buckets`` pairs at most, however
+    many keys a window has."""
     size_s, slide_s = duration_seconds(size), duration_seconds(slide)
     counts = (df.groupBy(F.window(ets, f"{size_s} seconds", f"{slide_s} seconds").alias("w"), key)
               .agg(F.count(F.lit(1)).alias("cnt"))
-              .select(F.window_time("w").alias("wt"), F.col("w.end").alias("we"), key, "cnt"))
-    top = (counts.groupBy("wt", "we")
-           .agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k")))),
-                        1, n).alias("top")))
+              .select(F.window_time("w").alias("wt"), F.col("w.end").alias("we"), key, "cnt",
+                      F.pmod(F.xxhash64(key), F.lit(buckets)).alias("b")))
+    best = lambda pair: F.slice(F.sort_array(F.collect_list(pair)), 1, n)
+    some = counts.groupBy("wt", "we", "b").agg(
+        best(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k"))).alias("top")).select("wt", "we", F.explode("top").alias("x"))
+    top = some.groupBy("wt", "we").agg(best(F.col("x")).alias("top"))
     return top.select(_ntz(F.col("we")).alias("window_end"), F.posexplode("top").alias("pos", "x")).select(
         "window_end", F.col("x.k").alias(key), (-F.col("x.neg")).alias("cnt"),
         (F.col("pos") + 1).cast("bigint").alias("rank"))

@@ -28,6 +28,51 @@ def _frame(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return df.sort_values(list(order), kind="stable").reset_index(drop=True) if len(df) else df
 
 
+class InOrder(StatefulProcessor):
+    """Holds a key's rows until the watermark has passed them, then hands them to ``inner`` in event time: ``inner`` sees each
+    key in order across micro-batches, however disordered the rows arrived within the watermark's delay (L2).  Rows
+    later than that are dropped by Spark.  Columns are longs, doubles, strings or booleans."""
+
+    def __init__(self, inner: StatefulProcessor, schema: str, columns: Sequence[str], ts_us: str):
+        self.inner, self.schema, self.columns, self.ts_us = inner, schema, list(columns), ts_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.inner.init(handle)
+        self.held = handle.getListState("held", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for df in rows:
+            self.held.appendList([tuple(_py(x) for x in r) for r in df[self.columns].itertuples(index=False, name=None)])
+            self.handle.registerTimer(int(df[self.ts_us].max()) // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        df = pd.DataFrame([tuple(r) for r in self.held.get()], columns=self.columns)
+        ready = df[self.ts_us] < now
+        rest = df[~ready]
+        self.held.clear()
+        if len(rest):
+            self.held.put([tuple(_py(x) for x in r) for r in rest.itertuples(index=False, name=None)])
+        if ready.any():
+            yield from self.inner.handleInputRows(key, iter([df[ready].copy()]), timerValues)
+
+    def close(self) -> None:
+        self.inner.close()
+
+
+def _transform(df: DataFrame, keys: Sequence[str], proc: StatefulProcessor, out_schema, in_order: str | None, ets: str) -> DataFrame:
+    """``proc`` per key in append mode; ``in_order`` names a microsecond column whose order is kept by waiting for the
+    watermark on ``ets`` (else rows are taken as their micro-batches bring them)."""
+    use_rocksdb(df.sparkSession)
+    if in_order:
+        cols = [f for f in df.schema.fields if f.name != ets]
+        proc = InOrder(proc, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cols), [f.name for f in cols], in_order)
+    return df.groupBy(*keys).transformWithStateInPandas(statefulProcessor=proc, outputStructType=out_schema, outputMode="Append",
+                                                        timeMode="EventTime" if in_order else "None")
+
+
 class RunningProcessor(StatefulProcessor):
     """Running count / sum / min / max / min_by per key.
 
@@ -96,11 +141,8 @@ def _py(x):
 
 
 def running_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequence[tuple],
-                   out_schema: StructType) -> DataFrame:
-    use_rocksdb(df.sparkSession)
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=RunningProcessor(order, specs, [f.name for f in out_schema.fields]),
-        outputStructType=out_schema, outputMode="Append", timeMode="None")
+                   out_schema: StructType, *, in_order: str | None = None, ets: str = "ets") -> DataFrame:
+    return _transform(df, keys, RunningProcessor(order, specs, [f.name for f in out_schema.fields]), out_schema, in_order, ets)
 
 
 class LagProcessor(StatefulProcessor):
@@ -130,14 +172,11 @@ class LagProcessor(StatefulProcessor):
 
 
 def lag_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], lags: dict,
-               lag_types: dict) -> DataFrame:
-    """Adds ``lags`` columns (types in ``lag_types``) to every row of ``df``."""
-    use_rocksdb(df.sparkSession)
+               lag_types: dict, *, in_order: str | None = None, ets: str = "ets") -> DataFrame:
+    """Adds ``lags`` columns (types in ``lag_types``) to every row of ``df`` (without ``ets``)."""
     keep = list(dict.fromkeys([*order, *[c for c, _ in lags.values()]]))
-    schema = StructType(list(df.schema.fields) + [StructField(o, lag_types[o], True) for o in lags])
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=LagProcessor(order, lags, keep, [f.name for f in schema.fields]),
-        outputStructType=schema, outputMode="Append", timeMode="None")
+    schema = StructType([f for f in df.schema.fields if f.name != ets] + [StructField(o, lag_types[o], True) for o in lags])
+    return _transform(df, keys, LagProcessor(order, lags, keep, [f.name for f in schema.fields]), schema, in_order, ets)
 
 
 class CountWindowProcessor(StatefulProcessor):
@@ -175,15 +214,12 @@ class CountWindowProcessor(StatefulProcessor):
 
 
 def count_window_stream(df: DataFrame, key: str, order: Sequence[str], value: str, size: int,
-                        slide: int | None = None) -> DataFrame:
+                        slide: int | None = None, *, in_order: str | None = None, ets: str = "ets") -> DataFrame:
     """Output: ``key, end_pos, cnt, max_value, min_value`` per fired window."""
-    use_rocksdb(df.sparkSession)
     proc = CountWindowProcessor(order, value, size, slide or size, full_only=slide is None)
     key_type = df.schema[key].dataType.simpleString()
-    return df.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=proc,
-        outputStructType=f"key {key_type}, end_pos long, cnt long, max_value double, min_value double",
-        outputMode="Append", timeMode="None").withColumnRenamed("key", key)
+    schema = f"key {key_type}, end_pos long, cnt long, max_value double, min_value double"
+    return _transform(df, [key], proc, schema, in_order, ets).withColumnRenamed("key", key)
 
 
 # Processors are pickled by value: their code travels with the query, so the

@@ -83,12 +83,12 @@ def read_replay(spark: SparkSession, replay: Replay, schema) -> DataFrame:
 
 
 def run_to_parquet(stream: DataFrame, output_mode: str = "append",
-                   configure: Callable | None = None) -> DataFrame:
+                   configure: Callable | None = None, folder: str | None = None) -> DataFrame:
     """Run a streaming query over everything available, into a Parquet sink in
     the shared folder (exactly once via its checkpoint); return the result as
     a batch DataFrame read back from the sink."""
     spark = stream.sparkSession
-    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    out, ckpt = folder or scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     w = stream.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode(output_mode)
     if configure:
         w = configure(w)
