@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventide.functions.hashing import bloom_offset
 from eventide.functions.text import jvm_split
 from eventide.operators import ordered
+from eventide.session import materialize
 from eventide.operators.windows import duration_seconds, window_aggregate, window_columns
 
 
@@ -34,7 +35,9 @@ def word_count(lines: DataFrame, col: str = "line", *, sep: str = " ",
 def running_word_count(toks: DataFrame, order: Sequence[str], slice_col: Column) -> DataFrame:
     """A2 batch twin: the changelog of a running word count -- for every token
     in arrival order, the word's total so far.  A hot word is split into
-    slices of the arrival order, never held by one task."""
+    slices of the arrival order, never held by one task.  The tokens are written
+    once: every pass of the running count reads them, none cuts the texts again."""
+    toks = materialize(toks.select(*order, "word"))
     return ordered.running(toks, ["word"], order, slice_col, [("cnt", "count", F.lit(1))])
 
 
@@ -90,12 +93,15 @@ def window_min_by(df: DataFrame, key: str, ts: str, size, value: str, order: Seq
 
 
 # ------------------------------------------------------------ unique visitors
-def distinct_per_window(df: DataFrame, ts: str, size, value: str, keys: Sequence[str] = ()) -> DataFrame:
+def distinct_per_window(df: DataFrame, ts: str, size, value: str, keys: Sequence[str] = (), *,
+                        relative_error: float | None = None) -> DataFrame:
     """Exact distinct ``value`` per window.  Planned as a two-level
     aggregate (distinct (window, value) pairs first), so no set is ever held
-    in one place."""
+    in one place.  With ``relative_error`` a HyperLogLog estimate (A10): one
+    sketch per window and map task is all that is shuffled."""
     g = df.groupBy(*keys, F.window(ts, f"{duration_seconds(size)} seconds").alias("window"))
-    return g.agg(F.count_distinct(value).alias("uv")).select(*keys, *window_columns(), "uv")
+    uv = F.count_distinct(value) if relative_error is None else F.approx_count_distinct(value, relative_error)
+    return g.agg(uv.alias("uv")).select(*keys, *window_columns(), "uv")
 
 
 def bloom_distinct_per_window(df: DataFrame, ts: str, size, value: str) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventide.functions.time import epoch_micros
 from eventide.operators import ordered
 from eventide.operators.windows import duration_seconds
 
@@ -62,3 +63,26 @@ def accepted_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], delay,
     ok = F.col("wm").isNull() | (F.col("wm") < F.col("_w.end") + _iv(duration_seconds(lateness)))
     return d.filter(ok).select("*", F.col("_w.start").alias("window_start"),
                                F.col("_w.end").alias("window_end")).drop("_w")
+
+
+def accepted_window_counts(df: DataFrame, keys: Sequence[str], ts: str, arrival: Sequence[str], delay, size, slide=None,
+                           lateness=0, **kw) -> DataFrame:
+    """K3/L3 counts: how many rows each (keys, window) accepts; ``keys, window_start, window_end, cnt``.
+
+    A row is in the windows that end 0, 1, ... slides after its pane, and of
+    these a watermark closes the first few, so (pane, number of closed windows)
+    says all: rows are counted by that before a pane is copied to its windows."""
+    size_s = duration_seconds(size)
+    slide_s = duration_seconds(slide) if slide is not None else size_s
+    if size_s % slide_s:
+        raise ValueError("the size must be a multiple of the slide")
+    n = size_s // slide_s
+    d = with_watermark(df, ts, arrival, delay, **kw).withColumn("_p", F.window(F.col(ts), f"{slide_s} seconds").end)
+    behind = epoch_micros("wm") - F.lit(duration_seconds(lateness) * 1_000_000) - epoch_micros("_p")
+    closed = F.greatest(F.lit(0), F.floor(behind / F.lit(slide_s * 1_000_000)) + 1)
+    d = d.withColumn("_k", F.coalesce(closed, F.lit(0)).cast("int")).filter(F.col("_k") < n)
+    panes = d.groupBy(*keys, "_p", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    fan = panes.select(*keys, "_p", "_n", F.explode(F.sequence(F.col("_k"), F.lit(n - 1))).alias("_j"))
+    end = F.col("_p") + F.make_dt_interval(secs=F.col("_j") * slide_s)
+    return (fan.groupBy(*keys, end.alias("window_end")).agg(F.sum("_n").alias("cnt"))
+            .select(*keys, (F.col("window_end") - _iv(size_s)).alias("window_start"), "window_end", "cnt"))

@@ -45,33 +45,47 @@ def window_columns(w: str = "window") -> list[Column]:
     return [F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end")]
 
 
+class UserAggregate:
+    """A user's own decomposable aggregate: ``partial`` maps names to aggregates over rows, ``merge`` maps the same names to
+    aggregates over partial values of those names, ``result`` is a column of the merged values."""
+
+    def __init__(self, partial: dict[str, Column], merge: dict[str, Column], result: Column):
+        if set(partial) != set(merge):
+            raise ValueError("partial and merge must name the same values")
+        self.partial, self.merge, self.result = partial, merge, result
+
+
+def _as_user(name: str, kind: str, col: Column) -> UserAggregate:
+    v = f"_p_{name}"
+    merged = F.col(v).cast("bigint") if kind == "count" else F.col(v)
+    return UserAggregate({v: _AGG[kind](col)}, {v: _MERGE[kind](v)}, merged)
+
+
 def window_aggregate(df: DataFrame, keys: Sequence[str], ts: str, size, slide=None, offset=None,
-                     aggs: Sequence[tuple[str, str, Column]] | None = None,
-                     *, panes: bool = True) -> DataFrame:
+                     aggs: Sequence[tuple] | None = None, *, panes: bool = True) -> DataFrame:
     """Keyed (or, with no keys, global) tumbling/sliding window aggregate.
 
-    ``aggs`` = ``[(out, kind, column)]``, kind in count/sum/min/max.  Output:
-    ``keys..., window_start, window_end, outs...``; windows without rows do not
-    appear.  ``panes`` pre-aggregates per pane when the window slides.
+    ``aggs`` = ``[(out, kind, column)]``, kind in count/sum/min/max, or
+    ``[(out, UserAggregate)]``.  Output: ``keys..., window_start, window_end,
+    outs...``; windows without rows do not appear.  ``panes`` pre-aggregates per
+    pane when the window slides.
     """
-    aggs = aggs or [("cnt", "count", F.lit(1))]
+    every = {a[0]: a[1] if len(a) == 2 else _as_user(*a) for a in aggs or [("cnt", "count", F.lit(1))]}
     size_s = duration_seconds(size)
     slide_s = duration_seconds(slide) if slide is not None else size_s
     off_s = duration_seconds(offset) if offset is not None else 0
     win = lambda c: F.window(c, _secs(size_s), _secs(slide_s), _secs(off_s))
+    partial = [c.alias(n) for u in every.values() for n, c in u.partial.items()]
+    results = [u.result.alias(n) for n, u in every.items()]
     if not panes or slide_s == size_s:
-        g = df.groupBy(*keys, win(F.col(ts)).alias("window"))
-        return g.agg(*[_AGG[k](c).alias(n) for n, k, c in aggs]).select(
-            *keys, *window_columns(), *[n for n, _, _ in aggs])
-    pane = math.gcd(math.gcd(size_s, slide_s), off_s) if off_s else math.gcd(size_s, slide_s)
-    pane_ts = F.window(F.col(ts), _secs(pane), _secs(pane), _secs(off_s % pane)).start
-    pre = df.groupBy(*keys, pane_ts.alias("_pane")).agg(
-        *[_AGG[k](c).alias(f"_p_{n}") for n, k, c in aggs])
-    out = pre.groupBy(*keys, win(F.col("_pane")).alias("window")).agg(
-        *[_MERGE[k](f"_p_{n}").alias(n) for n, k, _ in aggs])
-    casts = {n: ("bigint" if k == "count" else None) for n, k, _ in aggs}
-    return out.select(*keys, *window_columns(),
-                      *[(F.col(n).cast(casts[n]) if casts[n] else F.col(n)).alias(n) for n, _, _ in aggs])
+        out = df.groupBy(*keys, win(F.col(ts)).alias("window")).agg(*partial)
+    else:
+        pane = math.gcd(math.gcd(size_s, slide_s), off_s) if off_s else math.gcd(size_s, slide_s)
+        pane_ts = F.window(F.col(ts), _secs(pane), _secs(pane), _secs(off_s % pane)).start
+        pre = df.groupBy(*keys, pane_ts.alias("_pane")).agg(*partial)
+        out = pre.groupBy(*keys, win(F.col("_pane")).alias("window")).agg(
+            *[c.alias(n) for u in every.values() for n, c in u.merge.items()])
+    return out.select(*keys, *window_columns(), *results)
 
 
 def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap, order: Sequence[str],

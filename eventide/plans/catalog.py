@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eventide.functions.time import time_slice
 from eventide.operators import aggregate as agg
 from eventide.operators import capping, late, ordered, reconcile, sequence, topk, transform
-from eventide.operators.windows import count_window, session_aggregate, window_aggregate, with_window
+from eventide.operators.windows import UserAggregate, count_window, session_aggregate, window_aggregate, with_window
 from eventide.plans import domain as dm
 from eventide.sinks import files as sink_files
 from eventide.sinks import records as sink_records
@@ -425,6 +425,17 @@ def w3_tumbling_global(spark, sf):
     return window_aggregate(dm.events(spark, sf), [], "ts", "1 hour")
 
 
+@query("w2u_sliding_user_aggregate", dm.with_ctes(f"""SELECT id, window_start, window_end, round(avg(temperature), 4) AS avg_temp,
+  max(temperature) - min(temperature) AS spread FROM ({win_sql('SELECT * FROM sensor', HOUR, 300)}) GROUP BY ALL""", "sensor"))
+def w2u_sliding_user_aggregate(spark, sf):
+    """A user's own aggregates over sliding windows, pre-aggregated per pane like the built-in ones."""
+    mean = UserAggregate({"s": F.sum("temperature"), "n": F.count("temperature")}, {"s": F.sum("s"), "n": F.sum("n")},
+                         F.round(F.col("s") / F.col("n"), 4))
+    spread = UserAggregate({"lo": F.min("temperature"), "hi": F.max("temperature")}, {"lo": F.min("lo"), "hi": F.max("hi")},
+                           F.col("hi") - F.col("lo"))
+    return window_aggregate(dm.sensor(spark, sf), ["id"], "ts", "1 hour", "5 minutes", aggs=[("avg_temp", mean), ("spread", spread)])
+
+
 @query("w4_sliding_global",
        f"SELECT window_start, window_end, count(*) AS cnt FROM ({win_sql('SELECT * FROM events', 600, 120)}) GROUP BY ALL")
 def w4_sliding_global(spark, sf):
@@ -521,8 +532,7 @@ K3_SQL = dm.with_ctes(f"""SELECT window_end, url, cnt, rank FROM (
 @query("k3_topn_pages_late", K3_SQL)
 def k3_topn_pages_late(spark, sf):
     get = transform.equal_filter(dm.weblog(spark, sf, get_only=True), "method", "GET")
-    rows = late.accepted_window_rows(get, "ts", ["arrival", "seq"], "3 seconds", "1 hour", "5 minutes", lateness=60)
-    counts = rows.groupBy("url", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = late.accepted_window_counts(get, ["url"], "ts", ["arrival", "seq"], "3 seconds", "1 hour", "5 minutes", lateness=60)
     ranked = topk.top_n(counts, ["window_end"], [F.col("cnt").desc(), F.col("url")], 5)
     return ranked.select("window_end", "url", "cnt", "rank")
 

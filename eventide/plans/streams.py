@@ -532,9 +532,31 @@ def b3_province_counts_stream(spark, sf):
     return run_to_parquet(counts).filter(F.col("province") != "~sentinel")
 
 
+def w4_sliding_global_stream(spark, sf):
+    s = _replayed(spark, dm.events(spark, sf).select("event_id", "ts"), "event_id", ts=_far())
+    counts = forms.window_count_stream(forms.event_time(s, "ts", 0), [], "10 minutes", "2 minutes")
+    return run_to_parquet(counts).filter(F.col("window_end") < _far())
+
+
+def l3_allowed_lateness_counts_stream(spark, sf):
+    """L3 on a stream: window counts in update mode, a window corrected by late rows until the watermark passes its end
+    plus the lateness; the corrections are upserted."""
+    e = dm.events(spark, sf).select("event_id", "ts", dm._arrival())
+    s = _replayed(spark, e, "arrival")
+    counts = forms.window_count_stream(forms.event_time(s, "ts", 3600 + 600), [], "1 hour")
+    table = tables.upsert_stream(counts, scratch_path(spark, "l3-table"), scratch_path(spark, "l3-ckpt"), ["window_start", "window_end"],
+                                 ["cnt"], output_mode="update")
+    return table.read().select("window_start", "window_end", "cnt")
+
+
+C.QUERIES["l3_allowed_lateness_counts_stream"] = l3_allowed_lateness_counts_stream
+C.ORACLES["l3_allowed_lateness_counts_stream"] = f"""SELECT window_start, window_end, count(*) AS cnt FROM ({C.win_sql(
+    chunk_watermark_sql(EVENTS_ARRIVAL_SQL, 4200, lag_batches=2), 3600)}) WHERE wm IS NULL OR wm < window_end GROUP BY ALL"""
+
 for _base, _name, _fn in [("a3_rolling_min_by", "a3_rolling_min_by_disorder_stream", a3_rolling_min_by_disorder_stream),
                           ("q3_login_fail_cep", "q3_login_fail_cep_disorder_stream", q3_login_fail_cep_disorder_stream),
                           ("w5_count_window_sliding", "w5_count_window_sliding_disorder_stream", w5_count_window_sliding_disorder_stream),
-                          ("b3_province_counts", "b3_province_counts_stream", b3_province_counts_stream)]:
+                          ("b3_province_counts", "b3_province_counts_stream", b3_province_counts_stream),
+                          ("w4_sliding_global", "w4_sliding_global_stream", w4_sliding_global_stream)]:
     C.QUERIES[_name] = _fn
     C.ORACLES[_name] = C.ORACLES[_base]

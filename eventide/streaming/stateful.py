@@ -98,6 +98,8 @@ class FollowedByProcessor(StatefulProcessor):
             else:
                 for s_ts, _ in pending:
                     out.append(self._row(key, s_ts, ts, "paid" if ts < s_ts + self.within else "timeout"))
+                for due in {_ms_ceil(s_ts + self.within) for s_ts, _ in pending}:
+                    self.handle.deleteTimer(due)  # resolved: nothing is left to time out
                 pending = []
         self.pending.clear()
         if pending:

@@ -211,3 +211,34 @@ def test_running_word_count_changelog(spark, rows_per_slice):
     out = agg.running_word_count(toks, ["doc_id", "line_no", "pos"], F.floor(F.col("doc_id") / rows_per_slice))
     got = [(r.word, r.cnt) for r in out.orderBy("doc_id", "pos").collect()]
     assert got == [("a", 1), ("b", 1), ("a", 2), ("b", 2), ("a", 3), ("a", 4)]
+
+
+def test_hyperloglog_distinct_is_near_the_exact_one(spark):
+    from eventide.operators import aggregate
+
+    df = spark.range(20_000).select((F.col("id") % 7000).alias("user"), F.timestamp_seconds(F.col("id") % 7200).cast("timestamp_ntz").alias("ts"))
+    exact = {r.window_start: r.uv for r in aggregate.distinct_per_window(df, "ts", "1 hour", "user").collect()}
+    near = {r.window_start: r.uv for r in aggregate.distinct_per_window(df, "ts", "1 hour", "user", relative_error=0.02).collect()}
+    assert exact.keys() == near.keys() and all(abs(near[w] - n) < 0.08 * n for w, n in exact.items())
+
+
+def test_user_aggregate_equals_plain_windows(spark):
+    from eventide.operators.windows import UserAggregate, window_aggregate
+
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(F.col("id") * 37 % 5000).cast("timestamp_ntz").alias("ts"),
+                                 F.when(F.col("id") % 11 > 0, F.col("id")).alias("v"))
+    mean = UserAggregate({"s": F.sum("v"), "n": F.count("v")}, {"s": F.sum("s"), "n": F.sum("n")}, F.col("s") / F.col("n"))
+    by = lambda panes: sorted(map(tuple, window_aggregate(df, ["k"], "ts", 600, 120, aggs=[("m", mean), ("c", "count", F.lit(1))], panes=panes).collect()), key=str)
+    assert by(True) == by(False) and len(by(True)) > 10
+    with pytest.raises(ValueError):
+        UserAggregate({"a": F.sum("v")}, {"b": F.sum("b")}, F.col("a"))
+
+
+def test_accepted_counts_equal_accepted_rows(spark):
+    rows = spark.range(400).select(F.col("id").alias("seq"), (F.col("id") % 2).alias("k"),
+                                   F.timestamp_seconds(F.col("id") * 50 - (F.col("id") * 7919) % 3000).cast("timestamp_ntz").alias("ts"))
+    for lateness in (0, 250):
+        a = late.accepted_window_rows(rows, "ts", ["seq"], 60, 600, 120, lateness=lateness, rows_per_slice=32)
+        want = a.groupBy("k", "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
+        got = late.accepted_window_counts(rows, ["k"], "ts", ["seq"], 60, 600, 120, lateness=lateness, rows_per_slice=32)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
