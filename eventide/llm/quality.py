@@ -119,7 +119,7 @@ def fit(rows: DataFrame, *, steps: int = 3, share: float = 0.75, min_rows: int =
     return sketch(model, 0.5, "median")
 
 
-def judge(docs: DataFrame, *, cutoff: float = 150.0, steps: int = 3, share: float = 0.75, min_rows: int = 50,
+def judge(docs: DataFrame, *, cutoff: float = 100.0, steps: int = 3, share: float = 0.75, min_rows: int = 50,
           **columns: str) -> DataFrame:
     """Statistics, base_failed, d2 (scaled; null without an estimate) and kept, one row per document.
 
