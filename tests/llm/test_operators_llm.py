@@ -576,6 +576,28 @@ def test_decontamination_query_against_brute_force(spark):
     assert want and want <= got
 
 
+def test_pipeline_stages_on_an_awkward_table(spark):
+    import corpus_pipeline as P
+
+    rows = [(i, t, None if i == 3 else "en", None if i == 5 else "s", None if t is None else len(t), 1, "x") for i, t in AWKWARD]
+    rows += [rows[5], (40, "token=abcdefghijklmnop and more", "en", "s", 31, 1, "x")]
+    df = spark.createDataFrame(rows, DOC + ", _id long, component_id string")
+    for part in (df, df.limit(0)):
+        now = part
+        for name, stage in P.STAGES:
+            out = stage(spark, now, SF001)
+            got = out.collect()
+            if name != P.STAGES[-1][0]:
+                assert out.columns == df.columns, name
+                now = spark.createDataFrame(got, out.schema)
+        ids = [r.doc_id for r in now.collect()]
+        if part is df:  # 1, 2 and 4 have no words, 5 and 6 are copies, the row of 6 is there twice
+            assert sorted(str(i) for i in ids) == sorted(["1", "3", "40", "5", "7", "8", "9", "None"])
+            assert [r.text for r in now.collect() if r.doc_id == 40] == ["[secret] and more"] and len(got) >= len(ids)
+        else:
+            assert ids == [] and got == []
+
+
 def test_pipeline_against_its_parts(spark):
     import corpus_pipeline as P
     from eventide.llm.queries import fold
