@@ -19,15 +19,14 @@ def _bucketed(df: DataFrame, ts: str, fmt: str) -> DataFrame:
 
 
 def write_rolling(df: DataFrame, path: str, ts: str, *, fmt: str = "yyyy-MM-dd--HH",
-                  mode: str = "overwrite", num_files: int | None = None) -> None:
-    """S8 (batch): rows rolled into one folder per time bucket of ``ts``."""
-    # Range-partition on (bucket, ts): tasks are balanced even when one hour
-    # holds a third of the rows, and each task writes to few bucket folders.
-    # One writer per input split keeps output files about as large as the
-    # input splits (spark.sql.files.maxPartitionBytes) at any scale; never
-    # fewer writers than cores, file creation is per-task serial work.
-    n = num_files or max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
-    b = _bucketed(df, ts, fmt).repartitionByRange(n, F.col(BUCKET), F.col(ts))
+                  mode: str = "overwrite") -> None:
+    """S8 (batch): rows rolled into one folder per time bucket of ``ts``.
+
+    A rebalance by bucket: adaptive execution packs small buckets into one task
+    and splits a bucket that holds a third of the rows over several, both by
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so a bucket has as few
+    files as its size asks for."""
+    b = _bucketed(df, ts, fmt).hint("rebalance", BUCKET)
     b.write.mode(mode).partitionBy(BUCKET).option("header", "false").csv(path)
 
 
