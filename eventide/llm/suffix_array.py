@@ -6,14 +6,14 @@ have equal anchors, so a string whose anchor occurs nowhere else cannot repeat a
 never looked at again.  Around each repeated anchor the strings that it anchors
 form one region of at most 2 * length - GRAM bytes, and regions meet by anchor.
 
-Regions that are equal as a whole settle each other.  The different ones are laid out in
-shards; each shard gets a suffix array by Larsson-Sadakane refinement (ranks
+Regions that are equal as a whole -- a 64-bit hash travels with each anchor -- settle each
+other before any text is shipped; of each different region that shares its anchor with another
+one, one copy is sent on and laid out in a shard.  Each shard gets a suffix array by Larsson-Sadakane refinement (ranks
 double their depth, only groups that are still tied are sorted again) and its common
 prefixes by Kasai's walk, run in lanes.  A group of regions that spans shards is
 merged by binary search of one shard's strings in the other's array.  An anchor with more
-than ``hot`` occurrences would not fit shards of bounded size: its regions are counted by
-hash, which settles copies, and the strings of the different ones are compared
-by 96-bit hashes spread over all tasks -- exact in the same way, and linear.
+than ``hot`` different regions would not fit shards of bounded size: their strings are
+compared by 96-bit hashes spread over all tasks -- exact in the same way, and linear.
 
 Edge cases: null and empty texts have no bytes; documents are never joined; rows with
 equal ids count as different places, and what is marked in one goes in all of
@@ -23,7 +23,6 @@ them; empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.base import by_value, materialize, shuffle_width, texts
-from eventide.llm.exchange import SLICE, WINDOW_SLICE, marked_windows, repeated, slices, window_slices
+from eventide.llm.exchange import REPLY, SLICE, WINDOW_SLICE, Slices, by_document, marked_windows, replies, slices, window_slices
 from eventide.llm.substring import chunks, shrunk, unshrink
 
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 LANES = 1024
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19  # of text whose anchors are found at once
 PLACE_BITS = 22
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -117,28 +116,36 @@ def text_anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def anchor_slices(docs: DataFrame, length: int, width: int, kind: str) -> DataFrame:
-    """Every anchor as a located key; its place is the first string start that it serves."""
+    """Every anchor as a located key: its place is the first string start that it serves, with how many there are and
+    the hash of its region."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, rows in chunks(batches, 1, 16 * CHUNK_BYTES):
-            keys, doc, pos = [], [], []
+        digest = xxhash.xxh64_intdigest
+        for ids, rows in chunks(batches, 1, 32 * CHUNK_BYTES):
+            keys, doc, pos, n, region = [], [], [], [], []
             held, size = [], 0
 
+            def found(h: np.ndarray, a: np.ndarray, b: np.ndarray, data: bytes) -> None:
+                keys.append(h)
+                n.append(b - a + 1)
+                region.append(np.fromiter((digest(data[x:y]) for x, y in zip(a.tolist(), (b + length).tolist())), np.uint64, len(a)))
+
             def settle() -> None:
                 nonlocal held, size
                 if held:
                     ends = np.cumsum([len(t) for _, t in held])
-                    h, a, _ = anchors(np.frombuffer(b"".join(t for _, t in held), np.uint8), ends, length)
+                    data = b"".join(t for _, t in held)
+                    h, a, b = anchors(np.frombuffer(data, np.uint8), ends, length)
+                    found(h, a, b, data)
                     k = np.searchsorted(ends, a, "right")
-                    keys.append(h)
                     doc.append(np.array([x for x, _ in held])[k])
                     pos.append(a - np.concatenate([[0], ends[:-1]])[k])
                 held, size = [], 0
 
             for k, (t,) in enumerate(rows):
                 if len(t) > CHUNK_BYTES:
-                    h, a, _ = text_anchors(t, length)
-                    keys.append(h)
+                    h, a, b = text_anchors(t, length)
+                    found(h, a, b, t)
                     doc.append(np.full(len(a), k))
                     pos.append(a)
                     continue
@@ -148,12 +155,37 @@ def anchor_slices(docs: DataFrame, length: int, width: int, kind: str) -> DataFr
                 size += len(t)
             settle()
             if keys and sum(map(len, keys)):
-                every, d, p = np.concatenate(keys), np.concatenate(doc), np.concatenate(pos)
-                yield from slices(every, every, d, p, ids, width)
+                every = np.concatenate(keys)
+                yield from slices(every, every, np.concatenate(doc), np.concatenate(pos), ids, width, np.concatenate(n), np.concatenate(region))
 
     return docs.select("_id", F.col("_text").cast("binary")).mapInArrow(run, SLICE.format(kind=kind))
 
 
+SETTLED, SHIP, HOT = 1, 2, 4
+
+
+def region_replies(parts: DataFrame, kind: str, hot: int, width: int) -> DataFrame:
+    """(doc_id, pos, n, flag arrays): anchors that occur elsewhere too.  SETTLED: an equal region is elsewhere, all its
+    strings repeat.  SHIP: the one copy of a region that must be compared with others of its anchor; HOT: with
+    more than ``hot`` others."""
+
+    def reduce(table: pa.Table) -> pa.Table:
+        s = Slices(table)
+        at = np.flatnonzero(s.again)
+        at = at[np.lexsort((s.text[at], s.located[at]))]
+        key, text = s.located[at], s.text[at]
+        new_key = np.concatenate([[True], key[1:] != key[:-1]]) if len(at) else np.zeros(0, bool)
+        new = new_key | np.concatenate([[True], text[1:] != text[:-1]]) if len(at) else new_key
+        copies = np.diff(np.append(np.flatnonzero(new), len(at)))[np.cumsum(new) - 1] if len(at) else np.zeros(0, np.int64)
+        group = np.cumsum(new_key) - 1
+        different = np.bincount(group, new, minlength=1)[group] if len(at) else np.zeros(0)
+        flag = SETTLED * (copies > 1) + (SHIP + HOT * (different > hot)) * (new & (different > 1))
+        keep = flag > 0
+        return replies(s.ids, s.doc[at][keep], s.pos[at][keep], width, s.n[at][keep], flag[keep])
+
+    return by_document(parts.groupBy("r").applyInArrow(reduce, REPLY.format(kind=kind)), kind)
+
+
 # ---------------------------------------------------------------- suffix arrays
 def _words(text: np.ndarray) -> np.ndarray:
     """The 8 bytes at every place as a big-endian number, zeros beyond the end."""
@@ -194,34 +226,32 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     """lcp[k]: bytes that suffixes sa[k-1] and sa[k] share, up to ``cap``.  Kasai's walk in text order (a prefix shrinks by
-    one at most from place to place), in lanes that walk side by side and compare 8 bytes a step."""
+    one at most from place to place), in lanes side by side: each turn every lane compares 8 bytes, and those that
+    found their mismatch step on."""
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     words = np.concatenate([_words(text), np.zeros(cap + 16, np.uint64)])
-    lanes = max(1, min(LANES, n // 64))
-    step = -(-n // lanes)
-    base = np.arange(0, n, step)
-    held = np.zeros(len(base), np.int64)
+    step = -(-n // max(1, min(LANES, n // 64)))
+    i = np.arange(0, n, step)
+    end = np.minimum(i + step, n)
+    held = np.zeros(len(i), np.int64)
     plcp = np.zeros(n, np.int64)
-    for s in range(step):
-        lane = np.flatnonzero(base + s < n)
-        i = base[lane] + s
+    while len(i):
         j = before[i]
         most = np.where(j < 0, 0, np.minimum(cap, n - np.maximum(i, j)))
-        got = np.minimum(held[lane], most)
-        go = np.flatnonzero(got < most)
-        while len(go):
-            diff = words[i[go] + got[go]] ^ words[j[go] + got[go]]
-            smear = diff.copy()
-            for shift in (1, 2, 4, 8, 16, 32):
-                smear |= smear >> np.uint64(shift)
-            same = (64 - np.bitwise_count(smear).astype(np.int64)) >> 3
-            got[go] += same
-            go = go[(same == 8) & (got[go] < most[go])]
-        got = np.minimum(got, most)
-        plcp[i] = got
-        held[lane] = np.maximum(got - 1, 0)
+        held = np.minimum(held, most)
+        diff = words[i + held] ^ words[j + held]
+        top = np.frexp((diff & ~(diff >> np.uint64(1))).astype(np.float64))[1]  # the highest set bit, unrounded
+        same = (64 - top) >> 3
+        held = np.minimum(held + same, most)
+        done = (same < 8) | (held == most)
+        plcp[i[done]] = held[done]
+        held = np.where(done, np.maximum(held - 1, 0), held)
+        i = i + done
+        if (i == end).any():
+            go = i < end
+            i, end, held = i[go], end[go], held[go]
     lcp = plcp[sa]
     lcp[0] = 0
     return lcp
@@ -284,118 +314,110 @@ class Shard:
 def repeated_strings(keys: list[int], regions: list[bytes], length: int, shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
     """For each different region (given with its anchor's key, in order of keys) the offsets of strings that other regions
     or other places of it have too."""
-    shards: list[tuple[list[int], Shard]] = []
+    out: list[np.ndarray] = []
+    open_: list[tuple[list[int], Shard]] = []  # shards that share the last anchor, in order
+
+    def close(shards: list) -> None:
+        for own, shard in shards:
+            out.extend(np.flatnonzero(shard.marked[a:a + len(regions[d])]) for d, a in zip(own, shard.at))
+
     held, size = [], 0
     for d in range(len(regions)):
         held.append(d)
         size += len(regions[d])
-        if size >= shard_bytes or d == len(regions) - 1:
-            shards.append((held, Shard([regions[i] for i in held], length)))
-            held, size = [], 0
-    for i, (own, shard) in enumerate(shards):
-        for later, other in shards[i + 1:]:
-            if keys[later[0]] != keys[own[-1]]:
-                break
-            shared = [k for k, d in enumerate(own) if keys[d] == keys[later[0]]]
-            starts = np.concatenate([np.arange(shard.at[k], shard.at[k] + len(regions[own[k]]) - length + 1) for k in shared])
-            shard.merge(starts, other)
-    return [np.flatnonzero(shard.marked[a:a + len(regions[d])]) for own, shard in shards for d, a in zip(own, shard.at)]
+        if size < shard_bytes and d < len(regions) - 1:
+            continue
+        shard = Shard([regions[i] for i in held], length)
+        if open_ and keys[open_[-1][0][-1]] != keys[held[0]]:
+            close(open_)
+            open_ = []
+        shared = [k for k, i in enumerate(held) if open_ and keys[i] == keys[held[0]]]
+        if shared:
+            starts = np.concatenate([np.arange(shard.at[k], shard.at[k] + len(regions[held[k]]) - length + 1) for k in shared])
+            for _, other in open_:
+                shard.merge(starts, other)
+        if keys[held[0]] != keys[held[-1]]:
+            close(open_)
+            open_ = []
+        open_.append((held, shard))
+        held, size = [], 0
+    close(open_)
+    return out
 
 
 # ---------------------------------------------------------------- the operator
 def region_rows(hit_docs: DataFrame, length: int, width: int, kind: str) -> DataFrame:
-    """(r, key, region, at, hot, doc_id): the text around every repeated anchor, dealt by anchor (hot ones by region)."""
+    """(r, key, region, at, hot, doc_id) of the anchors to ship, dealt by anchor (those of hot anchors by region)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, rows in chunks(batches, 1, CHUNK_BYTES):
+        for ids, rows in chunks(batches, 1, 2 * CHUNK_BYTES):
             doc, key, text, place, busy = [], [], [], [], []
-            for k, (z, pos, hot) in enumerate(rows):
+            for k, (z, pos, n, flag) in enumerate(rows):
                 t = unshrink(z)
-                h, first, last = text_anchors(t, length)
-                marks = dict(zip(pos, hot))
-                for x, a, b in zip(h.tolist(), first.tolist(), last.tolist()):
-                    if a in marks:
+                for a, m, f in zip(pos, n, flag):
+                    region = t[a:a + m - 1 + length]
+                    if f & SHIP and len(region) == m - 1 + length:
+                        h = anchors(np.frombuffer(region, np.uint8), np.array([len(region)]), length)[0]
                         doc.append(k)
-                        key.append(x)
-                        text.append(t[a:b + length])
+                        key.append(int(h[0]))
+                        text.append(region)
                         place.append(a)
-                        busy.append(marks[a])
+                        busy.append(bool(f & HOT))
             dealt = [(xxhash.xxh64_intdigest(x) if b else h) * width >> 64 for h, x, b in zip(key, text, busy)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(dealt, pa.int32()), pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(text, pa.binary()), pa.array(place, pa.int64()),
                  pa.array(busy, pa.bool_()), ids.take(pa.array(doc, pa.int64()))], names=["r", "key", "region", "at", "hot", "doc_id"])
 
-    return hit_docs.select("doc_id", "z", "pos", "hot").mapInArrow(run, f"r int, key long, region binary, at long, hot boolean, doc_id {kind}")
-
-
-def _runs(offsets: np.ndarray) -> list[tuple[int, int]]:
-    """(first, count) of runs of consecutive offsets."""
-    if not len(offsets):
-        return []
-    cut = np.flatnonzero(np.concatenate([[True], np.diff(offsets) > 1]))
-    return list(zip(offsets[cut].tolist(), np.diff(np.append(cut, len(offsets))).tolist()))
+    return hit_docs.select("doc_id", "z", "pos", "n", "flag").mapInArrow(run, f"r int, key long, region binary, at long, hot boolean, doc_id {kind}")
 
 
 def shard_or_pass(rows: DataFrame, length: int, kind: str) -> DataFrame:
-    """(doc_id, at, n): runs of n repeated strings from ``at`` on; regions of hot anchors are passed on whole, with their key."""
+    """(doc_id, at, starts): offsets of repeated strings in the region at ``at``, as runs (first, count, ...); regions of hot
+    anchors are passed on with their text."""
 
     def reduce(table: pa.Table) -> pa.Table:
         import pyarrow.compute as pc
 
         hot = table.filter(table.column("hot"))
-        table = table.filter(pc.invert(table.column("hot")))
-        keys, texts_ = table.column("key").to_pylist(), table.column("region").to_pylist()
-        place = table.column("at").to_pylist()
-        seen: dict[tuple, list[int]] = defaultdict(list)
-        for i, k in enumerate(zip(keys, texts_)):
-            seen[k].append(i)
-        groups: dict[int, list[bytes]] = defaultdict(list)
-        for k, t in seen:
-            groups[k].append(t)
-        out: list[tuple[int, int, int]] = []
-        tied = [(k, t) for k, ts in sorted(groups.items()) if len(ts) > 1 for t in ts]
-        open_ = {}
-        if tied:
-            open_ = dict(zip(tied, repeated_strings([k for k, _ in tied], [t for _, t in tied], length)))
-        for k, members in seen.items():
-            runs = [(0, len(k[1]) - length + 1)] if len(members) > 1 else _runs(open_.get(k, np.zeros(0, np.int64)))
-            out += [(i, place[i] + a, n) for i in members for a, n in runs]
-        take = pa.array([o[0] for o in out], pa.int64())
-        names = ["doc_id", "at", "n", "key", "region"]
-        mine = pa.table([table.column("doc_id").take(take), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
-                         pa.nulls(len(out), pa.int64()), pa.nulls(len(out), pa.binary())], names=names)
-        passed = pa.table([hot.column("doc_id"), hot.column("at"), pa.nulls(len(hot), pa.int64()), hot.column("key"), hot.column("region")], names=names)
+        table = table.filter(pc.invert(table.column("hot"))).sort_by("key")
+        keys, regions = table.column("key").to_pylist(), table.column("region").to_pylist()
+        found = repeated_strings(keys, regions, length) if keys else []
+        runs = [as_runs(x) for x in found]
+        some = [i for i, r in enumerate(runs) if r]
+        names = ["doc_id", "at", "starts", "region"]
+        mine = table.take(pa.array(some, pa.int64()))
+        mine = pa.table([mine.column("doc_id"), mine.column("at"), pa.array([runs[i] for i in some], pa.list_(pa.int64())), pa.nulls(len(some), pa.binary())], names=names)
+        passed = pa.table([hot.column("doc_id"), hot.column("at"), pa.nulls(len(hot), pa.list_(pa.int64())), hot.column("region")], names=names)
         return pa.concat_tables([mine, passed])
 
-    return rows.groupBy("r").applyInArrow(reduce, f"doc_id {kind}, at long, n long, key long, region binary")
+    return rows.groupBy("r").applyInArrow(reduce, f"doc_id {kind}, at long, starts array<long>, region binary")
+
+
+def as_runs(offsets: np.ndarray) -> list[int]:
+    """first, count, first, count ... of runs of consecutive offsets."""
+    if not len(offsets):
+        return []
+    cut = np.flatnonzero(np.concatenate([[True], np.diff(offsets) > 1]))
+    return np.stack([offsets[cut], np.diff(np.append(cut, len(offsets)))], 1).reshape(-1).tolist()
 
 
 def hot_marks(rows: DataFrame, length: int, width: int, kind: str) -> DataFrame:
-    """(doc_id, at, n) for regions of hot anchors: copies by count, the strings of different regions by hash."""
-    named = rows.withColumn("h", F.xxhash64("region", "key"))
-    counts = named.groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.first("region").alias("text"))
-    known = materialize(counts)
+    """(doc_id, pos array) of the repeated strings among different regions (doc_id, at, region) of hot anchors, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, regions in chunks(batches, 1, CHUNK_BYTES // 4):
+        for ids, regions in chunks(batches, 1, CHUNK_BYTES):
             key, extra, doc, pos = [], [], [], []
-            for k, (t,) in enumerate(regions):
+            for k, (t, at) in enumerate(regions):
                 data = np.frombuffer(t, np.uint8)
                 key.append(gram_hashes(data, length))
                 extra.append(gram_hashes(data, length, 77) >> np.uint64(32))
                 doc.append(np.full(len(key[-1]), k))
-                pos.append(np.arange(len(key[-1])))
+                pos.append(at + np.arange(len(key[-1])))
             if key:
                 yield from window_slices(np.concatenate(key), np.concatenate(extra), np.concatenate(doc), np.concatenate(pos), ids, width)
 
-    windows = known.select("h", "text").mapInArrow(run, WINDOW_SLICE.format(kind="long"))
-    single = marked_windows(windows, "long", keep_first=False).select(F.col("doc_id").alias("_h"), F.explode("pos").alias("offset"))
-    named = named.select("doc_id", "at", "h", F.octet_length("region").alias("size"))
-    whole = named.join(known.filter("copies > 1").select(F.col("h").alias("_h")), F.col("h") == F.col("_h")).select(
-        "doc_id", "at", (F.col("size") - length + 1).cast("long").alias("n"))
-    part = (named.join(known.filter("copies = 1").select(F.col("h").alias("_s")), F.col("h") == F.col("_s"))
-            .join(single, F.col("h") == F.col("_h")).select("doc_id", (F.col("at") + F.col("offset")).alias("at"), F.lit(1).cast("long").alias("n")))
-    return whole.unionByName(part)
+    windows = rows.select("doc_id", "region", "at").mapInArrow(run, WINDOW_SLICE.format(kind=kind))
+    return marked_windows(windows, kind, keep_first=False, width=width)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = 4096, texts_out: bool = False) -> DataFrame:
@@ -404,26 +426,41 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     Removed is each byte that a ``length``-byte string covers which starts anywhere else, too."""
     d = texts(docs, id_col, text_col)
     kind, width = d.schema["_id"].dataType.simpleString(), shuffle_width(docs)
-    hits = repeated(anchor_slices(d, length, width, kind), kind, hot).select(F.col("doc_id").alias("_hit"), "pos", "hot")
+    hits = materialize(region_replies(anchor_slices(d, length, width, kind), kind, hot, width)).withColumnRenamed("doc_id", "_hit")
     small = shrunk(d, kind)
-    rows = region_rows(small.join(hits, small["doc_id"].eqNullSafe(F.col("_hit"))), length, width, kind)
+    shipping = hits.filter(F.exists("flag", lambda f: f.bitwiseAND(SHIP) > 0))
+    rows = region_rows(small.join(shipping, small["doc_id"].eqNullSafe(F.col("_hit"))), length, width, kind)
     found = materialize(shard_or_pass(rows, length, kind))
-    marks = (found.filter("region IS NULL").select("doc_id", "at", "n")
-             .unionByName(hot_marks(found.filter("region IS NOT NULL"), length, width, kind)))
-    marks = marks.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")).withColumnRenamed("doc_id", "_hit")
-    joined = small.join(marks, small["doc_id"].eqNullSafe(F.col("_hit")), "left").select("doc_id", "z", "at", "n")
+    sharded = (found.filter("region IS NULL").groupBy(F.col("doc_id").alias("_shard"))
+               .agg(F.collect_list("at").alias("at"), F.collect_list("starts").alias("starts")))
+    hashed = hot_marks(found.filter("region IS NOT NULL"), length, width, kind).select(F.col("doc_id").alias("_hot"), F.col("pos").alias("hot"))
+    joined = (small.join(hits, small["doc_id"].eqNullSafe(F.col("_hit")), "left")
+              .join(sharded, small["doc_id"].eqNullSafe(F.col("_shard")), "left")
+              .join(hashed, small["doc_id"].eqNullSafe(F.col("_hot")), "left")
+              .select("doc_id", "z", "pos", "n", "flag", "at", "starts", "hot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total, gone, spans, digest, kept = [], [], [], [], []
-            for z, at, n in zip(b.column(1), b.column(2), b.column(3)):
+            for z, pos, n, flag, at, starts, hot_ in zip(*b.columns[1:]):
                 t = unshrink(z.as_py())
                 total.append(len(t))
+                first, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                if pos.is_valid:
+                    settled = (flag.values.to_numpy() & SETTLED) > 0
+                    first.append(pos.values.to_numpy()[settled])
+                    count.append(n.values.to_numpy()[settled])
+                if at.is_valid:
+                    for a, s in zip(at.as_py(), starts.as_py()):
+                        first.append(a + np.array(s[::2]))
+                        count.append(np.array(s[1::2]))
+                if hot_.is_valid:
+                    first.append(hot_.values.to_numpy())
+                    count.append(np.ones(len(first[-1]), np.int64))
+                a, e = np.concatenate(first), np.concatenate(first) + np.concatenate(count) - 1 + length
+                a, e = a[e <= len(t)], e[e <= len(t)]  # beyond the end: from another row of this id
                 runs = 0
-                if at.is_valid and len(at.values):
-                    a = at.values.to_numpy()
-                    e = np.minimum(a + n.values.to_numpy() - 1 + length, len(t))
-                    a, e = a[e > a], e[e > a]
+                if len(a):
                     cover = np.zeros(len(t) + 1, np.int64)
                     np.add.at(cover, a, 1)
                     np.add.at(cover, e, -1)
