@@ -35,7 +35,8 @@ MASKS = ("1111111", "11101011001", "11011000111", "10110110101")
 FILTER_BITS = 26
 GAP, MARGIN = 32, 64
 PUNCTUATION = b".,;:!?\"'()[]{}"
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
+ROWS = 256  # documents whose words are held side by side
 
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -129,7 +130,7 @@ def training_runs(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = WordHash(), shared.value
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             each = [word_hashes(t.as_py(), known) for t in b.column(1)]
             sizes = np.array([len(w) for w in each], np.int64)
             words, ends = np.concatenate([*each, np.zeros(0, np.uint64)]), np.cumsum(sizes)

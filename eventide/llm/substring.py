@@ -32,7 +32,7 @@ from eventide.llm.base import bounded_batches, by_value, materialize, shuffle_wi
 from eventide.llm.exchange import SLICE, WINDOW_SLICE, marked_windows, repeated, slices, window_slices
 
 CHUNK_BYTES = 12 << 20  # of text whose keys a task holds at once
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 _STEP, _OTHER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-MOST = 1_500_000  # chunks remembered, about 300 MB, before the worker starts afresh
+MOST = 1_100_000  # chunks remembered, about 230 MB, before the worker starts afresh
 MARK = "\x01"
 GROUP = 512
 
