@@ -49,8 +49,8 @@ def interval_reconcile(left: DataFrame, right: DataFrame, key: str, *, bound_sec
     d = materialize(d.withColumn("_link", F.coalesce(F.col("_pside") != F.col("_side"), F.lit(False)) & within("_ts", "_pts")))
     d = materialize(ordered.running(d, [key], order, sl, [("_n", "count", F.lit(1))]))
     d = ordered.running(d, [key], order, sl, [("_head", "max", F.when(~F.col("_link"), F.col("_n")))])
-    second = (F.col("_n") - F.col("_head")) % 2 == 1
-    d = ordered.lag(d.withColumn("_second", second), [key], order, sl, {"_paired": ("_second", 1)}, descending=True)
+    d = materialize(d.withColumn("_second", (F.col("_n") - F.col("_head")) % 2 == 1).drop("_n", "_head", "_link", "_pside", "_pts"))
+    d = materialize(ordered.lag(d, [key], order, sl, {"_paired": ("_second", 1)}, descending=True))
     pair = d.filter("_second").select(
         key, *[F.coalesce(f"_l_{c}", f"_p_l_{c}").alias(c) for c in left_cols],
         *[F.coalesce(f"_r_{c}", f"_p_r_{c}").alias(c) for c in right_cols], F.lit(tags[0]).alias("outcome"))
