@@ -81,7 +81,15 @@ def op7(spark, sf_dir):
     return simhash.near_duplicates(docs, shingle=4, distance=4)
 
 
-@query("op8_substring_dedup")
+@query("op8_substring_dedup", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+u AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+k AS (SELECT doc_id, p, n, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS k FROM u),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM k WHERE p + 19 <= n),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM f WHERE n > 1),
+r AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS m FROM u ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(m, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)""")
 def op8(spark, sf_dir):
     """Every document without the 20-word strings that start earlier."""
     return substring.dedup(load_table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
@@ -94,7 +102,18 @@ def op9(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("d2"))
 
 
-@query("op10_suffix_array_dedup")
+@query("op10_suffix_array_dedup", r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+k AS (SELECT doc_id, i, md5(b[i:i + 399]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d)),
+g AS (SELECT doc_id, i FROM k SEMI JOIN (SELECT h FROM k GROUP BY h HAVING count(*) > 1) m USING (h)),
+x AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM g),
+z AS (SELECT doc_id, min(i) AS a, max(i) + 399 AS e FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM x) GROUP BY doc_id, run),
+q AS (SELECT *, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS pe FROM z),
+r AS (SELECT doc_id, string_agg(hex(b[pe + 1:a - 1]), '' ORDER BY a) AS hx, max(e) AS last, count(*) AS spans, sum(e - a + 1) AS removed
+  FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(CASE WHEN hx IS NULL THEN b ELSE unhex(hx || hex(b[last + 1:])) END) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)""")
 def op10(spark, sf_dir):
     """Every document without the bytes of 400-byte strings that start anywhere else too."""
     return suffix_array.dedup(load_table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
