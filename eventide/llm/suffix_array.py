@@ -100,7 +100,9 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
         return np.zeros(0, np.uint64), none, none
     p = place[valid]
     new = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
-    return h[p[new]], valid[new], valid[np.append(new[1:], len(valid)) - 1]
+    key = h[p[new]] * _B  # smallest hashes lie close to zero; mixed again they fall on all key ranges alike
+    key ^= key >> np.uint64(32)
+    return key * _A, valid[new], valid[np.append(new[1:], len(valid)) - 1]
 
 
 def text_anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
