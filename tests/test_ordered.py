@@ -80,9 +80,10 @@ def test_running_without_keys_is_global(frame):
 @pytest.mark.parametrize("keys", [[], ["k"]])
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("spread", [1, 37, -(10 ** 12)])
-def test_hierarchy_holds_for_dense_sparse_and_negative_slices(spark, frame, keys, descending, spread, monkeypatch):
+def test_hierarchy_holds_for_dense_sparse_and_negative_slices(spark, keys, descending, spread, monkeypatch):
     """Groups of two slices force every level of the carry; results equal a plain window whatever the slice numbers."""
     monkeypatch.setattr(ordered, "FAN_IN", 2)
+    frame = spark.createDataFrame(_rows(1, n=150), "k string, t long, seq long, v double, flag boolean")
     frame = frame.withColumn("at", (F.col("seq") * abs(spread) + min(spread, 0) * 100).cast("bigint"))
     sl = F.col("at")  # one row per slice
     order = F.col("at").desc() if descending else F.col("at")
