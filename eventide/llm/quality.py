@@ -9,9 +9,15 @@ are scaled so that their median is that of chi-square.  A group is only ever see
 through sums and percentile sketches that map tasks build before shuffling, so a
 source with a third of all rows costs no task more than another.
 
+With ``prior_rows`` the same estimate is made of every language and of all rows too,
+and each one counts as so many rows in the estimates below it: a source of n documents
+has n / (n + prior_rows) of its own centre, covariance and (logarithmic) median distance
+and the rest of its language's, whose own share is found alike.  So no group is too small
+to be judged, and nothing switches at a size.
+
 Edge cases: null text is empty; null language or source is a group of its own;
-groups under ``min_rows`` documents have no estimate and are judged by the base
-rules alone; rows with equal ids are separate documents; ties at the quantile
+without ``prior_rows``, groups under ``min_rows`` documents have no estimate and are
+judged by the base rules alone; rows with equal ids are separate documents; ties at the quantile
 stay in the subset; an empty table gives an empty result.
 """
 
@@ -30,6 +36,7 @@ FEATURES = ("f_words", "f_length", "f_symbols", "f_lines", "f_repeats")
 # Smallest spread that a feature is taken to have, in its own (transformed) units.
 FLOOR = {"f_words": 0.25, "f_length": 0.25, "f_symbols": 0.05, "f_lines": 0.08, "f_repeats": 0.08}
 CHI2_MEDIAN_5 = 4.3515
+GROUP = ("_level", "_lang", "_source")  # level 0 is all rows, 1 a language, 2 a language and source
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -67,10 +74,38 @@ def features(stats: DataFrame) -> DataFrame:
         "f_repeats": F.sqrt(F.col("n_repeat_words") / words)})
 
 
+def _levels(rows: DataFrame, prior_rows: int | None) -> DataFrame:
+    """``rows`` with their group's level; with ``prior_rows`` each once for all rows, its language, and language and source."""
+    if prior_rows is None:
+        return rows.withColumn("_level", F.lit(2))
+    none = F.lit(None).cast("string")
+    group = lambda level, lang, source: F.struct(F.lit(level).alias("_level"), lang.alias("_lang"), source.alias("_source"))
+    each = F.explode(F.array(group(0, none, none), group(1, F.col("_lang"), none), group(2, F.col("_lang"), F.col("_source"))))
+    return rows.select(*FEATURES, each.alias("_g")).select("_g.*", *FEATURES)
+
+
 def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``rows`` with the columns of their (language, source) in ``groups``; nulls are a group like any other."""
-    named = groups.withColumnsRenamed({"_lang": "_gl", "_source": "_gs"})
-    return rows.join(named, rows["_lang"].eqNullSafe(F.col("_gl")) & rows["_source"].eqNullSafe(F.col("_gs")), "left").drop("_gl", "_gs")
+    """``rows`` with the columns of their group in ``groups``; null languages and sources are groups like any other."""
+    named = groups.withColumnsRenamed({"_level": "_gv", "_lang": "_gl", "_source": "_gs"})
+    return rows.join(named, (rows["_level"] == F.col("_gv")) & rows["_lang"].eqNullSafe(F.col("_gl"))
+                     & rows["_source"].eqNullSafe(F.col("_gs")), "left").drop("_gv", "_gl", "_gs")
+
+
+def _toward_parents(groups: DataFrame, values: list[str], prior_rows: int | None) -> DataFrame:
+    """``groups`` with ``values`` mixed with those of the level above, which count as ``prior_rows`` rows."""
+    if prior_rows is None:
+        return groups
+    groups = materialize(groups)
+    own = F.col("n") / (F.col("n") + prior_rows)
+    out = above = groups.filter("_level = 0")
+    for level in (1, 2):
+        part = groups.filter(F.col("_level") == level)
+        named = above.select(F.col("_lang").alias("_pl"), *[F.col(v).alias(f"up_{v}") for v in values])
+        joined = part.join(named, part["_lang"].eqNullSafe(F.col("_pl"))) if level == 2 else part.crossJoin(named)
+        mixed = {v: own * F.col(v) + (1 - own) * F.col(f"up_{v}") for v in values}
+        above = joined.select(*[mixed[c].alias(c) if c in mixed else c for c in groups.columns])
+        out = out.unionByName(above)
+    return out
 
 
 def _distance(model: DataFrame, rows: DataFrame, *keep: str) -> DataFrame:
@@ -92,44 +127,52 @@ def _cholesky(moments: DataFrame) -> DataFrame:
         out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(rest(j) + F.lit(FLOOR[FEATURES[j]] ** 2), F.lit(1e-12))))
         for i in range(j + 1, p):
             out = out.withColumn(f"l{i}{j}", rest(i) / F.col(f"l{j}{j}"))
-    return out.select("_lang", "_source", "n", *[f"m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)])
+    return out.select(*GROUP, "n", *[f"m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)])
 
 
-def fit(rows: DataFrame, *, steps: int = 3, share: float = 0.75, min_rows: int = 50) -> DataFrame:
-    """One row per (language, source): n, centre, factor and the scale of d2; each step is two aggregates over all rows."""
+def fit(rows: DataFrame, *, steps: int = 3, share: float = 0.75, min_rows: int = 50, prior_rows: int | None = None) -> DataFrame:
+    """One row per group: n, centre, factor and the scale of d2; each step is two aggregates over all rows."""
     p = len(FEATURES)
-    first = rows.groupBy("_lang", "_source").agg(
+    rows = _levels(rows, prior_rows)
+    moments = [f"m{i}" for i in range(p)] + [f"c{j}{i}" for j in range(p) for i in range(j, p)]
+    first = rows.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i, f in enumerate(FEATURES)])
-    first = first.filter(F.col("n") >= min_rows)
-    model = materialize(_cholesky(first.select(
-        "_lang", "_source", "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(p)],
+    if prior_rows is None:
+        first = first.filter(F.col("n") >= min_rows)
+    model = materialize(_cholesky(_toward_parents(first.select(
+        *GROUP, "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(p)],
         *[(((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 if i == j else F.lit(0.0)).alias(f"c{j}{i}")
-          for j in range(p) for i in range(j, p)])))
+          for j in range(p) for i in range(j, p)]), moments, prior_rows)))
     def sketch(model: DataFrame, at: float, name: str) -> DataFrame:
         """The model with each group's quantile of d2 as a further column."""
-        cuts = (_distance(model, rows).filter(F.col("d2").isNotNull()).groupBy("_lang", "_source")
+        cuts = (_distance(model, rows).filter(F.col("d2").isNotNull()).groupBy(*GROUP)
                 .agg(F.percentile_approx("d2", at, 2000).alias(name)))
         return materialize(_with_group(model, cuts))
 
     for _ in range(steps):
         inside = _distance(sketch(model, share, "cut"), rows, "n", "cut").filter(F.col("d2") <= F.col("cut"))
-        model = materialize(_cholesky(inside.groupBy("_lang", "_source").agg(
+        model = materialize(_cholesky(_toward_parents(inside.groupBy(*GROUP).agg(
             F.first("n").alias("n"), *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
-            *[F.covar_pop(FEATURES[j], FEATURES[i]).alias(f"c{j}{i}") for j in range(p) for i in range(j, p)])))
-    return sketch(model, 0.5, "median")
+            *[F.covar_pop(FEATURES[j], FEATURES[i]).alias(f"c{j}{i}") for j in range(p) for i in range(j, p)]), moments, prior_rows)))
+    scaled = sketch(model, 0.5, "median")
+    if prior_rows is None:
+        return scaled
+    logs = _toward_parents(scaled.withColumn("median", F.log(F.greatest("median", F.lit(1e-6)))), ["median"], prior_rows)
+    return materialize(logs.withColumn("median", F.exp("median")))
 
 
 def judge(docs: DataFrame, *, cutoff: float = 100.0, steps: int = 3, share: float = 0.75, min_rows: int = 50,
-          **columns: str) -> DataFrame:
+          prior_rows: int | None = None, **columns: str) -> DataFrame:
     """Statistics, base_failed, d2 (scaled; null without an estimate) and kept, one row per document.
 
     The text is parsed once: the narrow statistics are written to the shared folder and every
     later step reads those.  ``cutoff`` is a squared distance; it lies far beyond the
-    chi-square quantiles because the statistics of clean prose have heavy tails."""
+    chi-square quantiles because the statistics of clean prose have heavy tails (figures in
+    the README).  ``prior_rows`` judges groups of every size, see the module text."""
     rows = materialize(features(statistics(docs, **columns)))
-    model = fit(rows, steps=steps, share=share, min_rows=min_rows)
+    model = fit(rows, steps=steps, share=share, min_rows=min_rows, prior_rows=prior_rows)
     d2 = F.col("d2") * CHI2_MEDIAN_5 / F.greatest("median", F.lit(1e-6))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (_distance(model, rows, "median").withColumn("d2", d2).withColumn("base_failed", failed)
+    return (_distance(model, rows.withColumn("_level", F.lit(2)), "median").withColumn("d2", d2).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True)))
-            .withColumnsRenamed({"_lang": "lang", "_source": "source"}).drop("median"))
+            .withColumnsRenamed({"_lang": "lang", "_source": "source"}).drop("median", "_level"))

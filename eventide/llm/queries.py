@@ -97,8 +97,8 @@ def op8(spark, sf_dir):
 
 @query("op9_quality_rules")
 def op9(spark, sf_dir):
-    """Statistics and verdict of every document."""
-    judged = quality.judge(load_table(spark, sf_dir, "documents"))
+    """Statistics and verdict of every document; small sources lean on their language, as if it were 50 rows of theirs."""
+    judged = quality.judge(load_table(spark, sf_dir, "documents"), prior_rows=50)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("d2"))
 
 

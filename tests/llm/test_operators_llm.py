@@ -415,6 +415,25 @@ def plain_statistics(t):
     return len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(cover)
 
 
+def test_quality_judges_groups_of_every_size(spark):
+    import __spark_entry__ as E
+
+    rng = random.Random(12)
+    prose = lambda: " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(rng.randrange(80, 300)))
+    odd = lambda: " ".join("#" * 30 + str(rng.random()) for _ in range(200))
+    rows = [(i, prose(), "en" if i % 3 else None, f"s{i % 40}") for i in range(400)]
+    rows += [(1000, odd(), "en", "s1"), (1001, odd(), "en", "alone"), (1002, odd(), None, None), (1003, odd(), "xx", "alone"), (1004, prose(), "xx", "other")]
+    rows += [(1005, odd(), "en", "pair"), (1006, odd(), "en", "pair")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judge(df, prior_rows=50).collect()}
+    assert len(got) == len(rows) and all(r.d2 is not None and not r.base_failed for r in got.values())
+    assert not any(got[i].kept for i in (1000, 1001, 1002, 1003, 1005, 1006)) and got[1004].kept
+    assert np.mean([got[i].kept for i in range(400)]) > 0.98
+    assert quality.judge(df.limit(0), prior_rows=50).count() == 0
+    judged = E.queries()["op9_quality_rules"](spark, SF001).collect()
+    assert judged and all(r.d2 is not None for r in judged) and any(not r.kept and not r.base_failed for r in judged)
+
+
 def test_quality_statistics(spark):
     rng = random.Random(9)
     rows = AWKWARD + [(30 + i, "".join(rng.choices("ab \n#$", k=200))) for i in range(30)] + [(70, "a b c\na b c\n\na b c \n a")]
