@@ -1,11 +1,11 @@
 """URL filters: host/path rules first, then a character language-model ratio.
 
 Two smoothed variable-order Markov models, one of accepted and one of rejected
-URLs, are counted over all labelled URLs in Spark.  A context is kept in the
-model only where the corpus supports it: at each order the kept grams occur at
-least N / ``max_grams`` times, so by counting at most ``max_grams`` of them exist
-and the collected model has a proven size whatever the input.  A URL's score is
-the length-normalised log-likelihood difference (accepted minus rejected); the
+URLs, are counted over all labelled URLs.  Every gram that occurs is in the model,
+which is a Spark table and grows with the input: each distinct text is scored once,
+in chunks of texts that fetch the counts of their own distinct grams by an equality
+join, so a gram that all URLs share is one row a chunk.  A URL's score is the
+length-normalised log-likelihood difference (accepted minus rejected); the
 threshold is calibrated on a held-out tenth of the labelled URLs so that at most
 ``false_reject`` of the accepted ones fall below it, and is never above zero.
 
@@ -18,13 +18,12 @@ from __future__ import annotations
 
 import math
 import string
-from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import by_value
+from eventide.llm.base import by_value, materialize
 
 # Verdict, host, path; a rule's name is host + path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -33,6 +32,7 @@ REJECT_TERMS = ("ad", "ads", "bet", "bets", "casino", "casinos", "pill", "pills"
 
 START, END = "\x02", "\x03"
 ALPHABET = 256
+CHUNK = 2000  # distinct texts that are scored together
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -60,31 +60,31 @@ def model_text(host: Column, path: Column) -> Column:
     return F.regexp_replace(F.lower(F.concat(host, path)), "[0-9]+", "0")
 
 
-@dataclass
-class UrlModel:
-    """Gram -> (count in accepted, count in rejected), and the calibrated threshold."""
-    grams: dict[str, tuple[int, int]] = field(default_factory=dict)
-    order: int = 5
-    alpha: float = 2.0
-    threshold: float = -math.inf
-
-    def score(self, text: str) -> float:
-        """(log P(accepted) - log P(rejected)) / predicted characters, each order interpolated with the shorter one."""
-        if not text or not self.grams:
-            return 0.0
-        s, get, a = START + text + END, self.grams.get, self.alpha
-        total = 0.0
-        for i in range(1, len(s)):
-            pa = pr = 1.0 / ALPHABET
-            for k in range(min(self.order, i + 1)):
-                ctx = get(s[i - k:i]) if k else get("")
-                if ctx is None:
-                    break
-                na, nr = get(s[i - k:i + 1], (0, 0))
-                pa = (na + a * pa) / (ctx[0] + a)
-                pr = (nr + a * pr) / (ctx[1] + a)
-            total += math.log(pa) - math.log(pr)
-        return total / (len(s) - 1)
+def ratio(text: str, grams: dict[str, tuple[int, int]], order: int, alpha: float) -> float:
+    """(log P(accepted) - log P(rejected)) / predicted characters, each order interpolated with the shorter one;
+    ``grams`` has the (accepted, rejected) counts of all grams of the text that occur in the model."""
+    if not text or not grams:
+        return 0.0
+    s, get = START + text + END, grams.get
+    total = 0.0
+    for i in range(1, len(s)):
+        pa = pr = 1.0 / ALPHABET
+        for k in range(min(order, i + 1)):
+            ctx = get(s[i - k:i]) if k else get("")
+            if ctx is None:
+                break
+            na, nr = get(s[i - k:i + 1], (0, 0))
+            pa = (na + alpha * pa) / (ctx[0] + alpha)
+            pr = (nr + alpha * pr) / (ctx[1] + alpha)
+        total += math.log(pa) - math.log(pr)
+    return total / (len(s) - 1)
+
+
+def gram_spans(text: Column, order: int) -> Column:
+    """Every gram of 0..order characters of a text between its marks, with repetitions."""
+    s = F.concat(F.lit(START), text, F.lit(END))
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.transform(
+        F.sequence(F.lit(0), F.least(F.lit(order), i)), lambda k: F.substr(s, i - k + 1, k))))
 
 
 def gram_counts(labelled: DataFrame, order: int) -> DataFrame:
@@ -92,50 +92,44 @@ def gram_counts(labelled: DataFrame, order: int) -> DataFrame:
 
     Texts are distinct with their multiplicity, so copies cost nothing, and each
     map task sums its grams before they are shuffled."""
-    s = F.concat(F.lit(START), "text", F.lit(END))
-    n = F.length("_s")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(F.lit(0), F.least(F.lit(order), i)), lambda k: F.substr(F.col("_s"), i - k + 1, k))))
-    return (labelled.withColumn("_s", s).select(F.explode(spans).alias("gram"), "n_accepted", "n_rejected")
+    return (labelled.select(F.explode(gram_spans(F.col("text"), order)).alias("gram"), "n_accepted", "n_rejected")
             .groupBy("gram").agg(F.sum("n_accepted").alias("n_accepted"), F.sum("n_rejected").alias("n_rejected")))
 
 
-def fit(labelled: DataFrame, *, order: int = 5, alpha: float = 2.0, max_grams: int = 40_000,
-        false_reject: float = 0.01) -> UrlModel:
-    """Fit on ``labelled`` (text, accepted boolean): one fold in ten, by crc32 of the text, calibrates the threshold.
+def text_scores(texts: DataFrame, counts: DataFrame, order: int, alpha: float, chunk: int = CHUNK) -> DataFrame:
+    """(text, score) of distinct texts by a table of gram counts.
 
-    Driver data: at most (order + 1) * max_grams grams (see module text) and one threshold."""
-    rows = (labelled.filter(F.col("text") != "").groupBy("text")
-            .agg(F.count(F.when(F.col("accepted"), 1)).alias("n_accepted"),
-                 F.count(F.when(~F.col("accepted"), 1)).alias("n_rejected")))
-    held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(10)) == 0
-    train = rows.filter(~held)
-    size = train.agg(F.sum(F.length("text") * (F.col("n_accepted") + F.col("n_rejected"))).alias("chars"),
-                     F.sum("n_accepted").alias("a"), F.sum("n_rejected").alias("r")).first()
-    if not size["a"] or not size["r"]:
-        return UrlModel(order=order, alpha=alpha)
-    least = max(1, math.ceil(2 * size["chars"] / max_grams))  # start and end marks add at most as many again
-    kept = gram_counts(train, order).filter(F.col("n_accepted") + F.col("n_rejected") >= least)
-    model = UrlModel({g: (a, r) for g, a, r in kept.toLocalIterator()}, order, alpha)
-    cut = (rows.filter(held & (F.col("n_accepted") > 0)).select(score_column(model, F.col("text")).alias("s"), "n_accepted")
-           .agg(F.expr(f"percentile_approx(s, {false_reject}, 10000)").alias("q")).first()["q"])
-    model.threshold = min(0.0, cut) if cut is not None else 0.0
-    return model
+    A task holds the grams of one chunk of about ``chunk`` texts; the join sees each distinct gram of a chunk once."""
+    n = math.ceil(texts.count() / chunk) or 1
+    dealt = texts.select("text", F.pmod(F.xxhash64("text"), F.lit(n)).alias("chunk"))
+    asked = (dealt.repartition("chunk").select("chunk", F.explode(F.array_distinct(gram_spans(F.col("text"), order))).alias("gram"))
+             .distinct())
+    known = asked.join(counts, "gram").select(F.col("chunk").alias("of"), "gram", "n_accepted", "n_rejected")
 
+    def score(part: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
+        model = dict(zip(grams["gram"], zip(grams["n_accepted"].tolist(), grams["n_rejected"].tolist())))
+        return pd.DataFrame({"text": part["text"], "score": [ratio(t, model, order, alpha) for t in part["text"]]})
 
-def score_column(model: UrlModel, text: Column) -> Column:
-    """Length-normalised log-likelihood difference of a model text; the model reaches each worker once."""
-    from pyspark.sql import SparkSession
+    return dealt.groupBy("chunk").cogroup(known.groupBy("of")).applyInPandas(score, "text string, score double")
 
-    shared = SparkSession.active().sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(s: pd.Series) -> pd.Series:
-        m = shared.value
-        known = {t: m.score(t or "") for t in s.unique()}
-        return s.map(known).astype("float64")
+def fit_scores(labelled: DataFrame, *, order: int = 5, alpha: float = 2.0, false_reject: float = 0.01) -> tuple[DataFrame | None, float]:
+    """((text, score) of every distinct text, threshold) of the models of ``labelled`` (text, accepted boolean): one fold
+    in ten, by crc32 of the text, calibrates the threshold.  (None, -inf) where a class has no example.
 
-    return score(text)
+    Driver data: three sums and one threshold."""
+    rows = materialize(labelled.filter(F.col("text") != "").groupBy("text")
+                       .agg(F.count(F.when(F.col("accepted"), 1)).alias("n_accepted"),
+                            F.count(F.when(~F.col("accepted"), 1)).alias("n_rejected")))
+    held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(10)) == 0
+    train = rows.filter(~held)
+    size = train.agg(F.sum("n_accepted").alias("a"), F.sum("n_rejected").alias("r")).first()
+    if not size["a"] or not size["r"]:
+        return None, -math.inf
+    scores = materialize(text_scores(rows, gram_counts(train, order), order, alpha))
+    cut = (scores.join(rows.filter(held & (F.col("n_accepted") > 0)).select("text"), "text", "left_semi")
+           .agg(F.expr(f"percentile_approx(score, {false_reject}, 10000)").alias("q")).first()["q"])
+    return scores, min(0.0, cut) if cut is not None else 0.0
 
 
 def filter_urls(urls: DataFrame, url_col: str = "url", rules=RULES, reject_terms=REJECT_TERMS, **fit_args) -> DataFrame:
@@ -145,7 +139,7 @@ def filter_urls(urls: DataFrame, url_col: str = "url", rules=RULES, reject_terms
     word of ``reject_terms``; accepted is what remains.  The digits of paths and
     the query string are not read."""
     host, path = url_parts(F.col(url_col))
-    cols = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score", "_rule_verdict", "_text")]
+    cols = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score", "_rule_verdict", "_text", "_key", "_score")]
     parts = urls.select(*cols, host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = parts.select("*", name.alias("rule"), verdict.alias("_rule_verdict"),
@@ -153,9 +147,13 @@ def filter_urls(urls: DataFrame, url_col: str = "url", rules=RULES, reject_terms
     spam = F.arrays_overlap(F.split("host", "[.-]"), F.array(*[F.lit(t) for t in reject_terms]))
     blocked = F.coalesce(F.col("_rule_verdict") == "block", spam)
     allowed = F.coalesce(F.col("_rule_verdict") == "allow", F.lit(False))
-    model = fit(judged.select(F.col("_text").alias("text"), (allowed | ~blocked).alias("accepted")), **fit_args)
-    scored = judged.withColumn("score", score_column(model, F.col("_text")))
-    by_model = F.when(F.col("score") < model.threshold, "block").otherwise("allow")
+    scores, threshold = fit_scores(judged.select(F.col("_text").alias("text"), (allowed | ~blocked).alias("accepted")), **fit_args)
+    if scores is None:
+        scored = judged.withColumn("score", F.lit(0.0))
+    else:
+        named = scores.select(F.col("text").alias("_key"), F.col("score").alias("_score"))
+        scored = judged.join(named, judged["_text"] == F.col("_key"), "left").withColumn("score", F.coalesce("_score", F.lit(0.0)))
+    by_model = F.when(F.col("score") < threshold, "block").otherwise("allow")
     return scored.select(*cols, "host", "path", "rule", F.coalesce("_rule_verdict", by_model).alias("verdict"), "score")
 
 

@@ -71,6 +71,31 @@ def test_url_model_counts_like_a_plain_loop(spark):
     assert got == {k: tuple(v) for k, v in want.items()}
 
 
+def test_url_scores_read_every_gram_at_any_size(spark):
+    good = [f"http://site{c}.example.com/article/{c}" for c in "abcdefghijklmnop"]
+    bad = [f"http://casino-{c}.example.com/xyzzy/{c}" for c in "abcdefghijklmnop"]
+    asked = ["http://kasino.example.com/xyzzy/q", "http://siteq.example.com/article/q"]
+    times = {u: 5000 if u in good else 5 for u in good + bad} | dict.fromkeys(asked, 1)
+    few = spark.createDataFrame(list(times.items()), "url string, n int")
+    df = few.select(F.explode(F.sequence(F.lit(1), "n")).alias("page_id"), "url")
+    got = {r.url: (r.score, r.verdict) for r in url_filter.filter_urls(df).distinct().drop("page_id").distinct().collect()}
+    text = {u: u[len("http://"):] for u in times}
+    grams = {}
+    for u, n in times.items():
+        if zlib.crc32(text[u].encode()) % 10:
+            s = url_filter.START + text[u] + url_filter.END
+            for e in range(1, len(s) + 1):
+                for k in range(min(5, e) + 1):
+                    grams.setdefault(s[e - k:e], [0, 0])[u in bad] += n
+    for u in times:
+        assert got[u][0] == pytest.approx(url_filter.ratio(text[u], grams, 5, 2.0), abs=1e-9), u
+    assert got[asked[0]][0] < 0 < got[asked[1]][0] and all(got[u][0] < 0 for u in bad)
+    each = spark.createDataFrame([(t, 1, 0) for t in text.values()], "text string, n_accepted long, n_rejected long")
+    counts = spark.createDataFrame([(g, *c) for g, c in grams.items()], "gram string, n_accepted long, n_rejected long")
+    chunked = {r.text: r.score for r in url_filter.text_scores(each, counts, 5, 2.0, chunk=3).collect()}
+    assert {t: pytest.approx(got[u][0], abs=1e-9) for u, t in text.items()} == chunked
+
+
 def test_url_model_separates_unseen_urls(spark):
     good = [f"http://news{i}.example.com/article/{i}" for i in range(300)]
     bad = [f"http://casino-{i}.example.com/win/{i}" for i in range(300)]
