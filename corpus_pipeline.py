@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import decontaminate, packing, secret_scan, simhash, toxicity
-from eventide.llm.base import load_table, materialize, prepare, query
+from eventide.llm.base import load_table, materialize, prepare, query, text_key
 from eventide.llm.queries import fold, public_tokenizer
 
 MASK = "[secret]"
+TEXT_KEY = "_text_sha256"
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +32,12 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an overlap of 13 words (or a whole shorter item) with the benchmark at 80 % equal words."""
+    """Documents without an overlap of 13 words (or a whole shorter item) with the benchmark at 80 % equal words.
+
+    An overlap depends on the text alone and travels by its hash, so rows without an id or of a repeated one go or stay by their own text."""
     prepare(spark)
-    return decontaminate.drop_contaminated(docs, load_table(spark, sf_dir, "benchmark"), min_words=13, similarity=0.8)
+    keyed = docs.withColumn(TEXT_KEY, text_key(F.col("text")))
+    return decontaminate.drop_contaminated(keyed, load_table(spark, sf_dir, "benchmark"), id_col=TEXT_KEY, min_words=13, similarity=0.8).drop(TEXT_KEY)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

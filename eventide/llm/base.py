@@ -9,14 +9,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.session import checkpoint_root, input_bytes, materialize, ship_package
 from eventide.sources.tables import load_table
 
 __all__ = ["ORACLES", "QUERIES", "SPACE", "WORD", "bounded_batches", "by_value", "load_table", "materialize", "prepare",
-           "query", "shuffle_width", "texts"]
+           "query", "shuffle_width", "text_key", "texts"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -61,6 +61,11 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
+def text_key(text: Column) -> Column:
+    """SHA-256 of a text, null as empty: what depends on the text alone travels by it, whatever ids a row has."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
 def shuffle_width(df: DataFrame, bytes_each: int = 8 << 20) -> int:
     """Partitions for data that grows with the input: one for each ``bytes_each`` of input files, and no
     fewer than the session's own number.  Inputs that come from no file (tests) take the session's number."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.base import materialize, texts
+from eventide.llm.base import materialize, text_key, texts
 
 # Patterns of the single finds.  Runs are maximal, so a minimum length in the pattern drops
 # exactly the matches that are too short; an assignment's value is measured after matching.
@@ -104,11 +104,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one); all columns kept, null texts stay null.
 
-    Texts are joined to the spans of the documents that have any; that list is written first, so Spark
-    knows whether it is small enough to be sent to every task.  Rows of equal id are masked by the spans of
-    all of them."""
-    hits = materialize(find_spans(docs, id_col, text_col, scope).filter(F.size("spans") > 0)
-                       .groupBy("_id").agg(F.flatten(F.collect_list("spans")).alias("_spans")))
+    Texts are joined to the spans of the texts that have any; that list is written first, so Spark
+    knows whether it is small enough to be sent to every task.  Spans depend on the text alone and
+    travel by its hash, so null and repeated ids mask no other row."""
+    keyed = docs.select(text_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
+    hits = materialize(find_spans(keyed, "_key", "_text", scope).filter(F.size("spans") > 0)
+                       .groupBy("_id").agg(F.first("spans").alias("_spans")))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def step(acc, s):
@@ -118,7 +119,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
 
     masked = F.aggregate(F.sort_array("_spans"), start, step,
                          lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1)))
-    return (docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]), "left")
+    return (docs.join(hits.withColumnRenamed("_id", "_spans_of"), text_key(docs[text_col]) == F.col("_spans_of"), "left")
             .select(*[F.when(F.col("_spans").isNotNull() & F.col(text_col).isNotNull(), masked).otherwise(F.col(text_col)).alias(text_col)
                       if c == text_col else docs[c] for c in docs.columns]))
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import by_value, materialize, shuffle_width, texts
+from eventide.llm.base import by_value, materialize, shuffle_width, text_key, texts
 from eventide.llm.graph import components
 
 CHUNK = 1 << 16  # shingles whose bits are counted at once
@@ -207,15 +207,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **args) -> DataFrame:
-    """The document of the smallest id of each component, one row for each id, all columns; rows without id stay.
-
-    What goes is joined to the documents, not what stays: that list is written first, so that
-    Spark sends it to every task if it is small and shuffles only if it is not."""
-    found = materialize(near_duplicates(docs, id_col, text_col, **args).filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-                        .agg(F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_first")).filter("_rows > 1 OR _id <> _first"))
-    single = docs.join(found, docs[id_col] == found["_id"], "left_anti")
-    again = found.filter("_id = _first").select(F.col("_id").alias("_again"))
-    return single.unionByName(docs.join(again, docs[id_col] == again["_again"], "left_semi").dropDuplicates([id_col]))
+    """One row of each component, all columns: that of the smallest id (null after all others), of the smallest text hash
+    among rows of that id, any one among equal rows.
+
+    Rows are told apart by id and text, so a repeated id loses only the rows that are copies.  What goes is joined to the
+    documents, not what stays: that list is written first, so that Spark sends it to every task if it is small and shuffles
+    only if it is not."""
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text"))
+    keyed = near_duplicates(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text", **args)
+    found = materialize(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.first("component_id").alias("_first"))
+                        .filter("_rows > 1 OR _key <> _first"))
+    mine = docs.withColumn("_mine", key)
+    single = mine.join(found, mine["_mine"] == found["_key"], "left_anti")
+    again = found.filter("_key = _first").select(F.col("_key").alias("_again"))
+    return single.unionByName(mine.join(again, mine["_mine"] == again["_again"], "left_semi").dropDuplicates(["_mine"])).drop("_mine")
 
 
 by_value(__name__)

@@ -642,6 +642,31 @@ def test_pipeline_stages_on_an_awkward_table(spark):
             assert ids == [] and got == []
 
 
+def test_pipeline_stages_decide_by_row(spark):
+    """Null and repeated ids: copies go, unique and clean rows stay whole, contaminated rows go."""
+    import corpus_pipeline as P
+
+    rng = random.Random(33)
+    prose = lambda: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(60))
+    a, b, c, d, e = (prose() for _ in range(5))
+    leak = load_table(spark, SF001, "benchmark").filter("length(text) > 200").orderBy("item_id").first().text
+    row = lambda i, t: (i, t, "en", "s", len(t), 1, "x")
+    make = lambda rows: spark.createDataFrame([row(*r) for r in rows], DOC + ", _id long, _text string")
+    stages = dict(P.STAGES)
+    texts_of = lambda out: sorted((str(r.doc_id), r.text) for r in out.collect())
+    # a: null ids only; b: id 7 copies id 1, whose other row c is unique; d: null and an id; e: equal rows
+    rows = [(None, a), (None, a), (1, b), (7, b), (7, c), (None, d), (9, d), (5, e), (5, e), (5, e.upper()), (None, e)]
+    kept = texts_of(stages["simhash_near_dedup"](spark, make(rows), SF001))
+    assert [(i, t.lower()) for i, t in kept] == sorted([("None", a), ("1", b), ("7", c), ("9", d), ("5", e)])
+    rows = [(None, leak), (None, a), (7, b), (7, leak + " " + b), (8, c)]
+    assert texts_of(stages["benchmark_decontamination"](spark, make(rows), SF001)) == sorted([("None", a), ("7", b), ("8", c)])
+    secret = "token=abcdefghijklmnop"
+    rows = [(None, a), (None, secret + " " + b), (None, c + " " + secret), (7, d), (7, secret + e), (7, secret + e)]
+    masked = [(None, a), (None, P.MASK + " " + b), (None, c + " " + P.MASK), (7, d)]
+    got = texts_of(stages["secret_scans"](spark, make(rows), SF001))
+    assert set(got) >= {(str(i), t) for i, t in masked} and len(got) == len(rows) and not any("token" in t for _, t in got)
+
+
 def test_pipeline_against_its_parts(spark):
     import corpus_pipeline as P
     from eventide.llm.queries import fold
