@@ -2,25 +2,30 @@
 
 A fixed mask reads some of the words of a window and ignores the others, so a seed
 still meets its twin where ignored words were substituted.  Test seeds (every mask
-at every position of every benchmark item) and training seeds are joined on their
+of an item's length at each of its positions) and training seeds are joined on their
 hash; a Bloom filter of fixed size, built from the test seeds, lets the training side
 shuffle only seeds that may have a twin.  Around each hit the overlap is verified on its
 diagonal: there must be ``min_words`` consecutive aligned words (the whole item, if it
-is shorter) of which ``similarity`` are equal.
+is shorter) of which ``similarity`` are equal.  The masks of an item's length miss no
+pattern of substitutions that this accepts (``missed`` enumerates them); masks that no
+item of the benchmark uses are not searched for.
 
 Words are compared in lower case without surrounding punctuation.  Training hits
 travel as runs -- close-by hits of one document with the words around them -- so the
 texts themselves are never shuffled.
 
-Edge cases: null and empty texts match nothing; items of fewer words than the
-shortest mask (7) are not searched for; items of equal text count as the one of the
+Edge cases: null and empty texts match nothing; items of up to four words
+are searched for as they are, items without words not at all; items of equal text count as the one of the
 smallest id; rows with equal document ids are searched each for itself and reported
 under that id; empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +35,11 @@ from pyspark.sql import functions as F
 
 from eventide.llm.base import by_value, materialize, texts
 
-# Fixed masks, ours: 1 reads a word, 0 ignores it.
-MASKS = ("1111111", "11101011001", "11011000111", "10110110101")
+# Fixed masks, ours: 1 reads a word, 0 ignores it.  By the words of the shortest overlap, complete at 80 % equal words.
+LONG = ("1111111", "11101011001", "11011000111", "10110110101", "11011111")
+MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("1111", "11011", "10111", "11101"), 6: ("1111", "11011"), 7: ("1111", "11011"),
+         8: ("1111",), 9: ("1111",), **dict.fromkeys((10, 11, 12), ("11111", "111011", "11010011"))}
+PATTERNS = 100_000  # substitution patterns that are enumerated at the most
 FILTER_BITS = 26
 GAP, MARGIN = 32, 64
 PUNCTUATION = b".,;:!?\"'()[]{}"
@@ -58,13 +66,34 @@ def word_hashes(text: bytes, known: WordHash) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def seeds(words: np.ndarray, mask_no: int) -> np.ndarray:
+def missed(masks: tuple[str, ...], n: int, most: int) -> list[tuple[int, ...]]:
+    """The patterns of ``most`` substitutions in ``n`` words that no place of a mask avoids."""
+    reads = [{o + i for i, c in enumerate(m) if c == "1"} for m in masks for o in range(n - len(m) + 1)]
+    return [p for p in combinations(range(n), most) if not any(r.isdisjoint(p) for r in reads)]
+
+
+def allowed(n: int, similarity: float) -> int:
+    """Substitutions in ``n`` words that leave ``similarity`` of them equal."""
+    return n - math.ceil(similarity * n - 1e-9)
+
+
+@lru_cache(maxsize=1024)
+def masks_of(n: int, similarity: float) -> tuple[str, ...]:
+    """Masks that find every overlap of ``n`` words with ``similarity`` equal: the fixed ones, and where those miss a pattern (or
+    there are too many to tell) a run of words, of which some place is always free of substitutions."""
+    fixed, most = MASKS.get(n, LONG), allowed(n, similarity)
+    if math.comb(n, most) <= PATTERNS and not missed(fixed, n, most):
+        return fixed
+    return (*fixed, "1" * max(1, min(len(_K), math.ceil((n - most) / (most + 1)))))
+
+
+def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     """The seed hash of one mask at every position of a word sequence."""
-    at = [i for i, c in enumerate(MASKS[mask_no]) if c == "1"]
-    n = len(words) - len(MASKS[mask_no]) + 1
+    at = [i for i, c in enumerate(mask) if c == "1"]
+    n = len(words) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.full(n, mask_no + 1, np.uint64)
+    h = np.full(n, int(mask, 2), np.uint64)
     for j, o in enumerate(at):
         h += words[o:o + n] * _K[j]
     h ^= h >> np.uint64(29)
@@ -78,7 +107,7 @@ def _filter_places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, words array of hashes), one row for each different text of at least 7 words."""
+    """(item_id, words array of hashes), one row for each different text that has words."""
     d = texts(items, id_col, text_col).groupBy("_text").agg(F.min("_id").alias("_id"))
     kind = d.schema["_id"].dataType.simpleString()
 
@@ -86,27 +115,29 @@ def item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
         known = WordHash()
         for b in batches:
             words = [word_hashes(t.as_py(), known).view(np.int64) for t in b.column(1)]
-            keep = [i for i, w in enumerate(words) if len(w) >= len(MASKS[0])]
+            keep = [i for i, w in enumerate(words) if len(w)]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array([words[i] for i in keep], pa.list_(pa.int64()))],
                                              names=["item_id", "item"])
 
     return d.select("_id", F.col("_text").cast("binary")).mapInArrow(run, f"item_id {kind}, item array<long>")
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
-    """(h, item_id, item_pos) of every mask at every position."""
+def item_seeds(items: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """(h, item_id, item_pos, mask, whole) of every mask of an item's length at every position; ``whole`` seeds read all of an item."""
     kind = items.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ident, words in zip(b.column(0), b.column(1)):
                 w = np.array(words.as_py(), np.int64).view(np.uint64)
-                for m in range(len(MASKS)):
+                for m in masks_of(min(len(w), min_words), similarity):
                     h = seeds(w, m)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([ident.as_py()] * len(h), b.column(0).type),
-                                                      pa.array(np.arange(len(h), dtype=np.int32))], names=["h", "item_id", "item_pos"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h.view(np.int64)), pa.array([ident.as_py()] * len(h), b.column(0).type), pa.array(np.arange(len(h), dtype=np.int32)),
+                         pa.array([m] * len(h), pa.string()), pa.array([m == "1" * len(w)] * len(h), pa.bool_())],
+                        names=["h", "item_id", "item_pos", "mask", "whole"])
 
-    return items.mapInArrow(run, f"h long, item_id {kind}, item_pos int")
+    return items.mapInArrow(run, f"h long, item_id {kind}, item_pos int, mask string, whole boolean")
 
 
 def seed_filter(test: DataFrame) -> np.ndarray:
@@ -122,7 +153,7 @@ def seed_filter(test: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def training_runs(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+def training_runs(docs: DataFrame, bits: np.ndarray, masks: list[str], id_col: str, text_col: str) -> DataFrame:
     """(run, doc_id, hits array<(h, pos)>, words, words_at): close-by seeds that pass the filter, with MARGIN words around."""
     d = texts(docs, id_col, text_col)
     kind = d.schema["_id"].dataType.simpleString()
@@ -136,14 +167,14 @@ def training_runs(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str)
             words, ends = np.concatenate([*each, np.zeros(0, np.uint64)]), np.cumsum(sizes)
             doc = np.repeat(np.arange(len(each)), sizes)
             found_at, found_h = [], []
-            for m, mask in enumerate(MASKS):
-                h = seeds(words, m)
+            for mask in masks:
+                h = seeds(words, mask)
                 p, q = _filter_places(h)
                 at = np.flatnonzero((table[p >> 3] >> (p & 7).astype(np.uint8)) & (table[q >> 3] >> (q & 7).astype(np.uint8)) & 1)
                 at = at[at + len(mask) <= ends[doc[at]]]
                 found_at.append(at)
                 found_h.append(h[at])
-            at, h = np.concatenate(found_at), np.concatenate(found_h)
+            at, h = np.concatenate([*found_at, np.zeros(0, np.int64)]), np.concatenate([*found_h, np.zeros(0, np.uint64)])
             order = np.argsort(at, kind="stable")
             at, h = at[order], h[order]
             new = np.flatnonzero(np.concatenate([[True], (np.diff(at) > GAP) | (doc[at[1:]] != doc[at[:-1]])])) if len(at) else np.zeros(0, np.int64)
@@ -151,7 +182,7 @@ def training_runs(docs: DataFrame, bits: np.ndarray, id_col: str, text_col: str)
             for lo, hi in zip(new, np.append(new[1:], len(at))):
                 k = doc[at[lo]]
                 base = ends[k] - sizes[k]
-                first, last = max(base, at[lo] - MARGIN), min(ends[k], at[hi - 1] + max(map(len, MASKS)) + MARGIN)
+                first, last = max(base, at[lo] - MARGIN), min(ends[k], at[hi - 1] + max(map(len, masks)) + MARGIN)
                 rows["doc"].append(k)
                 rows["hits"].append([{"h": x, "pos": int(y)} for x, y in zip(h[lo:hi].view(np.int64).tolist(), at[lo:hi] - base)])
                 rows["words"].append(words[first:last].view(np.int64))
@@ -190,10 +221,13 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                   item_text_col: str = "text", min_words: int = 13, similarity: float = 0.8) -> DataFrame:
     """(doc_id, item_id, n_words, n_equal, doc_word): the longest verified overlap of each pair that has one."""
     items = materialize(item_words(benchmark, item_id_col, item_text_col))
-    test = materialize(item_seeds(items))
-    runs = materialize(training_runs(docs, seed_filter(test), id_col, text_col))
-    hits = (runs.select("run", F.explode("hits").alias("hit")).select("run", "hit.h", "hit.pos").join(test, "h")
-            .select("run", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
+    test = materialize(item_seeds(items, min_words, similarity))
+    masks = sorted(r.mask for r in test.select("mask").distinct().collect())
+    runs = materialize(training_runs(docs, seed_filter(test), masks, id_col, text_col))
+    met = (runs.select("run", F.explode("hits").alias("hit")).select("run", "hit.h", "hit.pos").join(test, "h")
+           .select("run", "item_id", "whole", (F.col("pos") - F.col("item_pos")).alias("diagonal")))
+    # a whole item met as it is needs no second place in its run
+    hits = met.groupBy("run", "item_id", F.when(~F.col("whole"), F.col("diagonal")).alias("_d")).agg(F.min("diagonal").alias("diagonal")).drop("_d")
     pairs = (hits.join(items, "item_id").join(runs.select(F.col("run").alias("_run"), "doc_id", "words", "words_at"), F.col("run") == F.col("_run"))
              .select("doc_id", "item_id", "words", "item", (F.col("diagonal") - F.col("words_at")).alias("shift"), "words_at"))
     kinds = [pairs.schema[c].dataType.simpleString() for c in ("doc_id", "item_id")]

@@ -3,6 +3,7 @@ ties, repeated rows, empty tables, and extra columns with clashing names."""
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -258,6 +259,43 @@ def test_decontamination_finds_substituted_passages(spark):
     assert left.filter("doc_id IS NULL").count() == 1 and left.filter("doc_id = 500").count() == 0 and left.filter("doc_id % 4 = 0 AND doc_id < 200").count() == 0
 
 
+def test_masks_miss_no_accepted_pattern():
+    for n in range(1, 14):
+        most = n - int(np.ceil(0.8 * n - 1e-9))
+        masks = decontaminate.masks_of(n, 0.8)
+        assert masks == decontaminate.MASKS.get(n, decontaminate.LONG) and max(map(len, masks)) <= n
+        for k in range(most + 1):
+            assert decontaminate.missed(masks, n, k) == [], (n, k)
+    for n, similarity in ((13, 0.6), (10, 0.5), (7, 0.7), (20, 0.8)):
+        assert decontaminate.missed(decontaminate.masks_of(n, similarity), n, decontaminate.allowed(n, similarity)) == []
+
+
+def test_decontamination_against_every_window(spark):
+    """Items of 1 to 20 words, every accepted pattern of substitutions and some that are not."""
+    rng = random.Random(13)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 21)}
+    rows = []
+    for n, item in items.items():
+        m = min(n, 13)
+        for at in {0, n - m}:
+            for k in range(4):
+                patterns = list(itertools.combinations(range(m), k))
+                for p in patterns if k < 3 else rng.sample(patterns, min(5, len(patterns))):
+                    part = [f"x{rng.randrange(10**9)}" if j in p else w for j, w in enumerate(item[at:at + m])]
+                    rows.append((len(rows), " ".join([f"a{rng.randrange(10**9)}" for _ in range(rng.randrange(4))] + part + ["z"] * rng.randrange(3))))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    want = set()
+    for i, t in rows:
+        w = t.split()
+        for n, item in items.items():
+            m = min(n, 13)
+            if any(sum(a == b for a, b in zip(w[x:x + m], item[y:y + m])) >= 0.8 * m - 1e-9 for x in range(len(w) - m + 1) for y in range(n - m + 1)):
+                want.add((i, n))
+    assert {n for _, n in want} == set(items)
+    got = [(r.doc_id, r.item_id) for r in decontaminate.find_overlaps(docs(spark, rows), bench).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_decontamination_empty_sides(spark):
     some, none = docs(spark, AWKWARD), docs(spark, [])
     bench = spark.createDataFrame([], "item_id long, text string")
