@@ -202,12 +202,14 @@ def score_column(model: ToxicModel, text: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         per_class: int = 3000, train_chars: int = 20_000, **train_args) -> ToxicModel:
     """Train on a bounded sample of ``labels`` (id, 0/1).  The ids are picked first (two top-k lists of ``per_class``),
-    so the corpus is scanned once and never shuffled; the driver holds that sample and nothing else."""
+    so the corpus is scanned once and never shuffled; of the rows of a picked id the smallest text is taken, so the
+    driver holds at most 2 * ``per_class`` texts."""
     eligible = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("_y")).filter("_lid IS NOT NULL")
     total = {r[0]: r[1] for r in eligible.filter("_y IN (0, 1)").groupBy("_y").count().collect()}
     picked = [eligible.filter(F.col("_y") == y).dropDuplicates(["_lid"]).orderBy(F.xxhash64("_lid"), "_lid").limit(per_class) for y in (0, 1)]
     sample = (docs.filter(F.length(text_col) <= train_chars)
-              .join(F.broadcast(picked[0].unionByName(picked[1])), F.col(id_col) == F.col("_lid")).select("_lid", text_col, "_y"))
+              .join(F.broadcast(picked[0].unionByName(picked[1])), F.col(id_col) == F.col("_lid"))
+              .groupBy("_lid", "_y").agg(F.min(text_col).alias("_t")).select("_lid", "_t", "_y"))
     rows = sorted(sample.collect())
     prevalence = total.get(1, 0) / max(1, sum(total.values()))
     return train([r[1] for r in rows], np.array([r[2] for r in rows], dtype=bool), prevalence=prevalence, **train_args)

@@ -136,6 +136,15 @@ def test_toxicity_held_out_and_misspellings(spark):
     assert s[0] >= 0.7 > s[1] and s[2] == s[3] and 0 <= s[2] < 0.7
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
+    rows = [(1, f"copy {i:03d}") for i in range(300)] + [(2, "two"), (3, "three"), (4, "four"), (3, None)]
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (4, 1)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, **args: seen.extend(zip(texts, toxic.tolist())))
+    toxicity.fit(docs(spark, rows), labels, per_class=2)
+    assert sorted(seen) == [("copy 000", False), ("four", True), ("three", False), ("two", True)]
+
+
 def test_toxicity_one_class_or_nothing(spark):
     d = docs(spark, AWKWARD)
     for y in ([], [(1, 0), (5, 0)]):
