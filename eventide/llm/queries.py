@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import decontaminate, packing, quality, secret_scan, simhash, substring, suffix_array, toxicity, url_filter, warc
+from eventide.llm import byte_bpe, centroids, decontaminate, importance, packing, quality, secret_scan, simhash, substring, suffix_array, toxicity, url_filter, warc
 from eventide.llm.base import ORACLES, QUERIES, load_table, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -117,3 +117,27 @@ FROM d LEFT JOIN r USING (doc_id)""")
 def op10(spark, sf_dir):
     """Every document without the bytes of 400-byte strings that start anywhere else too."""
     return suffix_array.dedup(load_table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+
+
+@query("op11_centroid_clustering", centroids.oracle())
+def op11(spark, sf_dir):
+    """Cluster, distance and inertia of every whole vector after three rounds of 16 integer centroids."""
+    return centroids.with_inertia(*centroids.cluster(load_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+
+
+@query("op12_byte_bpe")
+def op12(spark, sf_dir):
+    """Digests of every text's ids and of the bytes they decode to."""
+    from public_tokenizers import PATTERN
+
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode(docs, public_tokenizer("byte_bpe_50k.tiktoken"), PATTERN, decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_importance_resampling", importance.oracle())
+def op13(spark, sf_dir):
+    """Weight, score and rank of every document, resampled towards the benchmark."""
+    docs, benchmark = (load_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return importance.resample(docs.select("doc_id", "text"), benchmark.select("text"))
