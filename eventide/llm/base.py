@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventide.session import checkpoint_root, input_bytes, materialize, ship_package
 from eventide.sources.tables import load_table
 
-__all__ = ["ORACLES", "QUERIES", "SPACE", "WORD", "bounded_batches", "by_value", "load_table", "materialize", "prepare",
+__all__ = ["ORACLES", "QUERIES", "SPACE", "WORD", "bounded_batches", "by_value", "fresh", "keyed_texts", "load_table", "materialize", "prepare",
            "query", "shuffle_width", "text_key", "texts"]
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,6 +61,24 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
+def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """As ``texts``, with a row key for _id: the id and a 64-bit hash of the text.  Rows that share an id (or have
+    none) are told apart by their texts; rows equal in both are alike in every result."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text")).alias("_id"), text.alias("_text"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until no column of ``df`` has it: what an operator adds never hides a column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def text_key(text: Column) -> Column:
     """SHA-256 of a text, null as empty: what depends on the text alone travels by it, whatever ids a row has."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))

@@ -85,7 +85,7 @@ def fit_rotation(vectors: DataFrame, dims: int, scale: float, leading: int) -> R
         m[r.i, r.j] = m[r.j, r.i] = r.s
     mean = m[0, 1:] / max(m[0, 0], 1.0)
     _, axes = np.linalg.eigh(m[1:, 1:] / max(m[0, 0], 1.0) - np.outer(mean, mean))
-    return Rotation(mean, axes[:, ::-1], min(leading, dims))
+    return Rotation(mean, axes[:, ::-1], max(1, min(leading, dims)))
 
 
 def rotated(vectors: DataFrame, dims: int, scale: float, rotation: Rotation) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import by_value, materialize, texts
+from eventide.llm.base import by_value, fresh, materialize, text_key, texts
 
 # Fixed masks, ours: 1 reads a word, 0 ignores it.  By the words of the shortest overlap, complete at 80 % equal words.
 LONG = ("1111111", "11101011001", "11011000111", "10110110101", "11011111")
@@ -251,10 +251,15 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
             .select("doc_id", "item_id", "b.n_words", "b.n_equal", F.negative(F.col("b._at")).alias("doc_word")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **args) -> DataFrame:
-    """``docs`` without the documents that overlap a benchmark item; all columns, rows with a null id are kept."""
-    bad = materialize(find_overlaps(docs, benchmark, id_col=id_col, **args).select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **args) -> DataFrame:
+    """``docs`` without the documents that overlap a benchmark item; all columns.
+
+    An overlap depends on the text alone and travels by its hash, so rows without an id or of a repeated one go or stay by
+    their own text; null and empty texts overlap nothing and stay."""
+    own, listed = fresh(docs, "_text_key", "_listed")
+    keyed = docs.select(text_key(F.col(text_col)).alias("doc_id"), F.col(text_col).alias("text"))
+    bad = materialize(find_overlaps(keyed, benchmark, **args).select(F.col("doc_id").alias(listed)).distinct())
+    return docs.withColumn(own, text_key(F.col(text_col))).join(bad, F.col(own) == F.col(listed), "left_anti").drop(own)
 
 
 by_value(__name__)

@@ -108,9 +108,9 @@ class Slices:
 REPLY = "q int, ids array<{kind}>, doc binary, pos binary, n binary, flag binary"
 
 
-def id_ranks(ids: pa.Array) -> np.ndarray:
-    """Order of ids, equal ids equal, null first."""
-    encoded = pc.dictionary_encode(ids)
+def id_ranks(keys: pa.Array) -> np.ndarray:
+    """Order of the ids of row keys, equal ids equal, null first."""
+    encoded = pc.dictionary_encode(keys.flatten()[0])
     uniq = encoded.dictionary
     rank = np.empty(len(uniq), np.int64)
     rank[pc.sort_indices(uniq).to_numpy()] = np.arange(1, len(uniq) + 1)
@@ -118,15 +118,27 @@ def id_ranks(ids: pa.Array) -> np.ndarray:
     return np.where(index < 0, 0, np.append(rank, 0)[index])
 
 
-def id_ranges(ids: pa.Array, width: int) -> np.ndarray:
-    """The one of ``width`` groups that an id belongs to, the same in every task."""
-    return np.fromiter((xxhash.xxh64_intdigest(str(x).encode("utf-8", "surrogatepass")) % width for x in ids.to_pylist()), np.int64, len(ids))
+def row_numbers(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row key in the order of id, then text; where each number is found first)."""
+    rank, text = id_ranks(keys), keys.flatten()[1].to_numpy(zero_copy_only=False)
+    order = np.lexsort((text, rank))
+    new = np.ones(len(order), bool)
+    new[1:] = (rank[order[1:]] != rank[order[:-1]]) | (text[order[1:]] != text[order[:-1]])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out, order[new]
+
+
+def key_ranges(keys: pa.Array, width: int) -> np.ndarray:
+    """The one of ``width`` groups that a row key belongs to, the same in every task."""
+    ids, texts = (c.to_pylist() for c in keys.flatten())
+    return np.fromiter((xxhash.xxh64_intdigest(str(x).encode("utf-8", "surrogatepass"), t & 0xFFFFFFFF) % width for x, t in zip(ids, texts)), np.int64, len(keys))
 
 
 def replies(ids: pa.Array, doc: np.ndarray, pos: np.ndarray, width: int, n: np.ndarray | None = None, flag: np.ndarray | None = None) -> pa.Table:
     """Marks for documents, packed: one row for each group of ids, however many documents and places it names."""
     used, doc = np.unique(doc, return_inverse=True)
-    group = id_ranges(ids.take(pa.array(used, pa.int64())), width)[doc] if len(used) else doc
+    group = key_ranges(ids.take(pa.array(used, pa.int64())), width)[doc] if len(used) else doc
     order = np.lexsort((doc, group))
     none = np.zeros(len(doc), np.uint64)
     columns = {"pos": (pos, 5), "n": (none if n is None else n, 4), "flag": (none if flag is None else flag, 1)}
@@ -158,11 +170,10 @@ def by_document(parts: DataFrame, kind: str) -> DataFrame:
                 ids.append(row.column("ids")[i].values)
                 base += len(ids[-1])
         every = concat_lists(ids, table.schema.field("ids").type.value_type)
-        ranks = id_ranks(every)
-        rank, first = np.unique(ranks, return_index=True)
-        own = np.searchsorted(rank, ranks)[np.concatenate(doc)]
+        number, first = row_numbers(every)
+        own = number[np.concatenate(doc)]
         order = np.argsort(own, kind="stable")
-        offsets = pa.array(np.searchsorted(own[order], np.arange(len(rank) + 1)), pa.int32())
+        offsets = pa.array(np.searchsorted(own[order], np.arange(len(first) + 1)), pa.int32())
         return pa.table([every.take(pa.array(first, pa.int64()))] + [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c)[order].astype(np.int64)))
                                                                      for c in columns.values()], names=["doc_id", *columns])
 
@@ -200,8 +211,8 @@ def window_slices(key: np.ndarray, extra: np.ndarray, doc: np.ndarray, pos: np.n
 
 
 def marked_windows(parts: DataFrame, kind: str, keep_first: bool, width: int) -> DataFrame:
-    """(doc_id, pos array) of the windows that start elsewhere too: all of them, or with ``keep_first`` all but those of
-    the smallest (document, start)."""
+    """(doc_id, pos array) of the windows that start elsewhere too: all of them, or with ``keep_first`` all but those
+    of the smallest id and, in each row of that id, the first start."""
 
     def reduce(table: pa.Table) -> pa.Table:
         key, extra, doc, pos, ids, base = [], [], [], [], [], 0
@@ -215,14 +226,15 @@ def marked_windows(parts: DataFrame, kind: str, keep_first: bool, width: int) ->
                 base += len(ids[-1])
         key, extra, doc, pos = (np.concatenate(x) for x in (key, extra, doc, pos))
         every = concat_lists(ids, table.schema.field("ids").type.value_type)
-        rank = id_ranks(every)[doc]
-        order = np.lexsort((pos, rank, extra, key))
-        key, extra, doc, pos, rank = key[order], extra[order], doc[order], pos[order], rank[order]
+        rank, row = id_ranks(every)[doc], row_numbers(every)[0][doc]
+        order = np.lexsort((pos, row, extra, key))
+        key, extra, doc, pos, rank, row = key[order], extra[order], doc[order], pos[order], rank[order], row[order]
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (extra[1:] != extra[:-1])])
         first = np.flatnonzero(new)
         group = np.cumsum(new) - 1
         if keep_first:
-            mark = (rank != rank[first][group]) | (pos != pos[first][group])
+            own = new | np.concatenate([[True], row[1:] != row[:-1]])
+            mark = (rank != rank[first][group]) | (pos != pos[np.flatnonzero(own)][np.cumsum(own) - 1])
         else:
             mark = np.diff(np.append(first, len(key)))[group] > 1
         return replies(every, doc[mark], pos[mark], width)

@@ -9,15 +9,14 @@ are scaled so that their median is that of chi-square.  A group is only ever see
 through sums and percentile sketches that map tasks build before shuffling, so a
 source with a third of all rows costs no task more than another.
 
-With ``prior_rows`` the same estimate is made of every language and of all rows too,
-and each one counts as so many rows in the estimates below it: a source of n documents
+The same estimate is made of every language and of all rows too,
+and each one counts as ``prior_rows`` rows in the estimates below it: a source of n documents
 has n / (n + prior_rows) of its own centre, covariance and (logarithmic) median distance
 and the rest of its language's, whose own share is found alike.  So no group is too small
 to be judged, and nothing switches at a size.
 
 Edge cases: null text is empty; null language or source is a group of its own;
-without ``prior_rows``, groups under ``min_rows`` documents have no estimate and are
-judged by the base rules alone; rows with equal ids are separate documents; ties at the quantile
+rows with equal ids are separate documents; ties at the quantile
 stay in the subset; an empty table gives an empty result.
 """
 
@@ -74,10 +73,8 @@ def features(stats: DataFrame) -> DataFrame:
         "f_repeats": F.sqrt(F.col("n_repeat_words") / words)})
 
 
-def _levels(rows: DataFrame, prior_rows: int | None) -> DataFrame:
-    """``rows`` with their group's level; with ``prior_rows`` each once for all rows, its language, and language and source."""
-    if prior_rows is None:
-        return rows.withColumn("_level", F.lit(2))
+def _levels(rows: DataFrame) -> DataFrame:
+    """``rows`` each once for all rows, its language, and language and source."""
     none = F.lit(None).cast("string")
     group = lambda level, lang, source: F.struct(F.lit(level).alias("_level"), lang.alias("_lang"), source.alias("_source"))
     each = F.explode(F.array(group(0, none, none), group(1, F.col("_lang"), none), group(2, F.col("_lang"), F.col("_source"))))
@@ -91,10 +88,8 @@ def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
                      & rows["_source"].eqNullSafe(F.col("_gs")), "left").drop("_gv", "_gl", "_gs")
 
 
-def _toward_parents(groups: DataFrame, values: list[str], prior_rows: int | None) -> DataFrame:
+def _toward_parents(groups: DataFrame, values: list[str], prior_rows: int) -> DataFrame:
     """``groups`` with ``values`` mixed with those of the level above, which count as ``prior_rows`` rows."""
-    if prior_rows is None:
-        return groups
     groups = materialize(groups)
     own = F.col("n") / (F.col("n") + prior_rows)
     out = above = groups.filter("_level = 0")
@@ -130,15 +125,13 @@ def _cholesky(moments: DataFrame) -> DataFrame:
     return out.select(*GROUP, "n", *[f"m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)])
 
 
-def fit(rows: DataFrame, *, steps: int = 3, share: float = 0.75, min_rows: int = 50, prior_rows: int | None = None) -> DataFrame:
+def fit(rows: DataFrame, *, steps: int = 3, share: float = 0.75, prior_rows: int = 50) -> DataFrame:
     """One row per group: n, centre, factor and the scale of d2; each step is two aggregates over all rows."""
     p = len(FEATURES)
-    rows = _levels(rows, prior_rows)
+    rows = _levels(rows)
     moments = [f"m{i}" for i in range(p)] + [f"c{j}{i}" for j in range(p) for i in range(j, p)]
     first = rows.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i, f in enumerate(FEATURES)])
-    if prior_rows is None:
-        first = first.filter(F.col("n") >= min_rows)
     model = materialize(_cholesky(_toward_parents(first.select(
         *GROUP, "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(p)],
         *[(((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 if i == j else F.lit(0.0)).alias(f"c{j}{i}")
@@ -155,22 +148,20 @@ def fit(rows: DataFrame, *, steps: int = 3, share: float = 0.75, min_rows: int =
             F.first("n").alias("n"), *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
             *[F.covar_pop(FEATURES[j], FEATURES[i]).alias(f"c{j}{i}") for j in range(p) for i in range(j, p)]), moments, prior_rows)))
     scaled = sketch(model, 0.5, "median")
-    if prior_rows is None:
-        return scaled
     logs = _toward_parents(scaled.withColumn("median", F.log(F.greatest("median", F.lit(1e-6)))), ["median"], prior_rows)
     return materialize(logs.withColumn("median", F.exp("median")))
 
 
-def judge(docs: DataFrame, *, cutoff: float = 100.0, steps: int = 3, share: float = 0.75, min_rows: int = 50,
-          prior_rows: int | None = None, **columns: str) -> DataFrame:
+def judge(docs: DataFrame, *, cutoff: float = 100.0, steps: int = 3, share: float = 0.75, prior_rows: int = 50,
+          **columns: str) -> DataFrame:
     """Statistics, base_failed, d2 (scaled; null without an estimate) and kept, one row per document.
 
     The text is parsed once: the narrow statistics are written to the shared folder and every
     later step reads those.  ``cutoff`` is a squared distance; it lies far beyond the
     chi-square quantiles because the statistics of clean prose have heavy tails (figures in
-    the README).  ``prior_rows`` judges groups of every size, see the module text."""
+    the README)."""
     rows = materialize(features(statistics(docs, **columns)))
-    model = fit(rows, steps=steps, share=share, min_rows=min_rows, prior_rows=prior_rows)
+    model = fit(rows, steps=steps, share=share, prior_rows=prior_rows)
     d2 = F.col("d2") * CHI2_MEDIAN_5 / F.greatest("median", F.lit(1e-6))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (_distance(model, rows.withColumn("_level", F.lit(2)), "median").withColumn("d2", d2).withColumn("base_failed", failed)

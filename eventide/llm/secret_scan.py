@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.base import materialize, text_key, texts
+from eventide.llm.base import fresh, materialize, text_key, texts
 
 # Patterns of the single finds.  Runs are maximal, so a minimum length in the pattern drops
 # exactly the matches that are too short; an assignment's value is measured after matching.
@@ -86,6 +86,14 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return linked.groupBy("_row", "_id").agg(F.sort_array(F.collect_list(span)).alias("spans")).select("_id", "spans")
 
 
+def may_hold(text: Column) -> Column:
+    """False only where no span can be: a span is a single find, or needs a client and a bare token."""
+    has = lambda kind: text.rlike(PATTERNS[kind])
+    assigned = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
+    return F.coalesce((assigned & has("assign")) | (F.contains(text, F.lit("AKIA")) & has("access")) | has("hex")
+                      | (assigned & has("client") & has("bare")), F.lit(False))
+
+
 def joined(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -104,12 +112,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one); all columns kept, null texts stay null.
 
-    Texts are joined to the spans of the texts that have any; that list is written first, so Spark
-    knows whether it is small enough to be sent to every task.  Spans depend on the text alone and
-    travel by its hash, so null and repeated ids mask no other row."""
-    keyed = docs.select(text_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
+    A text that cannot hold a span stays where it is; only the others are scanned, dealt by key and joined to their
+    spans, at every size alike.  Spans depend on the text alone and travel by its hash, so null and
+    repeated ids mask no other row; empty texts and an empty table stay as they are."""
+    key, of, spans = fresh(docs, "_text_key", "_spans_of", "_spans")
+    some = docs.filter(may_hold(F.col(text_col)))
+    keyed = some.select(text_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
     hits = materialize(find_spans(keyed, "_key", "_text", scope).filter(F.size("spans") > 0)
-                       .groupBy("_id").agg(F.first("spans").alias("_spans")))
+                       .groupBy(F.col("_id").alias(of)).agg(F.first("spans").alias(spans)))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def step(acc, s):
@@ -117,11 +127,11 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
         gap = F.when(new, F.concat(F.substr(F.col(text_col), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(F.lit(""))
         return F.struct(F.concat(acc["out"], gap).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    masked = F.aggregate(F.sort_array("_spans"), start, step,
+    masked = F.aggregate(F.sort_array(spans), start, step,
                          lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1)))
-    return (docs.join(hits.withColumnRenamed("_id", "_spans_of"), text_key(docs[text_col]) == F.col("_spans_of"), "left")
-            .select(*[F.when(F.col("_spans").isNotNull() & F.col(text_col).isNotNull(), masked).otherwise(F.col(text_col)).alias(text_col)
-                      if c == text_col else docs[c] for c in docs.columns]))
+    joined = some.withColumn(key, text_key(F.col(text_col))).join(hits.hint("shuffle_hash"), F.col(key) == F.col(of), "left")
+    done = joined.withColumn(text_col, F.when(F.col(spans).isNotNull(), masked).otherwise(F.col(text_col))).drop(key, of, spans)
+    return docs.filter(~may_hold(F.col(text_col))).unionByName(done)
 
 
 def oracle(table: str = "documents", id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> str:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import by_value, materialize, shuffle_width, text_key, texts
+from eventide.llm.base import by_value, fresh, materialize, shuffle_width, text_key, texts
 from eventide.llm.graph import components
 
 CHUNK = 1 << 16  # shingles whose bits are counted at once
@@ -210,17 +210,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """One row of each component, all columns: that of the smallest id (null after all others), of the smallest text hash
     among rows of that id, any one among equal rows.
 
-    Rows are told apart by id and text, so a repeated id loses only the rows that are copies.  What goes is joined to the
-    documents, not what stays: that list is written first, so that Spark sends it to every task if it is small and shuffles
-    only if it is not."""
+    Rows are told apart by id and text, so a repeated id loses only the rows that are copies; equal rows count as copies, null and
+    empty texts as texts without words; an empty table stays empty.  What goes is joined to the
+    documents, not what stays.  That list grows with the documents, so the join is the same at every size: documents are
+    dealt by key once, for both uses of the list, and a task holds the keys of its part alone."""
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text"))
     keyed = near_duplicates(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text", **args)
+    own, listed = fresh(docs, "_mine", "_listed")
     found = materialize(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.first("component_id").alias("_first"))
-                        .filter("_rows > 1 OR _key <> _first"))
-    mine = docs.withColumn("_mine", key)
-    single = mine.join(found, mine["_mine"] == found["_key"], "left_anti")
-    again = found.filter("_key = _first").select(F.col("_key").alias("_again"))
-    return single.unionByName(mine.join(again, mine["_mine"] == again["_again"], "left_semi").dropDuplicates(["_mine"])).drop("_mine")
+                        .filter("_rows > 1 OR _key <> _first").select(F.col("_key").alias(listed), (F.col("_key") == F.col("_first")).alias("_stays")))
+    mine, same = docs.withColumn(own, key), F.col(own) == F.col(listed)
+    single = mine.join(found.select(listed).hint("shuffle_hash"), same, "left_anti")
+    again = mine.join(found.filter("_stays").select(listed).hint("shuffle_hash"), same, "left_semi").dropDuplicates([own])
+    return single.unionByName(again).drop(own)
 
 
 by_value(__name__)

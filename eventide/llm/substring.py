@@ -11,9 +11,11 @@ The whole corpus is shuffled as keys of about four bytes a word (see ``exchange`
 texts once, compressed; windows are shipped only around hits.  Equality of words is
 equality of 64-bit hashes for blocks and of 96 bits for windows.
 
+Rows are told apart by id and a hash of their text (``base.keyed_texts``).
+
 Edge cases: null and empty texts have no words; null ids come before all others; rows
-with equal ids neither precede each other nor are told apart -- what is marked in one
-goes in all of them; empty tables give empty results.
+with equal ids are documents of their own that do not precede each other; further columns are not
+read; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import bounded_batches, by_value, materialize, shuffle_width, texts
+from eventide.llm.base import bounded_batches, by_value, keyed_texts, materialize, shuffle_width
 from eventide.llm.exchange import SLICE, WINDOW_SLICE, marked_windows, repeated, slices, window_slices
 
 CHUNK_BYTES = 12 << 20  # of text whose keys a task holds at once
@@ -138,7 +140,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     Removed is each word that a ``window``-word string covers whose words also start earlier."""
     if window < 2 or window % 2:
         raise ValueError("window must be an even number of words")
-    d = texts(docs, id_col, text_col)
+    d = keyed_texts(docs, id_col, text_col)
     kind, width = d.schema["_id"].dataType.simpleString(), shuffle_width(docs)
     hits = repeated(block_slices(d, window // 2, width, kind), kind, width).select(F.col("doc_id").alias("_hit"), "pos")
     small = shrunk(d, kind)
@@ -169,8 +171,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
                                               pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     out = joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    out = out.withColumnRenamed("doc_id", id_col)
-    return out if texts_out else out.drop("kept_text")
+    return out.select(F.col("doc_id.id").alias(id_col), "n_words", "n_removed", "kept_sha256", *["kept_text"] * texts_out)
 
 
 by_value(__name__)

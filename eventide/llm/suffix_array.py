@@ -15,9 +15,10 @@ merged by binary search of one shard's strings in the other's array.  An anchor
 than ``hot`` different regions would not fit shards of bounded size: their strings are
 compared by 96-bit hashes spread over all tasks -- exact in the same way, and linear.
 
+Rows are told apart by id and a hash of their text (``base.keyed_texts``).
+
 Edge cases: null and empty texts have no bytes; documents are never joined; rows with
-equal ids count as different places, and what is marked in one goes in all of
-them; empty tables give empty results.
+equal or null ids are documents of their own; further columns are not read; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import by_value, materialize, shuffle_width, texts
+from eventide.llm.base import by_value, keyed_texts, materialize, shuffle_width
 from eventide.llm.exchange import REPLY, SLICE, WINDOW_SLICE, Slices, by_document, marked_windows, replies, slices, window_slices
 from eventide.llm.substring import chunks, shrunk, unshrink
 
@@ -426,7 +427,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     """(id, n_bytes, n_removed, n_spans, kept_sha256) per row; with ``texts_out`` also kept (binary).
 
     Removed is each byte that a ``length``-byte string covers which starts anywhere else, too."""
-    d = texts(docs, id_col, text_col)
+    d = keyed_texts(docs, id_col, text_col)
     kind, width = d.schema["_id"].dataType.simpleString(), shuffle_width(docs)
     hits = materialize(region_replies(anchor_slices(d, length, width, kind), kind, hot, width)).withColumnRenamed("doc_id", "_hit")
     small = shrunk(d, kind)
@@ -460,7 +461,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                     first.append(hot_.values.to_numpy())
                     count.append(np.ones(len(first[-1]), np.int64))
                 a, e = np.concatenate(first), np.concatenate(first) + np.concatenate(count) - 1 + length
-                a, e = a[e <= len(t)], e[e <= len(t)]  # beyond the end: from another row of this id
                 runs = 0
                 if len(a):
                     cover = np.zeros(len(t) + 1, np.int64)
@@ -478,8 +478,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                  pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     out = joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    out = out.withColumnRenamed("doc_id", id_col)
-    return out if texts_out else out.drop("kept")
+    return out.select(F.col("doc_id.id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * texts_out)
 
 
 by_value(__name__)

@@ -113,6 +113,36 @@ def spread(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, np.repeat(np.arange(len(rows)), n)
 
 
+def gradients(data: Sample, docs: np.ndarray, y: np.ndarray, balance: np.ndarray, emb: np.ndarray, top: np.ndarray, bias: np.ndarray) -> tuple:
+    """(loss, buckets, their vectors, gradients of these, of the classifier and of its bias) of the balanced cross-entropy of
+    ``docs``: softmax of the document's margin, the log-mean-exp of its passages' margins."""
+    passages, doc_of = spread(data.docs, docs)
+    at, row = spread(data.passages, passages)
+    size = np.bincount(row, minlength=len(passages))
+    words, word_of = np.unique(data.words[at], return_inverse=True)
+    at, sub_of = spread(data.starts, words)
+    grams = (data.starts[words + 1] - data.starts[words]).astype(np.float64)
+    u, inv = np.unique(data.buckets[at], return_inverse=True)
+    grid, dim = emb[u], emb.shape[1]
+    vectors = np.stack([np.bincount(sub_of, grid[inv, j], len(words)) for j in range(dim)], 1) / grams[:, None]
+    x = np.stack([np.bincount(row, vectors[word_of, j], len(passages)) for j in range(dim)], 1) / size[:, None]
+    z = x @ top + bias
+    m = z[:, 1] - z[:, 0]
+    peak = np.full(len(docs), -np.inf)
+    np.maximum.at(peak, doc_of, m)
+    e = np.exp(m - peak[doc_of])
+    total = np.bincount(doc_of, e, len(docs))
+    margin = np.clip(peak + np.log(total / np.bincount(doc_of, minlength=len(docs))), -30, 30)
+    p = 1 / (1 + np.exp(-margin))
+    loss = float((balance[docs] * (np.logaddexp(0, margin) - y[docs] * margin)).sum() / len(docs))
+    gm = ((p - y[docs]) * balance[docs] / len(docs))[doc_of] * e / total[doc_of]
+    g = np.stack([-gm, gm], 1)
+    gx = (g @ top.T) / size[:, None]
+    gw = np.stack([np.bincount(word_of, gx[row, j], len(words)) for j in range(dim)], 1) / grams[:, None]
+    gu = np.stack([np.bincount(inv, gw[sub_of, j], len(u)) for j in range(dim)], 1)
+    return loss, u, grid, gu, x.T @ g, g.sum(0)
+
+
 def train(texts: list[str], toxic: np.ndarray, *, prevalence: float | None = None, dim: int = 8, visits: int = 40_000, batch: int = 128, rate: float = 0.02,
           decay: float = 1e-5, seed: int = 7) -> ToxicModel:
     """Adam on softmax cross-entropy, vectors and classifier together, over about ``visits`` documents (30 rounds at
@@ -133,31 +163,10 @@ def train(texts: list[str], toxic: np.ndarray, *, prevalence: float | None = Non
     batch = max(16, min(batch, len(fit) // 40))
     for _ in range(min(30, max(1, round(visits / max(1, len(fit)))))):
         for docs in np.array_split(rng.permutation(fit), max(1, len(fit) // batch)):
-            passages, doc_of = spread(data.docs, docs)
-            at, row = spread(data.passages, passages)
-            size = np.bincount(row, minlength=len(passages))
-            words, word_of = np.unique(data.words[at], return_inverse=True)
-            at, sub_of = spread(data.starts, words)
-            grams = (data.starts[words + 1] - data.starts[words]).astype(np.float64)
-            u, inv = np.unique(data.buckets[at], return_inverse=True)
-            grid = emb[u]
-            vectors = np.stack([np.bincount(sub_of, grid[inv, j], len(words)) for j in range(dim)], 1) / grams[:, None]
-            x = np.stack([np.bincount(row, vectors[word_of, j], len(passages)) for j in range(dim)], 1) / size[:, None]
-            z = x @ top + bias
-            m = z[:, 1] - z[:, 0]
-            peak = np.full(len(docs), -np.inf)
-            np.maximum.at(peak, doc_of, m)
-            e = np.exp(m - peak[doc_of])
-            total = np.bincount(doc_of, e, len(docs))
-            p = 1 / (1 + np.exp(-np.clip(peak + np.log(total / np.bincount(doc_of, minlength=len(docs))), -30, 30)))
-            gm = ((p - y[docs]) * balance[docs] / len(docs))[doc_of] * e / total[doc_of]
-            g = np.stack([-gm, gm], 1)
-            gx = (g @ top.T) / size[:, None]
-            gw = np.stack([np.bincount(word_of, gx[row, j], len(words)) for j in range(dim)], 1) / grams[:, None]
-            gu = np.stack([np.bincount(inv, gw[sub_of, j], len(u)) for j in range(dim)], 1)
+            _, u, grid, gu, gt, gb = gradients(data, docs, y, balance, emb, top, bias)
             tick += 1
-            for p_, (m1, m2), grad, part in ((emb, state[0], gu + decay * grid, u), (top, state[1], x.T @ g, slice(None)),
-                                             (bias, state[2], g.sum(0), slice(None))):
+            for p_, (m1, m2), grad, part in ((emb, state[0], gu + decay * grid, u), (top, state[1], gt, slice(None)),
+                                             (bias, state[2], gb, slice(None))):
                 m1[part] = 0.9 * m1[part] + 0.1 * grad
                 m2[part] = 0.99 * m2[part] + 0.01 * grad * grad
                 p_[part] -= rate * (m1[part] / (1 - 0.9 ** tick)) / (np.sqrt(m2[part] / (1 - 0.99 ** tick)) + 1e-8)
@@ -203,13 +212,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         per_class: int = 3000, train_chars: int = 20_000, **train_args) -> ToxicModel:
     """Train on a bounded sample of ``labels`` (id, 0/1).  The ids are picked first (two top-k lists of ``per_class``),
     so the corpus is scanned once and never shuffled; of the rows of a picked id the smallest text is taken, so the
-    driver holds at most 2 * ``per_class`` texts."""
+    driver holds at most 2 * ``per_class`` texts.  Null ids, null texts and labels other than 0 and 1 are not learnt from; further
+    columns are not read."""
+    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     eligible = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("_y")).filter("_lid IS NOT NULL")
     total = {r[0]: r[1] for r in eligible.filter("_y IN (0, 1)").groupBy("_y").count().collect()}
     picked = [eligible.filter(F.col("_y") == y).dropDuplicates(["_lid"]).orderBy(F.xxhash64("_lid"), "_lid").limit(per_class) for y in (0, 1)]
-    sample = (docs.filter(F.length(text_col) <= train_chars)
-              .join(F.broadcast(picked[0].unionByName(picked[1])), F.col(id_col) == F.col("_lid"))
-              .groupBy("_lid", "_y").agg(F.min(text_col).alias("_t")).select("_lid", "_t", "_y"))
+    sample = (docs.filter(F.length("_text") <= train_chars)
+              .join(F.broadcast(picked[0].unionByName(picked[1])), F.col("_id") == F.col("_lid"))
+              .groupBy("_lid", "_y").agg(F.min("_text").alias("_t")).select("_lid", "_t", "_y"))
     rows = sorted(sample.collect())
     prevalence = total.get(1, 0) / max(1, sum(total.values()))
     return train([r[1] for r in rows], np.array([r[2] for r in rows], dtype=bool), prevalence=prevalence, **train_args)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.base import by_value, materialize
+from eventide.llm.base import by_value, fresh, materialize
 
 # Verdict, host, path; a rule's name is host + path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -139,22 +139,23 @@ def filter_urls(urls: DataFrame, url_col: str = "url", rules=RULES, reject_terms
     word of ``reject_terms``; accepted is what remains.  The digits of paths and
     the query string are not read."""
     host, path = url_parts(F.col(url_col))
-    cols = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score", "_rule_verdict", "_text", "_key", "_score")]
+    cols = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score")]
+    ruled, text, of, found = fresh(urls, "_rule_verdict", "_text", "_key", "_score")
     parts = urls.select(*cols, host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    judged = parts.select("*", name.alias("rule"), verdict.alias("_rule_verdict"),
-                          model_text(F.col("host"), F.col("path")).alias("_text"))
+    judged = parts.select("*", name.alias("rule"), verdict.alias(ruled),
+                          model_text(F.col("host"), F.col("path")).alias(text))
     spam = F.arrays_overlap(F.split("host", "[.-]"), F.array(*[F.lit(t) for t in reject_terms]))
-    blocked = F.coalesce(F.col("_rule_verdict") == "block", spam)
-    allowed = F.coalesce(F.col("_rule_verdict") == "allow", F.lit(False))
-    scores, threshold = fit_scores(judged.select(F.col("_text").alias("text"), (allowed | ~blocked).alias("accepted")), **fit_args)
+    blocked = F.coalesce(F.col(ruled) == "block", spam)
+    allowed = F.coalesce(F.col(ruled) == "allow", F.lit(False))
+    scores, threshold = fit_scores(judged.select(F.col(text).alias("text"), (allowed | ~blocked).alias("accepted")), **fit_args)
     if scores is None:
         scored = judged.withColumn("score", F.lit(0.0))
     else:
-        named = scores.select(F.col("text").alias("_key"), F.col("score").alias("_score"))
-        scored = judged.join(named, judged["_text"] == F.col("_key"), "left").withColumn("score", F.coalesce("_score", F.lit(0.0)))
+        named = scores.select(F.col("text").alias(of), F.col("score").alias(found))
+        scored = judged.join(named, F.col(text) == F.col(of), "left").withColumn("score", F.coalesce(found, F.lit(0.0)))
     by_model = F.when(F.col("score") < threshold, "block").otherwise("allow")
-    return scored.select(*cols, "host", "path", "rule", F.coalesce("_rule_verdict", by_model).alias("verdict"), "score")
+    return scored.select(*cols, "host", "path", "rule", F.coalesce(ruled, by_model).alias("verdict"), "score")
 
 
 by_value(__name__)

@@ -145,6 +145,50 @@ def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
     assert sorted(seen) == [("copy 000", False), ("four", True), ("three", False), ("two", True)]
 
 
+def plain_toxic_margin(text, vector, bias):
+    """Log of the mean exponential of the passages' margins; ``vector``: bucket -> number."""
+    ws = [w for w in (x.strip(".,;:!?\"'()[]{}*#%&$|<>-_/") for x in text.lower().split()) if w]
+    if not ws:
+        return None
+    def word(w):
+        b = "<" + w + ">"
+        grams = {(i, n) for n in (3, 4, 5) for i in range(len(b)) if i + n <= len(b) and n < len(b)} | {(0, len(b))}
+        return np.mean([vector[zlib.crc32(b[i:i + n].encode("utf-8", "replace")) % toxicity.BUCKETS] for i, n in grams])
+    each = [bias + np.mean([word(w) for w in ws[k:k + 16]]) for k in range(0, len(ws), 16)]
+    return np.log(np.mean(np.exp(each)))
+
+
+TOXIC_TEXTS = ["one", "Some Words here", " ".join(f"w{i % 7}" for i in range(100)), "\u00c9t\u00e9 \u6f22\u5b57 x.", "a" * 300, "(no) -- no, no!"]
+
+
+def test_toxicity_margin_against_a_plain_loop():
+    model = toxicity.ToxicModel(np.random.default_rng(3).normal(size=toxicity.BUCKETS), 0.25, empty=-1.5)
+    got = model.margin(["", *TOXIC_TEXTS, " . "], {})
+    assert got[0] == got[-1] == -1.5
+    np.testing.assert_allclose(got[1:-1], [plain_toxic_margin(t, model.weight, 0.25) for t in TOXIC_TEXTS], rtol=1e-9)
+
+
+def test_toxicity_gradient_against_finite_differences():
+    rng = np.random.default_rng(4)
+    data, docs_ = toxicity.Sample(TOXIC_TEXTS), np.array([0, 1, 2, 3, 5])
+    y, balance = np.array([0.0, 1, 1, 0, 1, 0]), np.array([2.0, 0.5, 1, 1, 3, 1])
+    emb, top, bias = rng.normal(size=(toxicity.BUCKETS, 3)), rng.normal(size=(3, 2)), rng.normal(size=2)
+    at = lambda: toxicity.gradients(data, docs_, y, balance, emb, top, bias)
+    loss, used, _, g_emb, g_top, g_bias = at()
+    side = top[:, 1] - top[:, 0]
+    margins = [plain_toxic_margin(TOXIC_TEXTS[d], emb @ side, bias[1] - bias[0]) for d in docs_]
+    assert loss == pytest.approx(np.mean([balance[d] * (np.log1p(np.exp(m)) - y[d] * m) for d, m in zip(docs_, margins)]))
+    for array, places, grad in ((emb, [(int(u), j) for u in used[::9] for j in range(3)], lambda k: g_emb[np.searchsorted(used, k[0]), k[1]]),
+                                (top, [(i, j) for i in range(3) for j in range(2)], lambda k: g_top[k]), (bias, [(0,), (1,)], lambda k: g_bias[k[0]])):
+        for k in places:
+            old, found = array[k], []
+            for step in (1e-5, -1e-5):
+                array[k] = old + step
+                found.append(at()[0])
+            array[k] = old
+            assert grad(k) == pytest.approx((found[0] - found[1]) / 2e-5, abs=1e-8, rel=1e-5)
+
+
 def test_toxicity_one_class_or_nothing(spark):
     d = docs(spark, AWKWARD)
     for y in ([], [(1, 0), (5, 0)]):
@@ -466,6 +510,25 @@ def test_substring_dedup_against_every_window(spark, n, seed):
 AWKWARD_UNIQUE = [(100 + i, t) if i is not None else (None, t) for i, t in AWKWARD]
 
 
+def test_dedups_tell_rows_of_one_id_apart(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghijk", k=7)) for _ in range(n))
+    a, b, c, d = prose(120), prose(200), prose(200), prose(120)
+    rows = [(None, a), (None, b), ("a", a), ("a", c), ("a", a), ("b", d), ("b", d), ("b", d[8:])]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    took = lambda out, n: sorted((str(r.doc_id), r[n], r.n_removed) for r in out.collect())
+    # equal rows and rows of one id do not precede each other
+    assert took(substring.dedup(df), "n_words") == sorted([("None", 120, 0), ("None", 200, 0), ("a", 120, 120), ("a", 120, 120), ("a", 200, 0),
+                                                           ("b", 120, 0), ("b", 120, 0), ("b", 119, 0)])
+    size = len(a)
+    assert took(suffix_array.dedup(df), "n_bytes") == sorted([("None", size, size), ("None", 1599, 0), ("a", size, size), ("a", size, size), ("a", 1599, 0),
+                                                              ("b", 959, 959), ("b", 959, 959), ("b", 951, 951)])
+    twice = prose(30) + " "
+    rows = [(1, twice * 2), (2, None), (2, prose(30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert took(substring.dedup(df), "n_words") == [("1", 60, 30), ("2", 0, 0), ("2", 30, 0)]
+
+
 def test_substring_dedup_repeated_rows_and_empty(spark):
     t = " ".join(f"w{i}" for i in range(30))
     got = substring.dedup(docs(spark, [(1, t), (1, t), (2, t)])).collect()
@@ -497,11 +560,11 @@ def test_quality_judges_groups_of_every_size(spark):
     rows += [(1000, odd(), "en", "s1"), (1001, odd(), "en", "alone"), (1002, odd(), None, None), (1003, odd(), "xx", "alone"), (1004, prose(), "xx", "other")]
     rows += [(1005, odd(), "en", "pair"), (1006, odd(), "en", "pair")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r for r in quality.judge(df, prior_rows=50).collect()}
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
     assert len(got) == len(rows) and all(r.d2 is not None and not r.base_failed for r in got.values())
     assert not any(got[i].kept for i in (1000, 1001, 1002, 1003, 1005, 1006)) and got[1004].kept
     assert np.mean([got[i].kept for i in range(400)]) > 0.98
-    assert quality.judge(df.limit(0), prior_rows=50).count() == 0
+    assert quality.judge(df.limit(0)).count() == 0
     judged = E.queries()["op9_quality_rules"](spark, SF001).collect()
     assert judged and all(r.d2 is not None for r in judged) and any(not r.kept and not r.base_failed for r in judged)
 
@@ -514,25 +577,52 @@ def test_quality_statistics(spark):
     assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == sorted((str(i), *plain_statistics(t)) for i, t in rows)
 
 
-def plain_mcd(x, steps, share, floor):
-    """The same concentration steps in numpy; quantiles as the smallest value that covers the share."""
+def plain_mcd(x, groups, steps, share, floor, prior):
+    """The same concentration steps in numpy, groups leaning on their parents; quantiles as the smallest value that covers the share.
+
+    ``groups``: (language, source) of each row of ``x``; returns the scaled distance of each row in its group."""
     q = lambda v, s: np.sort(v)[max(0, int(np.ceil(s * len(v))) - 1)]
-    m = np.array([q(c, 0.5) for c in x.T])
-    cov = np.diag([((q(c, 0.75) - q(c, 0.25)) / 1.349) ** 2 for c in x.T])
-    dist = lambda m, cov: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov + np.diag(floor ** 2)), x - m)
+    rows = {(): np.arange(len(x))}
+    for i, (lang, source) in enumerate(groups):
+        rows.setdefault((lang,), []).append(i)
+        rows.setdefault((lang, source), []).append(i)
+
+    def lean(own):
+        out = {}
+        for g in sorted(own, key=len):
+            if g:
+                w = len(rows[g]) / (len(rows[g]) + prior)
+                out[g] = tuple(w * a + (1 - w) * b for a, b in zip(own[g], out[g[:-1]]))
+            else:
+                out[g] = own[g]
+        return out
+
+    def dist(model, g):
+        m, cov = model[g]
+        d = x[rows[g]] - m
+        return np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov + np.diag(floor ** 2)), d)
+
+    model = lean({g: (np.array([q(c, 0.5) for c in x[r].T]), np.diag([((q(c, 0.75) - q(c, 0.25)) / 1.349) ** 2 for c in x[r].T])) for g, r in rows.items()})
     for _ in range(steps):
-        d = dist(m, cov)
-        near = x[d <= q(d, share)]
-        m, cov = near.mean(0), np.cov(near.T, bias=True)
-    d = dist(m, cov)
-    return d * quality.CHI2_MEDIAN_5 / max(q(d, 0.5), 1e-6)
+        own = {}
+        for g, r in rows.items():
+            d = dist(model, g)
+            near = x[np.array(r)[d <= q(d, share)]]
+            own[g] = near.mean(0), np.cov(near.T, bias=True).reshape(x.shape[1], -1)
+        model = lean(own)
+    median = lean({g: (np.log(max(q(dist(model, g), 0.5), 1e-6)),) for g in rows})
+    out = np.empty(len(x))
+    for g, r in rows.items():
+        if len(g) == 2:
+            out[r] = dist(model, g) * quality.CHI2_MEDIAN_5 / max(np.exp(median[g][0]), 1e-6)
+    return out
 
 
 def test_quality_distances_against_numpy(spark):
     rng = random.Random(11)
     rows = []
-    for g, (lang, source) in enumerate([("en", "a"), ("de", None), ("en", "tiny")]):
-        for i in range(400 if g < 2 else 10):
+    for g, (lang, source) in enumerate([("en", "a"), ("de", None), ("en", "tiny"), (None, "a"), ("en", "alone")]):
+        for i in range((400, 400, 10, 30, 1)[g]):
             n = int(np.exp(rng.gauss(5, 0.4)))
             t = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(n))
             rows.append((g * 1000 + i, t, lang, source))
@@ -541,12 +631,9 @@ def test_quality_distances_against_numpy(spark):
     got = {r.doc_id: r for r in quality.judge(df).collect()}
     x = {r.doc_id: r for r in quality.features(quality.statistics(df)).collect()}
     floor = np.array([quality.FLOOR[f] for f in quality.FEATURES])
-    for lang, source in (("en", "a"), ("de", None)):
-        ids = [i for i, _, a, b in rows if (a, b) == (lang, source)]
-        want = plain_mcd(np.array([[x[i][f] for f in quality.FEATURES] for i in ids]), 3, 0.75, floor)
-        np.testing.assert_allclose([got[i].d2 for i in ids], want, rtol=1e-6)
+    want = plain_mcd(np.array([[x[r[0]][f] for f in quality.FEATURES] for r in rows]), [r[2:] for r in rows], 3, 0.75, floor, 50)
+    np.testing.assert_allclose([got[r[0]].d2 for r in rows], want, rtol=1e-6)
     assert not got[5000].kept and not got[5000].base_failed
-    assert all(r.d2 is None and r.kept == (not r.base_failed) for r in got.values() if r.source == "tiny")
     assert np.mean([r.kept for i, r in got.items() if not r.base_failed]) > 0.98
     assert quality.judge(df.limit(0)).count() == 0
 
@@ -627,21 +714,74 @@ def test_suffix_array_and_prefixes():
 
 
 # ------------------------------------------------------------------ every operator: clashing columns, whole tables
+HELPERS = ["_id", "_text", "_key", "_mine", "_listed", "_rows", "_first", "_stays", "_spans", "_spans_of", "_text_key", "_text_sha256", "_y", "_lid", "_t", "_bad",
+           "_rule_verdict", "_score", "_row", "_part", "_at", "_drawable", "fp", "pos", "ids", "z", "kept", "score", "component_id", "doc", "item_id", "cluster"]
+
+
+def clashing(df, keep=()):
+    """``df`` with a column of each helper name, its own value in every row."""
+    names = [c for c in HELPERS if c not in df.columns and c not in keep]
+    return df.select("*", *[F.concat(F.lit(c + ":"), F.coalesce(F.col(df.columns[0]).cast("string"), F.lit("-"))).alias(c) for c in names])
+
+
+def rows_of(out, columns=None):
+    columns = columns or sorted(out.columns)
+    return sorted([tuple(str(r[c]) for c in columns) for r in out.collect()])
+
+
 def test_operators_ignore_clashing_columns(spark):
-    df = spark.createDataFrame([(i, t, "en", "s", 9, "zz", 1, "k", 0.5, "h") for i, t in AWKWARD], CLASH)
-    assert secret_scan.scan(df).count() == len(AWKWARD)
-    assert simhash.near_duplicates(df).count() == len(AWKWARD)
-    assert substring.dedup(df).count() == len(AWKWARD)
-    assert suffix_array.dedup(df).count() == len(AWKWARD)
-    assert quality.judge(df).count() == len(AWKWARD)
-    assert packing.pack_documents(df, public_tokenizer()).filter("piece = 0").count() == len(AWKWARD)
-    assert df.select(toxicity.score_column(toxicity.ToxicModel(np.zeros(toxicity.BUCKETS)), F.col("text"))).count() == len(AWKWARD)
+    from eventide.llm import byte_bpe, centroids, importance
+    from public_tokenizers import PATTERN
+
+    plain = spark.createDataFrame([(i, t, "en", "s") for i, t in AWKWARD], "doc_id long, text string, lang string, source string")
+    items = load_table(spark, SF001, "benchmark")
+    leak = items.filter("length(text) > 200").select(F.lit(77).cast("long").alias("doc_id"), "text", F.lit("en").alias("lang"), F.lit("s").alias("source")).limit(1)
+    pages = plain.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://a.b/"), "doc_id").alias("url"), F.col("text").alias("html"))
+    vectors = spark.createDataFrame([(i, [float(i % 3), float(j), 0.5]) for i in range(6) for j in (0, 1)], "vec_id long, embedding array<double>")
+    runs = {
+        "url_filters": (pages, lambda d: url_filter.filter_urls(d).select("page_id", "host", "path", "rule", "verdict", "score")),
+        "packing": (plain, lambda d: packing.pack_documents(d, public_tokenizer()).select("doc_id", "piece", "start", "length", "ids_crc32")),
+        "warc": (pages, lambda d: warc.archive_round_trip(d).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")),
+        "decontamination": (plain.unionByName(leak), lambda d: decontaminate.find_overlaps(d, clashing(items, ["item_id"]))),
+        "secret_scans": (plain, secret_scan.scan),
+        "simhash": (plain, simhash.near_duplicates),
+        "substring": (plain, substring.dedup),
+        "quality": (plain, lambda d: quality.judge(d).select("doc_id", "n_words", "kept", F.round("d2", 6).alias("d2"))),
+        "suffix": (plain, suffix_array.dedup),
+        "centroids": (vectors, lambda d: centroids.with_inertia(*centroids.cluster(d, dims=3, k=3))),
+        "byte_bpe": (plain, lambda d: byte_bpe.encode(d, public_tokenizer("byte_bpe_50k.tiktoken"), PATTERN, decoded=True)),
+        "importance": (plain, lambda d: importance.resample(d, clashing(items, ["item_id"]))),
+    }
+    for name, (df, run) in runs.items():
+        assert rows_of(run(clashing(df))) == rows_of(run(df)), name
+    model = toxicity.ToxicModel(np.random.default_rng(1).normal(size=toxicity.BUCKETS))
+    assert rows_of(clashing(plain).select(toxicity.score_column(model, F.col("text")).alias("s"))) == rows_of(plain.select(toxicity.score_column(model, F.col("text")).alias("s")))
+
+
+def test_pipeline_stages_keep_clashing_columns(spark):
+    """Every stage decides alike with columns of its helpers' names, and hands each of them on with its values."""
+    import corpus_pipeline as P
+
+    leak = load_table(spark, SF001, "benchmark").filter("length(text) > 200").orderBy("item_id").first().text
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in AWKWARD] + [(40, "token=abcdefghijklmnop and more", "en", "s", 31), (41, leak, "en", "s", len(leak))]
+    df = spark.createDataFrame(rows, DOC)
+    full = clashing(df)
+    assert url_filter.filter_urls(full.withColumn("url", F.col("text"))).columns == [c for c in full.columns if c != "score"] + ["url", "host", "path", "rule", "verdict", "score"]
+    value_of = {tuple(map(str, r[:2])): r for r in full.collect()}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, full, SF001)
+        assert out.columns == full.columns, name
+        assert rows_of(out, df.columns) == rows_of(stage(spark, df, SF001), df.columns), name
+        for r in out.collect():
+            text = r.text if name != "secret_scans" or r.doc_id != 40 else rows[-2][1]
+            assert r[5:] == value_of[str(r.doc_id), str(text)][5:], (name, r.doc_id)
+    assert rows_of(P.pack_sequences(spark, full, SF001), ["doc_id", "piece", "ids_crc32"]) == rows_of(P.pack_sequences(spark, df, SF001), ["doc_id", "piece", "ids_crc32"])
 
 
 def test_queries_cover_their_tables(spark):
     import __spark_entry__ as E
 
-    tables = {"op1": "pages", "op4": "pages"}
+    tables = {"op1": "pages", "op4": "pages", "op11": "embeddings"}
     for name, q in E.queries().items():
         m = re.match(r"op(\d+)_", name)
         if m and m[1] not in ("3", "5"):
