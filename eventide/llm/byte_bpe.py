@@ -17,6 +17,7 @@ table gives no rows.  ``decode`` gives null for a null list and for one that hol
 from __future__ import annotations
 
 import base64
+import re
 import struct
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -106,7 +107,7 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.ranks))
         self.pattern, self.odd = regex.compile(pattern), odd
         spans = [f"{chr(a)}-{chr(b)}" for a, b in _runs(sorted(odd))]
-        self.has_odd = regex.compile(f"[{''.join(spans)}]").search if odd else lambda text: None
+        self.has_odd = re.compile(f"[{''.join(spans)}]").search if odd else lambda text: None
         self.known: dict[str, tuple] = {}
         self.held = 0
 
@@ -137,7 +138,7 @@ class Codec:
     def encode(self, text: str) -> np.ndarray:
         parts = []
         for block in self.pre_tokens(text):
-            if new := set(block) - self.known.keys():
+            if new := {p for p in set(block) if p not in self.known}:
                 self.learn(new, block)
             parts.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, block)), np.int32))
         return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.int32), *parts])
