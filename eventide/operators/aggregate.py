@@ -12,7 +12,7 @@ from eventide.functions.hashing import bloom_offset
 from eventide.functions.text import jvm_split
 from eventide.operators import ordered
 from eventide.session import materialize
-from eventide.operators.windows import duration_seconds, window_aggregate, window_columns
+from eventide.operators.windows import UserAggregate, duration_seconds, window_aggregate, window_columns
 
 
 # ---------------------------------------------------------------- word counts
@@ -104,6 +104,15 @@ def distinct_per_window(df: DataFrame, ts: str, size, value: str, keys: Sequence
     return g.agg(uv.alias("uv")).select(*keys, *window_columns(), "uv")
 
 
+def sketch_distinct_per_window(df: DataFrame, ts: str, size, slide, value: str, keys: Sequence[str] = (), *, bits: int = 12) -> DataFrame:
+    """A9/A10 over sliding windows: distinct ``value`` by HyperLogLog sketches of 2**``bits`` registers, one per key and pane,
+    merged into windows; ``keys, window_start, window_end, uv_sketch, uv_estimate``.  A value is hashed once, whatever
+    the windows that hold it; a sketch can be stored and merged again.  The relative error is about 1.04 / 2**(bits / 2)."""
+    sketch = UserAggregate({"_hll": F.hll_sketch_agg(F.col(value), F.lit(bits))}, {"_hll": F.hll_union_agg("_hll", F.lit(False))}, F.col("_hll"))
+    out = window_aggregate(df, keys, ts, size, slide, aggs=[("uv_sketch", sketch)])
+    return out.withColumn("uv_estimate", F.hll_sketch_estimate("uv_sketch"))
+
+
 def bloom_distinct_per_window(df: DataFrame, ts: str, size, value: str) -> DataFrame:
     """A10 final: number of distinct Bloom bit offsets per window (one hash,
     collisions undercount, by design)."""
@@ -111,8 +120,7 @@ def bloom_distinct_per_window(df: DataFrame, ts: str, size, value: str) -> DataF
     return g.agg(F.count_distinct(bloom_offset(value)).alias("uv")).select(*window_columns(), "uv")
 
 
-def bloom_changelog(df: DataFrame, ts: str, size, value: str, seq: str,
-                    rows_per_slice: int = 1 << 16) -> DataFrame:
+def bloom_changelog(df: DataFrame, ts: str, size, value: str, seq: str) -> DataFrame:
     """A10 with fire-on-every-element: one output per element that sets a new
     bit, carrying the window's running count.  First arrival per (window,
     offset) is a partial aggregate; the running count inside a window is the
@@ -122,7 +130,7 @@ def bloom_changelog(df: DataFrame, ts: str, size, value: str, seq: str,
              .agg(F.min(seq).alias("first_seq"))
              .select(*window_columns(), "offset", "first_seq"))
     return ordered.running(first, ["window_start", "window_end"], ["first_seq"],
-                           ordered.seq_slice("first_seq", rows_per_slice),
+                           F.col("first_seq"),
                            [("uv", "count", F.lit(1))])
 
 

@@ -24,21 +24,19 @@ def _iv(seconds: int):
     return F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
 
-def with_watermark(df: DataFrame, ts: str, arrival: Sequence[str], delay, *,
-                   rows_per_slice: int = 1 << 16) -> DataFrame:
+def with_watermark(df: DataFrame, ts: str, arrival: Sequence[str], delay) -> DataFrame:
     """Adds ``wm``: watermark seen by each row on arrival (null for the first)."""
-    d = ordered.running(df, [], arrival, ordered.seq_slice(arrival[0], rows_per_slice),
+    d = ordered.running(df, [], arrival, F.col(arrival[0]),
                         [("_maxts", "max", F.col(ts))], exclusive=True)
     return d.withColumn("wm", F.col("_maxts") - _iv(duration_seconds(delay))).drop("_maxts")
 
 
-def route_late(df: DataFrame, ts: str, arrival: Sequence[str], delay, size, slide=None, lateness=0,
-               **kw) -> DataFrame:
+def route_late(df: DataFrame, ts: str, arrival: Sequence[str], delay, size, slide=None, lateness=0) -> DataFrame:
     """L4: ``channel = 'late'`` for rows every window of which is already closed
     (watermark >= window end + allowed lateness) when they arrive, otherwise
     ``'on_time'``.  Spark's own streaming operators drop such rows silently;
     this routes them instead."""
-    return route_by_watermark(with_watermark(df, ts, arrival, delay, **kw), ts, size, slide, lateness)
+    return route_by_watermark(with_watermark(df, ts, arrival, delay), ts, size, slide, lateness)
 
 
 def route_by_watermark(d: DataFrame, ts: str, size, slide=None, lateness=0, wm: str = "wm") -> DataFrame:
@@ -52,13 +50,13 @@ def route_by_watermark(d: DataFrame, ts: str, size, slide=None, lateness=0, wm:
 
 
 def accepted_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], delay, size, slide=None,
-                         lateness=0, **kw) -> DataFrame:
+                         lateness=0) -> DataFrame:
     """K3/L3 replay: every (row, window) pair that the window still accepts when
     the row arrives (watermark < window end + allowed lateness).  Counting these
     per window gives the final, late-corrected window result."""
     size_s = duration_seconds(size)
     slide_s = duration_seconds(slide) if slide is not None else size_s
-    d = with_watermark(df, ts, arrival, delay, **kw)
+    d = with_watermark(df, ts, arrival, delay)
     d = d.withColumn("_w", F.window(F.col(ts), f"{size_s} seconds", f"{slide_s} seconds"))
     ok = F.col("wm").isNull() | (F.col("wm") < F.col("_w.end") + _iv(duration_seconds(lateness)))
     return d.filter(ok).select("*", F.col("_w.start").alias("window_start"),
@@ -66,7 +64,7 @@ def accepted_window_rows(df: DataFrame, ts: str, arrival: Sequence[str], delay,
 
 
 def accepted_window_counts(df: DataFrame, keys: Sequence[str], ts: str, arrival: Sequence[str], delay, size, slide=None,
-                           lateness=0, **kw) -> DataFrame:
+                           lateness=0) -> DataFrame:
     """K3/L3 counts: how many rows each (keys, window) accepts; ``keys, window_start, window_end, cnt``.
 
     A row is in the windows that end 0, 1, ... slides after its pane, and of
@@ -77,7 +75,7 @@ def accepted_window_counts(df: DataFrame, keys: Sequence[str], ts: str, arrival:
     if size_s % slide_s:
         raise ValueError("the size must be a multiple of the slide")
     n = size_s // slide_s
-    d = with_watermark(df, ts, arrival, delay, **kw).withColumn("_p", F.window(F.col(ts), f"{slide_s} seconds").end)
+    d = with_watermark(df, ts, arrival, delay).withColumn("_p", F.window(F.col(ts), f"{slide_s} seconds").end)
     behind = epoch_micros("wm") - F.lit(duration_seconds(lateness) * 1_000_000) - epoch_micros("_p")
     closed = F.greatest(F.lit(0), F.floor(behind / F.lit(slide_s * 1_000_000)) + 1)
     d = d.withColumn("_k", F.coalesce(closed, F.lit(0)).cast("int")).filter(F.col("_k") < n)

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.time import epoch_micros, time_slice
+from eventide.functions.time import epoch_micros
 from eventide.operators import ordered
-from eventide.session import materialize
 
 # Fixed values (must equal the reference's outcome tags): order outcomes are
 # "paid", "paid-but-timeout", "time-out" and "data-not-found"; a reconciled
@@ -20,8 +19,7 @@ SINGLE_ORDER, SINGLE_RECEIPT = "single-order", "single-receipt"
 
 def interval_reconcile(left: DataFrame, right: DataFrame, key: str, *, bound_seconds: float,
                        left_cols: Sequence[str], right_cols: Sequence[str], lts: str, rts: str, lseq: str, rseq: str,
-                       tags: tuple[str, str, str] = (MATCH, SINGLE_ORDER, SINGLE_RECEIPT),
-                       slice_seconds: int = 10) -> DataFrame:
+                       tags: tuple[str, str, str] = (MATCH, SINGLE_ORDER, SINGLE_RECEIPT)) -> DataFrame:
     """One-to-one pairing of two streams per ``key``, as with one waiting slot.
 
     The rows of a key are taken in event time (left before right, then by
@@ -33,31 +31,30 @@ def interval_reconcile(left: DataFrame, right: DataFrame, key: str, *, bound_sec
     most left + right rows, whatever one key holds.
 
     One union, cut into slices of the key's time like every ordered primitive:
-    a hot key is never in one task.  ``left_cols`` / ``right_cols`` must include
-    the time and sequence columns.
+    a hot key is never in one task.  The passes that find the pairs see key, time, side and sequence number; a row's
+    ``left_cols`` / ``right_cols`` ride along as one struct, and only the last pass looks back for the partner's.
     """
-    side = lambda d, no, ts, seq, cols: d.select(
-        key, F.col(ts).alias("_ts"), F.lit(no).alias("_side"), F.col(seq).alias("_seq"),
-        *[(F.col(c) if no == 0 else F.lit(None).cast(left.schema[c].dataType)).alias(f"_l_{c}") for c in left_cols],
-        *[(F.col(c) if no == 1 else F.lit(None).cast(right.schema[c].dataType)).alias(f"_r_{c}") for c in right_cols])
-    rows = side(left, 0, lts, lseq, left_cols).unionByName(side(right, 1, rts, rseq, right_cols))
-    order, sl = ["_ts", "_side", "_seq"], time_slice("_ts", slice_seconds)
-    width = F.lit(int(round(bound_seconds * 1_000_000)))
-    within = lambda a, b: F.coalesce(epoch_micros(a) - epoch_micros(b) <= width, F.lit(False))
-    own = [f"_l_{c}" for c in left_cols] + [f"_r_{c}" for c in right_cols]
-    d = ordered.lag(rows, [key], order, sl, {"_pside": ("_side", 1), "_pts": ("_ts", 1), **{f"_p{c}": (c, 1) for c in own}})
-    d = materialize(d.withColumn("_link", F.coalesce(F.col("_pside") != F.col("_side"), F.lit(False)) & within("_ts", "_pts")))
-    d = materialize(ordered.running(d, [key], order, sl, [("_n", "count", F.lit(1))]))
-    d = ordered.running(d, [key], order, sl, [("_head", "max", F.when(~F.col("_link"), F.col("_n")))])
-    d = materialize(d.withColumn("_second", (F.col("_n") - F.col("_head")) % 2 == 1).drop("_n", "_head", "_link", "_pside", "_pts"))
-    d = materialize(ordered.lag(d, [key], order, sl, {"_paired": ("_second", 1)}, descending=True))
-    pair = d.filter("_second").select(
-        key, *[F.coalesce(f"_l_{c}", f"_p_l_{c}").alias(c) for c in left_cols],
-        *[F.coalesce(f"_r_{c}", f"_p_r_{c}").alias(c) for c in right_cols], F.lit(tags[0]).alias("outcome"))
-    single = d.filter(~F.col("_second") & ~F.coalesce(F.col("_paired"), F.lit(False))).select(
-        key, *[F.col(f"_l_{c}").alias(c) for c in left_cols], *[F.col(f"_r_{c}").alias(c) for c in right_cols],
-        F.when(F.col("_side") == 0, F.lit(tags[1])).otherwise(F.lit(tags[2])).alias("outcome"))
-    return pair.unionByName(single)
+    def side(d: DataFrame, no: int, ts: str, seq: str) -> DataFrame:
+        own = lambda cols, schema, mine: F.struct(*[(F.col(c) if mine else F.lit(None).cast(schema[c].dataType)).alias(c) for c in cols])
+        return d.select(key, F.col(ts).alias("_ts"), F.lit(no).alias("_side"), F.col(seq).alias("_seq"), F.struct(
+            own(left_cols, left.schema, no == 0).alias("l"), own(right_cols, right.schema, no == 1).alias("r")).alias("_own"))
+
+    rows = side(left, 0, lts, lseq).unionByName(side(right, 1, rts, rseq))
+    order, width = ["_ts", "_side", "_seq"], F.lit(int(round(bound_seconds * 1_000_000)))
+    within = F.coalesce(epoch_micros("_ts") - epoch_micros("_pts") <= width, F.lit(False))
+    cuts = ordered.cuts(rows, [key], epoch_micros("_ts"))
+    d = ordered.lag(rows, [key], order, cuts, {"_pside": ("_side", 1), "_pts": ("_ts", 1)})
+    d = cuts.stage(d.withColumn("_link", F.coalesce(F.col("_pside") != F.col("_side"), F.lit(False)) & within).drop("_pside", "_pts"))
+    d = cuts.stage(ordered.running(d, [key], order, cuts, [("_n", "count", F.lit(1))]))
+    d = ordered.running(d, [key], order, cuts, [("_head", "max", F.when(~F.col("_link"), F.col("_n")))])
+    d = cuts.stage(d.withColumn("_second", (F.col("_n") - F.col("_head")) % 2 == 1).drop("_n", "_head", "_link"))
+    d = cuts.stage(ordered.lag(d, [key], order, cuts, {"_paired": ("_second", 1)}, descending=True))
+    d = ordered.lag(d, [key], order, cuts, {"_partner": ("_own", 1)})
+    mine = F.col("_second")
+    pick = lambda part, c: F.coalesce(F.col(f"_own.{part}.{c}"), F.when(mine, F.col(f"_partner.{part}.{c}"))).alias(c)
+    outcome = F.when(mine, F.lit(tags[0])).when(F.col("_side") == 0, F.lit(tags[1])).otherwise(F.lit(tags[2]))
+    return d.filter(mine | ~F.coalesce("_paired", F.lit(False))).select(
+        key, *[pick("l", c) for c in left_cols], *[pick("r", c) for c in right_cols], outcome.alias("outcome"))
 
 
 def order_outcomes(df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_create: Column, is_pay: Column,

@@ -11,9 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.time import time_slice
+from eventide.functions.time import epoch_micros
 from eventide.operators import ordered
-from eventide.session import materialize
 
 
 def _iv(seconds: float) -> Column:
@@ -21,44 +20,42 @@ def _iv(seconds: float) -> Column:
 
 
 def repeated_failures(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, *,
-                      n: int = 2, check_after: float = 2.0, slice_seconds: int = 10) -> DataFrame:
+                      n: int = 2, check_after: float = 2.0) -> DataFrame:
     """Q1: every failure ``f`` schedules a check at ``f.ts + check_after``.  It
     warns iff no success of the key comes after ``f`` (in (ts, seq) order) with
     ``ts <= f.ts + check_after``, and the failures of its run (failures since
     the last success) with ``ts <= f.ts + check_after`` number at least ``n``.
 
+    One running count gives every row the successes up to it; then a sweep lets every failure ask, at its deadline,
+    for the counts and the run that stand there.  A failure is two rows of the sweep, whatever ``check_after`` is.
+
     Output: ``key, first_fail_ts`` (first failure of the run), ``fail_ts``,
-    ``fail_count``.
+    ``fail_count``.  A failure without a time asks nothing.
     """
-    order = [ts, seq]
-    sl = time_slice(ts, slice_seconds)
-    d = df.select(key, ts, seq, is_fail.alias("_fail"))  # only what the passes read is written between them
-    d = materialize(ordered.running(d, [key], order, sl, [
-        ("_f_incl", "count", F.when(F.col("_fail"), F.lit(1))),
-        ("_s_incl", "count", F.when(~F.col("_fail"), F.lit(1))),
-    ]))
+    d = df.select(key, ts, seq, is_fail.alias("_fail"))  # only what the passes read goes through them
+    cuts = ordered.cuts(d, [key], epoch_micros(ts))
+    fail, success = F.when(F.col("_fail"), F.lit(1)), F.when(~F.col("_fail"), F.lit(1))
+    d = cuts.stage(ordered.running(d, [key], [ts, seq], cuts, [("_f_incl", "count", fail), ("_s_incl", "count", success)]))
     # max over (successes so far, -ts of a failure): the latest run wins, and
     # inside it the earliest failure -- the first failure of the current run
     run_first = F.struct(F.col("_s_incl"), F.when(F.col("_fail"), -F.unix_micros(F.col(ts).cast("timestamp"))))
-    d = materialize(ordered.running(d, [key], order, sl, [
-        ("_f_before_run", "max", F.when(~F.col("_fail"), F.col("_f_incl"))),
-        ("_run_first", "max", run_first),
-    ]))
-    d = d.withColumn("first_fail_ts", F.timestamp_micros(-F.col("_run_first.col2")).cast(df.schema[ts].dataType))
-    d = ordered.count_upto(d, [key], ts, slice_seconds, check_after, {
-        "_g": F.col("_fail"), "_s_upto": ~F.col("_fail")})
+    d = d.withColumn("_fail_ts", F.col(ts)).withColumn("_s_then", F.col("_s_incl"))
+    at = ordered.read_ahead(d, [key], ts, [seq], check_after, cuts, [
+        ("_g", "count", fail), ("_s", "count", success), ("_f_before_run", "max", F.when(~F.col("_fail"), F.col("_f_incl"))),
+        ("_run_first", "max", run_first)], asks=F.col("_fail"), keep=["_fail_ts", "_s_then"])
+    first = F.timestamp_micros(-F.col("_run_first.col2")).cast(df.schema[ts].dataType)
     cnt = F.col("_g") - F.coalesce(F.col("_f_before_run"), F.lit(0))
-    return (d.filter(F.col("_fail") & (F.col("_s_upto") == F.col("_s_incl")) & (cnt >= n))
-            .select(key, "first_fail_ts", F.col(ts).alias("fail_ts"), cnt.cast("bigint").alias("fail_count")))
+    return (at.filter((F.col("_s") == F.col("_s_then")) & (cnt >= n))
+            .select(key, first.alias("first_fail_ts"), F.col("_fail_ts").alias("fail_ts"), cnt.cast("bigint").alias("fail_count")))
 
 
 def consecutive_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, *,
-                     within: float = 2.0, rows_per_slice: int = 1 << 16) -> DataFrame:
+                     within: float = 2.0) -> DataFrame:
     """Q2: in arrival order, a failure right after a failure (no success in
     between) with ``ts - prev.ts <= within`` warns at once; negative gaps pass.
     Output ``key, first_fail_ts, fail_ts``."""
     d = df.withColumn("_fail", is_fail)
-    d = ordered.lag(d, [key], [seq], ordered.seq_slice(seq, rows_per_slice),
+    d = ordered.lag(d, [key], [seq], F.col(seq),
                     {"_pf": ("_fail", 1), "_pts": (ts, 1)})
     return (d.filter(F.col("_fail") & F.coalesce(F.col("_pf"), F.lit(False))
                      & (F.col(ts) <= F.col("_pts") + _iv(within)))
@@ -66,7 +63,7 @@ def consecutive_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column
 
 
 def strict_sequence(df: DataFrame, key: str, ts: str, seq: str, steps: Sequence[tuple[str, Column]], *,
-                    within: float, slice_seconds: int = 10) -> DataFrame:
+                    within: float) -> DataFrame:
     """Strictly consecutive rows (event-time order) matching ``steps``
     one after another, last minus first ``< within``; every overlapping match
     is reported.  Output ``key`` and ``<step>_ts`` per step."""
@@ -79,7 +76,7 @@ def strict_sequence(df: DataFrame, key: str, ts: str, seq: str, steps: Sequence[
         lags[f"_ts_b{back}"] = (ts, back)
         for i in range(k - back):
             lags[f"_m{i}_b{back}"] = (f"_m{i}", back)
-    d = ordered.lag(d, [key], [ts, seq], time_slice(ts, slice_seconds), lags)
+    d = ordered.lag(d, [key], [ts, seq], epoch_micros(ts), lags)
     # step i sits (k-1-i) rows back from the last row
     ok = F.col(f"_m{k - 1}")
     for i in range(k - 1):
@@ -91,7 +88,7 @@ def strict_sequence(df: DataFrame, key: str, ts: str, seq: str, steps: Sequence[
 
 
 def followed_by(df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_start: Column, is_end: Column, *,
-                within: float, timeouts: bool = False, slice_seconds: int = 10) -> DataFrame:
+                within: float, timeouts: bool = False) -> DataFrame:
     """Q4 / Q5: ``start followedBy end within``: every start row is matched to
     the first later end row of its key (relaxed contiguity); it matches iff
     ``end.ts < start.ts + within``.  With ``timeouts`` the unmatched starts are
@@ -100,7 +97,7 @@ def followed_by(df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_start:
     d = df.withColumn("_st", is_start).withColumn("_en", is_end)
     nxt = F.when(F.col("_en"), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))
     d = d.filter(F.col("_st") | F.col("_en"))
-    d = ordered.running(d, keys, [ts, seq], time_slice(ts, slice_seconds),
+    d = ordered.running(d, keys, [ts, seq], epoch_micros(ts),
                         [("_next", "min", nxt)], exclusive=True, descending=True)
     d = d.filter(F.col("_st"))
     matched = F.col("_next").isNotNull() & (F.col("_next.t") < F.col(ts) + _iv(within))
@@ -118,20 +115,19 @@ def jumps(df: DataFrame, key: str, order: Sequence[str], value: str, threshold:
     return d.filter(F.col("prev_value").isNotNull() & (F.abs(F.col(value) - F.col("prev_value")) >= threshold))
 
 
-def rising_alerts(df: DataFrame, key: str, ts: str, seq: str, value: str, interval: float, *,
-                  slice_seconds: int = 10) -> DataFrame:
+def rising_alerts(df: DataFrame, key: str, ts: str, seq: str, value: str, interval: float) -> DataFrame:
     """Q7: a rise (value > previous value of the key) starts a timer of
     ``interval``; any non-rising row cancels it.  Alert iff the first
     non-rising row after the rise's start comes later than start + interval
     (or never).  Output ``key, rise_start_ts, alert_ts``."""
     order = [ts, seq]
-    sl = time_slice(ts, slice_seconds)
     narrow = df.select(*dict.fromkeys([key, ts, seq, value]))
-    d = materialize(ordered.lag(narrow, [key], order, sl, {"_p1": (value, 1), "_p2": (value, 2)}))
+    cuts = ordered.cuts(narrow, [key], epoch_micros(ts))
+    d = cuts.stage(ordered.lag(narrow, [key], order, cuts, {"_p1": (value, 1), "_p2": (value, 2)}))
     rising = F.col("_p1").isNotNull() & (F.col(value) > F.col("_p1"))
     prev_rising = F.col("_p2").isNotNull() & (F.col("_p1") > F.col("_p2"))
     d = d.withColumn("_rise", rising).withColumn("_start", rising & ~prev_rising)
-    d = ordered.running(d, [key], order, sl, [("_next_break", "min", F.when(~F.col("_rise"), F.col(ts)))],
+    d = ordered.running(d, [key], order, cuts, [("_next_break", "min", F.when(~F.col("_rise"), F.col(ts)))],
                         exclusive=True, descending=True)
     alert_at = F.col(ts) + _iv(interval)
     return (d.filter(F.col("_start") & (F.col("_next_break").isNull() | (F.col("_next_break") > alert_at)))

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.functions.time import time_slice
+from eventide.functions.time import epoch_micros
 from eventide.operators import aggregate as agg
 from eventide.operators import capping, late, ordered, reconcile, sequence, topk, transform
 from eventide.operators.windows import UserAggregate, count_window, session_aggregate, window_aggregate, with_window
@@ -32,7 +32,6 @@ ORACLES: dict[str, str] = {}
 
 HOUR = 3600
 DAY = 86400
-LEAF = 10  # seconds of a key's rows that one window of an ordered primitive holds
 
 
 def query(name: str, sql: str | None = None):
@@ -294,14 +293,14 @@ def a1_word_count(spark, sf):
 def a2_running_word_count(spark, sf):
     toks = agg.tokens(document_lines(dm.load_table(spark, sf, "documents")), keep=["doc_id", "line_no"],
                       drop_empty=True)
-    return agg.running_word_count(toks, ["doc_id", "line_no", "pos"], ordered.seq_slice("doc_id", 1024))
+    return agg.running_word_count(toks, ["doc_id", "line_no", "pos"], F.col("doc_id"))
 
 
 @query("a3_rolling_min_by", dm.with_ctes("""SELECT seq, id, m.v AS min_temperature, m.t AS min_ts, m.s AS min_seq FROM (
   SELECT seq, id, min(struct_pack(v := temperature, t := ts, s := seq))
     OVER (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS m FROM sensor)""", "sensor"))
 def a3_rolling_min_by(spark, sf):
-    out = agg.rolling_min_by(dm.sensor(spark, sf), "id", ["ts", "seq"], "temperature", time_slice("ts", LEAF))
+    out = agg.rolling_min_by(dm.sensor(spark, sf), "id", ["ts", "seq"], "temperature", epoch_micros("ts"))
     return out.select("seq", "id", "min_temperature", "min_ts", "min_seq")
 
 
@@ -309,7 +308,7 @@ def a3_rolling_min_by(spark, sf):
   ts_sec + CASE WHEN row_number() OVER w > 1 THEN 1 ELSE 0 END AS red_ts, min(temperature) OVER w AS red_value
   FROM sensor WINDOW w AS (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)""", "sensor"))
 def a4_rolling_reduce(spark, sf):
-    out = agg.rolling_reduce(dm.sensor(spark, sf), "id", ["ts", "seq"], "ts_sec", "temperature", time_slice("ts", LEAF))
+    out = agg.rolling_reduce(dm.sensor(spark, sf), "id", ["ts", "seq"], "ts_sec", "temperature", epoch_micros("ts"))
     return out.select("seq", "id", "red_ts", "red_value")
 
 
@@ -352,6 +351,34 @@ def a8_full_window_count(spark, sf):
     return window_aggregate(m, ["channel", "behavior"], "ts", "1 hour", "5 minutes")
 
 
+@query("a8f_full_window_count_fine", dm.with_ctes(f"""SELECT window_start, window_end, count(*) AS cnt, min(seq) AS first_seq, max(seq) AS last_seq
+  FROM ({win_sql("SELECT ts, seq FROM mkt WHERE behavior <> 'signup'", HOUR, 5)}) GROUP BY ALL""", "mkt"))
+def a8f_full_window_count_fine(spark, sf):
+    """All channels together, one hour every five seconds: 720 windows hold each row."""
+    m = transform.not_equal_filter(dm.marketing(spark, sf), "behavior", "signup")
+    return window_aggregate(m, [], "ts", "1 hour", "5 seconds", aggs=[("cnt", "count", F.lit(1)), ("first_seq", "min", F.col("seq")), ("last_seq", "max", F.col("seq"))])
+
+
+UV_SLIDING_SQL = dm.with_ctes(f"""SELECT window_start, window_end, count(DISTINCT user_id) AS uv, true AS near
+  FROM ({win_sql(PV_SQL, HOUR, 300)}) GROUP BY ALL""", "ub")
+
+
+def near(estimate, exact):
+    """Within a twelfth of the exact number: five times the error of 2**12 registers, and one for small windows."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) / 12 + 1
+
+
+@query("a9h_uv_sketch_sliding", UV_SLIDING_SQL)
+def a9h_uv_sketch_sliding(spark, sf):
+    """Unique visitors of sliding windows by merged sketches, held against exact counts."""
+    pv = dm.pageviews(spark, sf)
+    sketched = agg.sketch_distinct_per_window(pv, "ts", "1 hour", "5 minutes", "user_id")
+    pairs = window_aggregate(pv, ["user_id"], "ts", "1 hour", "5 minutes")
+    exact = pairs.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("uv"))
+    return (exact.join(sketched.drop("uv_sketch"), ["window_start", "window_end"], "left")
+            .select("window_start", "window_end", "uv", F.coalesce(near("uv_estimate", "uv"), F.lit(False)).alias("near")))
+
+
 @query("a9_uv_exact", dm.with_ctes(
     f"SELECT window_start, window_end, count(DISTINCT user_id) AS uv FROM ({win_sql(PV_SQL, HOUR)}) GROUP BY ALL", "ub"))
 def a9_uv_exact(spark, sf):
@@ -453,7 +480,7 @@ def w5_count_window_sliding(spark, sf):
     return count_window(dm.sensor(spark, sf), ["id"], ["ts", "seq"], 100, 10,
                         aggs=[("cnt", "count", F.lit(1)), ("max_temp", "max", F.col("temperature")),
                               ("min_temp", "min", F.col("temperature"))],
-                        slice_col=time_slice("ts", LEAF))
+                        slice_col=epoch_micros("ts"))
 
 
 @query("w6_count_window_tumbling", dm.with_ctes("""SELECT id, ((pos - 1) // 100 + 1) * 100 AS end_pos, count(*) AS cnt,
@@ -461,7 +488,7 @@ def w5_count_window_sliding(spark, sf):
 def w6_count_window_tumbling(spark, sf):
     return count_window(dm.sensor(spark, sf), ["id"], ["ts", "seq"], 100,
                         aggs=[("cnt", "count", F.lit(1)), ("max_temp", "max", F.col("temperature"))],
-                        slice_col=time_slice("ts", LEAF))
+                        slice_col=epoch_micros("ts"))
 
 
 @query("w7_count_window_global", dm.with_ctes("""SELECT e.pos AS end_pos, count(*) AS cnt, max(x.temperature) AS max_temp
@@ -470,7 +497,7 @@ def w6_count_window_tumbling(spark, sf):
 def w7_count_window_global(spark, sf):
     return count_window(dm.sensor(spark, sf), [], ["ts", "seq"], 100, 10,
                         aggs=[("cnt", "count", F.lit(1)), ("max_temp", "max", F.col("temperature"))],
-                        slice_col=time_slice("ts", 1))
+                        slice_col=epoch_micros("ts"))
 
 
 @query("w8_session_window", """WITH s AS (SELECT user_id, ts, event_id,
@@ -627,7 +654,7 @@ def q5_order_pay_timeout(spark, sf):
   SELECT *, lag(temperature) OVER (PARTITION BY id ORDER BY seq) AS prev_value FROM sensor)
   WHERE prev_value IS NOT NULL AND abs(temperature - prev_value) >= 10""", "sensor"))
 def q6_temp_jump(spark, sf):
-    out = sequence.jumps(dm.sensor(spark, sf), "id", ["seq"], "temperature", 10.0, ordered.seq_slice("seq", 1 << 16))
+    out = sequence.jumps(dm.sensor(spark, sf), "id", ["seq"], "temperature", 10.0, F.col("seq"))
     return out.select("id", "seq", "prev_value", "temperature")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from eventide.operators import capping, reconcile, transform
 from eventide.plans import catalog as C
 from eventide.plans import domain as dm
+from eventide.session import scratch_path, sql_view
 from eventide.sources.text import document_lines, stream_lines
 from eventide.streaming import forms, stateful, tables
 from eventide.streaming.replay import read_replay, run_to_parquet, write_replay
@@ -103,12 +104,15 @@ def q1_login_fail_check_stream(spark, sf):
     return run_to_parquet(out).filter(F.col("user_id") != -1)
 
 
+def _first_clicks(spark, sf, limit):
+    """Ad clicks replayed through the per-day cap; the nation of a click is looked up after it."""
+    s = _replayed(spark, dm.raw_clicks(spark, sf), "seq")
+    passed = tables.first_clicks_stream(s, scratch_path(spark, "b1"), scratch_path(spark, "b1-ckpt"), ["user_id", "ad_id"], "ts", "seq", limit)
+    return dm.with_province(spark, sf, passed)
+
+
 def b1_capped_clicks_stream(spark, sf):
-    ad = dm.ad_click(spark, sf)
-    s = _replayed(spark, ad, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far())
-    out = stateful.daily_cap_stream(forms.event_time(s, "ts", 0), 2)
-    res = run_to_parquet(out).filter((F.col("user_id") != -1) & (F.col("click_no") <= 2))
-    return res.select("user_id", "ad_id", "province", "day", "seq", "ts", "click_no")
+    return _first_clicks(spark, sf, 2).select("user_id", "ad_id", "province", "day", "seq", "ts", "click_no")
 
 
 def f5_expr_select_filter_stream(spark, sf):
@@ -133,7 +137,6 @@ from pyspark.sql import types as T  # noqa: E402
 
 from eventide.functions.hashing import bloom_offset  # noqa: E402
 from eventide.operators import aggregate as agg  # noqa: E402
-from eventide.session import scratch_path, sql_view  # noqa: E402
 from eventide.sinks import files as sink_files  # noqa: E402
 from eventide.streaming import generic  # noqa: E402
 
@@ -298,10 +301,7 @@ def q4_order_pay_followed_by_stream(spark, sf):
 
 
 def b2_black_list_stream(spark, sf):
-    ad = dm.ad_click(spark, sf)
-    s = _replayed(spark, ad, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far())
-    out = run_to_parquet(stateful.daily_cap_stream(forms.event_time(s, "ts", 0), 2))
-    return (out.filter((F.col("user_id") != -1) & (F.col("click_no") == 3))
+    return (_first_clicks(spark, sf, 3).filter(F.col("click_no") == 3)
             .select("user_id", "ad_id", "day", F.lit(f"{capping.BLACK_LIST_PREFIX}2{capping.BLACK_LIST_SUFFIX}").alias("warning")))
 
 
@@ -520,14 +520,10 @@ def w5_count_window_sliding_disorder_stream(spark, sf):
 
 
 def b3_province_counts_stream(spark, sf):
-    """B3 as the whole streaming job: clicks are capped per day by one query, whose sink is the source of a second
+    """B3 as the whole streaming job: clicks are capped per day by one query, whose output is the source of a second
     that counts them by province and sliding window."""
-    ad = dm.ad_click(spark, sf)
-    s = _replayed(spark, ad, "seq", user_id=F.lit(-1).cast("bigint"), ts=_far(), province=F.lit("~sentinel"))
-    folder = scratch_path(spark, "b3-passed")
-    passed = stateful.daily_cap_stream(forms.event_time(s, "ts", 0), 2)
-    run_to_parquet(passed.filter(F.col("click_no") <= 2).select("province", "ts"), folder=folder)
-    s2 = spark.readStream.schema("province string, ts timestamp_ntz").parquet(folder)
+    passed = _first_clicks(spark, sf, 2).select("province", "ts", "seq")
+    s2 = _replayed(spark, passed, "seq", ts=_far(), province=F.lit("~sentinel"))
     counts = forms.window_count_stream(forms.event_time(s2, "ts", 0), ["province"], "1 hour", "5 minutes")
     return run_to_parquet(counts).filter(F.col("province") != "~sentinel")
 
@@ -560,3 +556,37 @@ for _base, _name, _fn in [("a3_rolling_min_by", "a3_rolling_min_by_disorder_stre
                           ("w4_sliding_global", "w4_sliding_global_stream", w4_sliding_global_stream)]:
     C.QUERIES[_name] = _fn
     C.ORACLES[_name] = C.ORACLES[_base]
+
+
+# ------------------------------------- map state and timers (L5, L7, L8), sketches
+def k3_topn_pages_timers_stream(spark, sf):
+    """K3 by map state per window: reports when a window's end is passed, corrections until its lateness is over, then cleared."""
+    get = transform.equal_filter(dm.weblog(spark, sf, get_only=True), "method", "GET").select("url", "ts", "seq", "arrival")
+    s = _replayed(spark, get, "arrival", url=F.lit("~sentinel"), ts=_far())
+    reports = run_to_parquet(stateful.page_ranking_stream(s, "1 hour", "5 minutes", 5, delay_seconds=3, lateness_seconds=60))
+    return stateful.last_ranking(reports.filter(F.col("url") != "~sentinel"), 5).select("window_end", "url", "cnt", "rank")
+
+
+def a10b_uv_bloom_changelog_stream(spark, sf):
+    """A10 fired on every element of a stream."""
+    s = _replayed(spark, dm.pageviews(spark, sf), "seq", user_id=F.lit(-1).cast("bigint"), ts=_far())
+    out = run_to_parquet(stateful.bloom_changelog_stream(forms.event_time(s, "ts", 0), "ts", "1 hour", "user_id", "seq"))
+    return out.filter(F.col("window_start") < _far())
+
+
+def a9h_uv_sketch_sliding_stream(spark, sf):
+    """Sketches per sliding window on a stream, held against exact counts of the whole table."""
+    pv = dm.pageviews(spark, sf)
+    s = _replayed(spark, pv, "seq", ts=_far())
+    out = run_to_parquet(forms.window_agg_stream(forms.event_time(s, "ts", 0), [], "1 hour", "5 minutes",
+                                                 aggs=[F.hll_sketch_estimate(F.hll_sketch_agg("user_id", F.lit(12))).alias("uv_estimate")]))
+    pairs = C.window_aggregate(pv, ["user_id"], "ts", "1 hour", "5 minutes")
+    exact = pairs.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("uv"))
+    return (exact.join(out, ["window_start", "window_end"], "left")
+            .select("window_start", "window_end", "uv", F.coalesce(C.near("uv_estimate", "uv"), F.lit(False)).alias("near")))
+
+
+C.QUERIES["k3_topn_pages_timers_stream"] = k3_topn_pages_timers_stream
+C.ORACLES["k3_topn_pages_timers_stream"] = C.ORACLES["k3_topn_pages_late_stream"]
+for _name, _fn in [("a10b_uv_bloom_changelog", a10b_uv_bloom_changelog_stream), ("a9h_uv_sketch_sliding", a9h_uv_sketch_sliding_stream)]:
+    _register(_name, _fn)

@@ -28,47 +28,73 @@ def _frame(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return df.sort_values(list(order), kind="stable").reset_index(drop=True) if len(df) else df
 
 
+class TimeBuckets:
+    """Rows waiting for the watermark, in map state by time bucket: a row is added to its bucket alone, and the timer at a
+    bucket's end reads that bucket alone, however many rows wait behind it.
+
+    A timer at the end of a bucket means that the watermark has passed every row of it; timers of a key come in
+    order, so buckets are taken in order, too."""
+
+    def __init__(self, handle: StatefulProcessorHandle, width_us: int):
+        self.handle, self.width = handle, width_us
+        self.rows = handle.getMapState("held", "bucket long", "rows string")
+
+    def end_after(self, ts_us: int) -> int:
+        """The end of the bucket of ``ts_us``, in milliseconds."""
+        return (ts_us // self.width + 1) * self.width // 1000
+
+    def add(self, df: pd.DataFrame, ts_us: str) -> None:
+        for b, part in df.groupby(df[ts_us] // self.width):
+            text = json.dumps([[_py(x) for x in r] for r in part.itertuples(index=False, name=None)])
+            held = self.rows.getValue((int(b),))
+            self.rows.updateValue((int(b),), (text if held is None else held[0] + "\n" + text,))
+            self.handle.registerTimer((int(b) + 1) * self.width // 1000)
+
+    def take(self, end_ms: int) -> list[list]:
+        """The rows of the bucket that ends at ``end_ms``; it is empty afterwards."""
+        b = (end_ms * 1000 // self.width - 1,)
+        held = self.rows.getValue(b)
+        if held is None:
+            return []
+        self.rows.removeKey(b)
+        return [r for line in held[0].split("\n") for r in json.loads(line)]
+
+
 class InOrder(StatefulProcessor):
-    """Holds a key's rows until the watermark has passed them, then hands them to ``inner`` in event time: ``inner`` sees each
-    key in order across micro-batches, however disordered the rows arrived within the watermark's delay (L2).  Rows
+    """Holds a key's rows until the watermark has passed their time bucket, then hands them to ``inner`` in event time: ``inner``
+    sees each key in order across micro-batches, however disordered the rows arrived within the watermark's delay (L2).  Rows
     later than that are dropped by Spark.  Columns are longs, doubles, strings or booleans."""
 
-    def __init__(self, inner: StatefulProcessor, schema: str, columns: Sequence[str], ts_us: str):
-        self.inner, self.schema, self.columns, self.ts_us = inner, schema, list(columns), ts_us
+    def __init__(self, inner: StatefulProcessor, columns: Sequence[str], ts_us: str, width_us: int):
+        self.inner, self.columns, self.ts_us, self.width = inner, list(columns), ts_us, width_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.inner.init(handle)
-        self.held = handle.getListState("held", self.schema)
+        self.held = TimeBuckets(handle, self.width)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for df in rows:
-            self.held.appendList([tuple(_py(x) for x in r) for r in df[self.columns].itertuples(index=False, name=None)])
-            self.handle.registerTimer(int(df[self.ts_us].max()) // 1000 + 1)
+            self.held.add(df[self.columns], self.ts_us)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        df = pd.DataFrame([tuple(r) for r in self.held.get()], columns=self.columns)
-        ready = df[self.ts_us] < now
-        rest = df[~ready]
-        self.held.clear()
-        if len(rest):
-            self.held.put([tuple(_py(x) for x in r) for r in rest.itertuples(index=False, name=None)])
-        if ready.any():
-            yield from self.inner.handleInputRows(key, iter([df[ready].copy()]), timerValues)
+        ready = self.held.take(expiredTimerInfo.getExpiryTimeInMs())
+        if ready:
+            yield from self.inner.handleInputRows(key, iter([pd.DataFrame(ready, columns=self.columns)]), timerValues)
 
     def close(self) -> None:
         self.inner.close()
 
 
+BUCKET_SECONDS = 86_400  # of event time that one entry of held rows spans
+
+
 def _transform(df: DataFrame, keys: Sequence[str], proc: StatefulProcessor, out_schema, in_order: str | None, ets: str) -> DataFrame:
     """``proc`` per key in append mode; ``in_order`` names a microsecond column whose order is kept by waiting for the
     watermark on ``ets`` (else rows are taken as their micro-batches bring them)."""
     use_rocksdb(df.sparkSession)
     if in_order:
-        cols = [f for f in df.schema.fields if f.name != ets]
-        proc = InOrder(proc, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cols), [f.name for f in cols], in_order)
+        proc = InOrder(proc, [c for c in df.columns if c != ets], in_order, BUCKET_SECONDS * 1_000_000)
     return df.groupBy(*keys).transformWithStateInPandas(statefulProcessor=proc, outputStructType=out_schema, outputMode="Append",
                                                         timeMode="EventTime" if in_order else "None")
 

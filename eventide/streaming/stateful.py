@@ -13,14 +13,20 @@ Times cross the Python boundary as epoch microseconds (``ts_us``).
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from eventide.functions.hashing import bloom_offset
+from eventide.operators import topk
+from eventide.operators.windows import duration_seconds
+from eventide.streaming.generic import BUCKET_SECONDS, TimeBuckets
 from eventide.streaming.replay import use_rocksdb
 
 
@@ -139,51 +145,63 @@ def followed_by_stream(df: DataFrame, within_seconds: float) -> DataFrame:
 
 # ------------------------------------------------- Q1 repeated failures
 class RepeatedFailureProcessor(StatefulProcessor):
-    """Q1: the failures of the current run live in list state; each failure
-    is checked ``check_after`` later: it warns iff no success came in between
-    and at least ``n`` failures of the run are at or before its deadline."""
+    """Q1: each failure is checked ``check_after`` later: it warns iff no success came in between
+    and at least ``n`` failures of the run are at or before its deadline.  State: the run's first
+    failure, how many of its failures are checked already, and the times of those that wait, in order -- so what is
+    due lies in front and a count is a position."""
 
     def __init__(self, n: int, check_us: int):
         self.n, self.check = n, check_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getListState("run", "ts_us long, seq long, pending boolean")
+        self.run = handle.getValueState("run", "first_us long, checked long")
+        self.waiting = handle.getListState("waiting", "ts_us long")
 
-    def _fire(self, key, run, upto_us, inclusive):
-        out = []
-        for i, (ts, seq, pending) in enumerate(run):
-            due = ts + self.check
-            if pending and (due <= upto_us if inclusive else due < upto_us):
-                cnt = sum(1 for t, _, _ in run if t <= due)
-                if cnt >= self.n:
-                    out.append((key[0], run[0][0], ts, cnt))
-                run[i] = (ts, seq, False)
-        return out
-
-    def _save(self, run):
-        self.run.clear()
-        if run:
-            self.run.put(run)
+    def _load(self):
+        got = self.run.get()
+        first, checked = got if got is not None else (None, 0)
+        return first, checked, [t[0] for t in self.waiting.get()]
+
+    def _save(self, first, checked, waiting):
+        if first is None:
+            self.run.clear()
+        else:
+            self.run.update((first, checked))
+        self.waiting.clear()
+        if waiting:
+            self.waiting.put([(t,) for t in waiting])
+
+    def _due(self, key, first, checked, waiting, at, upto_us, out) -> tuple[int, int]:
+        """Check the failures from place ``at`` on whose deadline is before ``upto_us``."""
+        while at < len(waiting) and waiting[at] + self.check < upto_us:
+            count = checked + bisect.bisect_right(waiting, waiting[at] + self.check, at) - at
+            if count >= self.n:
+                out.append((key[0], first, waiting[at], count))
+            at, checked = at + 1, checked + 1
+        return at, checked
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows, ["ts_us", "seq"])
-        run = [tuple(r) for r in self.run.get()]
-        out = []
-        for ts, seq, fail in zip(df["ts_us"].tolist(), df["seq"].tolist(), df["fail"].tolist()):
-            out += self._fire(key, run, ts, inclusive=False)
+        first, checked, waiting = self._load()
+        at, out = 0, []
+        for ts, fail in zip(df["ts_us"].tolist(), df["fail"].tolist()):
+            at, checked = self._due(key, first, checked, waiting, at, ts, out)
             if fail:
-                run.append((ts, seq, True))
+                first = ts if first is None else first
+                waiting.append(ts)
                 self.handle.registerTimer(_ms_ceil(ts + self.check))
             else:  # a success cancels every pending check and ends the run
-                run = []
-        self._save(run)
+                first, checked, waiting, at = None, 0, [], 0
+        self._save(first, checked, waiting[at:])
         yield pd.DataFrame(out, columns=COLS_Q1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        run = [tuple(r) for r in self.run.get()]
-        out = self._fire(key, run, expiredTimerInfo.getExpiryTimeInMs() * 1000, inclusive=True)
-        self._save(run)
+        first, checked, waiting = self._load()
+        out = []
+        at, checked = self._due(key, first, checked, waiting, 0, expiredTimerInfo.getExpiryTimeInMs() * 1000 + 1, out)
+        if at:
+            self._save(first, checked, waiting[at:])
         yield pd.DataFrame(out, columns=COLS_Q1)
 
     def close(self) -> None:
@@ -205,61 +223,6 @@ def repeated_failures_stream(df: DataFrame, n: int, check_after: float) -> DataF
     return out.select("user_id", ts("first_us").alias("first_fail_ts"), ts("fail_us").alias("fail_ts"), "fail_count")
 
 
-# ------------------------------------------------------- B1/B2 daily cap
-class DailyCapProcessor(StatefulProcessor):
-    """B1/B2: clicks per (user, ad, local day) in value state; pass the first
-    ``cap``, black-list once on click ``cap + 1``.  A timer clears the counter
-    once the watermark is past the end of the day."""
-
-    def __init__(self, cap: int):
-        self.cap = cap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows, ["ts_us", "seq"])
-        c = self.count.get()
-        n = 0 if c is None else c[0]
-        if c is None and len(df):
-            self.handle.registerTimer(int(df["day_end_ms"].iloc[0]))
-        out = []
-        for seq, ts, prov in zip(df["seq"].tolist(), df["ts_us"].tolist(), df["province"].tolist()):
-            n += 1
-            if n <= self.cap + 1:
-                out.append((key[0], key[1], key[2], seq, ts, prov, n))
-        self.count.update((n,))
-        yield pd.DataFrame(out, columns=COLS_B)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.count.clear()
-        yield pd.DataFrame([], columns=COLS_B)
-
-    def close(self) -> None:
-        pass
-
-
-COLS_B = ["user_id", "ad_id", "day_no", "seq", "ts_us", "province", "click_no"]
-
-
-def daily_cap_stream(df: DataFrame, cap: int, offset_hours: int = 8) -> DataFrame:
-    """``df``: user_id, ad_id, ts, seq, province + watermark on ``ets``.  Output: the
-    passed clicks and the black-list click (``click_no = cap + 1``)."""
-    use_rocksdb(df.sparkSession)
-    day = F.to_date(F.col("ts") + F.expr(f"INTERVAL {offset_hours} HOURS"))
-    day_no = F.unix_date(day)
-    day_end_ms = (day_no.cast("long") + 1) * 86_400_000 - offset_hours * 3_600_000
-    x = df.select("user_id", "ad_id", day_no.alias("day_no"), "seq",
-                  F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "province", day_end_ms.alias("day_end_ms"), "ets")
-    out = x.groupBy("user_id", "ad_id", "day_no").transformWithStateInPandas(
-        statefulProcessor=DailyCapProcessor(cap),
-        outputStructType="user_id long, ad_id long, day_no int, seq long, ts_us long, province string, click_no long",
-        outputMode="Append", timeMode="EventTime")
-    return out.select("user_id", "ad_id", F.date_from_unix_date("day_no").alias("day"), "seq",
-                      F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"), "province", "click_no")
-
-
 # ------------------------------------------------------- J2 order outcome
 class OrderOutcomeProcessor(StatefulProcessor):
     """First create and first pay per order in value state; the outcome is
@@ -396,24 +359,23 @@ COLS_J1 = ["tx_id", "l_seq", "l_us", "r_seq", "r_us", "outcome"]
 
 
 class ReconcileProcessor(StatefulProcessor):
-    """Rows wait in a buffer until the watermark has passed their time, so
+    """Rows wait by time bucket until the watermark has passed it, so
     they are paired in event time whatever order they came in; then one slot
     holds the row that waits for a partner.  A row pairs with the waiting one if
     that is of the other side and at most ``within`` older, else it takes the slot
-    and the one before goes out single -- at the latest when its time is up."""
+    and the one before goes out single -- at the latest at the end of the bucket in which its time is up."""
 
-    def __init__(self, within_us: int, tags: tuple[str, str, str]):
-        self.within, self.tags = within_us, tags
+    def __init__(self, within_us: int, tags: tuple[str, str, str], width_us: int):
+        self.within, self.tags, self.width = within_us, tags, width_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", "ts_us long, side int, seq long")
+        self.held = TimeBuckets(handle, self.width)
         self.slot = handle.getValueState("slot", "ts_us long, side int, seq long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            self.buffer.appendList(list(frame[["ts_us", "side", "seq"]].itertuples(index=False, name=None)))
-            self.handle.registerTimer(_ms_ceil(int(frame["ts_us"].max())) + 1)
+            self.held.add(frame[["ts_us", "side", "seq"]], "ts_us")
         yield pd.DataFrame([], columns=COLS_J1)
 
     def _single(self, key, row) -> tuple:
@@ -421,11 +383,10 @@ class ReconcileProcessor(StatefulProcessor):
         return (key[0], None, None, seq, ts, self.tags[2]) if side else (key[0], seq, ts, None, None, self.tags[1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [tuple(r) for r in self.buffer.get()]
+        end = expiredTimerInfo.getExpiryTimeInMs()  # every row before it is here by now
         got = self.slot.get()
         wait, out = None if got is None else tuple(got), []
-        for row in sorted(r for r in held if r[0] < now):
+        for row in sorted(map(tuple, self.held.take(end))):
             if wait is not None and wait[1] != row[1] and row[0] - wait[0] <= self.within:
                 left, right = (wait, row) if row[1] else (row, wait)
                 out.append((key[0], left[2], left[0], right[2], right[0], self.tags[0]))
@@ -434,18 +395,14 @@ class ReconcileProcessor(StatefulProcessor):
                 if wait is not None:
                     out.append(self._single(key, wait))
                 wait = row
-        if wait is not None and wait[0] + self.within < now:
+        if wait is not None and wait[0] + self.within < end * 1000:
             out.append(self._single(key, wait))
             wait = None
-        rest = [r for r in held if r[0] >= now]
-        self.buffer.clear()
-        if rest:
-            self.buffer.put(rest)
         if wait is None:
             self.slot.clear()
         else:
             self.slot.update(wait)
-            self.handle.registerTimer(_ms_ceil(wait[0] + self.within) + 1)
+            self.handle.registerTimer(self.held.end_after(wait[0] + self.within))
         yield pd.DataFrame(out, columns=COLS_J1)
 
     def close(self) -> None:
@@ -460,7 +417,7 @@ def reconcile_stream(left: DataFrame, right: DataFrame, key: str, *, within_seco
         F.col(key).alias("tx_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"), F.lit(no).alias("side"),
         F.col(seq).alias("seq"), "ets")
     out = side(left, 0, lts, lseq).unionByName(side(right, 1, rts, rseq)).groupBy("tx_id").transformWithStateInPandas(
-        statefulProcessor=ReconcileProcessor(int(round(within_seconds * 1_000_000)), tags),
+        statefulProcessor=ReconcileProcessor(int(round(within_seconds * 1_000_000)), tags, BUCKET_SECONDS * 1_000_000),
         outputStructType=f"tx_id {left.schema[key].dataType.simpleString()}, l_seq long, l_us long, r_seq long, r_us long, outcome string",
         outputMode="Append", timeMode="EventTime")
     when = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
@@ -468,6 +425,130 @@ def reconcile_stream(left: DataFrame, right: DataFrame, key: str, *, within_seco
                       when("r_us").alias(rts), "outcome")
 
 
+# ---------------------------------------------- K3 / L7 / L8 late-corrected ranking
+COLS_K3 = ["end_us", "part", "as_of_ms", "url", "cnt", "rank"]
+
+
+class PageRankingProcessor(StatefulProcessor):
+    """K3: how often each page of a window was seen, in map state (page -> count).  A report timer fires when the disorder's
+    watermark passes the window's end and lists the ``n`` largest; a row that comes later corrects its entry and
+    sets the report timer anew; the clearing timer, ``lateness`` after the first, ends the window's state.
+
+    A key is one hash part of one window's pages, so a busy window is spread over many keys."""
+
+    def __init__(self, n: int, lateness_ms: int):
+        self.n, self.lateness = n, lateness_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", "url string", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seen = pd.concat([df["url"] for df in rows]).value_counts()
+        for url, n in seen.items():
+            old = self.counts.getValue((url,))
+            self.counts.updateValue((url,), (int(n) + (0 if old is None else old[0]),))
+        end = key[0] // 1000
+        self.handle.registerTimer(end - self.lateness)
+        self.handle.registerTimer(end)
+        yield pd.DataFrame([], columns=COLS_K3)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = []
+        if expiredTimerInfo.getExpiryTimeInMs() >= key[0] // 1000:
+            self.counts.clear()
+        else:
+            now = timerValues.getCurrentWatermarkInMs()
+            best = heapq.nsmallest(self.n, ((-c[0], u[0]) for u, c in self.counts.iterator()))
+            out = [(key[0], key[1], now, u, -c, k) for k, (c, u) in enumerate(best, 1)]
+        yield pd.DataFrame(out, columns=COLS_K3)
+
+    def close(self) -> None:
+        pass
+
+
+def page_ranking_stream(df: DataFrame, size, slide, n: int, *, delay_seconds: int, lateness_seconds: int, parts: int = 16) -> DataFrame:
+    """``df``: url and ts of page views.  Reports (window_end, part, as_of, url, cnt, rank); the last one of a part holds.
+
+    The watermark trails by delay + lateness, so that Spark keeps rows for windows that still take corrections; the
+    report timer is set that much earlier."""
+    use_rocksdb(df.sparkSession)
+    late = df.withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", f"{delay_seconds + lateness_seconds} seconds")
+    w = F.window("ets", f"{duration_seconds(size)} seconds", f"{duration_seconds(slide)} seconds")
+    x = late.select(w.alias("w"), "url").select("w", "url", F.unix_micros("w.end").alias("end_us"), F.pmod(F.xxhash64("url"), F.lit(parts)).cast("int").alias("part"))
+    out = x.groupBy("end_us", "part").transformWithStateInPandas(
+        statefulProcessor=PageRankingProcessor(n, lateness_seconds * 1000), outputStructType="end_us long, part int, as_of_ms long, url string, cnt long, rank int",
+        outputMode="Append", timeMode="EventTime")
+    return out.select(F.timestamp_micros("end_us").cast("timestamp_ntz").alias("window_end"), "part", "as_of_ms", "url", "cnt", "rank")
+
+
+def last_ranking(reports: DataFrame, n: int) -> DataFrame:
+    """The top ``n`` of every window from the last report of each of its parts."""
+    last = Window.partitionBy("window_end", "part")
+    now = reports.withColumn("_last", F.max("as_of_ms").over(last)).filter(F.col("as_of_ms") == F.col("_last"))
+    return topk.top_n(now.select("window_end", "url", "cnt"), ["window_end"], [F.col("cnt").desc(), F.col("url")], n)
+
+
+# ------------------------------------------------------- A10b / L5 fire on every element
+COLS_A10 = ["start_us", "offset", "first_seq", "uv"]
+
+
+class BloomChangelogProcessor(StatefulProcessor):
+    """A10 fired on every element: the bitmap of a window's Bloom offsets in map state, 64 bits an entry; an element that sets
+    a bit goes out with the number of bits set so far.  A timer at the window's end clears the bitmap."""
+
+    def __init__(self, size_us: int):
+        self.size = size_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.words = handle.getMapState("words", "word long", "bits long")
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows, ["seq"]).drop_duplicates("offset")
+        got = self.count.get()
+        n = 0 if got is None else got[0]
+        out, held = [], {}
+        for offset, seq in zip(df["offset"].tolist(), df["seq"].tolist()):
+            word, bit = offset >> 6, 1 << (offset & 63)
+            if word not in held:
+                old = self.words.getValue((word,))
+                held[word] = [0 if old is None else old[0] & (1 << 64) - 1, False]
+            if not held[word][0] & bit:
+                held[word] = [held[word][0] | bit, True]
+                n += 1
+                out.append((key[0], offset, seq, n))
+        for word, (bits, changed) in held.items():
+            if changed:
+                self.words.updateValue((word,), (bits - (1 << 64) if bits >> 63 else bits,))
+        if out:
+            self.count.update((n,))
+        self.handle.registerTimer(_ms_ceil(key[0] + self.size))
+        yield pd.DataFrame(out, columns=COLS_A10)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.words.clear()
+        self.count.clear()
+        yield pd.DataFrame([], columns=COLS_A10)
+
+    def close(self) -> None:
+        pass
+
+
+def bloom_changelog_stream(df: DataFrame, ts: str, size, value: str, seq: str, *, ets: str = "ets") -> DataFrame:
+    """``df`` with a watermark on ``ets``; output as ``operators.aggregate.bloom_changelog``."""
+    use_rocksdb(df.sparkSession)
+    size_us = duration_seconds(size) * 1_000_000
+    start = F.unix_micros(F.window(F.col(ts).cast("timestamp"), f"{duration_seconds(size)} seconds").start)
+    x = df.select(start.alias("start_us"), bloom_offset(value).alias("offset"), F.col(seq).alias("seq"), ets)
+    out = x.groupBy("start_us").transformWithStateInPandas(
+        statefulProcessor=BloomChangelogProcessor(size_us), outputStructType="start_us long, offset long, first_seq long, uv long",
+        outputMode="Append", timeMode="EventTime")
+    at = lambda us: F.timestamp_micros(us).cast("timestamp_ntz")
+    return out.select(at(F.col("start_us")).alias("window_start"), at(F.col("start_us") + size_us).alias("window_end"), "offset", "first_seq", "uv")
+
+
 # Processors are pickled by value: their code travels with the query, so the
 # Python runners (including the driver-side transformWithState runner, which
 # unpickles before any shipped py-file is on its path) never import eventide.

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from eventide.functions.time import time_slice  # noqa: E402
+from eventide.functions.time import epoch_micros  # noqa: E402
 from eventide.operators import ordered  # noqa: E402
 from eventide.session import build_session  # noqa: E402
 
@@ -57,7 +57,7 @@ def main() -> None:
     w = Window.partitionBy("k").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     skewed.withColumn("c", F.count(F.lit(1)).over(w)).write.format("noop").mode("overwrite").save()
     sc.setJobGroup("sliced", "sliced running count")
-    ordered.running(skewed, ["k"], ["ts", "event_id"], time_slice("ts", 3600),
+    ordered.running(skewed, ["k"], ["ts", "event_id"], epoch_micros("ts"),
                     [("c", "count", F.lit(1))]).write.format("noop").mode("overwrite").save()
     spark.stop()
     for g in ("plain", "sliced"):

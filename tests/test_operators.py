@@ -10,7 +10,7 @@ from eventide.functions.hashing import bloom_offset
 from eventide.functions.text import jvm_split
 from eventide.functions.time import time_slice
 from eventide.operators import aggregate as agg
-from eventide.operators import capping, late, reconcile, sequence, topk, transform
+from eventide.operators import capping, late, ordered, reconcile, sequence, topk, transform
 from eventide.operators.windows import count_window, session_aggregate, window_aggregate
 
 T0 = dt.datetime(2024, 3, 1, 0, 0, 0)
@@ -20,6 +20,15 @@ def ts(sec):
     return T0 + dt.timedelta(seconds=sec)
 
 
+@pytest.fixture(params=["cut", "whole"])
+def slicing(request, monkeypatch):
+    """Keys cut into slices of one or two rows, on several levels, and keys left whole."""
+    if request.param == "cut":
+        monkeypatch.setattr(ordered, "TARGET", 1)
+        monkeypatch.setattr(ordered, "BUCKETS", 3)
+    return request.param
+
+
 def test_jvm_split_semantics(spark):
     df = spark.createDataFrame([("a b  ",), ("",), ("   ",), (" a",), ("a  b",)], "line string")
     got = [r[0] for r in df.select(jvm_split("line")).collect()]
@@ -66,15 +75,15 @@ def test_top_n_breaks_ties_by_key(spark):
     assert [(r.item, r.rank) for r in got] == [(3, 1), (1, 2), (2, 3)]
 
 
-def test_session_gap_exactly_equal_merges(spark):
+def test_session_gap_exactly_equal_merges(spark, slicing):
     rows = [("u", ts(0), 1), ("u", ts(60), 2), ("u", ts(121), 3), ("v", ts(5), 4)]
     df = spark.createDataFrame(rows, "user string, ts timestamp_ntz, seq long")
     got = sorted((r.user, r.window_start, r.cnt) for r in
-                 session_aggregate(df, ["user"], "ts", 60, ["ts", "seq"], slice_seconds=30).collect())
+                 session_aggregate(df, ["user"], "ts", 60, ["ts", "seq"]).collect())
     assert got == [("u", ts(0), 2), ("u", ts(121), 1), ("v", ts(5), 1)]
 
 
-def test_count_windows_tail_and_slide(spark):
+def test_count_windows_tail_and_slide(spark, slicing):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(1, 26)], "k string, seq long, v double")
     sl = F.floor(F.col("seq") / 4).cast("bigint")
     tumb = count_window(df, ["k"], ["seq"], 10, aggs=[("mx", "max", F.col("v"))], slice_col=sl)
@@ -99,7 +108,7 @@ def test_sliding_panes_equal_direct(spark):
 LOGIN = "user long, event_type string, ts timestamp_ntz, seq long"
 
 
-def test_repeated_failures_rule(spark):
+def test_repeated_failures_rule(spark, slicing):
     rows = [
         # user 1: burst of failures, checked 2 s after each
         (1, "fail", ts(0), 1), (1, "fail", ts(1), 2), (1, "fail", ts(3), 3), (1, "fail", ts(4), 4),
@@ -110,33 +119,33 @@ def test_repeated_failures_rule(spark):
     ]
     df = spark.createDataFrame(rows, LOGIN)
     got = sorted(tuple(r) for r in sequence.repeated_failures(
-        df, "user", "ts", "seq", F.col("event_type") == "fail", n=2, check_after=2, slice_seconds=2).collect())
+        df, "user", "ts", "seq", F.col("event_type") == "fail", n=2, check_after=2).collect())
     assert got == [(1, ts(0), ts(0), 2), (1, ts(0), ts(1), 3), (1, ts(0), ts(3), 4), (1, ts(0), ts(4), 4),
                    (3, ts(0), ts(0), 2), (3, ts(0), ts(1), 2)]
 
 
-def test_consecutive_pair_arrival_order(spark):
+def test_consecutive_pair_arrival_order(spark, slicing):
     rows = [(1, "fail", ts(10), 1), (1, "fail", ts(9), 2), (1, "fail", ts(20), 3), (1, "success", ts(21), 4),
             (1, "fail", ts(22), 5)]
     df = spark.createDataFrame(rows, LOGIN)
     got = [tuple(r) for r in sequence.consecutive_pair(df, "user", "ts", "seq", F.col("event_type") == "fail",
-                                                       within=2, rows_per_slice=2).collect()]
+                                                       within=2).collect()]
     assert got == [(1, ts(10), ts(9))]  # negative gap passes; 9 -> 20 too far; success resets
 
 
-def test_strict_sequence_overlapping_and_within(spark):
+def test_strict_sequence_overlapping_and_within(spark, slicing):
     rows = [(1, "fail", ts(s), s) for s in (0, 1, 2, 3, 9)] + [(1, "success", ts(4), 100)]
     df = spark.createDataFrame(rows, LOGIN)
     f = F.col("event_type") == "fail"
     got = sorted(tuple(r) for r in sequence.strict_sequence(
-        df, "user", "ts", "seq", [("a", f), ("b", f), ("c", f)], within=3, slice_seconds=1).collect())
+        df, "user", "ts", "seq", [("a", f), ("b", f), ("c", f)], within=3).collect())
     assert got == [(1, ts(0), ts(1), ts(2)), (1, ts(1), ts(2), ts(3))]
 
 
 ORD = "oid long, event_type string, ts timestamp_ntz, seq long"
 
 
-def test_order_outcomes_boundaries(spark):
+def test_order_outcomes_boundaries(spark, slicing):
     rows = [(1, "create", ts(0), 1), (1, "pay", ts(0), 2),            # same second -> paid
             (2, "pay", ts(0), 3), (2, "create", ts(5), 4),            # pay before create -> paid
             (3, "create", ts(0), 5), (3, "pay", ts(900), 6),          # exactly 15 min -> timeout
@@ -148,11 +157,11 @@ def test_order_outcomes_boundaries(spark):
     assert got == {1: "paid", 2: "paid", 3: "paid-but-timeout", 4: "time-out", 5: "data-not-found"}
     fb = {(r.oid, r.outcome) for r in sequence.followed_by(
         df, ["oid"], "ts", "seq", F.col("event_type") == "create", F.col("event_type") == "pay",
-        within=900, timeouts=True, slice_seconds=60).collect()}
+        within=900, timeouts=True).collect()}
     assert fb == {(1, "paid"), (2, "timeout"), (3, "timeout"), (4, "timeout")}
 
 
-def test_interval_reconcile_outcomes(spark):
+def test_interval_reconcile_outcomes(spark, slicing):
     pays = spark.createDataFrame([("t1", 1, ts(0)), ("t2", 2, ts(0)), ("t3", 3, ts(100))],
                                  "tx string, pseq long, pts timestamp_ntz")
     rcpts = spark.createDataFrame([("t1", 10, ts(5)), ("t2", 11, ts(6)), ("t4", 12, ts(0))],
@@ -177,38 +186,37 @@ def test_cap_around_local_midnight(spark):
     assert capping.black_list(df, *by, 1).count() == 2
 
 
-def test_late_routing_and_lateness(spark):
+def test_late_routing_and_lateness(spark, slicing):
     # arrival order = seq; delay 0; 10 s tumbling windows
     rows = [(1, ts(1)), (2, ts(12)), (3, ts(9)), (4, ts(31)), (5, ts(15)), (6, ts(5))]
     df = spark.createDataFrame(rows, "seq long, ts timestamp_ntz")
-    routed = {r.seq: r.channel for r in late.route_late(df, "ts", ["seq"], 0, 10, rows_per_slice=2).collect()}
+    routed = {r.seq: r.channel for r in late.route_late(df, "ts", ["seq"], 0, 10).collect()}
     assert routed == {1: "on_time", 2: "on_time", 3: "late", 4: "on_time", 5: "late", 6: "late"}
-    kept = late.accepted_window_rows(df, "ts", ["seq"], 0, 10, lateness=15, rows_per_slice=2)
+    kept = late.accepted_window_rows(df, "ts", ["seq"], 0, 10, lateness=15)
     # wm before seq 5 is 31 >= 20 + 15? no -> window [10,20) still accepts it; seq 6: 31 >= 10 + 15 -> dropped
     assert sorted(r.seq for r in kept.collect()) == [1, 2, 3, 4, 5]
 
 
-def test_jump_exactly_threshold(spark):
+def test_jump_exactly_threshold(spark, slicing):
     df = spark.createDataFrame([("s", 1, 10.0), ("s", 2, 20.0), ("s", 3, 29.5), ("s", 4, 10.0)],
                                "id string, seq long, temperature double")
     got = [(r.prev_value, r.temperature) for r in sequence.jumps(
-        df, "id", ["seq"], "temperature", 10.0, F.floor(F.col("seq") / 2)).orderBy("seq").collect()]
+        df, "id", ["seq"], "temperature", 10.0, F.col("seq")).orderBy("seq").collect()]
     assert got == [(10.0, 20.0), (29.5, 10.0)]
 
 
-def test_rising_alert(spark):
+def test_rising_alert(spark, slicing):
     rows = [("s", ts(0), 1, 10.0), ("s", ts(10), 2, 11.0), ("s", ts(20), 3, 12.0), ("s", ts(100), 4, 5.0),
             ("s", ts(110), 5, 6.0), ("s", ts(115), 6, 1.0)]
     df = spark.createDataFrame(rows, "id string, ts timestamp_ntz, seq long, temperature double")
-    got = [tuple(r) for r in sequence.rising_alerts(df, "id", "ts", "seq", "temperature", 60, slice_seconds=30).collect()]
+    got = [tuple(r) for r in sequence.rising_alerts(df, "id", "ts", "seq", "temperature", 60).collect()]
     assert got == [("s", ts(10), ts(70))]
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 3, 1000])
-def test_running_word_count_changelog(spark, rows_per_slice):
+def test_running_word_count_changelog(spark, slicing):
     lines = spark.createDataFrame([(0, 0, "a b a"), (1, 0, "b a"), (2, 0, "a")], "doc_id long, line_no int, line string")
     toks = agg.tokens(lines, keep=["doc_id", "line_no"], drop_empty=True)
-    out = agg.running_word_count(toks, ["doc_id", "line_no", "pos"], F.floor(F.col("doc_id") / rows_per_slice))
+    out = agg.running_word_count(toks, ["doc_id", "line_no", "pos"], F.col("doc_id"))
     got = [(r.word, r.cnt) for r in out.orderBy("doc_id", "pos").collect()]
     assert got == [("a", 1), ("b", 1), ("a", 2), ("b", 2), ("a", 3), ("a", 4)]
 
@@ -234,11 +242,11 @@ def test_user_aggregate_equals_plain_windows(spark):
         UserAggregate({"a": F.sum("v")}, {"b": F.sum("b")}, F.col("a"))
 
 
-def test_accepted_counts_equal_accepted_rows(spark):
+def test_accepted_counts_equal_accepted_rows(spark, slicing):
     rows = spark.range(400).select(F.col("id").alias("seq"), (F.col("id") % 2).alias("k"),
                                    F.timestamp_seconds(F.col("id") * 50 - (F.col("id") * 7919) % 3000).cast("timestamp_ntz").alias("ts"))
     for lateness in (0, 250):
-        a = late.accepted_window_rows(rows, "ts", ["seq"], 60, 600, 120, lateness=lateness, rows_per_slice=32)
+        a = late.accepted_window_rows(rows, "ts", ["seq"], 60, 600, 120, lateness=lateness)
         want = a.groupBy("k", "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
-        got = late.accepted_window_counts(rows, ["k"], "ts", ["seq"], 60, 600, 120, lateness=lateness, rows_per_slice=32)
+        got = late.accepted_window_counts(rows, ["k"], "ts", ["seq"], 60, 600, 120, lateness=lateness)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

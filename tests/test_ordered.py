@@ -1,5 +1,5 @@
 """The skew-safe primitives must equal plain window functions, whatever the
-slicing: tiny slices force every row through the carry / halo paths, and a
+slicing: tiny slices force every row through the carry paths, and a
 single hot key holds most rows."""
 
 import random
@@ -23,19 +23,24 @@ def _rows(seed, n=400, keys=4, hot_share=0.6):
     return out
 
 
-@pytest.fixture(scope="module", params=[1, 2, 3])
-def frame(spark, request):
+@pytest.fixture(scope="module")
+def frame(spark):
     schema = "k string, t long, seq long, v double, flag boolean"
-    df = spark.createDataFrame(_rows(request.param), schema)
+    df = spark.createDataFrame(_rows(1, n=200), schema).coalesce(2)
     return df.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-@pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("exclusive", [False, True])
-def test_running_matches_window(frame, width, descending, exclusive):
-    sl = F.floor(F.col("t") / width).cast("bigint")
-    got = ordered.running(frame, ["k"], ["t", "seq"], sl, [
+@pytest.fixture(params=[(12, 4), (60, 8), (100_000, 1024)], ids=["deep", "hot", "whole"])
+def sizes(request, monkeypatch):
+    """(rows of a slice, buckets of a level): every key cut on several levels, on one, only the hot key, and none."""
+    monkeypatch.setattr(ordered, "TARGET", request.param[0])
+    monkeypatch.setattr(ordered, "BUCKETS", request.param[1])
+    return request.param
+
+
+@pytest.mark.parametrize("descending,exclusive", [(False, False), (False, True), (True, True)])
+def test_running_matches_window(frame, sizes, descending, exclusive):
+    got = ordered.running(frame, ["k"], ["t", "seq"], F.col("t"), [
         ("c", "count", F.col("v")), ("s", "sum", F.col("v")), ("mn", "min", F.col("v")),
         ("mx", "max", F.struct("v", "seq"))], exclusive=exclusive, descending=descending)
     order = [F.col("t").desc(), F.col("seq").desc()] if descending else [F.col("t"), F.col("seq")]
@@ -44,13 +49,12 @@ def test_running_matches_window(frame, width, descending, exclusive):
                        F.min("v").over(w).alias("mn"), F.max(F.struct("v", "seq")).over(w).alias("mx"))
     cols = ["seq", "c", "s", "mn", "mx"]
     assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())
+    assert got.columns == [*frame.columns, "c", "s", "mn", "mx"]
 
 
-@pytest.mark.parametrize("width", [1, 5, 1000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_lag_matches_window(frame, width, descending):
-    sl = F.floor(F.col("t") / width).cast("bigint")
-    got = ordered.lag(frame, ["k"], ["t", "seq"], sl,
+def test_lag_matches_window(frame, sizes, descending):
+    got = ordered.lag(frame, ["k"], ["t", "seq"], F.col("t"),
                       {"p1": ("v", 1), "p2": ("v", 2), "p3s": ("seq", 3), "pf": ("flag", 1)}, descending=descending)
     order = [F.col("t").desc(), F.col("seq").desc()] if descending else [F.col("t"), F.col("seq")]
     w = Window.partitionBy("k").orderBy(*order)
@@ -58,61 +62,83 @@ def test_lag_matches_window(frame, width, descending):
                        F.lag("seq", 3).over(w).alias("p3s"), F.lag("flag", 1).over(w).alias("pf"))
     cols = ["seq", "p1", "p2", "p3s", "pf"]
     assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())
+    assert got.columns == [*frame.columns, "p1", "p2", "p3s", "pf"]
 
 
-@pytest.mark.parametrize("width,ahead", [(10, 10), (3, 10), (50, 0), (10, 25)])
-def test_count_upto_matches_brute_force(spark, frame, width, ahead):
-    got = ordered.count_upto(frame, ["k"], "ts", width, ahead, {"n_flag": F.col("flag"), "n_all": F.lit(True)})
-    a, b = frame.alias("a"), frame.alias("b")
+@pytest.mark.parametrize("ahead", [0, 25])
+def test_read_ahead_matches_brute_force(spark, frame, sizes, ahead):
+    got = ordered.read_ahead(frame, ["k"], "ts", ["seq"], ahead, None, [
+        ("n_flag", "count", F.when(F.col("flag"), 1)), ("last", "max", F.col("seq"))], F.col("v").isNotNull(), ["seq"])
+    a, b = frame.filter("v IS NOT NULL").alias("a"), frame.alias("b")
     exp = (a.join(b, F.col("a.k").eqNullSafe(F.col("b.k")) & (F.col("b.t") <= F.col("a.t") + ahead), "left")
-           .groupBy(F.col("a.seq").alias("seq"))
-           .agg(F.sum(F.when(F.col("b.flag"), 1).otherwise(0)).alias("n_flag"),
-                F.count(F.col("b.seq")).alias("n_all")))
-    assert sorted(got.select("seq", "n_flag", "n_all").collect()) == sorted(exp.collect())
+           .groupBy(F.col("a.seq").alias("seq")).agg(F.count(F.when(F.col("b.flag"), 1)).alias("n_flag"), F.max("b.seq").alias("last")))
+    assert sorted(got.select("seq", "n_flag", "last").collect()) == sorted(exp.collect())
 
 
-def test_running_without_keys_is_global(frame):
-    sl = F.floor(F.col("seq") / 16).cast("bigint")
-    got = ordered.running(frame, [], ["seq"], sl, [("c", "count", F.lit(1))])
+def test_a_sweep_holds_two_rows_for_one_that_asks(spark, frame):
+    plan = lambda ahead: ordered.read_ahead(frame, ["k"], "ts", ["seq"], ahead, None, [("n", "count", F.lit(1))], F.col("flag"), ["seq"])
+    text = plan(10 ** 6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in text and plan(10 ** 6).count() == frame.filter("flag").count()
+
+
+def test_running_without_keys_is_global(frame, sizes):
+    got = ordered.running(frame, [], ["seq"], F.col("seq"), [("c", "count", F.lit(1))])
     assert sorted(r.c for r in got.collect()) == list(range(1, frame.count() + 1))
 
 
-@pytest.mark.parametrize("keys", [[], ["k"]])
-@pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("spread", [1, 37, -(10 ** 12)])
-def test_hierarchy_holds_for_dense_sparse_and_negative_slices(spark, keys, descending, spread, monkeypatch):
-    """Groups of two slices force every level of the carry; results equal a plain window whatever the slice numbers."""
-    monkeypatch.setattr(ordered, "FAN_IN", 2)
-    frame = spark.createDataFrame(_rows(1, n=150), "k string, t long, seq long, v double, flag boolean")
-    frame = frame.withColumn("at", (F.col("seq") * abs(spread) + min(spread, 0) * 100).cast("bigint"))
-    sl = F.col("at")  # one row per slice
-    order = F.col("at").desc() if descending else F.col("at")
-    w = Window.partitionBy(*keys).orderBy(order)
+@pytest.mark.parametrize("keys,descending", [([], False), (["k"], True)])
+@pytest.mark.parametrize("spread", [1, -(10 ** 12)])
+def test_slices_of_dense_sparse_and_negative_places(spark, keys, descending, spread, monkeypatch):
+    """Two buckets a level force digit upon digit; results equal a plain window whatever the places, nulls among them."""
+    monkeypatch.setattr(ordered, "TARGET", 8)
+    monkeypatch.setattr(ordered, "BUCKETS", 2)
+    frame = spark.createDataFrame(_rows(1, n=80), "k string, t long, seq long, v double, flag boolean")
+    place = (F.col("seq") * abs(spread) + min(spread, 0) * 100).cast("bigint")
+    frame = frame.withColumn("at", F.when(F.col("seq") % 23 > 0, place))
+    order = [F.col("at").desc(), F.col("seq").desc()] if descending else [F.col("at"), F.col("seq")]
+    w = Window.partitionBy(*keys).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, -1)
-    got = ordered.running(frame, keys, ["at"], sl, [("c", "count", F.col("v")), ("mx", "max", F.col("v"))],
+    cuts = ordered.cuts(frame, keys, F.col("at"))
+    assert cuts.depth > 1
+    got = ordered.running(frame, keys, ["at", "seq"], cuts, [("c", "count", F.col("v")), ("mx", "max", F.col("v"))],
                           exclusive=True, descending=descending)
     exp = frame.select("seq", F.count("v").over(upto).alias("c"), F.max("v").over(upto).alias("mx"))
     assert sorted(got.select("seq", "c", "mx").collect()) == sorted(exp.collect())
-    got = ordered.lag(frame, keys, ["at"], sl, {"p1": ("v", 1), "p2": ("seq", 2)}, descending=descending)
+    got = ordered.lag(frame, keys, ["at", "seq"], cuts, {"p1": ("v", 1), "p2": ("seq", 2)}, descending=descending)
     exp = frame.select("seq", F.lag("v", 1).over(w).alias("p1"), F.lag("seq", 2).over(w).alias("p2"))
     assert sorted(got.select("seq", "p1", "p2").collect(), key=str) == sorted(exp.collect(), key=str)
 
 
-def test_no_window_of_the_carry_sees_more_than_the_fan_in(spark, monkeypatch):
-    """One key holds every row, slices are sparse: count what each window group below the top really gets."""
-    monkeypatch.setattr(ordered, "FAN_IN", 8)
-    rows = spark.range(512).select(F.lit("hot").alias("k"), (F.col("id") * 1000).alias("at"))
-    level = rows.select("at")
-    for _ in range(ordered.LEVELS):
-        level = level.withColumn("up", ordered._group_of_slices("at"))
-        assert level.groupBy("up").count().agg(F.max("count")).first()[0] <= 8
-        level = level.select(F.col("up").alias("at")).distinct()
-    got = ordered.running(rows, ["k"], ["at"], F.col("at"), [("c", "count", F.lit(1))])
-    assert sorted(r.c for r in got.collect()) == list(range(1, 513))
-
-
-def test_count_upto_keeps_rows_without_a_time(spark):
-    rows = spark.createDataFrame([("a", 1, True), ("a", None, True), ("a", 2, False)], "k string, t long, flag boolean")
-    rows = rows.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
-    got = ordered.count_upto(rows, ["k"], "ts", 5, 10, {"n": F.col("flag")})
-    assert sorted((r.t or 0, r.n) for r in got.collect()) == [(0, 0), (1, 1), (2, 1)]
+def test_slices_hold_what_the_data_says(spark, monkeypatch):
+    """One key holds every row, half of them in a burst: slices are about as long as asked, short keys are whole, and no
+    window of the carry sees more slices than a level has buckets."""
+    monkeypatch.setattr(ordered, "TARGET", 64)
+    monkeypatch.setattr(ordered, "BUCKETS", 16)
+    rows = spark.range(0, 4096, 1, 2).select(F.lit("hot").alias("k"), F.when(F.col("id") < 2048, F.col("id") + 10 ** 9).otherwise(F.col("id") * 10 ** 6).alias("at"))
+    rows = rows.unionByName(spark.range(0, 60, 1, 1).select(F.concat(F.lit("cold"), F.col("id") % 3).alias("k"), F.col("id").alias("at")))
+    cuts = ordered.cuts(rows, ["k"], F.col("at"))
+    sliced = cuts.slice(rows).groupBy("k", ordered.SLICE).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).collect()
+    hot = sorted((r for r in sliced if r.k == "hot"), key=lambda r: r[ordered.SLICE])
+    assert max(r.n for r in hot) <= 3 * 64 and 20 < len(hot) < 400
+    assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
+    assert sorted((r.k, r.n) for r in sliced if r.k != "hot") == [("cold0", 20), ("cold1", 20), ("cold2", 20)]
+    numbers = {r[ordered.SLICE] for r in hot}
+    for _ in range(cuts.depth):
+        above = {}
+        for x in numbers:
+            above.setdefault(x >> ordered.DIGIT, set()).add(x)
+        assert max(map(len, above.values())) <= ordered.BUCKETS + 1
+        numbers = set(above)
+    assert numbers == {0}
+    got = ordered.running(rows, ["k"], ["at"], cuts, [("c", "count", F.lit(1))])
+    assert sorted(r.c for r in got.filter("k = 'hot'").collect()) == list(range(1, 4097))
+
+
+def test_whole_keys_pass_in_one_stage(spark, frame):
+    """With no long key, passes over the same keys share one shuffle."""
+    cuts = ordered.cuts(frame, ["k"], F.col("t"))
+    assert cuts.depth == 0
+    d = cuts.stage(ordered.lag(frame, ["k"], ["t", "seq"], cuts, {"p": ("v", 1)}))
+    d = ordered.running(d, ["k"], ["t", "seq"], cuts, [("c", "count", F.col("p"))])
+    d.collect()
+    assert d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1

@@ -22,7 +22,7 @@ def _rows(spark, lo, hi):
 def test_upsert_resumes_after_a_restart(spark):
     root, ckpt = scratch_path(spark, "t-table"), scratch_path(spark, "t-ckpt")
     first = write_replay(_rows(spark, 0, 100), "seq", chunks=2)
-    run = lambda: tables.upsert_stream(read_replay(spark, first, SCHEMA), root, ckpt, ["k"], ["v"], ["seq"], buckets=4)
+    run = lambda: tables.upsert_stream(read_replay(spark, first, SCHEMA), root, ckpt, ["k"], ["v"], ["seq"])
     run()
     write_replay(_rows(spark, 100, 130), "seq", chunks=2, folder=first.folder, files_per_chunk=first.files)
     got = {r.k: (r.v, r.seq) for r in run().read().collect()}  # a new query over the same checkpoint
@@ -32,16 +32,85 @@ def test_upsert_resumes_after_a_restart(spark):
     assert got == want
 
 
-def test_upsert_touches_only_the_buckets_of_its_batch(spark):
-    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.DoubleType()), T.StructField("seq", T.LongType())])
-    table = tables.VersionedTable(spark, scratch_path(spark, "t-table"), schema, ["k"], buckets=8)
-    table.upsert(0, _rows(spark, 0, 50), ["k"], ["v"], ["seq"])
-    one = spark.createDataFrame([("k1", 1000, 9.0)], SCHEMA)
-    table.upsert(1, one, ["k"], ["v"], ["seq"])
-    assert len([f for f in os.listdir(table.root.removeprefix("file:") + "/v=1") if f.startswith("_bucket")]) == 1
-    assert table.read(1).count() == table.read().count() == 13
-    table.upsert(1, one, ["k"], ["v"], ["seq"])  # the same batch again
-    assert {r.k: r.v for r in table.read().collect()}["k1"] == 9.0
+SCHEMA_KVS = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.DoubleType()), T.StructField("seq", T.LongType())])
+
+
+def _table(spark, name="t-table"):
+    return tables.LogTable(spark, scratch_path(spark, name), SCHEMA_KVS, ["k"], ["seq"])
+
+
+def _one(spark, k, seq, v):
+    return spark.createDataFrame([(k, v, seq)], SCHEMA_KVS)
+
+
+def _bytes(table, prefix):
+    root = table.root.removeprefix("file:")
+    return {n: sum(os.path.getsize(f"{root}/{n}/{f}") for f in os.listdir(f"{root}/{n}") if f.endswith(".parquet")) for n in os.listdir(root) if n.startswith(prefix)}
+
+
+def test_what_a_batch_writes_follows_the_batch(spark):
+    table = _table(spark)
+    big = spark.range(20_000).select(F.concat(F.lit("key"), F.col("id")).alias("k"), (F.col("id") * 1.5).alias("v"), F.col("id").alias("seq")).coalesce(1)
+    table.write(0, big)
+    whole = sum(_bytes(table, "d=").values())
+    for b in range(1, 8):
+        table.write(b, _one(spark, f"key{b % 3}", 100_000 + b, float(b)).coalesce(1))
+        live = _bytes(table, "d=") | _bytes(table, "c=")
+        assert live["d=0"] == whole and sum(n for name, n in live.items() if name != "d=0") < whole / 10
+    names = [d["name"] for d in table.manifest()]
+    assert names[0] == "d=0" and len(names) <= 4  # small deltas are merged among themselves
+    got = {r.k: r.v for r in table.read().filter("k IN ('key0', 'key1', 'key2', 'key9')").collect()}
+    assert got == {"key0": 6.0, "key1": 7.0, "key2": 5.0, "key9": 13.5} and table.read().count() == 20_000
+    # old manifests and merged deltas are gone, what the last two name is there
+    root = table.root.removeprefix("file:")
+    assert sorted(n for n in os.listdir(root) if n.startswith("m=")) == ["m=6", "m=7"]
+    assert {n for n in os.listdir(root) if n[:2] in ("d=", "c=")} <= {d["name"] for b in (7, 8) for d in table.manifest(b)}
+
+
+def test_a_table_loses_nothing_between_delta_and_manifest(spark, monkeypatch):
+    table, want = _table(spark), {}
+    for b in range(6):
+        rows = spark.createDataFrame([(f"k{(b + i) % 5}", b * 10.0 + i, b * 10 + i) for i in range(3)], SCHEMA_KVS)
+        with monkeypatch.context() as m:  # the batch stops after its delta (and merge), before its manifest
+            m.setattr(tables, "_write_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                table.write(b, rows)
+        assert {r.k: r.v for r in table.read().collect()} == want
+        for _ in range(2):  # it runs again, and once more
+            table.write(b, rows)
+            after = {**want, **{f"k{(b + i) % 5}": b * 10.0 + i for i in range(3)}}
+            assert {r.k: r.v for r in table.read().collect()} == after
+        assert {r.k: r.v for r in table.read(b).collect()} == want
+        want = after
+
+
+def test_merging_forgets_what_is_over(spark):
+    table = _table(spark)
+    table.write(0, _one(spark, "old", 1, 1.0))
+    table.write(1, _one(spark, "new", 50, 2.0), live=F.col("seq") >= 10)
+    assert [r.k for r in table.read().collect()] == ["new"]
+    assert [r.k for r in table.read(1).collect()] == ["old"]
+
+
+def test_first_clicks_over_batches_and_restarts(spark):
+    def rows(lo, hi):
+        return spark.range(lo, hi).select(F.when(F.col("id") % 5 < 3, 1).otherwise(F.col("id") % 7).cast("long").alias("user_id"), (F.col("id") % 2).alias("ad_id"),
+                                          F.timestamp_seconds(F.col("id") * 1800).cast("timestamp_ntz").alias("ts"), F.col("id").alias("seq"))
+
+    root, ckpt = scratch_path(spark, "t-clicks"), scratch_path(spark, "t-clicks-ckpt")
+    first = write_replay(rows(0, 300), "seq", chunks=4)
+    schema = rows(0, 1).schema
+    run = lambda: tables.first_clicks_stream(read_replay(spark, first, schema), root, ckpt, ["user_id", "ad_id"], "ts", "seq", 3)
+    run()
+    write_replay(rows(300, 420), "seq", chunks=2, folder=first.folder, files_per_chunk=first.files)
+    got = sorted((r.seq, r.click_no, str(r.day)) for r in run().collect())
+    from eventide.operators import capping
+
+    want = sorted((r.seq, r.click_no, str(r.day)) for r in capping.first_clicks(rows(0, 420), ["user_id", "ad_id"], "ts", "seq", 3).collect())
+    assert got == want
+    counts = tables.LogTable(spark, f"{root}/counts", capping.first_clicks(rows(0, 1), ["user_id", "ad_id"], "ts", "seq", 3).select(
+        "user_id", "ad_id", "day", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("_batch")).schema, ["user_id", "ad_id", "day"], ["_batch"])
+    assert counts.read().select("day").distinct().count() < len({d for _, _, d in want})
 
 
 def test_retract_log_is_right_after_every_batch(spark):
