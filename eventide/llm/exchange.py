@@ -4,9 +4,12 @@ A map task sends its keys not as rows but as slices: for each of ``width`` range
 of the key space one row with the distinct keys in order (as byte planes of their
 differences, 48 bits deep, which the shuffle compresses to about four bytes each), which of
 them occurred twice, and the located entries that point at them.  A key occurs once in
-a task's slice however often the task met it, so the frequent ones cost no
-reducer more than others.  48 bits decide only what is looked at again.  What a
-reducer finds goes back packed in the same way, by groups of document ids.
+a task's slice however often the task met it, and what the task can settle by itself -- entries whose key it
+met twice -- it answers at once: those rows go straight to their documents, and of a key that a third of all
+documents share a reducer sees one entry for each task, not one for each document.  48 bits decide only
+what is looked at again.  What a reducer finds goes back packed in the same way, by groups of document ids.
+
+Answers travel with the slices, as ranges from ``width`` on, and pass the reducers untouched.
 """
 
 from __future__ import annotations
@@ -48,10 +51,27 @@ def concat_lists(arrays: list[pa.Array], kind: pa.DataType) -> pa.Array:
 def slices(keys: np.ndarray, loc_key: np.ndarray, loc_doc: np.ndarray, loc_pos: np.ndarray, ids: pa.Array, width: int,
            loc_n: np.ndarray | None = None, loc_text: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """One row for each key range that has keys.  ``keys`` are all keys of the chunk, the located ones among them; a
-    located entry may carry a count and a 64-bit hash of the text around it."""
+    located entry may carry a count and a 64-bit hash of the text around it.
+
+    Located entries whose key the chunk holds twice are answered (flag 1) and not sent on.  With text hashes these are the ones whose
+    text the chunk holds twice, and one of each text is sent on all the same, to be held against other texts."""
     low = np.uint64(64 - KEY_BITS)
     uniq, counts = np.unique(keys >> low, return_counts=True)
     where = np.searchsorted(uniq, loc_key >> low)
+    if loc_text is None:
+        known = counts[where] > 1
+        sent = ~known
+    else:
+        order = np.lexsort((loc_text, where))
+        new = np.ones(len(order), bool)
+        new[1:] = (where[order[1:]] != where[order[:-1]]) | (loc_text[order[1:]] != loc_text[order[:-1]])
+        copies = np.diff(np.append(np.flatnonzero(new), len(order)))
+        known, sent = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        known[order] = np.repeat(copies > 1, copies)
+        sent[order] = new
+    yield from answers(replies(ids, loc_doc[known], loc_pos[known], width, None if loc_n is None else loc_n[known], np.ones(known.sum(), np.uint64)), width)
+    where, loc_doc, loc_pos = where[sent], loc_doc[sent], loc_pos[sent]
+    loc_n, loc_text = (None if x is None else x[sent] for x in (loc_n, loc_text))
     order = np.argsort(where, kind="stable")
     where, loc_doc, loc_pos = where[order], loc_doc[order], loc_pos[order]
     loc_n = np.zeros(0, np.uint64) if loc_n is None else loc_n[order]
@@ -75,6 +95,21 @@ def slices(keys: np.ndarray, loc_key: np.ndarray, loc_doc: np.ndarray, loc_pos:
             names=["r", "keys", "twice", "at", "doc", "pos", "n", "text", "ids"])
 
 
+def answers(parts: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
+    """Replies as rows among slices."""
+    empty = pa.array([b""] * len(parts), pa.binary())
+    yield from pa.table([pa.array(np.asarray(parts.column("q")) + width, pa.int32()), empty, parts.column("flag"), empty, parts.column("doc"), parts.column("pos"),
+                         parts.column("n"), empty, parts.column("ids")], names=["r", "keys", "twice", "at", "doc", "pos", "n", "text", "ids"]).to_batches()
+
+
+def answered(table: pa.Table, width: int) -> pa.Table | None:
+    """The replies that a group of rows is, if it is no group of slices."""
+    if table.column("r")[0].as_py() < width:
+        return None
+    return pa.table([pa.array(np.asarray(table.column("r")) - width, pa.int32()), *[table.column(c) for c in ("ids", "doc", "pos", "n", "twice")]],
+                    names=["q", "ids", "doc", "pos", "n", "flag"])
+
+
 class Slices:
     """The slices of one key range: distinct keys of each task and the located entries."""
 
@@ -184,6 +219,8 @@ def repeated(parts: DataFrame, kind: str, width: int) -> DataFrame:
     """(doc_id, pos array): the located entries whose key occurs elsewhere too, gathered by document."""
 
     def reduce(table: pa.Table) -> pa.Table:
+        if (done := answered(table, width)) is not None:
+            return done
         s = Slices(table)
         return replies(s.ids, s.doc[s.again], s.pos[s.again], width)
 
@@ -193,10 +230,39 @@ def repeated(parts: DataFrame, kind: str, width: int) -> DataFrame:
 WINDOW_SLICE = "r int, key binary, extra binary, doc binary, pos binary, ids array<{kind}>"
 
 
-def window_slices(key: np.ndarray, extra: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: pa.Array, width: int) -> Iterator[pa.RecordBatch]:
-    """Located windows by ranges of a 64-bit key, with 32 further bits that must agree too."""
-    order = np.argsort(key, kind="stable")
-    key, extra, doc, pos = key[order], extra[order], doc[order], pos[order]
+class Windows:
+    """Located windows in the order of their key, 32 further bits, row and place, and which of them start elsewhere too.
+
+    ``again``: all of those; with ``keep_first`` all but the ones of the smallest id and, in each row of that id, the first start."""
+
+    def __init__(self, key: np.ndarray, extra: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: pa.Array, keep_first: bool):
+        row = row_numbers(ids)[0][doc]
+        order = np.lexsort((pos, row, extra, key))
+        self.key, self.extra, self.doc, self.pos, self.ids = key[order], extra[order], doc[order], pos[order], ids
+        row, rank, pos = row[order], id_ranks(ids)[self.doc], self.pos
+        new = np.ones(len(order), bool)
+        new[1:] = (self.key[1:] != self.key[:-1]) | (self.extra[1:] != self.extra[:-1])
+        first = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        if keep_first:
+            own = new.copy()
+            own[1:] |= row[1:] != row[:-1]
+            self.again = (rank != rank[first][group]) | (pos != pos[np.flatnonzero(own)][np.cumsum(own) - 1])
+            self.left = ~self.again
+        else:
+            self.again = np.diff(np.append(first, len(order)))[group] > 1
+            self.left = new  # one of each, for the other tasks to see
+
+
+def window_slices(key: np.ndarray, extra: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: pa.Array, width: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
+    """Located windows by ranges of a 64-bit key, with 32 further bits that must agree too.  What starts elsewhere in the
+    chunk is answered; of the others, and of each window once at least, goes on what another task must see."""
+    w = Windows(key, extra, doc, pos, ids, keep_first)
+    names = ["r", "key", "extra", "doc", "pos", "ids"]
+    done = replies(ids, w.doc[w.again], w.pos[w.again], width)
+    empty = pa.array([b""] * len(done), pa.binary())
+    yield from pa.table([pa.array(np.asarray(done.column("q")) + width, pa.int32()), empty, empty, done.column("doc"), done.column("pos"), done.column("ids")], names=names).to_batches()
+    key, extra, doc, pos = (x[w.left] for x in (w.key, w.extra, w.doc, w.pos))
     edges = [(i << 64) // width for i in range(1, width)]
     cut = np.concatenate([[0], np.searchsorted(key, np.array(edges, np.uint64)), [len(key)]]).astype(np.int64)
     for r in range(width):
@@ -206,8 +272,7 @@ def window_slices(key: np.ndarray, extra: np.ndarray, doc: np.ndarray, pos: np.n
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r], pa.int32()), pa.array([planes(np.diff(key[lo:hi], prepend=np.uint64(0)), 8)], pa.binary()),
                  pa.array([planes(extra[lo:hi].astype(np.uint64), 4)], pa.binary()), pa.array([planes(inv.astype(np.uint64), 4)], pa.binary()),
-                 pa.array([planes(pos[lo:hi].astype(np.uint64), 5)], pa.binary()), id_list(ids, docs)],
-                names=["r", "key", "extra", "doc", "pos", "ids"])
+                 pa.array([planes(pos[lo:hi].astype(np.uint64), 5)], pa.binary()), id_list(ids, docs)], names=names)
 
 
 def marked_windows(parts: DataFrame, kind: str, keep_first: bool, width: int) -> DataFrame:
@@ -215,6 +280,11 @@ def marked_windows(parts: DataFrame, kind: str, keep_first: bool, width: int) ->
     of the smallest id and, in each row of that id, the first start."""
 
     def reduce(table: pa.Table) -> pa.Table:
+        if table.column("r")[0].as_py() >= width:
+            size = [len(x.as_py()) // 4 for x in table.column("doc")]
+            return pa.table([pa.array(np.asarray(table.column("r")) - width, pa.int32()), *[table.column(c) for c in ("ids", "doc", "pos")],
+                             pa.array([bytes(4 * n) for n in size], pa.binary()), pa.array([bytes(n) for n in size], pa.binary())],
+                            names=["q", "ids", "doc", "pos", "n", "flag"])
         key, extra, doc, pos, ids, base = [], [], [], [], [], 0
         for row in table.to_batches():
             for i in range(row.num_rows):
@@ -224,20 +294,9 @@ def marked_windows(parts: DataFrame, kind: str, keep_first: bool, width: int) ->
                 pos.append(unplanes(row.column("pos")[i].as_py(), 5).astype(np.int64))
                 ids.append(row.column("ids")[i].values)
                 base += len(ids[-1])
-        key, extra, doc, pos = (np.concatenate(x) for x in (key, extra, doc, pos))
         every = concat_lists(ids, table.schema.field("ids").type.value_type)
-        rank, row = id_ranks(every)[doc], row_numbers(every)[0][doc]
-        order = np.lexsort((pos, row, extra, key))
-        key, extra, doc, pos, rank, row = key[order], extra[order], doc[order], pos[order], rank[order], row[order]
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (extra[1:] != extra[:-1])])
-        first = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        if keep_first:
-            own = new | np.concatenate([[True], row[1:] != row[:-1]])
-            mark = (rank != rank[first][group]) | (pos != pos[np.flatnonzero(own)][np.cumsum(own) - 1])
-        else:
-            mark = np.diff(np.append(first, len(key)))[group] > 1
-        return replies(every, doc[mark], pos[mark], width)
+        w = Windows(*(np.concatenate(x) for x in (key, extra, doc, pos)), every, keep_first)
+        return replies(every, w.doc[w.again], w.pos[w.again], width)
 
     return by_document(parts.groupBy("r").applyInArrow(reduce, REPLY.format(kind=kind)), kind).select("doc_id", "pos")
 

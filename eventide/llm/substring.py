@@ -129,7 +129,7 @@ def candidate_windows(hit_docs: DataFrame, window: int, width: int, kind: str) -
                 doc.append(np.full(len(at), k))
                 pos.append(at)
             if key:
-                yield from window_slices(np.concatenate(key), np.concatenate(extra), np.concatenate(doc), np.concatenate(pos), ids, width)
+                yield from window_slices(np.concatenate(key), np.concatenate(extra), np.concatenate(doc), np.concatenate(pos), ids, width, keep_first=True)
 
     return hit_docs.select("doc_id", "z", "pos").mapInArrow(run, WINDOW_SLICE.format(kind=kind))
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.base import by_value, keyed_texts, materialize, shuffle_width
-from eventide.llm.exchange import REPLY, SLICE, WINDOW_SLICE, Slices, by_document, marked_windows, replies, slices, window_slices
+from eventide.llm.exchange import REPLY, SLICE, WINDOW_SLICE, Slices, answered, by_document, marked_windows, replies, slices, window_slices
 from eventide.llm.substring import chunks, shrunk, unshrink
 
 SHARD_BYTES = 1 << 19
@@ -164,7 +164,7 @@ def anchor_slices(docs: DataFrame, length: int, width: int, kind: str) -> DataFr
     return docs.select("_id", F.col("_text").cast("binary")).mapInArrow(run, SLICE.format(kind=kind))
 
 
-SETTLED, SHIP, HOT = 1, 2, 4
+SETTLED, SHIP, HOT = 1, 2, 4  # SETTLED is also what a task answers by itself
 
 
 def region_replies(parts: DataFrame, kind: str, hot: int, width: int) -> DataFrame:
@@ -173,6 +173,8 @@ def region_replies(parts: DataFrame, kind: str, hot: int, width: int) -> DataFra
     more than ``hot`` others."""
 
     def reduce(table: pa.Table) -> pa.Table:
+        if (done := answered(table, width)) is not None:
+            return done
         s = Slices(table)
         at = np.flatnonzero(s.again)
         at = at[np.lexsort((s.text[at], s.located[at]))]
@@ -417,7 +419,7 @@ def hot_marks(rows: DataFrame, length: int, width: int, kind: str) -> DataFrame:
                 doc.append(np.full(len(key[-1]), k))
                 pos.append(at + np.arange(len(key[-1])))
             if key:
-                yield from window_slices(np.concatenate(key), np.concatenate(extra), np.concatenate(doc), np.concatenate(pos), ids, width)
+                yield from window_slices(np.concatenate(key), np.concatenate(extra), np.concatenate(doc), np.concatenate(pos), ids, width, keep_first=False)
 
     windows = rows.select("doc_id", "region", "at").mapInArrow(run, WINDOW_SLICE.format(kind=kind))
     return marked_windows(windows, kind, keep_first=False, width=width)
