@@ -2,16 +2,16 @@
 reference's record shapes, never its files)."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions.hashing import bloom_offset
 from eventide.functions.text import jvm_split
-from eventide.functions.time import time_slice
 from eventide.operators import aggregate as agg
 from eventide.operators import capping, late, ordered, reconcile, sequence, topk, transform
-from eventide.operators.windows import count_window, session_aggregate, window_aggregate
+from eventide.operators.windows import UserAggregate, count_window, session_aggregate, window_aggregate
 
 T0 = dt.datetime(2024, 3, 1, 0, 0, 0)
 
@@ -108,6 +108,87 @@ def test_sliding_panes_equal_direct(spark):
 LOGIN = "user long, event_type string, ts timestamp_ntz, seq long"
 
 
+def _many(spark, n=160, seed=4):
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "b", None]), ts(rng.randrange(-4000, 9000)) if i % 17 else None, rng.choice([None, 1.0, 2.5, -3.0, 9.0]), i) for i in range(n)]
+    return spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double, seq long").coalesce(2)
+
+
+@pytest.mark.parametrize("size,slide,offset,keys", [(600, 120, 0, ["k"]), (600, 240, 60, ["k"]), (3600, 5, 0, []), (35, 5, 3, ["k"]), (100, 7, 0, [])])
+def test_windows_from_blocks_equal_direct(spark, size, slide, offset, keys):
+    df = _many(spark)
+    mean = UserAggregate({"s": F.sum("v"), "n": F.count("v")}, {"s": F.sum("s"), "n": F.sum("n")}, F.col("s") / F.col("n"))
+    aggs = [("c", "count", F.lit(1)), ("cv", "count", F.col("v")), ("sm", "sum", F.col("v")), ("lo", "min", F.col("seq")), ("hi", "max", F.col("v")), ("m", mean)]
+    make = lambda **how: window_aggregate(df, keys, "ts", size, slide, offset, aggs, **how)
+    got, want = make(fan_out=1), make(panes=False)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_a_pane_is_two_rows_before_the_last_shuffle(spark):
+    df = _many(spark)
+    out = window_aggregate(df, ["k"], "ts", "1 hour", "5 seconds")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning(k"):] if plan.count("Exchange hashpartitioning") < 2 else plan.split("Exchange hashpartitioning")[1]
+    assert plan.count("Exchange hashpartitioning") == 2 and "sequence(" not in below and "Generate explode([0,1])" in below
+    assert window_aggregate(df.limit(0), ["k"], "ts", "1 hour", "5 seconds").count() == 0
+
+
+@pytest.mark.parametrize("slide", ["10 minutes", "1 minute"])
+def test_sketches_of_panes_merge_to_windows(spark, slide):
+    df = spark.range(12_000).select((F.col("id") * 7919 % 4001).alias("user"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"))
+    near = {r.window_start: r.uv_estimate for r in agg.sketch_distinct_per_window(df, "ts", "30 minutes", slide, "user").collect()}
+    pairs = window_aggregate(df, ["user"], "ts", "30 minutes", slide)
+    exact = {r.window_start: r.n for r in pairs.groupBy("window_start").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert near.keys() == exact.keys() and all(abs(near[w] - n) <= n / 12 + 1 for w, n in exact.items())
+
+
+def test_repeated_failures_against_a_plain_loop(spark, slicing):
+    rng = random.Random(9)
+    rows = [(rng.choice([1, 2]), rng.choice(["fail", "fail", "success"]), ts(rng.randrange(0, 40)), i) for i in range(60)] + [(1, "fail", None, 99)]
+    want = []
+    for user in (1, 2):
+        mine = sorted((r[2], r[3], r[1] == "fail") for r in rows if r[0] == user and r[2] is not None)
+        for i, (t, _, fail) in enumerate(mine):
+            due = t + dt.timedelta(seconds=5)
+            if not fail or any(not f and x <= due for x, _, f in mine[i + 1:]):
+                continue
+            start = max((j + 1 for j in range(i) if not mine[j][2]), default=0)
+            run = [x for x, _, f in mine[start:] if f and x <= due]
+            if len(run) >= 2:
+                want.append((user, mine[start][0], t, len(run)))
+    df = spark.createDataFrame(rows, LOGIN).filter("seq <> 99")
+    got = sequence.repeated_failures(df, "user", "ts", "seq", F.col("event_type") == "fail", n=2, check_after=5)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_reconcile_against_a_plain_slot(spark, slicing):
+    rng = random.Random(3)
+    rows = sorted((rng.choice("ab"), rng.randrange(0, 300), rng.randrange(2), i) for i in range(60))
+    want = []
+    for key in "ab":
+        wait = None
+        for t, side, no in sorted((t, s, i) for k, t, s, i in rows if k == key):
+            if wait and wait[1] != side and t - wait[0] <= 10:
+                want.append((key, *(x if x else None for x in ((wait[2], no) if side else (no, wait[2]))), "match"))
+                wait = None
+            else:
+                if wait:
+                    want.append((key, None if wait[1] else wait[2], wait[2] if wait[1] else None, "single-receipt" if wait[1] else "single-order"))
+                wait = (t, side, no)
+        if wait:
+            want.append((key, None if wait[1] else wait[2], wait[2] if wait[1] else None, "single-receipt" if wait[1] else "single-order"))
+    rows = [(k, t, s, i) for k, t, s, i in rows]
+    frame = lambda side, a, b: spark.createDataFrame([(k, i, ts(t), f"{k}{i}") for k, t, s, i in rows if s == side], f"tx string, {a} long, {b} timestamp_ntz, note_{a} string")
+    got = reconcile.interval_reconcile(frame(0, "pseq", "pts"), frame(1, "rseq", "rts"), "tx", bound_seconds=10, left_cols=["pseq", "pts", "note_pseq"],
+                                       right_cols=["rseq", "rts"], lts="pts", rts="rts", lseq="pseq", rseq="rseq").collect()
+    shown = sorted(((r.tx, r.pseq, r.rseq, r.outcome) for r in got), key=str)
+    want = [(k, a if a is not None else None, b if b is not None else None, o) for k, a, b, o in want]
+    fix = lambda rs: sorted(((k, a or None, b or None, o) for k, a, b, o in rs), key=str)
+    assert fix(shown) == fix(want)
+    assert all((r.note_pseq is None) == (r.pseq is None) and (r.pseq is None or r.note_pseq == f"{r.tx}{r.pseq}") for r in got)
+
+
 def test_repeated_failures_rule(spark, slicing):
     rows = [
         # user 1: burst of failures, checked 2 s after each
@@ -231,8 +312,6 @@ def test_hyperloglog_distinct_is_near_the_exact_one(spark):
 
 
 def test_user_aggregate_equals_plain_windows(spark):
-    from eventide.operators.windows import UserAggregate, window_aggregate
-
     df = spark.range(500).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(F.col("id") * 37 % 5000).cast("timestamp_ntz").alias("ts"),
                                  F.when(F.col("id") % 11 > 0, F.col("id")).alias("v"))
     mean = UserAggregate({"s": F.sum("v"), "n": F.count("v")}, {"s": F.sum("s"), "n": F.sum("n")}, F.col("s") / F.col("n"))
