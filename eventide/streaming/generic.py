@@ -50,6 +50,15 @@ class TimeBuckets:
             self.rows.updateValue((int(b),), (text if held is None else held[0] + "\n" + text,))
             self.handle.registerTimer((int(b) + 1) * self.width // 1000)
 
+    def take_due(self, watermark_ms: int) -> tuple[list[list], int]:
+        """(rows of every bucket that the watermark has passed, the time up to which that is all rows): the keys of the waiting
+        buckets are listed, only due ones are read."""
+        end = watermark_ms * 1000 // self.width
+        rows = []
+        for (b,) in sorted(k for k in self.rows.keys() if k[0] < end):
+            rows += self.take((b + 1) * self.width // 1000)
+        return rows, end * self.width
+
     def take(self, end_ms: int) -> list[list]:
         """The rows of the bucket that ends at ``end_ms``; it is empty afterwards."""
         b = (end_ms * 1000 // self.width - 1,)

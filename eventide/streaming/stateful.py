@@ -383,10 +383,11 @@ class ReconcileProcessor(StatefulProcessor):
         return (key[0], None, None, seq, ts, self.tags[2]) if side else (key[0], seq, ts, None, None, self.tags[1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = expiredTimerInfo.getExpiryTimeInMs()  # every row before it is here by now
+        # all due buckets at once: a slot's timer must lie beyond the watermark, or nothing would fire it
+        due, end = self.held.take_due(timerValues.getCurrentWatermarkInMs())
         got = self.slot.get()
         wait, out = None if got is None else tuple(got), []
-        for row in sorted(map(tuple, self.held.take(end))):
+        for row in sorted(map(tuple, due)):
             if wait is not None and wait[1] != row[1] and row[0] - wait[0] <= self.within:
                 left, right = (wait, row) if row[1] else (row, wait)
                 out.append((key[0], left[2], left[0], right[2], right[0], self.tags[0]))
@@ -395,7 +396,7 @@ class ReconcileProcessor(StatefulProcessor):
                 if wait is not None:
                     out.append(self._single(key, wait))
                 wait = row
-        if wait is not None and wait[0] + self.within < end * 1000:
+        if wait is not None and wait[0] + self.within < end:
             out.append(self._single(key, wait))
             wait = None
         if wait is None:
