@@ -16,6 +16,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructField, StructType
 
@@ -28,6 +29,23 @@ def _frame(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
     return df.sort_values(list(order), kind="stable").reset_index(drop=True) if len(df) else df
 
 
+PARTS = 512  # hash parts that the keys of a stream are dealt into
+PART = "hash_part"  # rows reach Python as named tuples, whose names may not begin with _
+
+
+def in_parts(df: DataFrame, keys: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """``df`` with the hash part of its keys.  A handler is called once for each part of a micro-batch, not for each key: what a call
+    costs (a state request, a data frame, a timer) is then paid ``parts`` times, however many keys there are.  Keys
+    go as text, which pandas leaves alone where a long beside a null would become a float."""
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias(PART)
+    return df.select(part, *[F.col(c).cast("string").alias(c) if c in keys else F.col(c) for c in df.columns])
+
+
+def records(df: pd.DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """The rows as tuples of plain Python values."""
+    return list(zip(*[df[c].tolist() for c in columns]))
+
+
 class TimeBuckets:
     """Rows waiting for the watermark, in map state by time bucket: a row is added to its bucket alone, and the timer at a
     bucket's end reads that bucket alone, however many rows wait behind it.
@@ -45,7 +63,7 @@ class TimeBuckets:
 
     def add(self, df: pd.DataFrame, ts_us: str) -> None:
         for b, part in df.groupby(df[ts_us] // self.width):
-            text = json.dumps([[_py(x) for x in r] for r in part.itertuples(index=False, name=None)])
+            text = json.dumps(records(part, part.columns))
             held = self.rows.getValue((int(b),))
             self.rows.updateValue((int(b),), (text if held is None else held[0] + "\n" + text,))
             self.handle.registerTimer((int(b) + 1) * self.width // 1000)
@@ -87,7 +105,7 @@ class InOrder(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ready = self.held.take(expiredTimerInfo.getExpiryTimeInMs())
+        ready, _ = self.held.take_due(timerValues.getCurrentWatermarkInMs())  # the first timer of a batch takes every due bucket
         if ready:
             yield from self.inner.handleInputRows(key, iter([pd.DataFrame(ready, columns=self.columns)]), timerValues)
 
@@ -175,16 +193,27 @@ def _py(x):
     return x.item() if hasattr(x, "item") else x
 
 
+def _plain(v) -> list:
+    """The values of an array as JSON takes them."""
+    return v.to_numpy(dtype=object, na_value=None).tolist() if isinstance(v, pd.api.extensions.ExtensionArray) else v.tolist()
+
+
 def running_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequence[tuple],
                    out_schema: StructType, *, in_order: str | None = None, ets: str = "ets") -> DataFrame:
     return _transform(df, keys, RunningProcessor(order, specs, [f.name for f in out_schema.fields]), out_schema, in_order, ets)
 
 
+_NULLABLE = {"bigint": "Int64", "int": "Int32", "boolean": "boolean"}
+
+
 class LagProcessor(StatefulProcessor):
-    """Values of the previous ``k`` rows of the key (``lags`` = {out: (col, j)})."""
+    """Values of the previous ``k`` rows of the key (``lags`` = {out: (col, j)}), for all keys of a part at once: rows of a key
+    are put together, its last rows from before in front, and a lag is a look ``j`` places back.  State: the last
+    ``k`` rows of every key of the part.  ``keep``: the kept columns and their Spark types."""
 
-    def __init__(self, order: Sequence[str], lags: dict, keep: Sequence[str], out_cols: Sequence[str]):
-        self.order, self.lags, self.keep, self.out_cols = list(order), dict(lags), list(keep), list(out_cols)
+    def __init__(self, keys: Sequence[str], order: Sequence[str], lags: dict, keep: dict[str, str], out_cols: Sequence[str]):
+        self.keys, self.order, self.lags, self.out_cols = list(keys), list(order), dict(lags), list(out_cols)
+        self.keep = {c: _NULLABLE.get(kind) for c, kind in keep.items()}
         self.k = max(j for _, j in lags.values())
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -193,13 +222,19 @@ class LagProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _frame(rows, self.order)
         got = self.tail.get()
-        prev = pd.DataFrame(json.loads(got[0]), columns=self.keep) if got is not None else pd.DataFrame(columns=self.keep)
-        n_prev = len(prev)
-        both = pd.concat([prev, df[self.keep]], ignore_index=True)
+        before = json.loads(got[0]) if got is not None else [[] for _ in (*self.keys, *self.keep)]
+        n = len(before[0])
+        both = {c: held + df[c].tolist() for c, held in zip((*self.keys, *self.keep), before)}
+        both = {c: pd.array(v, dtype=self.keep[c]) if self.keep.get(c) else np.array(v, dtype=object) for c, v in both.items()}
+        group = pd.DataFrame({c: both[c] for c in self.keys}).groupby(self.keys, sort=False, dropna=False).ngroup().to_numpy()
+        at = np.argsort(group, kind="stable")
+        group = group[at]
         for out, (c, j) in self.lags.items():
-            df[out] = both[c].shift(j).iloc[n_prev:].to_numpy()
-        tail = both.iloc[-self.k:]
-        self.tail.update((json.dumps([[_py(x) for x in r] for r in tail.itertuples(index=False)]),))
+            source = np.full(len(at), -1)
+            source[at[j:]] = np.where(group[j:] == group[:-j], at[:-j], -1)
+            df[out] = pd.api.extensions.take(both[c], source[n:], allow_fill=True)
+        last = at[np.searchsorted(group, group, "right") - np.arange(len(at)) <= self.k]
+        self.tail.update((json.dumps([_plain(v[last]) for v in both.values()]),))
         yield df[self.out_cols]
 
     def close(self) -> None:
@@ -209,9 +244,12 @@ class LagProcessor(StatefulProcessor):
 def lag_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], lags: dict,
                lag_types: dict, *, in_order: str | None = None, ets: str = "ets") -> DataFrame:
     """Adds ``lags`` columns (types in ``lag_types``) to every row of ``df`` (without ``ets``)."""
-    keep = list(dict.fromkeys([*order, *[c for c, _ in lags.values()]]))
-    schema = StructType([f for f in df.schema.fields if f.name != ets] + [StructField(o, lag_types[o], True) for o in lags])
-    return _transform(df, keys, LagProcessor(order, lags, keep, [f.name for f in schema.fields]), schema, in_order, ets)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    keep = {c: types[c].simpleString() for c in dict.fromkeys([*order, *[c for c, _ in lags.values()]]) if c not in keys}
+    dealt = in_parts(df, keys)
+    schema = StructType([f for f in dealt.schema.fields if f.name not in (ets, PART)] + [StructField(o, lag_types[o], True) for o in lags])
+    out = _transform(dealt, [PART], LagProcessor(keys, order, lags, keep, [f.name for f in schema.fields]), schema, in_order, ets)
+    return out.select(*[F.col(c).cast(types[c]).alias(c) if c in keys else F.col(c) for c in out.columns])
 
 
 class CountWindowProcessor(StatefulProcessor):
