@@ -5,8 +5,10 @@ timers only after the batch's rows.  To make results independent of batch
 boundaries, every handler sorts its rows by (event time, arrival) and fires
 the checks that are already due *inline*, before the row that passes their
 deadline; event-time timers only cover deadlines that no later row reaches.
-State is per key (value / list state in RocksDB), so a key's state is bounded
-by its own open items, never by the stream.
+Q1, Q4/Q5, J1 and J2 have as many keys as there are users, so their keys are dealt into
+hash parts (``generic.in_parts``): a handler sees all rows of a part, keeps what
+is open of each of its keys in value / list / map state in RocksDB, and sets one timer for the part's
+earliest deadline.  State is bounded by the open items, never by the stream.
 
 Times cross the Python boundary as epoch microseconds (``ts_us``).
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from eventide.functions.hashing import bloom_offset
 from eventide.operators import topk
 from eventide.operators.windows import duration_seconds
-from eventide.streaming.generic import BUCKET_SECONDS, TimeBuckets
+from eventide.streaming.generic import BUCKET_SECONDS, PART, TimeBuckets, in_parts, records
 from eventide.streaming.replay import use_rocksdb
 
 
@@ -40,6 +43,17 @@ def _sorted(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return df.sort_values(by, kind="stable") if len(df) else df
 
 
+def _ids(df: pd.DataFrame, key) -> list:
+    """The key of each row: of rows without an ``id`` it is the handler's."""
+    return df["id"].tolist() if "id" in df else [key[0]] * len(df)
+
+
+def _rows(out: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """``out`` as one frame, whose longs stay whole beside nulls; nothing if it is empty."""
+    if out:
+        yield pd.DataFrame(out, columns=columns, dtype=object)
+
+
 # ------------------------------------------------------------------ Q6 jumps
 class JumpAlertProcessor(StatefulProcessor):
     """Q6: previous reading per key in value state; alert when the jump is at
@@ -360,8 +374,8 @@ COLS_J1 = ["tx_id", "l_seq", "l_us", "r_seq", "r_us", "outcome"]
 
 class ReconcileProcessor(StatefulProcessor):
     """Rows wait by time bucket until the watermark has passed it, so
-    they are paired in event time whatever order they came in; then one slot
-    holds the row that waits for a partner.  A row pairs with the waiting one if
+    they are paired in event time whatever order they came in; then each key has one slot, which
+    holds the row that waits for a partner.  A row pairs with the waiting one of its key if
     that is of the other side and at most ``within`` older, else it takes the slot
     and the one before goes out single -- at the latest at the end of the bucket in which its time is up."""
 
@@ -371,40 +385,42 @@ class ReconcileProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = TimeBuckets(handle, self.width)
-        self.slot = handle.getValueState("slot", "ts_us long, side int, seq long")
+        self.slot = handle.getValueState("slot", "doc string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            self.held.add(frame[["ts_us", "side", "seq"]], "ts_us")
-        yield pd.DataFrame([], columns=COLS_J1)
+            self.held.add(frame[["ts_us", "side", "seq"]].assign(id=_ids(frame, key)), "ts_us")
+        return iter(())
 
-    def _single(self, key, row) -> tuple:
+    def _single(self, own, row) -> tuple:
         ts, side, seq = row
-        return (key[0], None, None, seq, ts, self.tags[2]) if side else (key[0], seq, ts, None, None, self.tags[1])
+        return (own, None, None, seq, ts, self.tags[2]) if side else (own, seq, ts, None, None, self.tags[1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # all due buckets at once: a slot's timer must lie beyond the watermark, or nothing would fire it
         due, end = self.held.take_due(timerValues.getCurrentWatermarkInMs())
         got = self.slot.get()
-        wait, out = None if got is None else tuple(got), []
-        for row in sorted(map(tuple, due)):
+        slots, out = {own: tuple(row) for own, *row in json.loads(got[0])} if got is not None else {}, []
+        for *row, own in sorted(due, key=lambda r: r[:3]):
+            row, wait = tuple(row), slots.get(own)
             if wait is not None and wait[1] != row[1] and row[0] - wait[0] <= self.within:
                 left, right = (wait, row) if row[1] else (row, wait)
-                out.append((key[0], left[2], left[0], right[2], right[0], self.tags[0]))
-                wait = None
+                out.append((own, left[2], left[0], right[2], right[0], self.tags[0]))
+                del slots[own]
             else:
                 if wait is not None:
-                    out.append(self._single(key, wait))
-                wait = row
-        if wait is not None and wait[0] + self.within < end:
-            out.append(self._single(key, wait))
-            wait = None
-        if wait is None:
-            self.slot.clear()
-        else:
-            self.slot.update(wait)
-            self.handle.registerTimer(self.held.end_after(wait[0] + self.within))
-        yield pd.DataFrame(out, columns=COLS_J1)
+                    out.append(self._single(own, wait))
+                slots[own] = row
+        for own in [own for own, row in slots.items() if row[0] + self.within < end]:
+            out.append(self._single(own, slots.pop(own)))
+        if slots:
+            self.handle.registerTimer(self.held.end_after(min(row[0] for row in slots.values()) + self.within))
+        if due or out:
+            if slots:
+                self.slot.update((json.dumps([(own, *row) for own, row in slots.items()]),))
+            else:
+                self.slot.clear()
+        yield from _rows(out, COLS_J1)
 
     def close(self) -> None:
         pass
@@ -414,15 +430,16 @@ def reconcile_stream(left: DataFrame, right: DataFrame, key: str, *, within_seco
                      tags: tuple[str, str, str]) -> DataFrame:
     """J1 on two streams with watermarks on ``ets``; output as ``operators.reconcile.interval_reconcile``."""
     use_rocksdb(left.sparkSession)
-    side = lambda d, no, ts, seq: d.select(
-        F.col(key).alias("tx_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"), F.lit(no).alias("side"),
+    side = lambda d, no, ts, seq: d.filter(F.col(ts).isNotNull()).select(
+        F.col(key).alias("id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"), F.lit(no).alias("side"),
         F.col(seq).alias("seq"), "ets")
-    out = side(left, 0, lts, lseq).unionByName(side(right, 1, rts, rseq)).groupBy("tx_id").transformWithStateInPandas(
+    both = side(left, 0, lts, lseq).unionByName(side(right, 1, rts, rseq))
+    out = in_parts(both, ["id"]).groupBy(PART).transformWithStateInPandas(
         statefulProcessor=ReconcileProcessor(int(round(within_seconds * 1_000_000)), tags, BUCKET_SECONDS * 1_000_000),
-        outputStructType=f"tx_id {left.schema[key].dataType.simpleString()}, l_seq long, l_us long, r_seq long, r_us long, outcome string",
+        outputStructType="tx_id string, l_seq long, l_us long, r_seq long, r_us long, outcome string",
         outputMode="Append", timeMode="EventTime")
     when = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
-    return out.select(F.col("tx_id").alias(key), F.col("l_seq").alias(lseq), when("l_us").alias(lts), F.col("r_seq").alias(rseq),
+    return out.select(F.col("tx_id").cast(left.schema[key].dataType).alias(key), F.col("l_seq").alias(lseq), when("l_us").alias(lts), F.col("r_seq").alias(rseq),
                       when("r_us").alias(rts), "outcome")
 
 
