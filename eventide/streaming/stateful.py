@@ -160,8 +160,8 @@ def followed_by_stream(df: DataFrame, within_seconds: float) -> DataFrame:
 # ------------------------------------------------- Q1 repeated failures
 class RepeatedFailureProcessor(StatefulProcessor):
     """Q1: each failure is checked ``check_after`` later: it warns iff no success came in between
-    and at least ``n`` failures of the run are at or before its deadline.  State: the run's first
-    failure, how many of its failures are checked already, and the times of those that wait, in order -- so what is
+    and at least ``n`` failures of the run are at or before its deadline.  State: for each key the run's first
+    failure and how many of its failures are checked already, and the times of those that wait, in order -- so what is
     due lies in front and a count is a position."""
 
     def __init__(self, n: int, check_us: int):
@@ -169,54 +169,61 @@ class RepeatedFailureProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getValueState("run", "first_us long, checked long")
-        self.waiting = handle.getListState("waiting", "ts_us long")
-
-    def _load(self):
-        got = self.run.get()
-        first, checked = got if got is not None else (None, 0)
-        return first, checked, [t[0] for t in self.waiting.get()]
-
-    def _save(self, first, checked, waiting):
-        if first is None:
-            self.run.clear()
+        self.runs = handle.getValueState("runs", "doc string")
+        self.waiting = handle.getListState("waiting", "id string, ts_us long")
+
+    def _load(self) -> dict:
+        """{key: [first failure, checked, place of the next to check, times from there on]} of the open runs."""
+        got = self.runs.get()
+        runs = {own: [first, checked, 0, []] for own, first, checked in (json.loads(got[0]) if got is not None else ())}
+        for own, ts in self.waiting.get():
+            runs[own][3].append(ts)
+        return runs
+
+    def _save(self, runs: dict) -> None:
+        waiting = [(own, ts) for own, (_, _, at, times) in runs.items() for ts in times[at:]]
+        if runs:
+            self.runs.update((json.dumps([(own, run[0], run[1]) for own, run in runs.items()]),))
         else:
-            self.run.update((first, checked))
+            self.runs.clear()
         self.waiting.clear()
         if waiting:
-            self.waiting.put([(t,) for t in waiting])
-
-    def _due(self, key, first, checked, waiting, at, upto_us, out) -> tuple[int, int]:
-        """Check the failures from place ``at`` on whose deadline is before ``upto_us``."""
-        while at < len(waiting) and waiting[at] + self.check < upto_us:
-            count = checked + bisect.bisect_right(waiting, waiting[at] + self.check, at) - at
+            self.waiting.put(waiting)
+            self.handle.registerTimer(_ms_ceil(min(ts for _, ts in waiting) + self.check))
+
+    def _due(self, own, run: list, upto_us, out: list) -> None:
+        """Check the failures of a run whose deadline is before ``upto_us``."""
+        first, checked, at, times = run
+        while at < len(times) and times[at] + self.check < upto_us:
+            count = checked + bisect.bisect_right(times, times[at] + self.check, at) - at
             if count >= self.n:
-                out.append((key[0], first, waiting[at], count))
+                out.append((own, first, times[at], count))
             at, checked = at + 1, checked + 1
-        return at, checked
+        run[1:3] = checked, at
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows, ["ts_us", "seq"])
-        first, checked, waiting = self._load()
-        at, out = 0, []
-        for ts, fail in zip(df["ts_us"].tolist(), df["fail"].tolist()):
-            at, checked = self._due(key, first, checked, waiting, at, ts, out)
-            if fail:
-                first = ts if first is None else first
-                waiting.append(ts)
-                self.handle.registerTimer(_ms_ceil(ts + self.check))
-            else:  # a success cancels every pending check and ends the run
-                first, checked, waiting, at = None, 0, [], 0
-        self._save(first, checked, waiting[at:])
-        yield pd.DataFrame(out, columns=COLS_Q1)
+        runs, out = self._load(), []
+        for own, ts, fail in zip(_ids(df, key), df["ts_us"].tolist(), df["fail"].tolist()):
+            run = runs.get(own)
+            if run is not None:
+                self._due(own, run, ts, out)
+            if not fail:  # a success cancels every pending check and ends the run
+                runs.pop(own, None)
+            elif run is None:
+                runs[own] = [ts, 0, 0, [ts]]
+            else:
+                run[3].append(ts)
+        self._save(runs)
+        yield from _rows(out, COLS_Q1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        first, checked, waiting = self._load()
-        out = []
-        at, checked = self._due(key, first, checked, waiting, 0, expiredTimerInfo.getExpiryTimeInMs() * 1000 + 1, out)
-        if at:
-            self._save(first, checked, waiting[at:])
-        yield pd.DataFrame(out, columns=COLS_Q1)
+        runs, out = self._load(), []
+        for own, run in runs.items():
+            self._due(own, run, timerValues.getCurrentWatermarkInMs() * 1000 + 1, out)
+        if any(run[2] for run in runs.values()):
+            self._save(runs)
+        yield from _rows(out, COLS_Q1)
 
     def close(self) -> None:
         pass
@@ -228,13 +235,14 @@ COLS_Q1 = ["user_id", "first_us", "fail_us", "fail_count"]
 def repeated_failures_stream(df: DataFrame, n: int, check_after: float) -> DataFrame:
     """``df``: user_id, ts, seq, fail (boolean) + watermark on ``ets``."""
     use_rocksdb(df.sparkSession)
-    x = df.select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "fail", "ets")
-    out = x.groupBy("user_id").transformWithStateInPandas(
+    x = df.filter(F.col("ts").isNotNull()).select(
+        F.col("user_id").alias("id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "fail", "ets")
+    out = in_parts(x, ["id"]).groupBy(PART).transformWithStateInPandas(
         statefulProcessor=RepeatedFailureProcessor(n, int(check_after * 1_000_000)),
-        outputStructType="user_id long, first_us long, fail_us long, fail_count long",
+        outputStructType="user_id string, first_us long, fail_us long, fail_count long",
         outputMode="Append", timeMode="EventTime")
     ts = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
-    return out.select("user_id", ts("first_us").alias("first_fail_ts"), ts("fail_us").alias("fail_ts"), "fail_count")
+    return out.select(F.col("user_id").cast(df.schema["user_id"].dataType).alias("user_id"), ts("first_us").alias("first_fail_ts"), ts("fail_us").alias("fail_ts"), "fail_count")
 
 
 # ------------------------------------------------------- J2 order outcome
