@@ -247,45 +247,45 @@ def repeated_failures_stream(df: DataFrame, n: int, check_after: float) -> DataF
 
 # ------------------------------------------------------- J2 order outcome
 class OrderOutcomeProcessor(StatefulProcessor):
-    """First create and first pay per order in value state; the outcome is
+    """First create and first pay per order in map state by week; the outcome is
     final when the order's lifetime ends (its ISO week), so a timer at the end
-    of the week classifies and clears the key."""
+    of the week classifies and clears the orders of that week."""
 
     def __init__(self, limit_us: int, lifetime_us: int):
         self.limit, self.lifetime = limit_us, lifetime_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.first = handle.getValueState("first", "c_us long, c_seq long, p_us long, p_seq long")
+        self.orders = handle.getMapState("orders", "week_us long", "doc string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows, ["ts_us", "seq"])
-        got = self.first.get()
-        c_us, c_seq, p_us, p_seq = got if got is not None else (None, None, None, None)
-        if got is None:
-            self.handle.registerTimer(_ms_ceil(key[1] + self.lifetime))
-        for ts, seq, is_create in zip(df["ts_us"].tolist(), df["seq"].tolist(), df["is_create"].tolist()):
-            if is_create and (c_us is None or (ts, seq) < (c_us, c_seq)):
-                c_us, c_seq = ts, seq
-            if not is_create and (p_us is None or (ts, seq) < (p_us, p_seq)):
-                p_us, p_seq = ts, seq
-        self.first.update((c_us, c_seq, p_us, p_seq))
-        yield pd.DataFrame([], columns=COLS_J2)
+        for week, part in df.groupby("week_us"):
+            got = self.orders.getValue((int(week),))
+            first = {o[0]: o for o in json.loads(got[0])} if got is not None else {}
+            if got is None:
+                self.handle.registerTimer(_ms_ceil(week + self.lifetime))
+            for own, ts, seq, is_create in records(part, ["id", "ts_us", "seq", "is_create"]):
+                order = first.setdefault(own, [own, None, None, None, None])
+                at = 1 if is_create else 3
+                if order[at] is None or (ts, seq) < (order[at], order[at + 1]):
+                    order[at:at + 2] = ts, seq
+            self.orders.updateValue((int(week),), (json.dumps(list(first.values())),))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        got = self.first.get()
-        self.first.clear()
-        if got is None:
-            yield pd.DataFrame([], columns=COLS_J2)
-            return
-        c_us, _, p_us, _ = got
-        if c_us is None:
-            outcome = "data-not-found"
-        elif p_us is None:
-            outcome = "time-out"
-        else:
-            outcome = "paid" if p_us < c_us + self.limit else "paid-but-timeout"
-        yield pd.DataFrame([(key[0], key[1], outcome, c_us, p_us)], columns=COLS_J2)
+        last, out = timerValues.getCurrentWatermarkInMs() * 1000 - self.lifetime, []
+        for (week,) in sorted(k for k in self.orders.keys() if k[0] <= last):
+            for own, c_us, _, p_us, _ in json.loads(self.orders.getValue((week,))[0]):
+                if c_us is None:
+                    outcome = "data-not-found"
+                elif p_us is None:
+                    outcome = "time-out"
+                else:
+                    outcome = "paid" if p_us < c_us + self.limit else "paid-but-timeout"
+                out.append((own, week, outcome, c_us, p_us))
+            self.orders.removeKey((week,))
+        yield from _rows(out, COLS_J2)
 
     def close(self) -> None:
         pass
@@ -297,14 +297,15 @@ COLS_J2 = ["user_id", "week_us", "outcome", "create_us", "pay_us"]
 def order_outcomes_stream(df: DataFrame, limit_seconds: float, lifetime_seconds: float = 7 * 86400) -> DataFrame:
     """``df``: user_id, week_start, ts, seq, is_create + watermark on ``ets``."""
     use_rocksdb(df.sparkSession)
-    x = df.select("user_id", F.unix_micros(F.col("week_start").cast("timestamp")).alias("week_us"),
-                  F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "is_create", "ets")
-    out = x.groupBy("user_id", "week_us").transformWithStateInPandas(
+    x = df.filter(F.col("ts").isNotNull()).select(
+        F.col("user_id").alias("id"), F.unix_micros(F.col("week_start").cast("timestamp")).alias("week_us"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "is_create", "ets")
+    out = in_parts(x, ["id"]).groupBy(PART).transformWithStateInPandas(
         statefulProcessor=OrderOutcomeProcessor(int(limit_seconds * 1_000_000), int(lifetime_seconds * 1_000_000)),
-        outputStructType="user_id long, week_us long, outcome string, create_us long, pay_us long",
+        outputStructType="user_id string, week_us long, outcome string, create_us long, pay_us long",
         outputMode="Append", timeMode="EventTime")
     ts = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
-    return out.select("user_id", ts("week_us").alias("week_start"), "outcome", ts("create_us").alias("create_ts"),
+    return out.select(F.col("user_id").cast(df.schema["user_id"].dataType).alias("user_id"), ts("week_us").alias("week_start"), "outcome", ts("create_us").alias("create_ts"),
                       ts("pay_us").alias("pay_ts"))
 
 
