@@ -92,7 +92,7 @@ def jumps_stream(df: DataFrame, threshold: float) -> DataFrame:
 
 # ------------------------------------------------------- Q4/Q5 followed-by
 class FollowedByProcessor(StatefulProcessor):
-    """Q5: starts wait (list state) for the first later end row; an end row
+    """Q5: starts wait (list state) for the first later end row of their key; an end row
     resolves every waiting start (``paid`` iff end < start + within); a start
     still waiting when the watermark passes its deadline times out."""
 
@@ -101,40 +101,40 @@ class FollowedByProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "ts_us long, seq long")
+        self.pending = handle.getListState("pending", "id string, week_us long, ts_us long")
 
     def _row(self, key, start, end, outcome):
         timeout_at = None if outcome == "paid" else start + self.within
-        return (key[0], key[1], start, end if outcome == "paid" else None, outcome, timeout_at)
+        return (*key, start, end if outcome == "paid" else None, outcome, timeout_at)
+
+    def _save(self, waiting: list[tuple]) -> None:
+        self.pending.clear()
+        if waiting:
+            self.pending.put(waiting)
+            self.handle.registerTimer(_ms_ceil(min(w[2] for w in waiting) + self.within))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows, ["ts_us", "seq"])
-        pending = [tuple(p) for p in self.pending.get()]
+        pending: dict[tuple, list[int]] = {}
+        for user, week, ts in self.pending.get():
+            pending.setdefault((user, week), []).append(ts)
         out = []
-        for ts, seq, is_start in zip(df["ts_us"].tolist(), df["seq"].tolist(), df["is_start"].tolist()):
+        for user, week, ts, is_start in records(df, ["id", "week_us", "ts_us", "is_start"]):
             if is_start:
-                pending.append((ts, seq))
-                self.handle.registerTimer(_ms_ceil(ts + self.within))
+                pending.setdefault((user, week), []).append(ts)
             else:
-                for s_ts, _ in pending:
-                    out.append(self._row(key, s_ts, ts, "paid" if ts < s_ts + self.within else "timeout"))
-                for due in {_ms_ceil(s_ts + self.within) for s_ts, _ in pending}:
-                    self.handle.deleteTimer(due)  # resolved: nothing is left to time out
-                pending = []
-        self.pending.clear()
-        if pending:
-            self.pending.put(pending)
-        yield pd.DataFrame(out, columns=COLS_Q5)
+                for start in pending.pop((user, week), ()):
+                    out.append(self._row((user, week), start, ts, "paid" if ts < start + self.within else "timeout"))
+        self._save([(*own, ts) for own, starts in pending.items() for ts in starts])
+        yield from _rows(out, COLS_Q5)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        pending = [tuple(p) for p in self.pending.get()]
-        due = [p for p in pending if p[0] + self.within <= now]
-        rest = [p for p in pending if p[0] + self.within > now]
-        self.pending.clear()
-        if rest:
-            self.pending.put(rest)
-        yield pd.DataFrame([self._row(key, s, None, "timeout") for s, _ in due], columns=COLS_Q5)
+        last = timerValues.getCurrentWatermarkInMs() * 1000 - self.within  # later starts have time left
+        waiting = [tuple(w) for w in self.pending.get()]
+        due = [w for w in waiting if w[2] <= last]
+        if due:
+            self._save([w for w in waiting if w[2] > last])
+        yield from _rows([self._row(w[:2], w[2], None, "timeout") for w in due], COLS_Q5)
 
     def close(self) -> None:
         pass
@@ -146,14 +146,15 @@ COLS_Q5 = ["user_id", "week_us", "start_us", "end_us", "outcome", "timeout_us"]
 def followed_by_stream(df: DataFrame, within_seconds: float) -> DataFrame:
     """``df``: user_id, week_start, ts, seq, is_start (boolean) + watermark on ``ets``."""
     use_rocksdb(df.sparkSession)
-    x = df.select("user_id", F.unix_micros(F.col("week_start").cast("timestamp")).alias("week_us"),
-                  F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "is_start", "ets")
-    out = x.groupBy("user_id", "week_us").transformWithStateInPandas(
+    x = df.filter(F.col("ts").isNotNull()).select(
+        F.col("user_id").alias("id"), F.unix_micros(F.col("week_start").cast("timestamp")).alias("week_us"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq", "is_start", "ets")
+    out = in_parts(x, ["id"]).groupBy(PART).transformWithStateInPandas(
         statefulProcessor=FollowedByProcessor(int(within_seconds * 1_000_000)),
-        outputStructType="user_id long, week_us long, start_us long, end_us long, outcome string, timeout_us long",
+        outputStructType="user_id string, week_us long, start_us long, end_us long, outcome string, timeout_us long",
         outputMode="Append", timeMode="EventTime")
     ts = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
-    return out.select("user_id", ts("week_us").alias("week_start"), ts("start_us").alias("start_ts"),
+    return out.select(F.col("user_id").cast(df.schema["user_id"].dataType).alias("user_id"), ts("week_us").alias("week_start"), ts("start_us").alias("start_ts"),
                       ts("end_us").alias("end_ts"), "outcome", ts("timeout_us").alias("timeout_at"))
 
 
