@@ -18,10 +18,12 @@ from __future__ import annotations
 import bisect
 import heapq
 import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -458,53 +460,100 @@ COLS_K3 = ["end_us", "part", "as_of_ms", "url", "cnt", "rank"]
 
 
 class PageRankingProcessor(StatefulProcessor):
-    """K3: how often each page of a window was seen, in map state (page -> count).  A report timer fires when the disorder's
-    watermark passes the window's end and lists the ``n`` largest; a row that comes later corrects its entry and
-    sets the report timer anew; the clearing timer, ``lateness`` after the first, ends the window's state.
+    """K3: how often each page was seen in each window, in map state (page -> counts by window end).  A report timer fires when the
+    disorder's watermark passes a window's end and lists the ``n`` largest of every window that is due; a row that comes
+    later corrects its entry and sets the report timer anew; the clearing timer, ``lateness`` after the last
+    window's end, ends the state.
 
-    A key is one hash part of one window's pages, so a busy window is spread over many keys."""
+    A key is one hash part of the pages of one block of windows, so a busy window is spread over many keys and a quiet
+    one shares its calls and timers with its neighbours.  Rows: ``url``, and ``end_us`` and ``n`` where the key does not name the
+    window and rows are counted already."""
 
     def __init__(self, n: int, lateness_ms: int):
         self.n, self.lateness = n, lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", "url string", "n long")
+        self.counts = handle.getMapState("counts", "url string", "doc string")
+        self.open = handle.getValueState("open", "last_us long, due array<long>")  # the last window's end, ends to be reported
+
+    def _save(self, last: int, due: set[int]) -> None:
+        self.open.update((last, sorted(due)))
+        if due:
+            self.handle.registerTimer(min(due) // 1000 - self.lateness)
+        self.handle.registerTimer(last // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = pd.concat([df["url"] for df in rows]).value_counts()
-        for url, n in seen.items():
-            old = self.counts.getValue((url,))
-            self.counts.updateValue((url,), (int(n) + (0 if old is None else old[0]),))
-        end = key[0] // 1000
-        self.handle.registerTimer(end - self.lateness)
-        self.handle.registerTimer(end)
-        yield pd.DataFrame([], columns=COLS_K3)
+        df = pd.concat(list(rows), ignore_index=True)
+        df = df.assign(end_us=df["end_us"] if "end_us" in df else key[0], n=df["n"] if "n" in df else 1)
+        got = self.open.get()
+        last, due = (0, set()) if got is None else (got[0], set(got[1]))
+        ends = set(map(int, df["end_us"].unique()))
+        seen: dict[str, dict[str, int]] = {}
+        for (url, end), n in df.groupby(["url", "end_us"])["n"].sum().items():
+            seen.setdefault(url, {})[str(end)] = int(n)
+        for url, fresh in seen.items():
+            held = self.counts.getValue((url,))
+            counts = json.loads(held[0]) if held is not None else {}
+            counts.update({end: counts.get(end, 0) + n for end, n in fresh.items()})
+            self.counts.updateValue((url,), (json.dumps(counts),))
+        self._save(max(last, *ends), due | ends)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = []
-        if expiredTimerInfo.getExpiryTimeInMs() >= key[0] // 1000:
+        now, got = timerValues.getCurrentWatermarkInMs(), self.open.get()
+        if got is None:
+            return
+        last, due = got[0], {end for end in got[1] if end // 1000 - self.lateness <= now}
+        if due:
+            best: dict[int, list[tuple]] = {end: [] for end in due}
+            for (url,), (doc,) in self.counts.iterator():
+                for end, n in json.loads(doc).items():
+                    if int(end) in due:
+                        best[int(end)].append((-n, url))
+            yield from _rows([(end, key[1], now, url, -n, k) for end in sorted(due) for k, (n, url) in enumerate(heapq.nsmallest(self.n, best[end]), 1)], COLS_K3)
+        if last // 1000 <= now:  # rows of these windows are too late from here on
             self.counts.clear()
-        else:
-            now = timerValues.getCurrentWatermarkInMs()
-            best = heapq.nsmallest(self.n, ((-c[0], u[0]) for u, c in self.counts.iterator()))
-            out = [(key[0], key[1], now, u, -c, k) for k, (c, u) in enumerate(best, 1)]
-        yield pd.DataFrame(out, columns=COLS_K3)
+            self.open.clear()
+        elif due:
+            self._save(last, set(got[1]) - due)
 
     def close(self) -> None:
         pass
 
 
+def counted_in_panes(df: DataFrame, key: str, ts: str, pane_seconds: int) -> DataFrame:
+    """(key, ets, n): how many rows of a pane each key has in one Arrow batch, at the time of the last of them.  Windows made of whole
+    panes hold all of these rows or none, and the latest time, which moves the watermark, stays.  Rows without a key or time are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            some = pa.Table.from_batches([b]).group_by(["key", "pane"]).aggregate([("ets", "max"), ("ets", "count")])
+            yield from some.select(["key", "ets_max", "ets_count"]).rename_columns(["key", "ets", "n"]).to_batches()
+
+    x = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("ets"))
+    kind = x.schema["key"].dataType.simpleString()
+    panes = x.withColumn("pane", F.floor(F.unix_micros("ets") / F.lit(pane_seconds * 1_000_000)))
+    return panes.mapInArrow(run, f"key {kind}, ets timestamp, n long").withColumnRenamed("key", key)
+
+
+BLOCK_WINDOWS = 6  # sizes of a window whose ends share a key
+
+
 def page_ranking_stream(df: DataFrame, size, slide, n: int, *, delay_seconds: int, lateness_seconds: int, parts: int = 16) -> DataFrame:
     """``df``: url and ts of page views.  Reports (window_end, part, as_of, url, cnt, rank); the last one of a part holds.
 
     The watermark trails by delay + lateness, so that Spark keeps rows for windows that still take corrections; the
-    report timer is set that much earlier."""
+    report timer is set that much earlier.  Views are counted by pane before they fan out to their windows."""
     use_rocksdb(df.sparkSession)
-    late = df.withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", f"{delay_seconds + lateness_seconds} seconds")
-    w = F.window("ets", f"{duration_seconds(size)} seconds", f"{duration_seconds(slide)} seconds")
-    x = late.select(w.alias("w"), "url").select("w", "url", F.unix_micros("w.end").alias("end_us"), F.pmod(F.xxhash64("url"), F.lit(parts)).cast("int").alias("part"))
-    out = x.groupBy("end_us", "part").transformWithStateInPandas(
+    size_s, slide_s = duration_seconds(size), duration_seconds(slide)
+    counted = counted_in_panes(df, "url", "ts", math.gcd(size_s, slide_s))
+    late = counted.withWatermark("ets", f"{delay_seconds + lateness_seconds} seconds")
+    x = late.select(F.window("ets", f"{size_s} seconds", f"{slide_s} seconds").alias("w"), "url", "n")
+    end = F.unix_micros("w.end")
+    x = x.select("w", "url", "n", end.alias("end_us"), F.floor(end / F.lit(BLOCK_WINDOWS * size_s * 1_000_000)).alias("block"),
+                 F.pmod(F.xxhash64("url"), F.lit(parts)).cast("int").alias("part"))
+    out = x.groupBy("block", "part").transformWithStateInPandas(
         statefulProcessor=PageRankingProcessor(n, lateness_seconds * 1000), outputStructType="end_us long, part int, as_of_ms long, url string, cnt long, rank int",
         outputMode="Append", timeMode="EventTime")
     return out.select(F.timestamp_micros("end_us").cast("timestamp_ntz").alias("window_end"), "part", "as_of_ms", "url", "cnt", "rank")
