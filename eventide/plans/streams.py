@@ -257,13 +257,11 @@ def s10_latest_by_key_stream(spark, sf):
 
 
 def a2_word_count_update_stream(spark, sf):
-    """A2 on a stream: running word totals in update mode, each micro-batch's
+    """A2 on a stream of lines, cut into words by the stream: running word totals in update mode, each micro-batch's
     changed totals upserted into a keyed table; the table ends as the word
     count without empty tokens."""
-    toks = agg.tokens(document_lines(dm.load_table(spark, sf, "documents")), keep=["doc_id", "line_no"],
-                      drop_empty=True)
-    s = _replayed(spark, toks, "doc_id")
-    counts = s.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    s = _replayed(spark, document_lines(dm.load_table(spark, sf, "documents")).select("doc_id", "line"), "doc_id")
+    counts = agg.tokens(s, drop_empty=True).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     table = tables.upsert_stream(counts, scratch_path(spark, "a2-table"), scratch_path(spark, "a2-ckpt"), ["word"], ["cnt"],
                                  output_mode="update")
     return table.read().select("word", "cnt")

@@ -30,6 +30,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # bytes of staged rows that one writer of a chunk appends; at least MIN_FILES writers share a chunk
 FILE_BYTES = 128 << 20
 MIN_FILES = 2
+PACKED = {"parquet": {"compression": "zstd"}}  # rows are written twice, staged and appended
 
 
 class Replay(NamedTuple):
@@ -46,10 +47,11 @@ def _file_count(spark: SparkSession, folder: str) -> int:
 
 
 def _append_chunk(part: DataFrame, folder: str, files: int, fmt: str) -> None:
-    """Append ``part`` by ``files`` writers; writers without rows leave no file, empty ones make up the number."""
+    """Append ``part`` by at most ``files`` writers, each of some of its staged files, so that nothing is shuffled; writers
+    without rows leave no file, empty ones make up the number."""
     spark = part.sparkSession
     due = _file_count(spark, folder) + files
-    part.repartition(files).write.mode("append").format(fmt).save(folder)
+    part.coalesce(files).write.options(**PACKED.get(fmt, {})).mode("append").format(fmt).save(folder)
     for _ in range(due - _file_count(spark, folder)):
         spark.createDataFrame([], part.schema).coalesce(1).write.mode("append").format(fmt).save(folder)
 
@@ -67,7 +69,7 @@ def write_replay(df: DataFrame, order_col: str, *, chunks: int = 4, files_per_ch
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     width = 1 if lo is None else (hi - lo) // chunks + 1
     no = F.lit(0) if lo is None else F.coalesce(F.floor((F.col(order_col) - lo) / width), F.lit(0)).cast("int")
-    df.select(*cols, no.alias("_chunk")).write.partitionBy("_chunk").parquet(staged)
+    df.select(*cols, no.alias("_chunk")).write.partitionBy("_chunk").options(**PACKED["parquet"]).parquet(staged)
     files = files_per_chunk or max(MIN_FILES, -(-input_bytes(spark, staged) // (chunks * FILE_BYTES)))
     rows = spark.read.schema(StructType([*df.select(*cols).schema.fields, StructField("_chunk", IntegerType())])).parquet(staged)
     for i in range(chunks):

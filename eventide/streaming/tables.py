@@ -152,12 +152,14 @@ def upsert_stream(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[
     """S10 (stream): every micro-batch merged into the keyed table at ``root``: UPDATE when the key exists, INSERT
     otherwise, the later row in ``order`` winning.  Without ``order`` the later batch wins
     (for streams in update mode, which send a key's new value)."""
+    one_per_key = order is None and output_mode == "update"  # what such a batch holds already; reading takes the newest in any case
     order = list(order or ["_batch"])
     typed = stream.withColumn("_batch", F.lit(0).cast("bigint"))
     table = LogTable(stream.sparkSession, root, typed.select(*dict.fromkeys([*keys, *value_cols, *order])).schema, keys, order)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        table.write(batch_id, table.newest(batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).select(*table.schema.names)))
+        rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).select(*table.schema.names)
+        table.write(batch_id, rows if one_per_key else table.newest(rows))
 
     _run(stream, step, checkpoint, output_mode)
     return table

@@ -167,3 +167,23 @@ def test_views_counted_by_pane_keep_their_number_and_latest_time(spark):
     got = out.groupBy("url", pane("ets")).agg(F.sum("n"), F.max("ets").cast("timestamp_ntz"))
     want = df.dropna().groupBy("url", pane("ts")).agg(F.count("ts"), F.max("ts"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and out.count() < 100
+
+
+def test_a_replay_is_appended_as_it_was_staged(spark):
+    df = spark.range(400).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("v")).coalesce(1)
+    replay = write_replay(df, "seq", chunks=4)
+    where = spark.read.parquet(replay.folder).select("seq", F.input_file_name().alias("file")).collect()
+    assert len({r.file for r in where}) == 4 and len(where) == 400  # dealing rows out anew would fill every writer's file
+
+
+def test_words_are_counted_from_a_stream_of_lines(spark, tmp_path, monkeypatch):
+    from collections import Counter
+
+    from eventide.plans import streams
+
+    texts = ["a b  a\nc", "", None, "b b\n\nd a", "c"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts * 6)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    replayed = []
+    monkeypatch.setattr(streams, "write_replay", lambda df, *a, **kw: replayed.append(df.columns) or write_replay(df, *a, **kw))
+    got = {r.word: r.cnt for r in streams.a2_word_count_update_stream(spark, str(tmp_path)).collect()}
+    assert replayed == [["doc_id", "line"]] and got == Counter(w for t in texts * 6 if t for w in t.split())
