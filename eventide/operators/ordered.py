@@ -7,7 +7,7 @@ is the whole job.  Every primitive here cuts long keys into *slices*, where the
 * ``cuts`` counts the rows of each key (a partial aggregate).  A key of at most
   ``TARGET`` rows is one slice.  The range that the rows of a longer key span is divided into ``BUCKETS``
   equal buckets, the rows of each are counted, and neighbouring buckets are joined until a slice
-  holds ``TARGET`` rows.  A slice that still holds more -- a burst -- is divided in the same way again.  What comes
+  holds ``TARGET`` rows, at most twice as many where its last bucket is large.  A slice that still holds more -- a burst -- is divided in the same way again.  What comes
   out are two short tables for each level, of long keys alone; they are written, so that Spark sees their size before it
   chooses how to join them.
 * Work inside a slice is a window partitioned by ``(key, slice)``.  What has to cross a slice boundary is
@@ -106,7 +106,8 @@ def cuts(df: DataFrame, keys: Sequence[str], value: Column, target: int | None =
     levels: list[tuple[DataFrame, DataFrame]] = []
     while len(levels) < MAX_LEVELS:
         width = F.expr(f"(_hi - _lo) div {BUCKETS} + 1")
-        long = materialize(groups.filter((F.col("_n") > target) & (F.col("_hi") > F.col("_lo"))).select(*own, F.col("_lo").alias("_olo"), width.alias("_owidth")))
+        most = 2 * target if levels else target  # neighbouring buckets are joined up to target and a bucket beyond it
+        long = materialize(groups.filter((F.col("_n") > most) & (F.col("_hi") > F.col("_lo"))).select(*own, F.col("_lo").alias("_olo"), width.alias("_owidth")))
         if long.isEmpty():
             break
         names = [f"_ok{i}" for i in range(len(own))]

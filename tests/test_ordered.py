@@ -142,3 +142,13 @@ def test_whole_keys_pass_in_one_stage(spark, frame):
     d = ordered.running(d, ["k"], ["t", "seq"], cuts, [("c", "count", F.col("p"))])
     d.collect()
     assert d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_a_slice_a_little_over_the_target_is_not_divided_again(spark):
+    df = spark.range(10_000).select(F.lit("k").alias("k"), F.col("id").alias("seq"))
+    c = ordered.cuts(df, ["k"], F.col("seq"), target=333)  # buckets of 10 rows: slices of 330 to 340
+    sizes = [r["count"] for r in c.slice(df).groupBy(ordered.SLICE).count().collect()]
+    assert c.depth == 1 and sum(sizes) == 10_000 and 333 < max(sizes) <= 666
+    burst = df.withColumn("seq", F.when(F.col("seq") < 5000, F.col("seq")).otherwise(F.col("seq") + 10 ** 7))
+    c = ordered.cuts(burst, ["k"], F.col("seq"), target=333)
+    assert c.depth == 2 and max(r["count"] for r in c.slice(burst).groupBy(ordered.SLICE).count().collect()) <= 666
